@@ -127,8 +127,8 @@ def since_watermark(df: DataFrame, column: str, watermark: str | None, inclusive
     return df.where(F.col(column) >= mark if inclusive else F.col(column) > mark)
 
 
-def max_watermark(df: DataFrame, column: str, name: str = "watermark") -> DataFrame:
-    return df.agg(F.max(column).alias(name))
+def max_watermark(df: DataFrame, column: str, keys: list[str] | None = None, name: str = "watermark") -> DataFrame:
+    return df.groupBy(*(keys or [])).agg(F.max(column).alias(name))
 
 
 def load_counts(df: DataFrame, table: str, day: str | Column) -> DataFrame:
