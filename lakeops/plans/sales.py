@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import first_match, is_blank
+from ..functions.columns import first_match, is_blank, ratio
 from ..operators.joins import effective_dated, lookup, role_columns, semi
 from ..operators.windows import first_date_flag, first_event_flag
 
@@ -139,7 +139,7 @@ class Measure:
         if self.times:
             amount = amount * F.col(self.times)
         if self.per:
-            amount = F.try_divide(amount, F.col(self.per))
+            amount = ratio(amount, self.per)
         rest = F.col(self.otherwise) if self.otherwise else F.lit(0)
         return F.sum(F.when(hit, amount).otherwise(rest)).alias(self.name)
 
@@ -297,10 +297,9 @@ def open_orders(lines: DataFrame, deliveries: DataFrame, from_date: str, to_date
     shipped = semi(deliveries, recent, keys).groupBy(*keys).agg(F.sum("delivered").alias("delivered"))
     out = lookup(recent, shipped, keys, ["delivered"])
     delivered = F.coalesce(F.col("delivered"), F.lit(0))
-    price = F.try_divide(F.col("value"), F.col("quantity"))
     balance = F.col("quantity") - delivered
     out = out.withColumns({"delivered": delivered, "balance_quantity": balance})
-    out = out.withColumn("balance_value", (price * F.col("balance_quantity")).cast("decimal(18,2)"))
+    out = out.withColumn("balance_value", ratio(F.col("value") * F.col("balance_quantity"), "quantity"))
     pending = F.col("credit_status") == "C"
     released = F.col("credit_status").isNull() | (F.col("credit_status") == "A")
     take = lambda cond, c: F.when(cond, F.col(c)).otherwise(F.lit(0))
@@ -325,7 +324,7 @@ def star_fact(sales: DataFrame, customers: DataFrame, products: DataFrame) -> Da
 def order_intake(orders: DataFrame, factors: DataFrame, keys: list[str]) -> DataFrame:
     """Ordered quantity in the reporting unit per key."""
     out = lookup(orders, factors, ["material"], ["numerator", "denominator"])
-    converted = F.col("quantity") * F.try_divide(F.col("numerator"), F.col("denominator"))
+    converted = ratio(F.col("quantity") * F.col("numerator"), "denominator")
     return out.withColumn("converted", converted).groupBy(*keys).agg(F.sum("converted").alias("order_quantity"))
 
 

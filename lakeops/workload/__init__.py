@@ -1,6 +1,7 @@
 """Runnable queries over the test tables."""
 
-from . import keys_upsert, sources_ingest  # noqa: F401
+from . import (  # noqa: F401
+    keys_upsert, receivables_queries, relational, sales_queries, sources_ingest)
 from .core import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

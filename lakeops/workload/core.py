@@ -70,6 +70,18 @@ ITEMS = LINES + """, items AS (
   FROM lines GROUP BY ALL)"""
 
 
+def rounded(df: DataFrame, columns: list[str], scale: int = 4) -> DataFrame:
+    """Computed doubles rounded the way ``near`` does it in SQL: engines differ on halves."""
+    unit = float(10 ** scale)
+    return df.withColumns({c: F.floor(F.col(c).cast("double") * unit + 0.5) / unit for c in columns})
+
+
+def near(expression: str, scale: int = 4) -> str:
+    """SQL for a double rounded as ``rounded`` does."""
+    unit = f"1e{scale}"
+    return f"(floor(({expression})::DOUBLE * {unit} + 0.5) / {unit})"
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles, so that both engines print a value the same way."""
     return df.select(*[

@@ -217,10 +217,10 @@ def dedupe_by_key(t: Tables) -> DataFrame:
     return ingest.dedupe(df, ["l_orderkey", "l_linenumber"], [F.col("ship_date")])
 
 
-@query("""SELECT r_regionkey AS "R_REGIONKEY", r_name AS "R_NAME", '2024-01-31 06:00:00' AS "LAST_UPDATED_DT_TS"
-FROM region""")
+@query("""SELECT c_custkey AS "C_CUSTKEY", c_name AS "C_NAME", '2024-01-31 06:00:00' AS "LAST_UPDATED_DT_TS"
+FROM customer""")
 def upper_and_stamp(t: Tables) -> DataFrame:
-    stamped = ingest.stamp_load(ingest.upper_columns(t.region), "2024-01-31 06:00:00")
+    stamped = ingest.stamp_load(ingest.upper_columns(t.customer.select("c_custkey", "c_name")), "2024-01-31 06:00:00")
     return stamped.withColumn("LAST_UPDATED_DT_TS", F.date_format("LAST_UPDATED_DT_TS", "yyyy-MM-dd HH:mm:ss"))
 
 
