@@ -8,6 +8,7 @@ from ..operators import keys, upsert, windows
 from ..operators.ingest import since_watermark
 from ..operators.joins import lookup
 from ..operators.keys import KeyMapping
+from ..plans.finance import stack_sheets
 from ..sources.sinks import unmapped_rows
 from .core import LINES, SALES_ORDERS, Tables, query
 
@@ -207,3 +208,23 @@ def increment_from_watermark(t: Tables) -> DataFrame:
     mark = t.events.agg((F.max("ts") - F.expr("INTERVAL 2 DAYS")).cast("string").alias("m")).first()["m"]
     new = since_watermark(t.events, "ts", mark, inclusive=True)
     return new.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""WITH {DIM}, {SEGMENT_DIM} SELECT sheet, id, segment, amount::DOUBLE AS amount, coalesce(k.customer_key, -1)::BIGINT AS customer_key,
+CASE WHEN segment IS NULL THEN -2 ELSE coalesce(s.segment_key, -1) END::BIGINT AS segment_key FROM (
+  SELECT 'capacity' AS sheet, c_custkey AS id, c_mktsegment AS segment, c_acctbal::DECIMAL(18,2) AS amount FROM customer
+  UNION ALL SELECT 'savings', o_custkey, NULL, o_totalprice::DECIMAL(18,2) FROM orders) x
+LEFT JOIN known k ON k.c_custkey = x.id LEFT JOIN segments s USING (segment)""")
+def sheets_with_keys(t: Tables) -> DataFrame:
+    """Sheets taken over as they are: stacked, tagged and keyed."""
+    sheets = stack_sheets({
+        "capacity": t.customer.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment"),
+                                      F.col("c_acctbal").cast("decimal(18,2)").alias("amount")),
+        "savings": t.sales_orders.select(F.col("o_custkey").alias("id"), F.col("total").alias("amount")),
+    }, "sheet")
+    segments = t.customer.where("c_mktsegment <> 'MACHINERY'").select(F.col("c_mktsegment").alias("segment")).distinct()
+    dims = {"dim_customer": known_customers(t), "dim_segment": keys.number_members(segments, ["segment"], "segment_key")}
+    return keys.lookup_keys(sheets, dims, [
+        KeyMapping.parse("id", "c_custkey", "customer_key", "customer_key", "dim_customer"),
+        KeyMapping.parse("segment", "segment", "segment_key", "segment_key", "dim_segment"),
+    ], keep_natural=True)
