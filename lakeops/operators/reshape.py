@@ -40,11 +40,16 @@ def pivot_sums(df: DataFrame, keys: list[str], column: str, labels: list[str], m
     return out if fill is None else out.fillna(fill)
 
 
+def sum_when(condition: Column, amount: Column) -> Column:
+    return F.coalesce(F.sum(F.when(condition, amount)), F.lit(0))
+
+
 def conditional_sums(df: DataFrame, keys: list[str], measures: dict[str, tuple[Column, Column]]) -> DataFrame:
-    """Many sums in one pass: ``measures`` maps the name to (condition, amount); no match gives 0."""
-    return df.groupBy(*keys).agg(*[
-        F.sum(F.when(condition, amount).otherwise(F.lit(0))).alias(n)
-        for n, (condition, amount) in measures.items()])
+    """Many sums in one pass: ``measures`` maps the name to (condition, amount); no match gives 0.
+
+    Rows that miss a condition give null, which a sum skips without touching its buffer.
+    """
+    return df.groupBy(*keys).agg(*[sum_when(c, amount).alias(n) for n, (c, amount) in measures.items()])
 
 
 def attributes_to_columns(df: DataFrame, keys: list[str], attribute: str, value: str,

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import first_match, is_blank, ratio
 from ..operators.joins import effective_dated, lookup, role_columns, semi
+from ..operators.reshape import sum_when
 from ..operators.windows import first_date_flag, first_event_flag
 
 # Fixed values of the pricing rules -----------------------------------------------------
@@ -49,11 +50,14 @@ class Codes:
     def __init__(self, code: str = "code"):
         self.code = F.col(code)
 
-    def has(self, *codes: str) -> Column:
-        return F.coalesce(F.max(self.code.isin(*codes)), F.lit(False))
+    def has(self, code: str, where: Column | None = None) -> Column:
+        return F.coalesce(F.max(self._at(code, where)), F.lit(False))
 
-    def value(self, code: str, column: str = "value") -> Column:
-        return F.max(F.when(self.code == code, F.col(column)))
+    def value(self, code: str, column: str = "value", where: Column | None = None) -> Column:
+        return F.max(F.when(self._at(code, where), F.col(column)))
+
+    def _at(self, code: str, where: Column | None) -> Column:
+        return self.code == code if where is None else (self.code == code) & where
 
 
 def assessable_value(conditions: DataFrame, keys: list[str]) -> DataFrame:
@@ -63,8 +67,9 @@ def assessable_value(conditions: DataFrame, keys: list[str]) -> DataFrame:
     """
     c = Codes()
     net = F.lit(NET_OF_DUTY).cast("decimal(4,3)")
+    direct = F.col("customer_group") == DIRECT_GROUP
     rules = [
-        (c.has("ZASS") & (c.value("ZASS", "customer_group") == DIRECT_GROUP), c.value("ZASS")),
+        (c.has("ZASS", direct), c.value("ZASS", where=direct)),
         (c.has("JEXP"), c.value("JEXP", "base")),
         (c.has("ZVAT"), c.value("ZVAT", "base") * net),
         (c.has("JCST"), c.value("JCST", "base") * net),
@@ -98,10 +103,10 @@ def base_price(conditions: DataFrame, keys: list[str]) -> DataFrame:
     c = Codes()
 
     def amount(code, org, divisions):
-        fits = c.value(code, "division").isin(*divisions)
+        fits = F.col("division").isin(*divisions)
         if org is not None:
-            fits = fits & (c.value(code, "org") == org)
-        return F.when(fits, F.coalesce(c.value(code), F.lit(0))).otherwise(F.lit(0))
+            fits = fits & (F.col("org") == org)
+        return F.coalesce(c.value(code, where=fits), F.lit(0))
 
     surcharge = first_match([(c.has(code), amount(code, org, div)) for code, org, div in SURCHARGES], 0)
     other = first_match([(c.has(code), amount(code, org, div)) for code, org, div in BASE_PRICES], 0)
@@ -117,7 +122,8 @@ class Measure:
     name: str
     codes: tuple[str, ...]
     column: str = "value"
-    factor: str = "1"
+    percent: bool = False
+    negate: bool = False
     other_than: bool = False
     by: str = "code"
     times: str | None = None
@@ -134,18 +140,22 @@ class Measure:
         if self.not_billing:
             hit = hit & ~F.col("billing_type").isin(*self.not_billing)
         amount = F.col(self.column)
-        if self.factor != "1":
-            amount = amount * F.lit(self.factor).cast("decimal(4,2)")
+        if self.percent:
+            amount = amount * F.lit("0.1").cast("decimal(2,1)")
+        if self.negate:
+            amount = -amount
         if self.times:
             amount = amount * F.col(self.times)
         if self.per:
             amount = ratio(amount, self.per)
-        rest = F.col(self.otherwise) if self.otherwise else F.lit(0)
-        return F.sum(F.when(hit, amount).otherwise(rest)).alias(self.name)
+        if self.otherwise:
+            return F.sum(F.when(hit, amount).otherwise(F.col(self.otherwise))).alias(self.name)
+        return sum_when(hit, amount).alias(self.name)
 
 
 def _rate(name: str, code: str, **kw) -> Measure:
-    return Measure(name, (code,), "rate", "0.1", **kw)
+    """Rates are recorded in tenths of a per cent."""
+    return Measure(name, (code,), "rate", percent=True, **kw)
 
 
 # The measures of an invoice line, as (name, codes and what is summed).
@@ -168,7 +178,7 @@ INVOICE_MEASURES = [
     Measure("ztaxturn", (), by="condition_class", any_code=True),
     Measure("zbasfin", ("PRICE",), by="condition_class"),
     Measure("zmul", ("ZMUL",)), Measure("zins", ("ZINS",)), Measure("zmrp", ("ZMRP",)),
-    *[Measure(code.lower(), (code,), factor="-1") for code in ("ZD01", "ZD02", "ZD03")],
+    *[Measure(code.lower(), (code,), negate=True) for code in ("ZD01", "ZD02", "ZD03")],
     *[Measure(code.lower(), (code,)) for code in
       ("ZD04", "ZD05", "ZOD1", "ZOD2", "ZOD4", "ZOD5", "ZOD6", "ZRPB", "ZRPC")],
 ]

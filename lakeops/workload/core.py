@@ -31,18 +31,22 @@ class Tables:
 
     @cached_property
     def lines(self) -> DataFrame:
-        """Line items with typed money and dates."""
+        """Line items with typed money and dates.
+
+        The types are as narrow as the columns' ranges allow: sums of decimal(8,2) stay in
+        long arithmetic, and a value outside the range fails the query.
+        """
         return self.lineitem.select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus",
-            money("l_quantity").alias("quantity"), money("l_extendedprice").alias("price"),
-            money("l_discount").alias("discount"), money("l_tax").alias("tax"),
+            money("l_quantity", 8).alias("quantity"), money("l_extendedprice", 8).alias("price"),
+            money("l_discount", 4).alias("discount"), money("l_tax", 4).alias("tax"),
             F.col("l_shipdate").cast("date").alias("ship_date"))
 
     @cached_property
     def sales_orders(self) -> DataFrame:
         return self.orders.select(
             "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
-            money("o_totalprice").alias("total"), F.col("o_orderdate").cast("date").alias("order_date"))
+            money("o_totalprice", 8).alias("total"), F.col("o_orderdate").cast("date").alias("order_date"))
 
     @cached_property
     def items(self) -> DataFrame:

@@ -289,7 +289,8 @@ def hierarchy_climb(t: Tables) -> DataFrame:
 @query(f"""WITH {LINES} SELECT l_returnflag, l_linestatus, sum(quantity)::DOUBLE AS sum_qty, min(price)::DOUBLE AS min_price,
 max(price)::DOUBLE AS max_price, count(*) AS n, round(avg(quantity::DOUBLE), 4) AS avg_qty FROM lines GROUP BY 1, 2""")
 def grouped_aggregates(t: Tables) -> DataFrame:
-    return t.lines.groupBy("l_returnflag", "l_linestatus").agg(
+    wide = t.lines.withColumns({c: F.col(c).cast("decimal(18,2)") for c in ("quantity", "price")})
+    return wide.groupBy("l_returnflag", "l_linestatus").agg(
         F.sum("quantity").alias("sum_qty"), F.min("price").alias("min_price"), F.max("price").alias("max_price"),
         F.count(F.lit(1)).alias("n"), F.round(F.avg(F.col("quantity").cast("double")), 4).alias("avg_qty"))
 

@@ -34,9 +34,9 @@ def conditions(t: Tables) -> DataFrame:
     kind = c("l_partkey") % 21
     return t.lines.select(
         c("l_orderkey").alias("doc"), c("l_linenumber").alias("line"), pick.alias("code"),
-        (c("price") * c("discount")).cast("decimal(18,2)").alias("value"),
-        (c("tax") * 100).cast("decimal(18,2)").alias("rate"), c("price").alias("base"),
-        (c("discount") + 1).cast("decimal(9,2)").alias("fx"), "quantity",
+        (c("price") * c("discount")).cast("decimal(8,2)").alias("value"),
+        (c("tax") * 100).cast("decimal(5,2)").alias("rate"), c("price").alias("base"),
+        (c("discount") + 1).cast("decimal(4,2)").alias("fx"), "quantity",
         F.when(c("l_suppkey") % 3 == 0, "17").otherwise("-").alias("customer_group"),
         F.when(c("l_suppkey") % 5 == 0, "FOR").otherwise("EXW").alias("terms"),
         F.when(even, "2000").otherwise("1000").alias("org"), F.when(even, "23").otherwise("11").alias("division"),
@@ -44,13 +44,14 @@ def conditions(t: Tables) -> DataFrame:
         F.when(kind.isin(6, 8), "PRICE").when(kind == 7, "ADD").alias("condition_class"))
 
 
-_V = lambda code, column="value": f"max(CASE WHEN code = '{code}' THEN {column} END)"
-_HAS = lambda code: f"bool_or(code = '{code}')"
+_V = lambda code, column="value", also="true": f"max(CASE WHEN code = '{code}' AND {also} THEN {column} END)"
+_HAS = lambda code, also="true": f"bool_or(code = '{code}' AND {also})"
+_DIRECT = "customer_group = '17'"
 _KEY = "doc, line"
 
 
 @query(f"""WITH {CONDITIONS} SELECT {_KEY}, coalesce(CASE
-WHEN {_HAS('ZASS')} AND {_V('ZASS', 'customer_group')} = '17' THEN {_V('ZASS')}
+WHEN {_HAS('ZASS', _DIRECT)} THEN {_V('ZASS', also=_DIRECT)}
 WHEN {_HAS('JEXP')} THEN {_V('JEXP', 'base')} WHEN {_HAS('ZVAT')} THEN {_V('ZVAT', 'base')} * 0.875
 WHEN {_HAS('JCST')} THEN {_V('JCST', 'base')} * 0.875 WHEN {_HAS('ZEXP')} THEN {_V('ZEXP')} * {_V('ZEXP', 'fx')}
 WHEN {_HAS('ZASS')} THEN {_V('ZASS')} END, 0)::DECIMAL(25,2)::DOUBLE AS assessable_value FROM conditions GROUP BY 1, 2""")
@@ -66,7 +67,7 @@ def secondary_freight(t: Tables) -> DataFrame:
 
 
 _AT = lambda code, org, div: (
-    f"WHEN {_HAS(code)} THEN CASE WHEN {_V(code, 'org')} = '{org}' AND {_V(code, 'division')} IN ({div}) THEN {_V(code)} ELSE 0 END")
+    f"""WHEN {_HAS(code)} THEN coalesce({_V(code, also=f"org = '{org}' AND division IN ({div})")}, 0)""")
 
 
 @query(f"""WITH {CONDITIONS} SELECT {_KEY}, coalesce(CASE WHEN {_HAS('ZBP4')} THEN {_V('ZBP4')} + CASE {_AT('ZAD1', '2000', "'23'")} ELSE 0 END
@@ -112,7 +113,7 @@ def plants(t: Tables) -> DataFrame:
 
 ROLES = {"1": "payer", "2": "ship_to", "3": "agent"}
 FACT_MEASURES = [s.Measure("header_freight", ("ZF00",)), s.Measure("part_freight", ("ZF01", "ZF02")),
-                 s.Measure("rebate", ("ZD01",), factor="-1")]
+                 s.Measure("rebate", ("ZD01",), negate=True)]
 
 
 def invoice_lines(t: Tables) -> DataFrame:
