@@ -70,7 +70,7 @@ def open_purchase_orders(orders: DataFrame, history: DataFrame, keys: list[str],
     rules = [(~done & short, "OPEN"), (done & short, "SHORT_CLOSED")]
     if packages is not None:
         kinds = (*unplanned, *planned)
-        services = out.where(F.col("po_type").isin(*kinds))
+        services = orders.where(F.col("po_type").isin(*kinds))
         out = lookup(out, service_totals(services, packages, keys), keys, ["service_quantity", "service_value"])
         service = F.col("po_type").isin(*kinds)
         out = out.withColumns({

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import as_col, signed
 from ..operators.joins import anti, lookup, with_reversed
-from ..operators.windows import running_sum
+from ..operators.reshape import sum_when
 
 # The credit side's code, the document type aged by its own date, the claim
 # scale (claims are recorded in units of 100,000), the steps of the ageing buckets.
@@ -18,15 +18,14 @@ OLDEST_BUCKET = "grtr_than_720_days"
 NOT_DUE_BUCKET = "not_due"
 
 
-def open_at(open_items: DataFrame, cleared_items: DataFrame | None, as_of: str, post_date: str = "post_date",
-            clear_date: str = "clear_date") -> DataFrame:
-    """Items posted up to a day and not cleared by it: the open ones, and those cleared later."""
+def open_at(items: DataFrame, as_of: str, post_date: str = "post_date", clear_date: str = "clear_date") -> DataFrame:
+    """Items posted up to a day and not cleared by it.
+
+    Reads open items (no clearing date) and cleared ones in one frame; a caller with two
+    tables unions them first.
+    """
     day = F.lit(as_of).cast("date")
-    out = open_items.where(F.col(post_date) <= day)
-    if cleared_items is None:
-        return out
-    later = cleared_items.where((F.col(post_date) <= day) & (F.col(clear_date) > day))
-    return out.unionByName(later.select(*out.columns))
+    return items.where((F.col(post_date) <= day) & (F.col(clear_date).isNull() | (F.col(clear_date) > day)))
 
 
 def signed_items(items: DataFrame, as_of: str) -> DataFrame:
@@ -48,36 +47,44 @@ def drop_zero_documents(items: DataFrame, keys: list[str], amount: str = "amount
     return anti(items, zero, keys)
 
 
-def credit_totals(items: DataFrame, claims: DataFrame | None = None, scale: int = CLAIM_SCALE) -> DataFrame:
-    """Per customer the sum of negative items plus scaled disputes and legal cases."""
-    credits = items.where("amount < 0").select("customer", "amount")
-    if claims is not None:
-        scaled = F.coalesce(F.col("amount"), F.lit(0)) * scale
-        credits = credits.unionByName(claims.select("customer", scaled.alias("amount")))
-    return credits.groupBy("customer").agg(F.sum("amount").alias("credit_sum"))
+def claim_totals(claims: DataFrame, scale: int = CLAIM_SCALE) -> DataFrame:
+    """Disputes and legal cases per customer, scaled to credits."""
+    scaled = F.coalesce(F.col("amount"), F.lit(0)) * scale
+    return claims.groupBy("customer").agg(F.sum(scaled).alias("claims"))
 
 
-def settle_fifo(debits: DataFrame, credits: DataFrame, tie: list[str]) -> DataFrame:
-    """Apply each customer's credits to the oldest debits first; adds ``balance``.
+def settle_fifo(items: DataFrame, tie: list[str], claims: DataFrame | None = None) -> DataFrame:
+    """Apply each customer's credits to the oldest debits first; gives debits with ``balance``.
 
-    The running debit restarts per age only for ordering work: totals per (customer, age)
-    are carried forward, so a customer with very many items is spread over its ages.
-    A debit stays whole without credits, is 0 while the credits last, partial on the row
-    that exhausts them and whole after it.
+    Debits and credits are summed per (customer, age) first, map-side combined. Those few rows
+    carry the running debit from age to age and the customer's whole credit, so the items
+    themselves are shuffled once, by customer and age, and a customer with very many items
+    is spread over its ages. A debit stays whole without credits, is 0 while the credits
+    last, partial on the row that exhausts them and whole after it.
     """
-    running = running_sum(debits, ["customer"], [F.col("age").desc(), *tie], {"total_due": "amount"},
-                          block="age", block_descending=True)
-    out = lookup(running, credits, ["customer"], ["credit_sum"])
-    out = out.withColumn("credit_sum", F.coalesce("credit_sum", F.lit(0)))
+    amount = F.col("amount")
+    ages = items.groupBy("customer", "age").agg(
+        sum_when(amount > 0, amount).alias("__debit"), sum_when(amount < 0, amount).alias("__credit"))
+    customer = Window.partitionBy("customer")
+    older = customer.orderBy(F.col("age").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ages = ages.select(
+        "customer", "age", F.coalesce(F.sum("__debit").over(older), F.lit(0)).alias("__carried"),
+        F.sum("__credit").over(customer).alias("credit_sum"))
+    if claims is not None:
+        ages = lookup(ages, claims, ["customer"], ["claims"])
+        ages = ages.withColumn("credit_sum", F.col("credit_sum") + F.coalesce("claims", F.lit(0))).drop("claims")
+    out = lookup(items.where(amount > 0), ages, ["customer", "age"], ["__carried", "credit_sum"], how="inner")
+    within = Window.partitionBy("customer", "age").orderBy(*tie).rowsBetween(Window.unboundedPreceding, 0)
+    out = out.withColumn("total_due", F.col("__carried") + F.sum("amount").over(within)).drop("__carried")
     out = out.withColumn("paid_amount", F.col("total_due") + F.col("credit_sum"))
-    before = F.col("paid_amount") - F.col("amount")
-    first = F.col("total_due") == F.col("amount")
+    before = F.col("paid_amount") - amount
+    first = F.col("total_due") == amount
     balance = (
-        F.when(F.col("credit_sum") == 0, F.col("amount"))
+        F.when(F.col("credit_sum") == 0, amount)
         .when(F.col("paid_amount") <= 0, F.lit(0))
         .when(first | (before <= 0), F.col("paid_amount"))
-        .otherwise(F.col("amount")))
-    return out.withColumn("balance", balance)
+        .otherwise(amount))
+    return out.withColumn("balance", balance.cast("decimal(18,2)"))
 
 
 def age_bounds(steps: list[tuple[int, int]] = AGE_STEPS) -> list[tuple[int, int, str]]:
@@ -106,9 +113,15 @@ def ageing_snapshot(balances: DataFrame, keys: list[str], as_of: str, not_due: b
     due = balances.where("balance > 0")
     if defaults:
         due = due.fillna(defaults)
-    due = due.withColumn("__bucket", age_bucket("age", not_due))
-    labels = ([NOT_DUE_BUCKET] if not_due else []) + [b[2] for b in age_bounds()] + [OLDEST_BUCKET]
-    sums = [F.coalesce(F.sum(F.when(F.col("__bucket") == l, F.col("balance"))), F.lit(0)).alias(l) for l in labels]
+    age = F.col("age")
+    bounds = age_bounds()
+    ranges = {label: age.between(low, high) for low, high, label in bounds}
+    beyond = age > bounds[-1][1]
+    if not_due:
+        ranges = {NOT_DUE_BUCKET: age < 0, **ranges, OLDEST_BUCKET: beyond}
+    else:
+        ranges[OLDEST_BUCKET] = beyond | (age < 0)
+    sums = [sum_when(hit, F.col("balance")).alias(label) for label, hit in ranges.items()]
     return due.groupBy(*keys).agg(*sums).withColumn("snapshot_date", F.lit(as_of).cast("date"))
 
 
@@ -125,10 +138,10 @@ def overdue_amounts(balances: DataFrame, criteria: DataFrame, on: list[str], key
     ).withColumn("snapshot_date", F.lit(as_of).cast("date"))
 
 
-def security_deposits(open_items: DataFrame, cleared_items: DataFrame, as_of: str, ledger: tuple[str, ...],
+def security_deposits(items: DataFrame, as_of: str, ledger: tuple[str, ...],
                       excluded: DataFrame | None = None) -> DataFrame:
     """Deposits held per customer: special-ledger credits not cleared by the day."""
-    items = open_at(open_items, cleared_items, as_of)
+    items = open_at(items, as_of)
     items = items.where(F.col("ledger").isin(*ledger) & (F.col("dc") == CREDIT))
     if excluded is not None:
         items = anti(items, excluded, ["customer"])

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.columns import first_match, is_blank, ratio
 from ..operators.joins import effective_dated, lookup, role_columns, semi
 from ..operators.reshape import sum_when
-from ..operators.windows import first_date_flag, first_event_flag
+from ..operators.windows import first_date_flag
 
 # Fixed values of the pricing rules -----------------------------------------------------
 FREIGHT_PAID_TERMS = ("ZFR", "FOR", "CIP")
@@ -253,15 +253,28 @@ def transport_type(is_plant: Column, org: Column, plant: Column, report_plant: C
 
 def first_sale_flags(lines: DataFrame, flags: dict[str, list[str]], order: list[str],
                      history: DataFrame | None = None) -> DataFrame:
-    """First line per customer, product line, pair ...; 0 where history already has the key."""
-    out = lines
-    for flag, keys in flags.items():
-        out = first_event_flag(out, keys, order, flag)
-        if history is not None:
-            seen = history.select(*keys).distinct().withColumn("__seen", F.lit(True))
-            out = lookup(out, seen, keys, ["__seen"])
-            out = out.withColumn(flag, F.when(F.col("__seen"), F.lit(0)).otherwise(F.col(flag))).drop("__seen")
-    return out
+    """First line per customer, product line, pair ...; 0 where history already has the key.
+
+    ``order`` must end in the columns that identify a line. One pass over lines and history
+    with a grouping set per flag finds the first line of every key; the few lines found are
+    then matched back on their whole identity, which spreads them evenly.
+    """
+    keys = list(dict.fromkeys(k for cols in flags.values() for k in cols))
+    columns = [*order, *[k for k in keys if k not in order]]
+    marked = lines.select(*columns, F.lit(False).alias("__old"))
+    if history is not None:
+        marked = marked.unionByName(history.select(*columns, F.lit(True).alias("__old")))
+    line = F.struct(*[F.col(c).alias(f"__{c}") for c in columns])
+    marked = marked.select(*keys, "__old", F.when(~F.col("__old"), line).alias("__line"))
+    ids = {flag: sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in cols)
+           for flag, cols in flags.items()}
+    firsts = marked.groupingSets([[F.col(k) for k in cols] for cols in flags.values()], *keys).agg(
+        F.min("__line").alias("__line"), F.max("__old").alias("__seen"), F.grouping_id(*keys).alias("__set"))
+    firsts = firsts.where(~F.col("__seen") & F.col("__line").isNotNull()).select("__line.*", "__set")
+    marks = firsts.groupBy(*[f"__{c}" for c in columns]).agg(
+        *[F.max(F.when(F.col("__set") == id_, 1).otherwise(0)).alias(flag) for flag, id_ in ids.items()])
+    out = lookup(lines, marks, [(c, f"__{c}") for c in columns], list(flags), null_safe=True)
+    return out.fillna(0, subset=list(flags))
 
 
 def first_day_flags(lines: DataFrame, flags: dict[str, list[str]], date: str) -> DataFrame:
@@ -273,16 +286,16 @@ def first_day_flags(lines: DataFrame, flags: dict[str, list[str]], date: str) ->
 
 def invoice_fact(items: DataFrame, headers: DataFrame, partners: DataFrame, roles: dict[str, str],
                  conditions: DataFrame, measures: list[Measure], weights: DataFrame,
-                 plants: DataFrame) -> DataFrame:
+                 plants: DataFrame, weight_keys: tuple[str, ...] = ("material", "plant")) -> DataFrame:
     """One row per invoice line.
 
     items: doc, line, material, plant, quantity, net, tax; headers: doc, date, sold_to, payer,
     org, cancelled; partners: doc, role, party; conditions: doc, line, code ...;
-    weights: material, plant, valid_from, valid_to, weight; plants: plant, is_plant, report_plant.
+    weights: weight_keys, valid_from, valid_to, weight; plants: plant, is_plant, report_plant.
     """
     out = items.join(headers, "doc", "inner")
     out = lookup(out, plants, ["plant"], ["is_plant", "report_plant"])
-    out = effective_dated(out, weights, ["material", "plant"], "date", "valid_from", "valid_to", ["weight"])
+    out = effective_dated(out, weights, list(weight_keys), "date", "valid_from", "valid_to", ["weight"])
     parties = role_columns(partners, ["doc"], "role", roles, ["party"])
     out = lookup(out, parties, ["doc"], [f"{p}_party" for p in roles.values()])
     sums = condition_measures(conditions, ["doc", "line"], measures)

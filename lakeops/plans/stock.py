@@ -20,13 +20,13 @@ HORIZON_DAYS = 30
 
 def to_unit(df: DataFrame, factors: DataFrame, quantity: str, name: str, on=("material",),
             fallback: DataFrame | None = None, date: str = "date", unit: str | None = None,
-            base_unit: str = "KG") -> DataFrame:
+            base_unit: str = "KG", weight_keys: tuple[str, ...] = ("material", "plant")) -> DataFrame:
     """Quantity in the target unit: by numerator/denominator, else by the weight valid on the
     date, else unchanged where the row is already in the base unit, else null."""
     out = lookup(df, factors, list(on), [("numerator", "__num"), ("denominator", "__den")])
     rules = [(F.col("__num").isNotNull(), F.col(quantity) * ratio("__num", "__den"))]
     if fallback is not None:
-        out = effective_dated(out, fallback, ["material", "plant"], date, "valid_from", "valid_to",
+        out = effective_dated(out, fallback, list(weight_keys), date, "valid_from", "valid_to",
                               [("weight", "__weight")])
         rules.append((F.col("__weight").isNotNull(), F.col(quantity) * F.col("__weight")))
     if unit is not None:

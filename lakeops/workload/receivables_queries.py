@@ -53,19 +53,13 @@ def all_items(t: Tables) -> DataFrame:
         F.when(c("o_orderstatus") == "F", F.date_add("order_date", 90)).alias("clear_date"))
 
 
-def open_and_cleared(t: Tables) -> tuple[DataFrame, DataFrame]:
-    items = all_items(t)
-    return items.where("clear_date IS NULL"), items.where("clear_date IS NOT NULL")
-
-
 def balances(t: Tables) -> DataFrame:
-    open_items, cleared = open_and_cleared(t)
     plants = t.customer.where("c_nationkey = 0").select(F.col("c_custkey").alias("customer"))
-    items = anti(r.signed_items(r.open_at(open_items, cleared, AS_OF), AS_OF), plants, ["customer"])
+    items = anti(r.signed_items(r.open_at(all_items(t), AS_OF), AS_OF), plants, ["customer"])
     items = r.drop_zero_documents(items, ["customer", "doc"])
     claims = t.customer.where("c_acctbal < 0").select(
-        F.col("c_custkey").alias("customer"), (-F.col("c_acctbal").cast("decimal(18,2)")).alias("amount"))
-    return r.settle_fifo(items.where("amount > 0"), r.credit_totals(items, claims, scale=-1000), ["doc", "item"])
+        F.col("c_custkey").alias("customer"), (-F.col("c_acctbal").cast("decimal(13,2)")).alias("amount"))
+    return r.settle_fifo(items, ["doc", "item"], r.claim_totals(claims, scale=-1000))
 
 
 @query(f"""WITH {ITEMS_SQL} SELECT customer, doc, item, age::INTEGER AS age, amount::DOUBLE AS amount,
@@ -114,9 +108,8 @@ def overdue_amounts(t: Tables) -> DataFrame:
 @query(f"""WITH {ITEMS_SQL} SELECT customer, sum(amount)::DOUBLE AS deposit, DATE '{AS_OF}' AS snapshot_date FROM open_items
 WHERE ledger = 'A' AND dc = 'H' AND customer NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') GROUP BY 1""")
 def security_deposits(t: Tables) -> DataFrame:
-    open_items, cleared = open_and_cleared(t)
     excluded = t.customer.where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("customer"))
-    return r.security_deposits(open_items, cleared, AS_OF, ("A",), excluded)
+    return r.security_deposits(all_items(t), AS_OF, ("A",), excluded)
 
 
 @query(f"""WITH {SALES_ORDERS}, docs AS (SELECT o_orderkey AS doc, order_date AS post_date, o_orderstatus,

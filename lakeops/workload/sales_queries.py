@@ -128,9 +128,8 @@ def invoice_lines(t: Tables) -> DataFrame:
         F.when(F.col("o_orderstatus") == "P", "X").alias("cancelled"))
     partners = t.lineitem.select(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").cast("string").alias("role"),
                                  F.col("l_suppkey").alias("party"))
-    pairs = items.select("material", "plant").distinct()
-    weights = pairs.join(weight_versions(t), "material", "inner")
-    return s.invoice_fact(items, headers, partners, ROLES, conditions(t), FACT_MEASURES, weights, plants(t))
+    return s.invoice_fact(items, headers, partners, ROLES, conditions(t), FACT_MEASURES, weight_versions(t), plants(t),
+                          weight_keys=("material",))
 
 
 @query(f"""WITH {ITEMS}, {SALES_ORDERS}, {RATES}, {PLANTS}, {CONDITIONS.replace(LINES + ', ', '')},

@@ -129,7 +129,7 @@ def movement_net_loss(t: Tables) -> DataFrame:
     return out.groupBy("plant", "material").agg(*[F.sum(m).alias(m) for m in rules])
 
 
-@query(f"""WITH {ITEMS}, {FACTORS}, {RATES}, pairs AS (SELECT DISTINCT partkey, suppkey FROM items)
+@query(f"""WITH {ITEMS}, {FACTORS}, {RATES}
 SELECT l_orderkey, l_linenumber, {near("CASE WHEN f.numerator IS NOT NULL THEN i.quantity::DOUBLE * (f.numerator::DOUBLE / 10) WHEN r.weight IS NOT NULL THEN (i.quantity * r.weight)::DOUBLE WHEN i.flag = 'N' THEN i.quantity::DOUBLE END")} AS kilograms
 FROM items i LEFT JOIN factors f ON f.material = i.partkey
 LEFT JOIN rates r ON r.material = i.partkey AND i.ship_date BETWEEN r.valid_from AND r.valid_to""")
@@ -137,8 +137,8 @@ def unit_conversion(t: Tables) -> DataFrame:
     rows = t.items.select("l_orderkey", "l_linenumber", F.col("partkey").alias("material"), F.col("suppkey").alias("plant"),
                           F.col("quantity").cast("decimal(18,2)").alias("quantity"), F.col("ship_date").alias("date"),
                           F.when(F.col("flag") == "N", "KG").otherwise("EA").alias("unit"))
-    weights = rows.select("material", "plant").distinct().join(weight_versions(t), "material", "inner")
-    out = s.to_unit(rows, factors(t), "quantity", "kilograms", fallback=weights, unit="unit")
+    out = s.to_unit(rows, factors(t), "quantity", "kilograms", fallback=weight_versions(t), unit="unit",
+                    weight_keys=("material",))
     return rounded(out, ["kilograms"]).select("l_orderkey", "l_linenumber", "kilograms")
 
 
