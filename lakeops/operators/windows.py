@@ -91,10 +91,28 @@ def year_to_date(df: DataFrame, keys: list[str], date: str, measures: dict[str,
     return running_sum(df.withColumn("__reset", reset), [*keys, "__reset"], [date], measures).drop("__reset")
 
 
-def previous(df: DataFrame, keys: list[str], order: list[str | Column], column: str, name: str) -> DataFrame:
-    """The value of the row before, null on the first."""
-    w = Window.partitionBy(*keys).orderBy(*[as_col(o) for o in order])
-    return df.withColumn(name, F.lag(column).over(w))
+def previous(df: DataFrame, keys: list[str], order: list[str], column: str, name: str,
+             block: str | None = None) -> DataFrame:
+    """The value of the row before, null on the first.
+
+    With ``block``, a column that never falls along the order (such as its leading date),
+    only rows of one block are ordered together; a block's first row takes the last value of
+    the block before, which a map-side combined maximum finds.
+    """
+    if block is None:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumn(name, F.lag(column).over(w))
+    blocked = df.withColumn("__block", F.col(block))
+    lasts = blocked.groupBy(*keys, "__block").agg(F.max(F.struct(*order, F.col(column).alias("__last"))).alias("__row"))
+    across = Window.partitionBy(*keys).orderBy("__block")
+    carried = lasts.select(
+        *[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__block").alias("__k_block"),
+        F.lag("__row.__last").over(across).alias("__carried"))
+    condition = null_safe([blocked[k] for k in keys] + [blocked["__block"]],
+                          [carried[f"__k_{k}"] for k in keys] + [carried["__k_block"]])
+    w = Window.partitionBy(*keys, "__block").orderBy(*order)
+    value = F.when(F.row_number().over(w) == 1, F.col("__carried")).otherwise(F.lag(column).over(w))
+    return blocked.join(carried, condition, "inner").select(*[blocked[c] for c in df.columns], value.alias(name))
 
 
 def with_group_size(df: DataFrame, keys: list[str], name: str) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import DEFAULT_MEMBER
@@ -67,12 +65,12 @@ def lift_to_levels(targets: DataFrame, territory: DataFrame, scope: list[str], l
     unfolded to (level, unit) rows first.
     """
     column = {l: l.lower().replace(" ", "_") for l in levels}
-    unfolded = reduce(DataFrame.unionByName, [
-        territory.select(
-            *scope, F.lit(l).alias("__level"), F.col(column[l]).alias("__unit"),
-            *[(F.col(column[u]) if i > at else F.lit(None).cast("string")).alias(f"__{column[u]}")
-              for i, u in enumerate(levels)]).distinct()
+    none = F.lit(None).cast("string")
+    rows = F.array(*[
+        F.struct(F.lit(l).alias("__level"), F.col(column[l]).cast("string").alias("__unit"),
+                 *[(F.col(column[u]) if i > at else none).alias(f"__{column[u]}") for i, u in enumerate(levels)])
         for at, l in enumerate(levels)])
+    unfolded = territory.select(*scope, F.inline(rows)).distinct()
     own = F.upper(F.col(level))
     out = lookup(targets.withColumn("__lvl", own), unfolded, [*scope, ("__lvl", "__level"), (unit, "__unit")],
                  [(f"__{column[l]}", f"__t_{column[l]}") for l in levels])

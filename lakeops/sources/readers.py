@@ -44,8 +44,7 @@ def name_date(name: Column, pattern: str = r"(\d{8,14})") -> Column:
 
 def with_file_provenance(df: DataFrame, pattern: str = r"(\d{8,14})") -> DataFrame:
     """Add FILE_NAME (last path segment) and FILE_DATE (from the digits in it)."""
-    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
-    return df.withColumn("FILE_NAME", name).withColumn("FILE_DATE", name_date(F.col("FILE_NAME"), pattern))
+    return df.withColumn("FILE_NAME", F.col("_metadata.file_name")).withColumn("FILE_DATE", name_date(F.col("FILE_NAME"), pattern))
 
 
 def files_in_window(

@@ -440,7 +440,8 @@ def running_total(t: Tables) -> DataFrame:
 @query(f"""WITH {SALES_ORDERS} SELECT o_orderkey, lag(total) OVER (PARTITION BY o_custkey ORDER BY order_date, o_orderkey)::DOUBLE
 AS previous_total FROM sales_orders""")
 def previous_value(t: Tables) -> DataFrame:
-    return windows.previous(t.sales_orders, ["o_custkey"], ["order_date", "o_orderkey"], "total", "previous_total").select(
+    return windows.previous(t.sales_orders, ["o_custkey"], ["order_date", "o_orderkey"], "total", "previous_total",
+                            block="order_date").select(
         "o_orderkey", "previous_total")
 
 
