@@ -36,7 +36,6 @@ def use_checkpoints(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder every executor can read")
         folder = tempfile.mkdtemp(prefix="lakeops-checkpoints-")
-        spark.conf.set(CHECKPOINT_SETTING, folder)
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 

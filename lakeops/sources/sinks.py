@@ -5,9 +5,10 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import KEY_UNKNOWN
+from ..session import use_checkpoints
 
 
 def write_snapshot(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -20,11 +21,15 @@ def write_lake(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "pa
     (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
 
 
-def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Write an intermediate result to the caller's shared folder and read it back.
+def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Cut the lineage of an intermediate result that several steps read.
 
-    The written files survive a lost executor, unlike cached blocks.
+    Written to the given shared path, or checkpointed in the session's checkpoint folder. Both
+    survive a lost executor, which cached blocks do not.
     """
+    if path is None:
+        use_checkpoints(df.sparkSession)
+        return df.checkpoint()
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)
 
