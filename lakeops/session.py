@@ -17,6 +17,10 @@ SCALE_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+EXPANSION = 4
+REDUCE_BYTES = 128 * 1024 * 1024
+MOST_PARTITIONS = 100_000
+
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
@@ -26,6 +30,21 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, folder: str) -> int:
+    """Start shuffles with enough partitions for the input.
+
+    Decoded columns take a few times their file size, and a reduce task should hold about
+    128 MB of them. AQE merges what turns out small; the session's own setting is the least.
+    """
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    wanted = files.getContentSummary(path).getLength() * EXPANSION // REDUCE_BYTES
+    partitions = max(least, min(int(wanted), MOST_PARTITIONS))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+    return partitions
+
+
 def use_checkpoints(spark: SparkSession) -> str:
     """Point the session's checkpoints at the cluster's shared folder.
 

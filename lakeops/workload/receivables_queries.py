@@ -78,7 +78,9 @@ _SUMS = ", ".join(
 coalesce(sum(balance) FILTER (age < 0 OR age > 720), 0)::DOUBLE AS grtr_than_720_days, DATE '{AS_OF}' AS snapshot_date
 FROM settled WHERE balance > 0 GROUP BY 1, 2""")
 def ageing_snapshot(t: Tables) -> DataFrame:
-    return r.ageing_snapshot(balances(t), ["customer", "line"], AS_OF, defaults={"line": "OTHERS"})
+    # Claims only lower a balance, so it fits the type of its order's total.
+    narrow = balances(t).withColumn("balance", F.col("balance").cast("decimal(8,2)"))
+    return r.ageing_snapshot(narrow, ["customer", "line"], AS_OF, defaults={"line": "OTHERS"})
 
 
 @query(f"""SELECT o_orderkey, CASE WHEN age < 0 THEN 'not_due' WHEN age <= 15 THEN '0_to_15_days'
