@@ -55,10 +55,6 @@ def month_week(d: str | Column) -> Column:
     return F.least(F.ceil(F.dayofmonth(as_col(d)) / 7), F.lit(4)).cast("int")
 
 
-def month_start(d: str | Column) -> Column:
-    return F.trunc(as_col(d), "MM")
-
-
 def days_in_month(d: str | Column) -> Column:
     return F.dayofmonth(F.last_day(as_col(d)))
 

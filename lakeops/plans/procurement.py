@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import as_col, first_match, is_blank, strip_zeros
-from ..operators.joins import anti, lookup, period_key
+from ..operators.joins import anti, lookup, period_key, semi
 from ..operators.reshape import conditional_sums, quarter_budgets
 
 # Movement codes of goods receipts and their reversals, status flags.
@@ -141,6 +141,13 @@ def change_counts(headers: DataFrame, items: DataFrame, table: str, block_field:
     })
 
 
+def member_changes(headers: DataFrame, items: DataFrame, members: DataFrame) -> DataFrame:
+    """Members changed per day: distinct (object, day) of known members."""
+    keys = ["class", "object", "change_no"]
+    changed = semi(headers.select(*keys, "date"), items, keys).select("object", "date").distinct()
+    return semi(changed, members, ["object"]).groupBy("date").agg(F.count(F.lit(1)).alias("changes"))
+
+
 def field_changes(changes: DataFrame, key: str, start: int, length: int, fields: dict[str, tuple[str, ...]]) -> DataFrame:
     """Counts of field changes per document (a slice of the change key) and day."""
     out = changes.withColumn("document", F.substring(as_col(key), start, length))

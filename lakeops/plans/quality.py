@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.columns import first_match, is_blank, ratio, signed
 from ..operators.joins import lookup
 from ..operators.reshape import concat_rows, paired_unpivot, pivot_sums, unpivot
-from .stock import to_unit
+from .stock import by_plant_unit, to_unit
 
 # Texts shown for tests without a result or a value; the first letters of
 # locations that hold good stock.
@@ -107,3 +107,49 @@ def rejection_share(stock: DataFrame, keys: list[str], location: str, quantity:
         F.sum(F.when(is_good, F.lit(0)).otherwise(F.col(quantity))).alias("defective_stock"))
     share = ratio("defective_stock", F.col("good_stock") + F.col("defective_stock"))
     return out.withColumn("rejection_share", share).withColumn("rejection_percent", share * 100)
+
+
+def vendor_rating(lots: DataFrame, decisions: DataFrame, results: DataFrame, characteristics: DataFrame) -> DataFrame:
+    """Decided lots with their score and the first rejected characteristic's text and mean.
+
+    lots: lot, vendor ...; decisions: lot, score; results: lot, characteristic, mean (rejected
+    ones only); characteristics: lot, characteristic, text.
+    """
+    first = results.groupBy("lot").agg(F.min(F.struct("characteristic", "mean")).alias("__r")).select(
+        "lot", "__r.characteristic", F.col("__r.mean").alias("mean_value"))
+    remarks = lookup(first, characteristics, ["lot", "characteristic"], [("text", "remark")])
+    return lookup(lots.join(decisions, "lot", "inner"), remarks, ["lot"], ["remark", "mean_value"])
+
+
+def loading_breakages(lots: DataFrame, notices: DataFrame, defects: DataFrame, materials: DataFrame,
+                      volume_plants: DataFrame) -> DataFrame:
+    """Breakages per lot and defect, in pieces and in tonnes or, for some plants, cubic metres.
+
+    lots: lot, plant, material ...; notices: lot, notice; defects: notice, group, code, pieces;
+    materials: material, gross_kg, litres. A lot without notice or defect is kept.
+    """
+    out = lookup(lots, notices, ["lot"], ["notice"])
+    out = lookup(out, defects, ["notice"], ["group", "code", "pieces"])
+    out = lookup(out, materials, ["material"], ["gross_kg", "litres"])
+    out = out.withColumns({
+        "__t": F.col("pieces") * F.col("gross_kg") / 1000, "__m3": F.col("pieces") * F.col("litres") / 1000})
+    return by_plant_unit(out, volume_plants, "__t", "__m3", "breakage").drop("__t", "__m3", "gross_kg", "litres")
+
+
+def plant_rejections(movements: DataFrame, locations: dict[str, str], plus: str = "531", minus: str = "532",
+                     weight: str = "tonnes") -> DataFrame:
+    """Rejected weight by kind: ``locations`` maps the measure to its storage location.
+
+    Only movements at these locations stay; the reversal counts negative.
+    """
+    at = F.col("location")
+    signed_weight = signed(weight, "move_type", minus)
+    rows = movements.where(at.isin(*locations.values()) & F.col("move_type").isin(plus, minus))
+    return rows.withColumns({name: F.when(at == place, signed_weight) for name, place in locations.items()})
+
+
+def visit_tracker(complaints: DataFrame, key: str, order: list[str], firsts: list[str], sums: list[str]) -> DataFrame:
+    """One row per complaint: first values by a declared order, summed quantities."""
+    rank = F.struct(*order)
+    return complaints.groupBy(key).agg(
+        *[F.min_by(c, rank).alias(c) for c in firsts], *[F.sum(c).alias(c) for c in sums])

@@ -37,9 +37,9 @@ def to_unit(df: DataFrame, factors: DataFrame, quantity: str, name: str, on=("ma
 
 def by_plant_unit(df: DataFrame, volume_plants: DataFrame, weight: str, volume: str, name: str) -> DataFrame:
     """Per-plant choice of the reporting unit: cubic metres in some plants, tonnes in the others."""
-    marks = volume_plants.select("plant").distinct().withColumn("__m3", F.lit(True))
-    out = lookup(df, marks, ["plant"], ["__m3"])
-    return out.withColumn(name, F.when(F.col("__m3"), F.col(volume)).otherwise(F.col(weight))).drop("__m3")
+    marks = volume_plants.select("plant").distinct().withColumn("__by_volume", F.lit(True))
+    out = lookup(df, marks, ["plant"], ["__by_volume"])
+    return out.withColumn(name, F.when(F.col("__by_volume"), F.col(volume)).otherwise(F.col(weight))).drop("__by_volume")
 
 
 def plant_kind(plant: Column, plant_prefix: tuple[str, ...], depot_prefix: tuple[str, ...], organised: Column,
@@ -100,17 +100,22 @@ def valuate(stock: DataFrame, valuations: DataFrame, quantities: dict[str, str])
 
 
 def movement_loss(movements: DataFrame, rules: dict[str, list[tuple[Column, int]]],
-                  quantity: str = "weight_mt") -> DataFrame:
-    """Signed measures by movement rule: ``rules`` maps a measure to (condition, sign) pairs."""
-    return movements.withColumns({
-        name: first_match([(cond, F.col(quantity) * sign) for cond, sign in pairs])
-        for name, pairs in rules.items()})
+                  quantity: str = "weight_mt", zero_where: dict[str, Column] | None = None) -> DataFrame:
+    """Signed measures by movement rule: ``rules`` maps a measure to (condition, sign) pairs.
+
+    ``zero_where`` sets a measure to 0 for rows it must not count, such as scrap material.
+    """
+    zero_where = zero_where or {}
+    out = {}
+    for name, pairs in rules.items():
+        first = [(zero_where[name], F.lit(0).cast(movements.schema[quantity].dataType))] if name in zero_where else []
+        out[name] = first_match(first + [(cond, F.col(quantity) * sign) for cond, sign in pairs])
+    return movements.withColumns(out)
 
 
-def net_movements(movements: DataFrame, keys: list[str], quantity: str, code: str, negative: tuple[str, ...],
-                  name: str) -> DataFrame:
-    """Receipts netted by movement code."""
-    return movements.groupBy(*keys).agg(F.sum(signed(quantity, code, *negative)).alias(name))
+def supplying_plant(is_plant: Column, location: Column, plants: dict[str, tuple[str, ...]]) -> Column:
+    """The plant a depot's location belongs to; null for plants and other locations."""
+    return first_match([((is_plant == 0) & location.isin(*places), plant) for plant, places in plants.items()])
 
 
 def material_deficit(plan_sheet: DataFrame, need_sheet: DataFrame, groups: DataFrame, stock: DataFrame,

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import DEFAULT_MEMBER
 from ..operators.joins import lookup
-from ..operators.keys import append_members
 from ..operators.windows import all_latest
 
 # The calendar column that tells the days of one target period apart, per grain.
@@ -91,7 +90,3 @@ def spread_over_geography(rates: DataFrame, territory: DataFrame, scope: list[st
     out = out.drop("__z").distinct()
     out = out.withColumns({c: F.lit(DEFAULT_MEMBER) for c in finer})
     return out.fillna(DEFAULT_MEMBER, subset=["state", "country", zone])
-
-
-def new_territory_members(territory: DataFrame, facts: DataFrame, columns: list[str]) -> DataFrame:
-    return append_members(territory, facts, columns)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.columns import clean_label
+from ..functions.columns import UNIT_KEEP, clean_label
 from ..functions.dates import FISCAL_MONTHS, fiscal_year
 from ..operators import reshape
 from ..operators.calendar import calendar, days_of, repeat_daily
@@ -14,7 +14,6 @@ from ..plans import finance as f, targets as tg
 from .core import ITEMS, LINES, SALES_ORDERS, Tables, near, query, rounded
 
 FY = lambda d: f"(year({d}) - CASE WHEN month({d}) < 4 THEN 1 ELSE 0 END)"
-WEEK = lambda d: f"floor((dayofyear({d}) + 6 - dayofweek({d})) / 7.0)::INTEGER"
 FM = lambda d: f"((month({d}) + 8) % 12 + 1)"
 DAYS = """bounds AS (SELECT make_date(year(min(d)) - CASE WHEN month(min(d)) < 4 THEN 1 ELSE 0 END, 4, 1) AS a,
   make_date(year(max(d)) - CASE WHEN month(max(d)) < 4 THEN 1 ELSE 0 END + 1, 4, 1) - 1 AS b FROM (SELECT o_orderdate::DATE AS d FROM orders)),
@@ -206,7 +205,7 @@ max(CASE WHEN label LIKE 'sales%' THEN o_totalprice END) AS "SALES_MT_KG" FROM l
 def kpi_labels_to_columns(t: Tables) -> DataFrame:
     p = F.substring("o_orderpriority", 1, 1)
     label = F.when(p == "1", "Labour  Cost (INR/MT)").when(p == "2", "Power & Fuel %").otherwise("sales, MT")
-    name = F.concat_ws("_", clean_label(label), clean_label(F.lit("k(g)")))
+    name = F.concat_ws("_", clean_label(label), clean_label(F.lit("k(g)"), UNIT_KEEP))
     df = t.orders.select((F.col("o_custkey") % 200).alias("plant"), name.alias("label"), "o_totalprice")
     return reshape.pivot_sums(df, ["plant"], "label", ["LABOUR_COST_INRMT_KG", "POWER_FUEL_PERCEN_KG", "SALES_MT_KG"],
                               {"v": F.max("o_totalprice")}, fill=None)

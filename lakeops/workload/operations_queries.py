@@ -336,3 +336,60 @@ FROM moved JOIN part ON p_partkey = l_partkey GROUP BY 1""")
 def signed_rejections(t: Tables) -> DataFrame:
     rows = moved(t).withColumns({"plant": F.col("l_suppkey"), "material": F.col("l_partkey")})
     return rounded(q.signed_rejections(rows, factors(t), ["plant"], ("102", "122")), ["tonnes"])
+
+
+@query("""WITH r AS (SELECT l_orderkey AS lot, l_linenumber AS ch, min(l_quantity) AS mean FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) = 1),
+x AS (SELECT l_orderkey AS lot, l_linenumber AS ch, max(l_linestatus) AS text FROM lineitem WHERE l_linenumber > 2 GROUP BY 1, 2)
+SELECT o_orderkey AS lot, o_custkey AS vendor, o_totalprice AS score, x.text AS remark, r.mean AS mean_value FROM orders
+LEFT JOIN r ON r.lot = o_orderkey LEFT JOIN x ON x.lot = r.lot AND x.ch = r.ch WHERE o_orderstatus <> 'P'""")
+def vendor_rating(t: Tables) -> DataFrame:
+    lot, ch = F.col("l_orderkey").alias("lot"), F.col("l_linenumber").alias("characteristic")
+    lots = t.orders.select(F.col("o_orderkey").alias("lot"), F.col("o_custkey").alias("vendor"))
+    decisions = t.orders.where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("lot"), F.col("o_totalprice").alias("score"))
+    results = t.lineitem.where("l_returnflag = 'R'").select(lot, ch, F.col("l_quantity").alias("mean"))
+    texts = t.lineitem.where("l_linenumber > 2").groupBy(lot, ch).agg(F.max("l_linestatus").alias("text"))
+    return q.vendor_rating(lots, decisions, results, texts)
+
+
+@query("""WITH d AS (SELECT l_orderkey AS notice, l_returnflag AS grp, l_linestatus AS code, sum(l_quantity)::BIGINT AS pieces FROM lineitem GROUP BY 1, 2, 3)
+SELECT o_orderkey AS lot, o_custkey % 50 AS plant, o_orderkey % 200 AS material, n.o AS notice, grp AS "group", code, pieces,
+CASE WHEN o_custkey % 50 < 10 THEN pieces * (p_retailprice / 8) / 1000 ELSE pieces * p_size::DOUBLE / 1000 END AS breakage
+FROM orders LEFT JOIN (SELECT o_orderkey AS o FROM orders WHERE o_orderkey % 3 <> 0) n ON n.o = o_orderkey LEFT JOIN d ON d.notice = n.o
+LEFT JOIN part ON p_partkey = o_orderkey % 200""")
+def loading_breakages(t: Tables) -> DataFrame:
+    c = F.col
+    lots = t.orders.select(c("o_orderkey").alias("lot"), (c("o_custkey") % 50).alias("plant"), (c("o_orderkey") % 200).alias("material"))
+    notices = t.orders.where("o_orderkey % 3 <> 0").select(c("o_orderkey").alias("lot"), c("o_orderkey").alias("notice"))
+    defects = t.lineitem.groupBy(c("l_orderkey").alias("notice"), c("l_returnflag").alias("group"), c("l_linestatus").alias("code")).agg(
+        F.sum("l_quantity").cast("long").alias("pieces"))
+    materials = t.part.select(c("p_partkey").alias("material"), c("p_size").cast("double").alias("gross_kg"), (c("p_retailprice") / 8).alias("litres"))
+    volume = t.customer.select((c("c_custkey") % 50).alias("plant")).where("plant < 10")
+    return q.loading_breakages(lots, notices, defects, materials, volume)
+
+
+@query(f"""WITH {LINES}, m AS (SELECT *, {CODE_SQL} AS code FROM lines WHERE l_linenumber IN (1, 2))
+SELECT l_suppkey AS plant, sum(CASE WHEN l_linenumber = 1 THEN CASE code WHEN '102' THEN -quantity ELSE quantity END END)::DOUBLE AS usable,
+sum(CASE WHEN l_linenumber = 2 THEN CASE code WHEN '102' THEN -quantity ELSE quantity END END)::DOUBLE AS unusable
+FROM m WHERE code IN ('101', '102') GROUP BY 1""")
+def plant_rejections(t: Tables) -> DataFrame:
+    rows = moved(t).select(F.col("l_suppkey").alias("plant"), "move_type", F.col("l_linenumber").cast("string").alias("location"),
+                           F.col("quantity").alias("tonnes"))
+    out = q.plant_rejections(rows, {"usable": "1", "unusable": "2"}, "101", "102")
+    return out.groupBy("plant").agg(F.sum("usable").alias("usable"), F.sum("unusable").alias("unusable"))
+
+
+@query("""SELECT user_id, arg_min(event_type, (ts, event_id)) AS event_type, arg_min(props, (ts, event_id)) AS props,
+sum(value::DECIMAL(18,2))::DOUBLE AS value FROM events GROUP BY 1""")
+def visit_tracker(t: Tables) -> DataFrame:
+    typed = t.events.withColumn("value", F.col("value").cast("decimal(18,2)"))
+    return q.visit_tracker(typed, "user_id", ["ts", "event_id"], ["event_type", "props"], ["value"])
+
+
+@query("""SELECT ts::DATE AS date, count(DISTINCT user_id) AS changes FROM events WHERE event_type <> 'view'
+AND user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) GROUP BY 1""")
+def member_changes(t: Tables) -> DataFrame:
+    parts = [F.lit("DEBI").alias("class"), F.col("user_id").alias("object"), F.col("event_id").alias("change_no")]
+    headers = t.events.select(*parts, F.col("ts").cast("date").alias("date"))
+    members = t.customer.where("c_acctbal > 0").select(F.col("c_custkey").alias("object"))
+    return p.member_changes(headers, t.events.where("event_type <> 'view'").select(*parts), members)

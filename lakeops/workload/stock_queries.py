@@ -104,12 +104,13 @@ def moves(t: Tables) -> DataFrame:
 
 
 @query(f"""WITH {MOVES} SELECT plant, material, sum(CASE WHEN code IN ('Z61', 'Z64') THEN w WHEN code IN ('Z62', 'Z63') THEN -w END)::DOUBLE AS depot_loss,
-sum(CASE WHEN location = '0081' AND code IN ('262', '531') THEN CASE WHEN plant % 5 = 0 THEN w ELSE -w END
+sum(CASE WHEN material % 9 = 0 THEN 0 WHEN location = '0081' AND code IN ('262', '531') THEN CASE WHEN plant % 5 = 0 THEN w ELSE -w END
   WHEN location = '0081' AND code IN ('261', '532') THEN CASE WHEN plant % 5 = 0 THEN -w ELSE w END END)::DOUBLE AS plant_loss,
 sum(CASE WHEN is_plant = 0 AND code = 'Z61' THEN w WHEN is_plant = 0 AND code = 'Z62' THEN -w
   WHEN is_plant = 1 AND plant % 5 <> 0 AND code = '261' THEN w END)::DOUBLE AS sent,
 sum(CASE WHEN is_plant = 0 AND code = 'Z63' THEN w WHEN is_plant = 1 AND code = '531' THEN w END)::DOUBLE AS received,
-sum(CASE WHEN code = '655' THEN w END)::DOUBLE AS market_loss FROM moves JOIN plants USING (plant) GROUP BY 1, 2""")
+sum(CASE WHEN code = '655' THEN w END)::DOUBLE AS market_loss,
+max(CASE WHEN is_plant = 0 AND location = '0081' THEN '2001' WHEN is_plant = 0 AND location = '0070' THEN '2003' END) AS supplying FROM moves JOIN plants USING (plant) GROUP BY 1, 2""")
 def movement_net_loss(t: Tables) -> DataFrame:
     c = F.col
     volume = c("plant") % 5 == 0
@@ -125,8 +126,11 @@ def movement_net_loss(t: Tables) -> DataFrame:
         "received": [(depot & code("Z63"), 1), (depot & code("Z64"), -1), (plant & code("531"), 1), (plant & code("532"), -1)],
         "market_loss": [(code("655"), 1), (code("656"), -1)],
     }
-    out = s.movement_loss(lookup(moves(t), plant_marks(t), ["plant"], ["is_plant"], how="inner"), rules)
-    return out.groupBy("plant", "material").agg(*[F.sum(m).alias(m) for m in rules])
+    out = s.movement_loss(lookup(moves(t), plant_marks(t), ["plant"], ["is_plant"], how="inner"), rules,
+                          zero_where={"plant_loss": c("material") % 9 == 0})
+    supplying = s.supplying_plant(c("is_plant"), c("location"), {"2001": ("0081",), "2003": ("0070",)})
+    return out.withColumn("supplying", supplying).groupBy("plant", "material").agg(
+        *[F.sum(m).alias(m) for m in rules], F.max("supplying").alias("supplying"))
 
 
 @query(f"""WITH {ITEMS}, {FACTORS}, {RATES}
