@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, functions as F
 
 from .columns import as_col
@@ -85,3 +87,8 @@ def sheet_date(fy: str | Column, month: Column, year_is: str = "end") -> Column:
 
 def month_distance(later: Column, earlier: Column) -> Column:
     return (F.year(later) - F.year(earlier)) * 12 + F.month(later) - F.month(earlier)
+
+
+def previous_month_end(day: str) -> str:
+    """The ``as_of`` under which a period is restated at its closing."""
+    return (datetime.date.fromisoformat(day).replace(day=1) - datetime.timedelta(days=1)).isoformat()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.dates import previous_month_end
 from ..operators.joins import anti, lookup
 from ..plans import receivables as r
 from .core import SALES_ORDERS, Tables, query
@@ -53,9 +54,9 @@ def all_items(t: Tables) -> DataFrame:
         F.when(c("o_orderstatus") == "F", F.date_add("order_date", 90)).alias("clear_date"))
 
 
-def balances(t: Tables) -> DataFrame:
+def balances(t: Tables, as_of: str = AS_OF) -> DataFrame:
     plants = t.customer.where("c_nationkey = 0").select(F.col("c_custkey").alias("customer"))
-    items = anti(r.signed_items(r.open_at(all_items(t), AS_OF), AS_OF), plants, ["customer"])
+    items = anti(r.signed_items(r.open_at(all_items(t), as_of), as_of), plants, ["customer"])
     items = r.drop_zero_documents(items, ["customer", "doc"])
     claims = t.customer.where("c_acctbal < 0").select(
         F.col("c_custkey").alias("customer"), (-F.col("c_acctbal").cast("decimal(13,2)")).alias("amount"))
@@ -68,6 +69,14 @@ def fifo_settlement(t: Tables) -> DataFrame:
     return balances(t).select("customer", "doc", "item", "age", "amount", "credit_sum", "balance")
 
 
+@query(f"""WITH {ITEMS_SQL.replace(AS_OF, '2000-05-31')} SELECT customer, sum(amount)::DOUBLE AS amount, sum(balance)::DOUBLE AS balance
+FROM settled GROUP BY 1""")
+def restated_settlement(t: Tables) -> DataFrame:
+    """The same settlement as of the end of the month before."""
+    settled = balances(t, previous_month_end(AS_OF))
+    return settled.groupBy("customer").agg(F.sum("amount").alias("amount"), F.sum("balance").alias("balance"))
+
+
 _BOUNDS = [(0 if i == 0 else 15 * i + 1, 15 * (i + 1)) for i in range(24)] + [
     (360 + 30 * i + 1, 360 + 30 * (i + 1)) for i in range(12)]
 _SUMS = ", ".join(

@@ -361,7 +361,7 @@ def ordered_concatenation(t: Tables) -> DataFrame:
 
 @query(f"""WITH {SALES_ORDERS} SELECT o_custkey, {', '.join(
     f"sum(CASE WHEN o_orderpriority LIKE '{p}-%' THEN total ELSE 0 END)::DOUBLE AS p{p}" for p in range(1, 6))},
-0::BIGINT AS p6 FROM sales_orders GROUP BY 1""")
+0::DOUBLE AS p6 FROM sales_orders GROUP BY 1""")
 def pivot_declared_values(t: Tables) -> DataFrame:
     """A label no row carries still gets its column."""
     df = t.sales_orders.withColumn("p", F.concat(F.lit("p"), F.substring("o_orderpriority", 1, 1)))

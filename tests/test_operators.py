@@ -308,3 +308,8 @@ def test_monthly_values_repeat_per_day(spark):
     monthly = spark.createDataFrame([("a", day("2020-02-01"), 7)], "k string, m date, v int")
     got = calendar.repeat_daily(monthly, "m", calendar.fixed_days(spark, "2020-01-15", "2020-03-15"))
     assert got.count() == 29 and got.agg(F.sum("v")).first()[0] == 7 * 29
+
+
+@pytest.mark.parametrize("today,closing", [("2024-03-15", "2024-02-29"), ("2024-01-01", "2023-12-31")])
+def test_closing_day(today, closing):
+    assert d.previous_month_end(today) == closing
