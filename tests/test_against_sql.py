@@ -4,9 +4,10 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as entry
+from lakeops.workload import ORACLE, QUERIES as NAMES
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES = {name: run for name, run in entry.queries().items() if name in NAMES}
 
 
 @pytest.fixture(scope="module")
