@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, sentencepieces, simhash
+from . import packing, quality_rules, sentencepieces, sharding, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,13 @@ def op4_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encoded_digests(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
+@query
+def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_quality_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.verdicts(table(spark, sf_dir, "documents"))
