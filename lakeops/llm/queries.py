@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality_rules, sentencepieces, sharding, simhash
+from . import decontamination, packing, quality_rules, sentencepieces, sharding, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,8 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_quality_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
