@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontamination, packing, quality_rules, sentencepieces, sharding, simhash
+from . import chat_format, decontamination, html_extraction, packing, quality_rules, sentencepieces, sharding, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,8 @@ def op5_formatted_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(-7, 0, "user", control), (-7, 1, "assistant", control)], "conv_id bigint, turn bigint, role string, text string")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
     return chat_format.read_back_digests(chat_format.format_conversations(turns))
+
+
+@query
+def op7_main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(table(spark, sf_dir, "pages"))
