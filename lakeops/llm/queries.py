@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontamination, html_extraction, packing, quality_rules, sentencepieces, sharding, simhash
+from . import (
+    chat_format, decontamination, html_extraction, packing, quality_rules, secret_scan, sentencepieces, sharding, simhash)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +67,8 @@ def op5_formatted_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
