@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -31,18 +32,28 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """The rows written to the shared checkpoint folder, with the lineage cut.
-
-    The folder is the one the session names; only a session that names none (a test) gets its own.
-    """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: the session's own; only one that names none (a test) gets its own."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
         folder = spark.conf.get(CHECKPOINT_SETTING, None) or tempfile.mkdtemp(prefix="lakeops-checkpoints-")
-        spark.sparkContext.setCheckpointDir(folder)
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The rows written to the shared checkpoint folder, with the lineage cut."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a Parquet table in the shared folder, read again."""
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def keyed_texts(df: DataFrame, key: str, text: str) -> DataFrame:
     """The two columns an operator reads, under fixed names."""
     return df.select(df[key].cast("bigint").alias("doc_id"), df[text].alias("text"))

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    chat_format, decontamination, html_extraction, packing, quality_rules, secret_scan, sentencepieces, sharding, simhash)
+    chat_format, decontamination, html_extraction, packing, pii, quality_rules, secret_scan, sentencepieces, sharding,
+    simhash)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +73,8 @@ def op7_main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
