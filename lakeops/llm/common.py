@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -54,6 +54,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """A column name the frame does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
+def without(docs: DataFrame, marked: DataFrame, bad: DataFrame, doc_id: str, key: str) -> DataFrame:
+    """``docs`` without the rows whose id and text key are in ``bad``; ``marked`` is ``docs`` with the key."""
+    gone = bad.select(F.col("doc_id").alias("gone_id"), F.col(key).alias("gone_key")).distinct()
+    same = marked[doc_id].cast("bigint").eqNullSafe(gone["gone_id"]) & (marked[key] == gone["gone_key"])
+    return marked.join(gone, same, "left_anti").select(*[marked[c] for c in docs.columns])
+
+
 def keyed_texts(df: DataFrame, key: str, text: str) -> DataFrame:
     """The two columns an operator reads, under fixed names."""
     return df.select(df[key].cast("bigint").alias("doc_id"), df[text].alias("text"))

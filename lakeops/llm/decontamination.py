@@ -22,9 +22,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from .common import as_batch, keyed_texts, ship, texts_of
+from .common import as_batch, keyed_texts, ship, spare, texts_of, without
 
 K1 = 1.2
 B = 0.75
@@ -261,9 +261,7 @@ def _searched(read: DataFrame, items: list[tuple[int, str]], threshold: float, o
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents in which no test item is found, told apart by id and text."""
-    from pyspark.sql import functions as F
-
-    marked = docs.withColumn("_text", F.xxhash64(docs[text]))
-    bad = leaks(marked, benchmark, doc_id=doc_id, text=text, carry=("_text",), **options).select(
-        F.col("doc_id").alias("_bad"), F.col("_text").alias("_bad_text")).distinct()
-    return marked.join(bad, marked[doc_id].eqNullSafe(bad["_bad"]) & (marked["_text"] == bad["_bad_text"]), "left_anti").drop("_text")
+    key = spare(docs, "text_key")
+    marked = docs.withColumn(key, F.xxhash64(docs[text]))
+    found = leaks(marked, benchmark, doc_id=doc_id, text=text, carry=(key,), **options)
+    return without(docs, marked, found, doc_id, key)

@@ -17,7 +17,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import settled
+from .common import settled, spare, without
 
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -210,7 +210,6 @@ def verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
 
 def keep_good(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that ``verdicts`` keeps, told apart by id and text."""
-    marked = docs.withColumn("_text", F.xxhash64(docs[text]))
-    bad = verdicts(marked, doc_id, text, carry=("_text",), **options).where("not kept").select(
-        F.col("doc_id").alias("_bad"), F.col("_text").alias("_bad_text")).distinct()
-    return marked.join(bad, marked[doc_id].eqNullSafe(bad["_bad"]) & (marked["_text"] == bad["_bad_text"]), "left_anti").drop("_text")
+    key = spare(docs, "text_key")
+    marked = docs.withColumn(key, F.xxhash64(docs[text]))
+    return without(docs, marked, verdicts(marked, doc_id, text, carry=(key,), **options).where("not kept"), doc_id, key)

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import as_batch, settled, ship, texts_of
+from .common import as_batch, settled, ship, spare, texts_of, without
 from .components import components
 
 SHINGLE_WORDS = 3
@@ -238,15 +238,13 @@ def one_of_each(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int
     component.
     """
     nameless = F.xxhash64(F.coalesce(docs[text], F.lit(""))).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
-    marked = docs.withColumns({
-        "_id": F.coalesce(docs[doc_id].cast("bigint"), nameless), "_text": F.xxhash64(docs[text])})
-    found = near_duplicates(marked, shingle_words, radius, "_id", text, ("_text",))
-    gone = found.where("component_id != doc_id").select(
-        F.col("doc_id").alias("_gone"), F.col("_text").alias("_gone_text")).distinct()
-    left = marked.join(gone, (marked["_id"] == gone["_gone"]) & (marked["_text"] == gone["_gone_text"]), "left_anti")
-    kept = found.where("component_id = doc_id").groupBy("doc_id").agg(
-        F.count("*").alias("_rows"), F.min("_text").alias("_first")).where("_rows > 1").select(
-        F.col("doc_id").alias("_repeated"), "_first")
-    joined = left.join(kept, left["_id"] == kept["_repeated"], "left")
-    single = joined.where("_repeated is null").select(*docs.columns)
-    return single.unionByName(joined.where("_text = _first").dropDuplicates(["_id"]).select(*docs.columns))
+    own, key = spare(docs, "own_id"), spare(docs, "text_key")
+    marked = docs.withColumns({own: F.coalesce(docs[doc_id].cast("bigint"), nameless), key: F.xxhash64(docs[text])})
+    found = near_duplicates(marked, shingle_words, radius, own, text, (key,))
+    left = without(marked, marked, found.where("component_id != doc_id"), own, key)
+    repeated = found.where("component_id = doc_id").groupBy("doc_id").agg(
+        F.count("*").alias("rows"), F.min(key).alias("first_key")).where("rows > 1")
+    shared = left[own] == repeated["doc_id"]
+    single = left.join(repeated, shared, "left_anti").select(*[left[c] for c in docs.columns])
+    again = left.join(repeated, shared & (left[key] == repeated["first_key"]), "left_semi")
+    return single.unionByName(again.dropDuplicates([own]).select(*[again[c] for c in docs.columns]))
