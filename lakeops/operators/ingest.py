@@ -62,17 +62,8 @@ def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
 
 
 def integral_text(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Text columns in which some value looks like '12.0' lose the fraction in all values.
-
-    One aggregation decides for all columns at once; it is a scalar per column.
-    """
-    flags = df.agg(*[F.max(F.col(c).rlike(r"\.0$")).alias(c) for c in columns])
-    out = {}
-    for c in columns:
-        shown = flags.select(c).scalar()
-        whole = F.col(c).try_cast("double").try_cast("long").cast("string")
-        out[c] = F.when(F.coalesce(shown, F.lit(False)), whole).otherwise(F.col(c))
-    return df.withColumns(out)
+    """Whole numbers that a spreadsheet wrote as '12.0' become '12'; all other text stays as it is."""
+    return df.withColumns({c: F.regexp_replace(c, r"^(-?[0-9]+)\.0$", "$1") for c in columns})
 
 
 def evolve_schema(target: DataFrame, incoming: DataFrame, new_type: str = "decimal(13,2)") -> DataFrame:
@@ -119,8 +110,14 @@ def stamp_load(df: DataFrame, run_time: str, name: str = "LAST_UPDATED_DT_TS") -
     return df.withColumn(name, F.lit(run_time).cast("timestamp_ntz"))
 
 
-def since_watermark(df: DataFrame, column: str, watermark: str | None, inclusive: bool = False) -> DataFrame:
-    """Rows newer than the last load; everything when there was none."""
+def since_watermark(df: DataFrame, column: str, watermark: str | Column | None, inclusive: bool = False) -> DataFrame:
+    """Rows newer than the last load; everything when there was none.
+
+    A column (such as a scalar subquery) may give the mark; where it is null, there was no load.
+    """
+    if isinstance(watermark, Column):
+        mark = watermark.cast(df.schema[column].dataType)
+        return df.where(mark.isNull() | (F.col(column) >= mark if inclusive else F.col(column) > mark))
     if watermark is None or not str(watermark).strip():
         return df
     mark = F.lit(watermark).cast(df.schema[column].dataType)

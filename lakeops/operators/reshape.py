@@ -118,15 +118,17 @@ def split_rows(df: DataFrame, column: str, separator: str, name: str, keep: list
 
 
 def concat_rows(df: DataFrame, keys: list[str], order: str, text: Column, separator: str, name: str,
-                part: Column) -> DataFrame:
-    """Texts of a group in order, joined into one text per part.
+                part: Column | None = None) -> DataFrame:
+    """Texts of a group in order, joined into one text per group.
 
-    ``part`` numbers slices of the order (such as every 1000 rows), so a group of any size
-    becomes bounded texts whose concatenation by part is the whole; a usual group has one.
+    A group's texts meet in one task, as its one text must. A caller with groups beyond a
+    task's memory may ask for several texts instead: ``part`` numbers slices of the order.
     """
-    rows = df.select(*keys, part.alias("part_no"), F.struct(F.col(order).alias("o"), text.alias("t")).alias("__r"))
+    slices = {} if part is None else {"part_no": part}
+    row = F.struct(F.col(order).alias("o"), text.alias("t")).alias("__r")
+    rows = df.select(*keys, *[p.alias(n) for n, p in slices.items()], row)
     texts = F.transform(F.sort_array(F.collect_list("__r")), lambda r: r["t"])
-    return rows.groupBy(*keys, "part_no").agg(F.array_join(texts, separator).alias(name))
+    return rows.groupBy(*keys, *slices).agg(F.array_join(texts, separator).alias(name))
 
 
 def flag_pairs(df: DataFrame, ids: list[str], flag: str, flags: list[str], columns: list[str],

@@ -52,7 +52,8 @@ def production_confirmations(orders: DataFrame, confirmations: DataFrame, operat
         F.sum("__kg").alias("actual_weight"),
         *[F.sum(F.when(F.col("group").isin(*groups), waste_kg).otherwise(F.lit(0))).alias(name)
           for name, groups in waste.items()])
-    centre = operations.groupBy("order").agg(F.max_by("centre", "step").alias("work_centre"))
+    # Of two centres on the last step the greater counts.
+    centre = operations.groupBy("order").agg(F.max(F.struct("step", "centre"))["centre"].alias("work_centre"))
     made = confirmations.groupBy("order").agg(F.sum("made").alias("order_made")).where("order_made <> 0")
     out = confirmations.join(orders, "order", "inner")
     out = lookup(out, made, ["order"], ["order_made"], how="inner")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.columns import first_match, is_blank, ratio, signed
 from ..operators.joins import lookup
 from ..operators.reshape import concat_rows, paired_unpivot, pivot_sums, unpivot
+from ..operators.windows import pick_row
 from .stock import by_plant_unit, to_unit
 
 # Texts shown for tests without a result or a value; the first letters of
@@ -40,7 +41,7 @@ def survey_rows(sheets: dict[str, DataFrame], ids: list[str], tag: str, lookup_t
     return out if lookup_table is None else lookup(out, lookup_table, ["parameter"], ["parameter_group"])
 
 
-def sample_results(samples: DataFrame, tests: DataFrame, key: str, order: str, part: Column) -> DataFrame:
+def sample_results(samples: DataFrame, tests: DataFrame, key: str, order: str) -> DataFrame:
     """One text per sample listing its tests: 'param - value , result' joined by ' : '.
 
     A test without result is in progress, one without value or name is not available.
@@ -49,19 +50,23 @@ def sample_results(samples: DataFrame, tests: DataFrame, key: str, order: str, p
     shown = lambda c, text: F.when(is_blank(c), F.lit(text)).otherwise(F.col(c))
     text = F.concat(F.coalesce(F.col("param"), F.lit(NO_VALUE)), F.lit(" - "),
                     F.coalesce(F.col("value"), F.lit(NO_VALUE)), F.lit(" , "), shown("result", NO_RESULT))
-    return concat_rows(out, samples.columns, order, text, " : ", "test_results", part)
+    return concat_rows(out, samples.columns, order, text, " : ", "test_results")
 
 
-def complaint_life_cycle(complaints: DataFrame, investigations: DataFrame, compensations: DataFrame) -> DataFrame:
+def complaint_life_cycle(complaints: DataFrame, investigations: DataFrame, compensations: DataFrame,
+                         tie: tuple[str, ...] = ()) -> DataFrame:
     """Complaints with the plant, quantities and remark of the latest stage and the days between stages.
 
     complaints: id, date, remark, plant; investigations: id, date, remark, plant, quantity;
-    compensations: same. Drafts are to be left out by the caller; of several documents
-    the earliest counts. Quantities fall back row by row.
+    compensations: same. Drafts are to be left out by the caller; of several documents the
+    earliest counts as a whole, of those of one day the least by ``tie`` and then by their other
+    columns. Quantities fall back row by row.
     """
-    first = lambda df, p: df.groupBy("id").agg(*[
-        F.min_by(c, "date").alias(f"{p}_{c}") for c in ("remark", "plant", "quantity")],
-        F.min("date").alias(f"{p}_date"))
+    stage = ("date", "remark", "plant", "quantity")
+    first = lambda df, p: pick_row(
+        df.select("id", *stage, *[c for c in tie if c not in stage]), ["id"],
+        [F.col("date").isNull(), F.col("date"), *[F.col(c) for c in tie]]).select(
+        "id", *[F.col(c).alias(f"{p}_{c}") for c in stage])
     out = lookup(complaints, first(investigations, "inv"), ["id"],
                  ["inv_date", "inv_remark", "inv_plant", "inv_quantity"])
     out = lookup(out, first(compensations, "cmp"), ["id"],

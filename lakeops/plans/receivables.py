@@ -44,7 +44,7 @@ def signed_items(items: DataFrame, as_of: str) -> DataFrame:
 def drop_zero_documents(items: DataFrame, keys: list[str], amount: str = "amount") -> DataFrame:
     """Without documents whose items cancel out."""
     zero = items.groupBy(*keys).agg(F.sum(amount).alias("__total")).where("__total = 0")
-    return anti(items, zero, keys)
+    return anti(items, zero, keys, null_safe=True)
 
 
 def claim_totals(claims: DataFrame, scale: int = CLAIM_SCALE) -> DataFrame:
@@ -60,7 +60,8 @@ def settle_fifo(items: DataFrame, tie: list[str], claims: DataFrame | None = Non
     carry the running debit from age to age and the customer's whole credit, so the items
     themselves are shuffled once, by customer and age, and a customer with very many items
     is spread over its ages. A debit stays whole without credits, is 0 while the credits
-    last, partial on the row that exhausts them and whole after it.
+    last, partial on the row that exhausts them and whole after it. A null customer is one
+    customer, a null age comes after all others; no debit is lost.
     """
     amount = F.col("amount")
     ages = items.groupBy("customer", "age").agg(
@@ -71,9 +72,9 @@ def settle_fifo(items: DataFrame, tie: list[str], claims: DataFrame | None = Non
         "customer", "age", F.coalesce(F.sum("__debit").over(older), F.lit(0)).alias("__carried"),
         F.sum("__credit").over(customer).alias("credit_sum"))
     if claims is not None:
-        ages = lookup(ages, claims, ["customer"], ["claims"])
+        ages = lookup(ages, claims, ["customer"], ["claims"], null_safe=True)
         ages = ages.withColumn("credit_sum", F.col("credit_sum") + F.coalesce("claims", F.lit(0))).drop("claims")
-    out = lookup(items.where(amount > 0), ages, ["customer", "age"], ["__carried", "credit_sum"], how="inner")
+    out = lookup(items.where(amount > 0), ages, ["customer", "age"], ["__carried", "credit_sum"], null_safe=True, how="inner")
     within = Window.partitionBy("customer", "age").orderBy(*tie).rowsBetween(Window.unboundedPreceding, 0)
     out = out.withColumn("total_due", F.col("__carried") + F.sum("amount").over(within)).drop("__carried")
     out = out.withColumn("paid_amount", F.col("total_due") + F.col("credit_sum"))

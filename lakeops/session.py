@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Joins choose broadcast or shuffle from Catalyst's size estimate and AQE's
 # measured sizes; a hot join key is split by the adaptive skew join, even where
 # the split costs an extra shuffle downstream.
 SCALE_CONF = {
+    # A value that does not fit its type fails the query instead of turning into null.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -17,10 +17,6 @@ SCALE_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
-EXPANSION = 4
-REDUCE_BYTES = 128 * 1024 * 1024
-MOST_PARTITIONS = 100_000
-
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
@@ -30,31 +26,14 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(spark: SparkSession, folder: str) -> int:
-    """Start shuffles with enough partitions for the input.
-
-    Decoded columns take a few times their file size, and a reduce task should hold about
-    128 MB of them. AQE merges what turns out small; the session's own setting is the least.
-    """
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    wanted = files.getContentSummary(path).getLength() * EXPANSION // REDUCE_BYTES
-    partitions = max(least, min(int(wanted), MOST_PARTITIONS))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
-    return partitions
-
-
-def use_checkpoints(spark: SparkSession) -> str:
-    """Point the session's checkpoints at the cluster's shared folder.
+def use_checkpoints(spark: SparkSession, folder: str | None = None) -> str:
+    """Point the session's checkpoints at the folder all executors share.
 
-    Only a session that names no folder (tests, a laptop) falls back to a local one.
+    The session's own setting counts; ``folder`` is for a session that names none, as in tests.
     """
-    folder = spark.conf.get(CHECKPOINT_SETTING, None)
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or folder
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder every executor can read")
-        folder = tempfile.mkdtemp(prefix="lakeops-checkpoints-")
+        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder every executor can read")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 

@@ -21,14 +21,14 @@ def write_lake(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "pa
     (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
 
 
-def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, path: str | None = None, checkpoints: str | None = None) -> DataFrame:
     """Cut the lineage of an intermediate result that several steps read.
 
-    Written to the given shared path, or checkpointed in the session's checkpoint folder. Both
-    survive a lost executor, which cached blocks do not.
+    Written to the given shared path, or checkpointed in the session's checkpoint folder
+    (``checkpoints`` where it names none). Both survive a lost executor, which cached blocks do not.
     """
     if path is None:
-        use_checkpoints(df.sparkSession)
+        use_checkpoints(df.sparkSession, checkpoints)
         return df.checkpoint()
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)

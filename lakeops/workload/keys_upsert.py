@@ -204,8 +204,8 @@ def junk_dimension(t: Tables) -> DataFrame:
 
 @query("""SELECT user_id, count(*) AS n FROM events WHERE ts >= (SELECT max(ts) - INTERVAL 2 DAY FROM events) GROUP BY 1""")
 def increment_from_watermark(t: Tables) -> DataFrame:
-    """The caller reads the stored mark and asks for everything from it on."""
-    mark = t.events.agg((F.max("ts") - F.expr("INTERVAL 2 DAYS")).cast("string").alias("m")).first()["m"]
+    """Everything from the stored mark on; the mark is read by the same query."""
+    mark = t.events.agg((F.max("ts") - F.expr("INTERVAL 2 DAYS")).alias("m")).scalar()
     new = since_watermark(t.events, "ts", mark, inclusive=True)
     return new.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
 

@@ -62,14 +62,14 @@ def open_purchase_orders(t: Tables) -> DataFrame:
 svc AS (SELECT l_orderkey, l_linenumber, quantity AS sq, price AS sv FROM items WHERE l_linenumber <= 3),
 s AS (SELECT po.*, CASE WHEN l_linenumber = 1 THEN 'CAPITAL' WHEN l_linenumber <= 3 THEN 'PLANNED' ELSE 'GOODS' END AS kind, sq, sv, quantity * under_pct / 100 AS tol FROM po LEFT JOIN svc USING (l_orderkey, l_linenumber))
 SELECT l_orderkey AS doc, l_linenumber AS item, sq::DOUBLE AS service_quantity, sv::DOUBLE AS service_value, CASE
-WHEN kind = 'CAPITAL' AND (sq <= dq OR sv <= dv) THEN 'CLOSED' WHEN kind = 'CAPITAL' AND NOT done AND (dq < sq - tol OR dv < sv - tol) THEN 'OPEN'
-WHEN kind = 'PLANNED' AND ((sq <= dq AND dv - iv = 0) OR sv <= dv) THEN 'CLOSED' WHEN kind = 'PLANNED' AND NOT done AND (dq < sq - tol OR dv < sv - tol OR dv - iv <> 0) THEN 'OPEN'
+WHEN kind = 'CAPITAL' AND (sq <= dq OR sv <= dv) THEN 'CLOSED' WHEN kind = 'CAPITAL' AND l_orderkey % 6 = 0 THEN 'SHORT_CLOSED' WHEN kind = 'CAPITAL' AND NOT done AND (dq < sq - tol OR dv < sv - tol) THEN 'OPEN'
+WHEN kind = 'PLANNED' AND ((sq <= dq AND dv - iv = 0) OR sv <= dv) THEN 'CLOSED' WHEN kind = 'PLANNED' AND l_orderkey % 6 = 0 THEN 'SHORT_CLOSED' WHEN kind = 'PLANNED' AND NOT done AND (dq < sq - tol OR dv < sv - tol OR dv - iv <> 0) THEN 'OPEN'
 WHEN NOT done AND short THEN 'OPEN' WHEN done AND short THEN 'SHORT_CLOSED' ELSE 'CLOSED' END AS status FROM s""")
 def service_purchase_orders(t: Tables) -> DataFrame:
     orders, history = order_history(t)
     key = F.col("doc") * 10 + F.col("item")
     kind = F.when(F.col("item") == 1, "CAPITAL").when(F.col("item") <= 3, "PLANNED").otherwise("GOODS")
-    orders = orders.withColumns({"package": key, "po_type": kind, "deleted": F.lit(" ")})
+    orders = orders.withColumns({"package": key, "po_type": kind, "deleted": F.when(F.col("doc") % 6 == 0, "S ").otherwise(" ")})
     zero = F.lit(0).cast("decimal(18,2)")
     heads = orders.select("package", (-F.col("package")).alias("sub_package"), zero.alias("quantity"), zero.alias("value"))
     leaves = orders.select((-F.col("package")).alias("package"), F.lit(None).cast("long").alias("sub_package"), "quantity", "value")
@@ -204,13 +204,16 @@ def production_confirmations(t: Tables) -> DataFrame:
 
 @query(f"""WITH {LINES}, {FACTORS}, moved AS (SELECT *, {CODE_SQL} AS code FROM lines) SELECT l_suppkey AS plant, l_partkey AS material,
 sum(CASE WHEN code = '102' THEN -quantity ELSE quantity END)::DOUBLE AS quantity,
-{near("sum((CASE WHEN code = '102' THEN -quantity ELSE quantity END)::DOUBLE * CASE WHEN f.numerator IS NOT NULL THEN f.numerator::DOUBLE / 10 ELSE 1 END)")} AS kilograms
-FROM moved LEFT JOIN factors f ON f.material = l_partkey WHERE code IN ('101', '102') GROUP BY 1, 2""")
+{near("sum((CASE WHEN code = '102' THEN -quantity ELSE quantity END)::DOUBLE * CASE WHEN f.numerator IS NOT NULL THEN f.numerator::DOUBLE / 10 WHEN l_partkey % 8 = 0 THEN p_size * 0.5::DOUBLE ELSE 1 END)")} AS kilograms
+FROM moved JOIN part ON p_partkey = l_partkey LEFT JOIN factors f ON f.material = l_partkey WHERE code IN ('101', '102') GROUP BY 1, 2""")
 def production_receipts(t: Tables) -> DataFrame:
     receipts = moved(t).where("move_type IN ('101', '102')").select(
         F.col("l_suppkey").alias("plant"), F.col("l_partkey").alias("material"), "move_type", "quantity", F.col("ship_date").alias("date"), F.lit("KG").alias("unit"))
-    weights = t.part.where("p_size < 0").select(F.col("p_partkey").alias("material"), F.lit(0).cast("long").alias("plant"),
-                                                F.lit(None).cast("date").alias("valid_from"), F.lit(None).cast("date").alias("valid_to"), F.lit(1.0).alias("weight"))
+    # Half of the parts without a factor have a weight in every plant, the others count as kilograms.
+    places = t.lineitem.where("l_partkey % 8 = 0").select(F.col("l_partkey").alias("material"), F.col("l_suppkey").alias("plant")).distinct()
+    weights = lookup(places, t.part, [("material", "p_partkey")], ["p_size"]).select(
+        "material", "plant", F.lit(None).cast("date").alias("valid_from"), F.lit(None).cast("date").alias("valid_to"),
+        (F.col("p_size") * F.lit(0.5)).alias("weight"))
     return rounded(pr.production_receipts(receipts, factors(t), weights, ["plant", "material"], ("102",)), ["kilograms"])
 
 
@@ -287,13 +290,13 @@ def list_column_to_rows(t: Tables) -> DataFrame:
 
 @query("""WITH s AS (SELECT conv_id, min(text) FILTER (turn = 0 AND role = 'user') AS title FROM conversations GROUP BY 1),
 x AS (SELECT conv_id, turn, role || ' - ' || length(text) || ' , ' || CASE WHEN role = 'user' THEN 'In Progress' ELSE 'done' END AS line FROM conversations)
-SELECT s.conv_id, s.title, turn // 1000 AS part_no, string_agg(line, ' : ' ORDER BY turn, line) AS test_results FROM s JOIN x USING (conv_id) GROUP BY 1, 2, 3""")
+SELECT s.conv_id, s.title, string_agg(line, ' : ' ORDER BY turn, line) AS test_results FROM s JOIN x USING (conv_id) GROUP BY 1, 2""")
 def sample_tracker(t: Tables) -> DataFrame:
     c = t.conversations
     samples = c.groupBy("conv_id").agg(F.min(F.when((F.col("turn") == 0) & (F.col("role") == "user"), F.col("text"))).alias("title"))
     tests = c.select("conv_id", "turn", F.col("role").alias("param"), F.length("text").cast("string").alias("value"),
                      F.when(F.col("role") == "user", "").otherwise("done").alias("result"))
-    return q.sample_results(samples, tests, "conv_id", "turn", F.floor(F.col("turn") / 1000))
+    return q.sample_results(samples, tests, "conv_id", "turn")
 
 
 @query("""WITH f AS (SELECT user_id AS id, event_type, arg_min(props, (ts, event_id)) AS remark, min(ts)::DATE AS date, arg_min(event_id, (ts, event_id)) AS plant,
@@ -340,7 +343,7 @@ def signed_rejections(t: Tables) -> DataFrame:
 
 @query("""WITH r AS (SELECT l_orderkey AS lot, l_linenumber AS ch, min(l_quantity) AS mean FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2
   QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) = 1),
-x AS (SELECT l_orderkey AS lot, l_linenumber AS ch, max(l_linestatus) AS text FROM lineitem WHERE l_linenumber > 2 GROUP BY 1, 2)
+x AS (SELECT l_orderkey AS lot, l_linenumber AS ch, max(l_linestatus) AS text FROM lineitem WHERE l_orderkey % 10 <> 0 GROUP BY 1, 2)
 SELECT o_orderkey AS lot, o_custkey AS vendor, o_totalprice AS score, x.text AS remark, r.mean AS mean_value FROM orders
 LEFT JOIN r ON r.lot = o_orderkey LEFT JOIN x ON x.lot = r.lot AND x.ch = r.ch WHERE o_orderstatus <> 'P'""")
 def vendor_rating(t: Tables) -> DataFrame:
@@ -348,7 +351,8 @@ def vendor_rating(t: Tables) -> DataFrame:
     lots = t.orders.select(F.col("o_orderkey").alias("lot"), F.col("o_custkey").alias("vendor"))
     decisions = t.orders.where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("lot"), F.col("o_totalprice").alias("score"))
     results = t.lineitem.where("l_returnflag = 'R'").select(lot, ch, F.col("l_quantity").alias("mean"))
-    texts = t.lineitem.where("l_linenumber > 2").groupBy(lot, ch).agg(F.max("l_linestatus").alias("text"))
+    # Every tenth lot has no texts, so that an unmatched characteristic is met.
+    texts = t.lineitem.where("l_orderkey % 10 <> 0").groupBy(lot, ch).agg(F.max("l_linestatus").alias("text"))
     return q.vendor_rating(lots, decisions, results, texts)
 
 

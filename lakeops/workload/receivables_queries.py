@@ -12,10 +12,11 @@ from .core import SALES_ORDERS, Tables, query
 AS_OF = "2000-06-30"
 
 # Every order is a debit item; every 50th order also has the item that cancels it, every
-# 7th is a credit. Finished orders count as cleared 90 days after posting.
+# 7th is a credit. Finished orders count as cleared 90 days after posting. Some items have
+# no customer, some no document date and so, aged by it, no age.
 ITEMS_SQL = f"""{SALES_ORDERS}, all_items AS (
-  SELECT o_custkey AS customer, o_orderkey AS doc, i.item, order_date AS post_date,
-    order_date - (o_orderkey % 7)::INTEGER AS doc_date, total AS amount,
+  SELECT CASE WHEN o_orderkey % 97 <> 0 THEN o_custkey END AS customer, o_orderkey AS doc, i.item, order_date AS post_date,
+    CASE WHEN o_orderkey % 11 <> 0 THEN order_date - (o_orderkey % 7)::INTEGER END AS doc_date, total AS amount,
     CASE WHEN (i.item = 2) <> (o_orderkey % 7 = 0) THEN 'H' ELSE 'S' END AS dc,
     CASE WHEN o_orderpriority = '1-URGENT' THEN 'UE' ELSE 'RV' END AS doc_type,
     nullif(o_orderpriority, '5-LOW') AS line,
@@ -26,14 +27,14 @@ open_items AS (SELECT * FROM all_items WHERE post_date <= DATE '{AS_OF}' AND (cl
 signed AS (SELECT customer, doc, item, line, CASE WHEN dc = 'H' THEN -amount ELSE amount END AS amount,
   CASE WHEN doc_type = 'UE' THEN date_diff('day', doc_date, DATE '{AS_OF}')
        ELSE date_diff('day', post_date, DATE '{AS_OF}') + 1 END AS age
-  FROM open_items WHERE customer NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey = 0)),
+  FROM open_items WHERE customer IS NULL OR customer NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey = 0)),
 kept AS (SELECT * FROM signed WHERE doc NOT IN (SELECT doc FROM signed GROUP BY customer, doc HAVING sum(amount) = 0)),
 credits AS (SELECT customer, sum(amount) AS credit_sum FROM (
   SELECT customer, amount FROM kept WHERE amount < 0 UNION ALL
   SELECT c_custkey, (-c_acctbal::DECIMAL(18,2)) * -1000 FROM customer WHERE c_acctbal < 0) GROUP BY 1),
 running AS (SELECT k.*, coalesce(c.credit_sum, 0) AS credit_sum,
   sum(k.amount) OVER (PARTITION BY k.customer ORDER BY age DESC, doc, item ROWS UNBOUNDED PRECEDING) + coalesce(c.credit_sum, 0) AS paid
-  FROM kept k LEFT JOIN credits c ON c.customer = k.customer WHERE k.amount > 0),
+  FROM kept k LEFT JOIN credits c ON c.customer IS NOT DISTINCT FROM k.customer WHERE k.amount > 0),
 flagged AS (SELECT *, lag(paid) OVER (PARTITION BY customer ORDER BY age DESC, doc, item) AS previous FROM running),
 settled AS (SELECT *, CASE WHEN credit_sum = 0 THEN amount WHEN paid <= 0 THEN 0
   WHEN previous IS NULL OR previous <= 0 THEN paid ELSE amount END AS balance FROM flagged)"""
@@ -45,8 +46,10 @@ def all_items(t: Tables) -> DataFrame:
     rows = t.sales_orders.withColumn("item", F.explode(copies))
     credit = (c("item") == 2) != (c("o_orderkey") % 7 == 0)
     return rows.select(
-        c("o_custkey").alias("customer"), c("o_orderkey").alias("doc"), "item", c("order_date").alias("post_date"),
-        F.date_sub("order_date", (c("o_orderkey") % 7).cast("int")).alias("doc_date"), c("total").alias("amount"),
+        F.when(c("o_orderkey") % 97 != 0, c("o_custkey")).alias("customer"), c("o_orderkey").alias("doc"), "item",
+        c("order_date").alias("post_date"),
+        F.when(c("o_orderkey") % 11 != 0, F.date_sub("order_date", (c("o_orderkey") % 7).cast("int"))).alias("doc_date"),
+        c("total").alias("amount"),
         F.when(credit, "H").otherwise("S").alias("dc"),
         F.when(c("o_orderpriority") == "1-URGENT", "UE").otherwise("RV").alias("doc_type"),
         F.nullif("o_orderpriority", F.lit("5-LOW")).alias("line"),
@@ -59,7 +62,7 @@ def balances(t: Tables, as_of: str = AS_OF) -> DataFrame:
     items = anti(r.signed_items(r.open_at(all_items(t), as_of), as_of), plants, ["customer"])
     items = r.drop_zero_documents(items, ["customer", "doc"])
     claims = t.customer.where("c_acctbal < 0").select(
-        F.col("c_custkey").alias("customer"), (-F.col("c_acctbal").cast("decimal(13,2)")).alias("amount"))
+        F.col("c_custkey").alias("customer"), (-F.col("c_acctbal").cast("decimal(18,2)")).alias("amount"))
     return r.settle_fifo(items, ["doc", "item"], r.claim_totals(claims, scale=-1000))
 
 
@@ -87,9 +90,7 @@ _SUMS = ", ".join(
 coalesce(sum(balance) FILTER (age < 0 OR age > 720), 0)::DOUBLE AS grtr_than_720_days, DATE '{AS_OF}' AS snapshot_date
 FROM settled WHERE balance > 0 GROUP BY 1, 2""")
 def ageing_snapshot(t: Tables) -> DataFrame:
-    # Claims only lower a balance, so it fits the type of its order's total.
-    narrow = balances(t).withColumn("balance", F.col("balance").cast("decimal(8,2)"))
-    return r.ageing_snapshot(narrow, ["customer", "line"], AS_OF, defaults={"line": "OTHERS"})
+    return r.ageing_snapshot(balances(t), ["customer", "line"], AS_OF, defaults={"line": "OTHERS"})
 
 
 @query(f"""SELECT o_orderkey, CASE WHEN age < 0 THEN 'not_due' WHEN age <= 15 THEN '0_to_15_days'
@@ -117,7 +118,7 @@ def overdue_amounts(t: Tables) -> DataFrame:
 
 
 @query(f"""WITH {ITEMS_SQL} SELECT customer, sum(amount)::DOUBLE AS deposit, DATE '{AS_OF}' AS snapshot_date FROM open_items
-WHERE ledger = 'A' AND dc = 'H' AND customer NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') GROUP BY 1""")
+WHERE ledger = 'A' AND dc = 'H' AND (customer IS NULL OR customer NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')) GROUP BY 1""")
 def security_deposits(t: Tables) -> DataFrame:
     excluded = t.customer.where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("customer"))
     return r.security_deposits(all_items(t), AS_OF, ("A",), excluded)

@@ -133,16 +133,14 @@ def right_join(t: Tables) -> DataFrame:
     return clean.join(t.documents.select("doc_id", "lang"), "doc_id", "right").select("doc_id", "lang", "quality")
 
 
-@query(f"""WITH {LINES}, bought AS (SELECT l_partkey, sum(quantity) AS bought FROM lines WHERE l_returnflag = 'A'
-  AND l_linenumber = 1 GROUP BY 1), sold AS (SELECT l_partkey, sum(quantity) AS sold FROM lines WHERE l_returnflag = 'R'
-  AND l_linenumber = 1 GROUP BY 1)
-SELECT coalesce(b.l_partkey, s.l_partkey) AS l_partkey, bought::DOUBLE AS bought, sold::DOUBLE AS sold
-FROM bought b FULL JOIN sold s ON s.l_partkey = b.l_partkey""")
+@query(f"""WITH {LINES}, bought AS (SELECT l_partkey, l_suppkey, sum(quantity) AS bought FROM lines WHERE l_returnflag = 'A' GROUP BY 1, 2),
+sold AS (SELECT l_partkey, l_suppkey, sum(quantity) AS sold FROM lines WHERE l_returnflag = 'R' GROUP BY 1, 2)
+SELECT l_partkey, l_suppkey, bought::DOUBLE AS bought, sold::DOUBLE AS sold FROM bought FULL JOIN sold USING (l_partkey, l_suppkey)""")
 def full_outer_merge(t: Tables) -> DataFrame:
-    first = t.lines.where("l_linenumber = 1")
-    side = lambda flag, name: first.where(F.col("l_returnflag") == flag).groupBy("l_partkey").agg(
+    keys = ["l_partkey", "l_suppkey"]
+    side = lambda flag, name: t.lines.where(F.col("l_returnflag") == flag).groupBy(*keys).agg(
         F.sum("quantity").alias(name))
-    return joins.full_merge(side("A", "bought"), side("R", "sold"), ["l_partkey"])
+    return joins.full_merge(side("A", "bought"), side("R", "sold"), keys)
 
 
 @query("SELECT doc_id, lang FROM documents WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = documents.doc_id)")
@@ -352,11 +350,11 @@ def code_list_flags(t: Tables) -> DataFrame:
         F.max(flag == "A").alias("has_a"), F.max(F.when(flag == "R", F.col("l_partkey"))).alias("r_part"))
 
 
-@query("""SELECT conv_id, turn // 1000 AS part_no, string_agg(role || ': ' || text, ' | ' ORDER BY turn, role || ': ' || text) AS dialogue
-FROM conversations GROUP BY 1, 2""")
+@query("""SELECT conv_id, string_agg(role || ': ' || text, ' | ' ORDER BY turn, role || ': ' || text) AS dialogue
+FROM conversations GROUP BY 1""")
 def ordered_concatenation(t: Tables) -> DataFrame:
     return reshape.concat_rows(t.conversations, ["conv_id"], "turn", F.concat("role", F.lit(": "), "text"), " | ",
-                               "dialogue", F.floor(F.col("turn") / 1000))
+                               "dialogue")
 
 
 @query(f"""WITH {SALES_ORDERS} SELECT o_custkey, {', '.join(
@@ -394,16 +392,18 @@ def attributes_to_columns(t: Tables) -> DataFrame:
 
 
 @query("""WITH m AS (SELECT o_orderpriority, year(o_orderdate) AS year, month(o_orderdate) AS month,
-  sum(o_totalprice::DECIMAL(18,2)) AS total FROM orders WHERE o_orderdate < DATE '1995-10-01' GROUP BY 1, 2, 3),
-g AS (SELECT p.o_orderpriority, 1995 AS year, n.month, m.total FROM (SELECT DISTINCT o_orderpriority FROM m) p
-  CROSS JOIN (SELECT unnest(range(1, 13)) AS month) n LEFT JOIN m ON m.o_orderpriority = p.o_orderpriority AND m.month = n.month)
-SELECT o_orderpriority, month, total::DOUBLE AS total FROM g WHERE month <= (SELECT max(month) FROM g WHERE total IS NOT NULL)""")
+  sum(o_totalprice::DECIMAL(18,2)) AS total FROM orders GROUP BY 1, 2, 3),
+g AS (SELECT p.o_orderpriority, p.year, n.month, p.year * 12 + n.month AS month_no, m.total FROM (SELECT DISTINCT o_orderpriority, year FROM m) p
+  CROSS JOIN (SELECT unnest(range(1, 13)) AS month) n LEFT JOIN m ON m.o_orderpriority = p.o_orderpriority AND m.year = p.year AND m.month = n.month)
+SELECT o_orderpriority, month_no, total::DOUBLE AS total FROM g WHERE month_no <= (SELECT max(month_no) FROM g WHERE total IS NOT NULL)""")
 def cut_after_last_filled(t: Tables) -> DataFrame:
-    early = t.sales_orders.where("order_date < DATE '1995-10-01'").withColumn("m", F.month("order_date").cast("string"))
-    months = [str(m) for m in range(1, 13)]
-    wide = reshape.pivot_sums(early, ["o_orderpriority"], "m", months, {"total": F.sum("total")}, fill=None)
-    long = reshape.unpivot(wide, ["o_orderpriority"], months, "month", "total").withColumn("month", F.col("month").cast("int"))
-    return reshape.until_last_filled(long, "month", "total")
+    """Sheets of whole years: the last year's months without any order go, empty ones before them stay."""
+    dated = t.sales_orders.withColumns({"m": F.month("order_date").cast("string"), "year": F.year("order_date")})
+    months, ids = [str(m) for m in range(1, 13)], ["o_orderpriority", "year"]
+    wide = reshape.pivot_sums(dated, ids, "m", months, {"total": F.sum("total")}, fill=None)
+    long = reshape.unpivot(wide, ids, months, "month", "total")
+    long = long.select("o_orderpriority", (F.col("year") * 12 + F.col("month").cast("int")).alias("month_no"), "total")
+    return reshape.until_last_filled(long, "month_no", "total")
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, n FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n

@@ -34,9 +34,9 @@ def conditions(t: Tables) -> DataFrame:
     kind = c("l_partkey") % 21
     return t.lines.select(
         c("l_orderkey").alias("doc"), c("l_linenumber").alias("line"), pick.alias("code"),
-        (c("price") * c("discount")).cast("decimal(8,2)").alias("value"),
-        (c("tax") * 100).cast("decimal(5,2)").alias("rate"), c("price").alias("base"),
-        (c("discount") + 1).cast("decimal(4,2)").alias("fx"), "quantity",
+        (c("price") * c("discount")).cast("decimal(18,2)").alias("value"),
+        (c("tax") * 100).cast("decimal(18,2)").alias("rate"), c("price").alias("base"),
+        (c("discount") + 1).cast("decimal(18,2)").alias("fx"), "quantity",
         F.when(c("l_suppkey") % 3 == 0, "17").otherwise("-").alias("customer_group"),
         F.when(c("l_suppkey") % 5 == 0, "FOR").otherwise("EXW").alias("terms"),
         F.when(even, "2000").otherwise("1000").alias("org"), F.when(even, "23").otherwise("11").alias("division"),
@@ -207,7 +207,7 @@ def sales_type_classes(t: Tables) -> DataFrame:
 FIRST_INPUT = f"""{ITEMS}, {SALES_ORDERS}, sold AS (SELECT o.o_custkey AS customer, p.p_brand AS line, o.order_date AS date,
   i.l_orderkey AS doc, i.l_linenumber AS item FROM items i JOIN sales_orders o ON o.o_orderkey = i.l_orderkey
   JOIN part p ON p.p_partkey = i.partkey),
-batch AS (SELECT * FROM sold WHERE date >= DATE '1996-01-01'), history AS (SELECT * FROM sold WHERE date < DATE '1995-02-01')"""
+batch AS (SELECT * FROM sold WHERE date >= DATE '1996-01-01'), history AS (SELECT * FROM sold WHERE date < DATE '1996-01-01')"""
 _FIRST = lambda keys: f"rank() OVER (PARTITION BY {keys} ORDER BY date, doc, item) = 1"
 
 
@@ -227,7 +227,7 @@ def first_sale_flags(t: Tables) -> DataFrame:
     sold = sold_lines(t)
     flags = {"first_customer": ["customer"], "first_line": ["line"], "first_pair": ["customer", "line"]}
     out = s.first_sale_flags(sold.where("date >= DATE '1996-01-01'"), flags, ["date", "doc", "item"],
-                             sold.where("date < DATE '1995-02-01'"))
+                             sold.where("date < DATE '1996-01-01'"))
     return out.select("doc", "item", *flags)
 
 

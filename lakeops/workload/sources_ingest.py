@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.columns import pad_id, strip_zeros
-from ..operators import ingest, reconcile
+from ..functions.columns import first_match, pad_id, strip_zeros
+from ..operators import ingest, joins, reconcile
 from ..operators.ingest import ColumnMeta
 from ..operators.reshape import day_sheet, pivot_sums
 from ..plans.finance import stack_sheets
@@ -47,6 +49,23 @@ def only_new_files(t: Tables) -> DataFrame:
     return fresh.groupBy("file_name").agg(F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("quantity"))
 
 
+@query("SELECT 'customer.parquet' AS file_name, NULL::TIMESTAMP AS file_date, c_nationkey, count(*) AS n FROM customer GROUP BY c_nationkey")
+def file_provenance(t: Tables) -> DataFrame:
+    """The table's own file: its name holds no date."""
+    named = readers.with_file_provenance(readers.read_lake_table(t.spark, t.path("customer")))
+    # A table of several files has part files; all carry the table's rows.
+    name = F.when(F.col("FILE_NAME").startswith("part-"), "customer.parquet").otherwise(F.col("FILE_NAME"))
+    return named.groupBy(name.alias("file_name"), F.col("FILE_DATE").alias("file_date"), "c_nationkey").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY 1")
+def files_by_name_window(t: Tables) -> DataFrame:
+    """Files without a date in their name lie in no window, so the anti window keeps them all."""
+    supplier = readers.read_lake_table(t.spark, t.path("supplier"))
+    dated = readers.files_in_window(supplier, datetime(1970, 1, 2), datetime(2100, 1, 1))
+    return joins.anti(supplier, dated, ["s_suppkey"]).groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(f"""{SNAPSHOTS} SELECT snapshot_date, plant, count(*) AS n, sum(price)::DOUBLE AS price
 FROM snapshots WHERE changed > DATE '2001-06-01' GROUP BY 1, 2""")
 def export_incremental(t: Tables) -> DataFrame:
@@ -156,11 +175,17 @@ def clock_texts(t: Tables) -> DataFrame:
     return typed.withColumn("clock", F.date_format("clock", "HH:mm:ss"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, l_quantity::BIGINT::VARCHAR AS quantity, l_returnflag,
-count(*) AS n FROM lineitem GROUP BY ALL""")
+@query("""SELECT l_orderkey, l_linenumber, CASE l_linenumber WHEN 1 THEN 'lot ' || l_partkey || '.0' WHEN 2 THEN lpad(l_partkey::VARCHAR, 9, '0')
+WHEN 3 THEN '12345678901234567890' WHEN 4 THEN l_quantity::BIGINT || '.5' WHEN 5 THEN NULL WHEN 6 THEN '-' || l_quantity::BIGINT
+ELSE l_quantity::BIGINT::VARCHAR END AS quantity, l_returnflag, count(*) AS n FROM lineitem GROUP BY ALL""")
 def float_looking_text(t: Tables) -> DataFrame:
-    texts = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("string").alias("quantity"),
-                              "l_returnflag")
+    """Numbers, ids with leading zeros or too long for a number, fractions, words and nulls in one column."""
+    line, whole = F.col("l_linenumber"), F.col("l_quantity").cast("long").cast("string")
+    part = F.col("l_partkey").cast("string")
+    texts = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", first_match([
+        (line == 1, F.concat(F.lit("lot "), part, F.lit(".0"))), (line == 2, F.lpad(part, 9, "0")),
+        (line == 3, "12345678901234567890"), (line == 4, F.concat(whole, F.lit(".5"))), (line == 5, F.lit(None).cast("string")),
+        (line == 6, F.concat(F.lit("-"), whole, F.lit(".0")))], F.concat(whole, F.lit(".0"))).alias("quantity"))
     whole = ingest.integral_text(texts, ["quantity", "l_returnflag"])
     return whole.groupBy(*whole.columns).agg(F.count(F.lit(1)).alias("n"))
 

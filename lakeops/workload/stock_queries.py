@@ -63,7 +63,7 @@ def stock_categories(t: Tables) -> DataFrame:
 
 
 VALUATION = f"""{LINES}, val AS (SELECT DISTINCT l_suppkey AS plant, l_partkey AS material, nullif(l_returnflag, 'N') AS val_type
-  FROM lines WHERE l_linenumber = 1), sized AS (SELECT *, count(*) OVER (PARTITION BY plant, material) AS n FROM val),
+  FROM lines), sized AS (SELECT *, count(*) OVER (PARTITION BY plant, material) AS n FROM val),
 prices AS (SELECT v.plant, v.material, CASE p_size % 3 WHEN 0 THEN p_retailprice WHEN 1 THEN p_retailprice * 2 END::DECIMAL(18,2) AS price
   FROM sized v JOIN part ON p_partkey = v.material WHERE n = 1 OR val_type IS NULL),
 held AS (SELECT l_suppkey AS plant, l_partkey AS material, sum(quantity) AS free,
@@ -75,7 +75,7 @@ held AS (SELECT l_suppkey AS plant, l_partkey AS material, sum(quantity) AS free
 def stock_valuation(t: Tables) -> DataFrame:
     """Parts of every third size use the standard price, the next the average, the others none."""
     keyed = t.lines.withColumns({"plant": F.col("l_suppkey"), "material": F.col("l_partkey")})
-    val = keyed.where("l_linenumber = 1").select("plant", "material", F.nullif("l_returnflag", F.lit("N")).alias("val_type")).distinct()
+    val = keyed.select("plant", "material", F.nullif("l_returnflag", F.lit("N")).alias("val_type")).distinct()
     price = F.col("p_retailprice").cast("decimal(18,2)")
     parts = t.part.select(
         F.col("p_partkey").alias("material"), price.alias("standard_price"), (price * 2).cast("decimal(18,2)").alias("average_price"),
@@ -160,23 +160,23 @@ MONTH_NAMES = ["JANUARY", "FEBRUARY", "MARCH", "APRIL", "MAY", "JUNE", "JULY", "
 
 
 @query(f"""WITH {LINES}, plan AS (SELECT l_suppkey AS plant, l_linestatus AS line, date_trunc('month', ship_date)::DATE AS month, sum(quantity) AS target
-  FROM lines WHERE year(ship_date) = 2000 GROUP BY 1, 2, 3),
+  FROM lines GROUP BY 1, 2, 3),
 daily AS (SELECT *, {near("target::DOUBLE / day(last_day(month))", 2)} AS planned_day FROM plan),
 need AS (SELECT l_suppkey AS plant, l_linestatus AS line, l_returnflag AS rm_group, date_trunc('month', ship_date)::DATE AS month,
-  count(*) AS per_unit FROM lines WHERE year(ship_date) = 2000 GROUP BY 1, 2, 3, 4),
+  count(*) AS per_unit FROM lines GROUP BY 1, 2, 3, 4),
 stock AS (SELECT l_suppkey AS plant, l_returnflag AS rm_group, sum(quantity) AS stock_quantity FROM lines GROUP BY 1, 2),
-start AS (SELECT plant, line, rm_group, stock_quantity FROM (SELECT DISTINCT plant, line, rm_group FROM need)
+start AS (SELECT plant, line, rm_group, stock_quantity FROM (SELECT DISTINCT plant, line, rm_group FROM need WHERE year(month) = 2000)
   JOIN stock USING (plant, rm_group)),
 future AS (SELECT s.*, d::DATE AS stock_date FROM start s, (SELECT unnest(generate_series(DATE '2000-05-21', DATE '2000-06-19', INTERVAL 1 DAY)) AS d)),
 req AS (SELECT f.*, y.planned_day * n.per_unit AS required FROM future f LEFT JOIN need n ON n.plant = f.plant AND n.line = f.line
   AND n.rm_group = f.rm_group AND n.month = date_trunc('month', f.stock_date) LEFT JOIN daily y ON y.plant = f.plant AND y.line = f.line AND y.month = n.month)
 SELECT plant, line, rm_group, stock_date, {near("stock_quantity::DOUBLE - sum(required) OVER (PARTITION BY plant, line, rm_group ORDER BY stock_date)", 2)} AS end_of_day_stock FROM req""")
 def material_deficit(t: Tables) -> DataFrame:
-    year = t.lines.where("ship_date >= DATE '2000-01-01' AND ship_date < DATE '2001-01-01'").select(
+    sheets = t.lines.select(
         F.col("l_suppkey").alias("plant"), F.col("l_linestatus").alias("line"), F.col("l_returnflag").alias("rm_group"),
-        F.upper(F.date_format("ship_date", "MMMM")).alias("m"), F.lit(2000).alias("fy"), "quantity")
-    plan = pivot_sums(year, ["plant", "line", "fy"], "m", MONTH_NAMES, {"q": F.sum(F.col("quantity")).cast("double")}, fill=None)
-    need = pivot_sums(year, ["plant", "line", "rm_group", "fy"], "m", MONTH_NAMES, {"q": F.count(F.lit(1))}, fill=None)
+        F.upper(F.date_format("ship_date", "MMMM")).alias("m"), F.year("ship_date").alias("fy"), "quantity")
+    plan = pivot_sums(sheets, ["plant", "line", "fy"], "m", MONTH_NAMES, {"q": F.sum(F.col("quantity")).cast("double")}, fill=None)
+    need = pivot_sums(sheets, ["plant", "line", "rm_group", "fy"], "m", MONTH_NAMES, {"q": F.count(F.lit(1))}, fill=None)
     groups = t.part.select(F.explode(F.array(F.lit("A"), F.lit("N"), F.lit("R"))).alias("rm_group"),
                            F.col("p_partkey").cast("string").alias("m"))
     groups = groups.select("rm_group", F.concat_ws("-", "rm_group", "m").alias("material"))
@@ -186,7 +186,7 @@ def material_deficit(t: Tables) -> DataFrame:
     return rounded(out, ["end_of_day_stock"], 2).select("plant", "line", "rm_group", "stock_date", "end_of_day_stock")
 
 
-SEASON = f"""{LINES}, seen AS (SELECT l_suppkey AS plant, l_partkey AS material, * FROM lines WHERE ship_date >= DATE '2000-01-01' AND ship_date < DATE '2000-04-01'),
+SEASON = f"""{LINES}, seen AS (SELECT l_suppkey AS plant, p_brand AS material, lines.* FROM lines JOIN part ON p_partkey = l_partkey),
 days AS (SELECT d::DATE AS date FROM (SELECT unnest(generate_series(DATE '2000-02-10', DATE '2000-03-31', INTERVAL 1 DAY)) AS d)),
 pairs AS (SELECT DISTINCT plant, material FROM seen WHERE l_returnflag = 'A'),
 opening AS (SELECT plant, material, sum(quantity)::DOUBLE AS good, sum(quantity + 5)::DOUBLE AS opening, count(*) AS depot_opening FROM seen WHERE ship_date < DATE '2000-02-10' GROUP BY 1, 2),
@@ -211,8 +211,8 @@ _RUN = lambda x: f"sum({x}) OVER (PARTITION BY plant, material ORDER BY date)"
 {near('good + ' + _RUN('cured - psd - tr'), 3)} AS dispatchable_stock FROM g""")
 def daily_seasonal_plan(t: Tables) -> DataFrame:
     k = ["plant", "material"]
-    seen = t.lines.where("ship_date >= DATE '2000-01-01' AND ship_date < DATE '2000-04-01'").withColumns(
-        {"plant": F.col("l_suppkey"), "material": F.col("l_partkey")})
+    seen = lookup(t.lines, t.part, [("l_partkey", "p_partkey")], [("p_brand", "material")], how="inner").withColumn(
+        "plant", F.col("l_suppkey"))
     qty = F.sum(F.col("quantity")).cast("double")
     bounds = F.sequence(F.lit("2000-02-10").cast("date"), F.lit("2000-03-31").cast("date"))
     grid = seen.where("l_returnflag = 'A'").select(*k).distinct().withColumn("date", F.explode(bounds))

@@ -36,10 +36,11 @@ def test_blank_helpers(spark):
                                        ("a", "a", False, "a"), (None, None, True, "<DEFAULT>")]
 
 
-def test_fraction_is_cut_only_in_columns_that_show_one(spark):
-    df = spark.createDataFrame([("12.0", "7"), ("3", "x")], "a string, b string")
-    assert rows(ingest.integral_text(df, ["a", "b"])) == [("12", "7"), ("3", "x")]
-    assert ingest.integral_text(df.where("a = '3'"), ["a", "b"]).first()["a"] == "3"
+def test_only_whole_numbers_lose_their_fraction(spark):
+    texts = ["12.0", "-3.0", "3", "abc", "lot 7.0", "000123", "12345678901234567890", "12345678901234567890.0", "7.5", "1.00", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, a string")
+    got = [r["a"] for r in ingest.integral_text(df, ["a"]).orderBy("i").collect()]
+    assert got == ["12", "-3", *texts[2:7], "12345678901234567890", *texts[8:]]
 
 
 def test_schema_grows(spark):
@@ -256,8 +257,10 @@ def test_attributes_take_the_first_and_skip_unmapped(spark):
     assert rows(got) == [("n", None, "b"), ("o", "w", None)]
 
 
-def test_long_groups_become_ordered_parts(spark):
+def test_group_is_one_text_unless_parts_are_asked_for(spark):
     df = spark.range(2500).select(F.lit("hot").alias("k"), "id").unionByName(spark.createDataFrame([("cold", 0)], "k string, id long"))
+    whole = {r["k"]: r["t"] for r in reshape.concat_rows(df, ["k"], "id", F.col("id").cast("string"), ",", "t").collect()}
+    assert whole == {"cold": "0", "hot": ",".join(map(str, range(2500)))}
     got = reshape.concat_rows(df, ["k"], "id", F.col("id").cast("string"), ",", "t", F.floor(F.col("id") / 1000))
     parts = {(r["k"], r["part_no"]): r["t"] for r in got.collect()}
     assert parts[("cold", 0)] == "0" and len(parts) == 4

@@ -232,7 +232,7 @@ def test_change_counts(spark):
 def test_sample_without_results(spark):
     samples = spark.createDataFrame([("s1",), ("s2",)], "control_no string")
     tests = spark.createDataFrame([("s1", 2, "ph", "7", "ok"), ("s1", 1, None, None, "")], "control_no string, seq int, param string, value string, result string")
-    got = quality.sample_results(samples, tests, "control_no", "seq", F.floor(F.coalesce("seq", F.lit(0)) / 1000)).select("control_no", "test_results")
+    got = quality.sample_results(samples, tests, "control_no", "seq").select("control_no", "test_results")
     assert rows(got) == [("s1", "NA - NA , In Progress : ph - 7 , ok"), ("s2", "NA - NA , In Progress")]
 
 
@@ -245,6 +245,41 @@ def test_complaint_falls_back_row_by_row(spark):
     assert rows(got) == [(1, "Compensated", "m", "p", 5, 3, 6), (2, "Investigated", "i", "q", 6, 2, None), (3, "Registered", "c", "p", None, None, None)]
 
 
+def test_complaint_takes_one_document_whatever_the_order(spark):
+    cols = "id int, date date, remark string, plant string, quantity int, document int"
+    complaints = spark.createDataFrame([(1, day("2020-01-01"), "c", "p")], "id int, date date, remark string, plant string")
+    docs = [(1, day("2020-01-04"), "a", "P1", None, 8), (1, day("2020-01-04"), "b", "P2", 5, 7), (1, None, "0", "P0", 1, 1)]
+    none = spark.createDataFrame([], cols)
+    for rows_in in (docs, docs[::-1], docs[1:] + docs[:1]):
+        inv = spark.createDataFrame(rows_in, cols)
+        got = quality.complaint_life_cycle(complaints, inv, none, ("document",)).select("remark", "plant", "quantity")
+        assert rows(got) == [("b", "P2", 5)]
+        assert rows(quality.complaint_life_cycle(complaints, inv, none).select("remark", "plant", "quantity")) == [("a", "P1", None)]
+
+
+def test_last_work_centre_whatever_the_order(spark):
+    frame = spark.createDataFrame
+    one = lambda schema, *r: frame(list(r), schema)
+    for steps in ([("o", 1, "x"), ("o", 2, "a"), ("o", 2, "b")], [("o", 2, "b"), ("o", 2, "a"), ("o", 1, "x")]):
+        got = production.production_confirmations(
+            one("order string, planned_quantity double", ("o", 9.0)), one("order string, confirmation int, date date, made int", ("o", 1, day("2020-01-01"), 3)),
+            one("order string, step int, centre string", *steps), one("order string, unit string, move_type string, quantity int", ("o", "KG", "261", 5)),
+            one("order string, confirmation int, unit string, move_type string, group string, quantity int", ("o", 1, "KG", "261", "g", 5)),
+            one("order string, state string", ("o", "x")), {"scrap": ("g",)})
+        assert got.first()["work_centre"] == "b"
+
+
+def test_no_debit_is_lost(spark):
+    items = spark.createDataFrame(
+        [("a", 1, 1, 100, "S", "RV", day("2020-01-01"), day("2020-01-01")), ("a", 2, 1, 50, "S", "UE", day("2020-01-01"), None),
+         (None, 3, 1, 70, "S", "RV", day("2020-01-01"), day("2020-01-01")), (None, 4, 1, 30, "H", "RV", day("2020-01-02"), day("2020-01-01")),
+         (None, 5, 1, 8, "S", "RV", day("2020-01-02"), None), (None, 5, 2, 8, "H", "RV", day("2020-01-02"), None)],
+        "customer string, doc int, item int, amount int, dc string, doc_type string, post_date date, doc_date date")
+    signed = receivables.drop_zero_documents(receivables.signed_items(items, "2020-01-10"), ["customer", "doc"])
+    got = receivables.settle_fifo(signed, ["doc", "item"]).select("customer", "doc", "age", F.col("balance").cast("int"))
+    assert rows(got) == [(None, 3, 10, 40), ("a", 1, 10, 100), ("a", 2, None, 50)]
+
+
 def test_rejection_share_without_stock(spark):
     df = spark.createDataFrame([("p", "2001", 3), ("p", "CX01", 1), ("q", "2001", 0)], "plant string, loc string, q int")
     assert rows(quality.rejection_share(df, ["plant"], "loc", "q")) == [("p", 3, 1, 0.25, 25.0), ("q", 0, 0, None, None)]

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from lakeops.operators import joins, keys, windows
-from lakeops.session import size_shuffles, tune
+from lakeops.session import tune
 
 
 def executed(df) -> str:
@@ -51,12 +51,3 @@ def test_numbering_orders_only_buckets(spark):
     assert out.agg(F.min("k"), F.max("k"), F.countDistinct("k")).first() == (1, 20_000, 20_000)
     assert out.groupBy(F.substring(F.md5("code"), 1, 3)).count().agg(F.max("count")).first()[0] < 30
 
-
-def test_shuffles_are_sized_from_the_input(spark, tmp_path):
-    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    (tmp_path / "small").write_bytes(b"x" * 1000)
-    assert size_shuffles(spark, str(tmp_path)) == int(spark.conf.get("spark.sql.shuffle.partitions"))
-    with open(tmp_path / "large", "wb") as f:
-        f.truncate(10 * 1024 ** 3)  # sparse: takes no room on disk
-    assert size_shuffles(spark, str(tmp_path)) == 320 == int(spark.conf.get(setting))
-    spark.conf.unset(setting)

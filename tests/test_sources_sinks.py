@@ -130,13 +130,15 @@ class Session:
 def test_checkpoint_folder_comes_from_the_session():
     cluster = Session("spark://host:7077", "/shared/checkpoints")
     assert use_checkpoints(cluster) == cluster.used == "/shared/checkpoints"
+    assert use_checkpoints(cluster, "/other") == "/shared/checkpoints"
     laptop = Session("local[2]", None)
-    assert use_checkpoints(laptop) == laptop.used
-    with pytest.raises(ValueError):
-        use_checkpoints(Session("yarn", None))
+    assert use_checkpoints(laptop, "/tests") == laptop.used == "/tests"
+    for master in ("yarn", "local[2]"):
+        with pytest.raises(ValueError):
+            use_checkpoints(Session(master, None))
 
 
-def test_checkpointed_result(spark):
-    df = sinks.materialize(spark.range(3).withColumn("v", F.col("id") * 2))
+def test_checkpointed_result(spark, tmp_path):
+    df = sinks.materialize(spark.range(3).withColumn("v", F.col("id") * 2), checkpoints=str(tmp_path))
     assert rows(df) == [(0, 0), (1, 2), (2, 4)]
     assert "Scan ExistingRDD" in df._jdf.queryExecution().executedPlan().toString()
