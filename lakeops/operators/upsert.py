@@ -1,25 +1,49 @@
-"""Merging batches into tables kept as immutable parquet versions."""
+"""Merging batches into tables kept as immutable parquet files, bucket by bucket."""
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .joins import anti
-from .windows import pick_row
+from .windows import pick_row, with_group_size
+
+BUCKETS = 256
+TRIES = 5
+#: Holds the schema of a table, no rows.
+SCHEMA_BUCKET = -1
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: list[str], nullable: bool = False) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys: list[str], nullable: bool = False,
+           order: list[Column] | None = None) -> DataFrame:
     """Source rows replace target rows of the same key, the rest of both is kept.
 
     With ``nullable`` a null key part matches a null; otherwise such rows never match.
-    Columns only the source has are added to the target as nulls.
+    Columns only the source has are added to the target as nulls. A key that the source holds
+    twice fails the query, unless ``order`` says which row is the last one.
     """
+    source = mergeable(source, keys, nullable, order)
     kept = anti(target, source, keys, null_safe=nullable)
     return kept.unionByName(source, allowMissingColumns=True)
 
 
+def mergeable(source: DataFrame, keys: list[str], nullable: bool = False, order: list[Column] | None = None) -> DataFrame:
+    """The batch with each key once: the last row by ``order``, or else a failure where a key repeats."""
+    if order is not None:
+        return latest_of_batch(source, keys, order)
+    sized = with_group_size(source, keys, "__rows")
+    alone = F.col("__rows") == 1
+    if not nullable:
+        for k in keys:
+            alone = alone | F.col(k).isNull()
+    repeated = F.raise_error(F.lit("a batch delivers a key more than once")).cast("boolean")
+    return sized.where(F.when(alone, F.lit(True)).otherwise(repeated)).drop("__rows")
+
+
 def duplicate_keys(source: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys a batch delivers more than once; a merge must not be run while there are any."""
+    """Keys a batch delivers more than once."""
     return source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
 
 
@@ -34,38 +58,71 @@ def replace_snapshots(history: DataFrame, today: DataFrame, snapshot: str) -> Da
         today, allowMissingColumns=True)
 
 
+def _commits(spark: SparkSession, path: str) -> DataFrame | None:
+    """(load, bucket, buckets, version) of every committed load; one row per bucket it wrote."""
+    try:
+        return spark.read.parquet(f"{path}/commits")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def newest_version(spark: SparkSession, path: str) -> int | None:
     """Highest committed version of a table, None when there is none yet."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return None
-    done = [
-        int(status.getPath().getName().split("=")[1])
-        for status in fs.listStatus(root)
-        if status.getPath().getName().startswith("version=")
-        and fs.exists(hadoop.Path(status.getPath(), "_SUCCESS"))
-    ]
-    return max(done) if done else None
+    commits = _commits(spark, path)
+    return None if commits is None else commits.agg(F.max("version")).first()[0]
+
+
+def _read(spark: SparkSession, path: str, commits: DataFrame, version: int, buckets: list[int] | None = None) -> DataFrame:
+    """Each bucket as its last load up to a version left it; at most one path per bucket is listed."""
+    newest = commits.where(F.col("version") <= version).groupBy("bucket").agg(F.max_by("load", "version").alias("load"))
+    if buckets is not None:
+        newest = newest.where(F.col("bucket").isin(SCHEMA_BUCKET, *buckets))
+    paths = [f"{path}/data/load={r['load']}/bucket={r['bucket']}" for r in newest.collect()]
+    return spark.read.option("basePath", f"{path}/data").option("mergeSchema", True).parquet(*sorted(paths)).drop("load")
 
 
 def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     version = newest_version(spark, path) if version is None else version
-    return spark.read.parquet(f"{path}/version={version}")
+    return _read(spark, path, _commits(spark, path), version).drop("bucket")
 
 
-def create_or_upsert(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
-                     nullable: bool = False) -> int:
+def create_or_upsert(spark: SparkSession, path: str, source: DataFrame, keys: list[str], nullable: bool = False,
+                     order: list[Column] | None = None, buckets: int = BUCKETS, tries: int = TRIES) -> int:
     """First load writes, later loads merge; returns the version written.
 
-    Each run writes a new directory and never touches the one it reads, so a failed run
-    leaves the last good version in place: a version counts once it is committed.
+    Rows lie in buckets by a hash of their key (the first load sets how many). A load reads and
+    writes the buckets its keys fall in, into a folder of its own, and counts once its commit is
+    written: a failed run leaves the last good version in place, other buckets' files stay as they
+    are. Two loads cannot write one version: the later one merges anew into what the first one left.
+    A key that the batch holds twice fails the load unless ``order`` says which row is the last.
     """
-    current = newest_version(spark, path)
-    if current is None:
-        merged, version = source, 0
-    else:
-        merged, version = upsert(read_version(spark, path, current), source, keys, nullable), current + 1
-    merged.write.mode("overwrite").parquet(f"{path}/version={version}")
-    return version
+    batch = mergeable(source, keys, nullable, order)
+    for _ in range(tries):
+        commits = _commits(spark, path)
+        current = None if commits is None else newest_version(spark, path)
+        if current is not None:
+            buckets = commits.agg(F.max("buckets")).first()[0]
+        placed = batch.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+        touched = [r["bucket"] for r in placed.select("bucket").distinct().collect()]  # at most ``buckets`` rows
+        load = uuid.uuid4().hex
+        folder = f"{path}/data/load={load}"
+        if current is None:
+            merged = placed
+        else:
+            old = _read(spark, path, commits, current, touched)
+            kept = anti(old, batch, keys, null_safe=nullable)
+            merged = kept.unionByName(placed, allowMissingColumns=True)
+        merged.drop("bucket").limit(0).write.parquet(f"{folder}/bucket={SCHEMA_BUCKET}")
+        merged.hint("rebalance", "bucket").write.partitionBy("bucket").mode("append").parquet(folder)
+        version = 0 if current is None else current + 1
+        rows = [(load, b, buckets) for b in (SCHEMA_BUCKET, *touched)]
+        try:
+            spark.createDataFrame(rows, "load string, bucket int, buckets int").write.mode("errorifexists").parquet(
+                f"{path}/commits/version={version}")
+            return version
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+    raise RuntimeError(f"other loads were first {tries} times")

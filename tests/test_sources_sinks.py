@@ -98,20 +98,84 @@ def test_jdbc_writer_keeps_the_table(spark):
     assert writer.options == {"mode": "overwrite", "truncate": "true", "batchsize": "5000"}
 
 
+def make(spark, data, columns="k int, v string"):
+    return spark.createDataFrame(data, columns)
+
+
 def test_versions_are_created_merged_and_committed(spark, tmp_path):
     path = str(tmp_path / "versioned")
-    make = lambda data: spark.createDataFrame(data, "k int, v string")
     assert upsert.newest_version(spark, path) is None
-    assert upsert.create_or_upsert(spark, path, make([(1, "a"), (2, "b")]), ["k"]) == 0
-    assert upsert.create_or_upsert(spark, path, make([(2, "B"), (3, "c")]), ["k"]) == 1
+    assert upsert.create_or_upsert(spark, path, make(spark, [(1, "a"), (2, "b")]), ["k"]) == 0
+    assert upsert.create_or_upsert(spark, path, make(spark, [(2, "B"), (3, "c")]), ["k"]) == 1
     assert rows(upsert.read_version(spark, path)) == [(1, "a"), (2, "B"), (3, "c")]
     assert rows(upsert.read_version(spark, path, 0)) == [(1, "a"), (2, "b")]
     # The same batch again changes nothing.
-    assert upsert.create_or_upsert(spark, path, make([(2, "B"), (3, "c")]), ["k"]) == 2
+    assert upsert.create_or_upsert(spark, path, make(spark, [(2, "B"), (3, "c")]), ["k"]) == 2
     assert rows(upsert.read_version(spark, path)) == [(1, "a"), (2, "B"), (3, "c")]
-    # A version without its success mark does not count.
-    (tmp_path / "versioned" / "version=7").mkdir()
-    assert upsert.newest_version(spark, path) == 2
+    # Files of a load that was not committed do not count.
+    make(spark, [(9, "z")]).write.parquet(str(tmp_path / "versioned" / "data" / "load=lost" / "bucket=0"))
+    assert upsert.newest_version(spark, path) == 2 and upsert.read_version(spark, path).count() == 3
+
+
+def test_a_load_writes_only_the_buckets_of_its_keys(spark, tmp_path):
+    path = tmp_path / "bucketed"
+    upsert.create_or_upsert(spark, str(path), make(spark, [(i, "a") for i in range(100)]), ["k"], buckets=16)
+    files = lambda: {f: (f.stat().st_mtime_ns, f.stat().st_size) for f in path.rglob("bucket=*/*.parquet")}
+    first = files()
+    upsert.create_or_upsert(spark, str(path), make(spark, [(5, "b"), (500, "c")]), ["k"])
+    second = files()
+    assert {f: second[f] for f in first} == first
+    new = {f.parent.name for f in second.keys() - first.keys()} - {"bucket=-1"}
+    assert 1 <= len(new) <= 2
+    assert rows(upsert.read_version(spark, str(path)).where("v != 'a'")) == [(5, "b"), (500, "c")]
+    assert upsert.read_version(spark, str(path)).count() == 101
+
+
+def test_repeated_keys_are_refused_or_resolved(spark, tmp_path):
+    path = str(tmp_path / "repeated")
+    upsert.create_or_upsert(spark, path, make(spark, [(1, "a")]), ["k"])
+    batch = make(spark, [(1, "b"), (1, "c")])
+    with pytest.raises(Exception, match="more than once"):
+        upsert.create_or_upsert(spark, path, batch, ["k"])
+    assert rows(upsert.read_version(spark, path)) == [(1, "a")]
+    with pytest.raises(Exception, match="more than once"):
+        upsert.upsert(make(spark, [(1, "a")]), batch, ["k"]).collect()
+    upsert.create_or_upsert(spark, path, batch, ["k"], order=[F.col("v")])
+    assert rows(upsert.read_version(spark, path)) == [(1, "c")]
+
+
+def test_null_keys_match_only_when_asked(spark, tmp_path):
+    for nullable, expected in ((True, [(None, "b"), (1, "a")]), (False, [(None, "a"), (None, "b"), (1, "a")])):
+        path = str(tmp_path / f"nulls_{nullable}")
+        upsert.create_or_upsert(spark, path, make(spark, [(None, "a"), (1, "a")]), ["k"], nullable)
+        upsert.create_or_upsert(spark, path, make(spark, [(None, "b")]), ["k"], nullable)
+        assert rows(upsert.read_version(spark, path)) == expected
+
+
+def test_a_later_load_merges_into_what_the_first_one_left(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "race")
+    upsert.create_or_upsert(spark, path, make(spark, [(1, "a")]), ["k"])
+    read, done = upsert._read, []
+
+    def other_load_first(*args):
+        if not done:
+            done.append(True)
+            upsert.create_or_upsert(spark, path, make(spark, [(2, "other"), (1, "other")]), ["k"])
+        return read(*args)
+
+    monkeypatch.setattr(upsert, "_read", other_load_first)
+    assert upsert.create_or_upsert(spark, path, make(spark, [(1, "mine")]), ["k"]) == 2
+    monkeypatch.undo()
+    assert rows(upsert.read_version(spark, path)) == [(1, "mine"), (2, "other")]
+
+
+def test_new_columns_and_an_empty_first_load(spark, tmp_path):
+    path = str(tmp_path / "columns")
+    upsert.create_or_upsert(spark, path, make(spark, []), ["k"])
+    assert upsert.read_version(spark, path).columns == ["k", "v"] and upsert.read_version(spark, path).count() == 0
+    upsert.create_or_upsert(spark, path, make(spark, [(1, "a")]), ["k"])
+    upsert.create_or_upsert(spark, path, make(spark, [(2, "b", 7)], "k int, v string, w int"), ["k"])
+    assert rows(upsert.read_version(spark, path).select("k", "v", "w")) == [(1, "a", None), (2, "b", 7)]
 
 
 class Session:
