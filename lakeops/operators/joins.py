@@ -102,12 +102,18 @@ def role_columns(partners: DataFrame, keys: list[str], role: str, roles: dict[st
     ])
 
 
-def with_reversed(documents: DataFrame, all_documents: DataFrame, key: list[str], reversal: list[str]) -> DataFrame:
+def with_reversed(documents: DataFrame, all_documents: DataFrame, key: list[str], reversal: list[str],
+                  kind: str | None = None, not_chased: tuple[str, ...] = ()) -> DataFrame:
     """Documents plus the documents that reverse them, each once.
 
-    ``reversal`` columns of a document hold the key of its partner.
+    ``reversal`` columns of a document hold the key of its partner. Documents whose ``kind`` is
+    in ``not_chased`` stay, their partners are not fetched.
     """
-    chased = documents.where(F.col(reversal[0]).isNotNull() & (F.trim(F.col(reversal[0]).cast("string")) != ""))
+    if kind is not None and not_chased:
+        chased = documents.where(~F.trim(F.col(kind)).isin(*not_chased) | F.col(kind).isNull())
+    else:
+        chased = documents
+    chased = chased.where(F.col(reversal[0]).isNotNull() & (F.trim(F.col(reversal[0]).cast("string")) != ""))
     partners = semi(all_documents, chased.select(*[F.col(r).alias(k) for r, k in zip(reversal, key)]), key)
     extra = anti(partners, documents, key)
     return documents.unionByName(extra.select(*documents.columns))

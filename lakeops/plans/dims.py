@@ -96,6 +96,26 @@ def vendor_dimension(vendors: DataFrame, groups: DataFrame, language: str) -> Da
     return lookup(rows, only_language(groups, "lang", language), ["account_group"], ["group_name"])
 
 
+def keyed_with_texts(members: DataFrame, texts: list[tuple[DataFrame, str, str, str]], keys: list[str], dim: DataFrame,
+                     name: str, language: str | None = None) -> DataFrame:
+    """Members with looked-up texts and a surrogate: services, chapters, storage locations, ledger accounts and the like.
+
+    Each text is (frame, key column, text column, new name); with ``language`` only texts of that
+    language count.
+    """
+    out = members
+    for frame, key, text, new in texts:
+        frame = only_language(frame, "lang", language) if language else frame
+        out = lookup(out, frame.groupBy(key).agg(F.min(text).alias(text)), [key], [(text, new)])
+    return assign_keys(dim, out, keys, name)
+
+
+def with_created_date(versions: DataFrame, key: str, changed: str, created: str = "created_date") -> DataFrame:
+    """Every version of a member with the date the member was first changed on."""
+    first = versions.groupBy(key).agg(F.min(changed).alias(created))
+    return lookup(versions, first, [key], [created])
+
+
 def order_dimension(orders: DataFrame, key: str, quantity: str, date: str) -> DataFrame:
     """Production orders with their total quantity and first date."""
     return orders.groupBy(key).agg(F.sum(quantity).alias(quantity), F.min(date).alias(date))

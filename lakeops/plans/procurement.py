@@ -34,6 +34,18 @@ def received(history: DataFrame, keys: list[str]) -> DataFrame:
         F.max(F.when(receipt & F.col("move_type").isin(*ACTUAL_RECEIPT), F.col("date"))).alias("delivery_date"))
 
 
+def release_dates(schedule: DataFrame, requisitions: DataFrame, keys: list[str]) -> DataFrame:
+    """Latest release date of the requisitions behind each order line's schedule lines.
+
+    schedule: keys, requisition, requisition_item; requisitions: requisition,
+    requisition_item, release_date, deleted; deleted ones do not count.
+    """
+    open_ones = requisitions.where(F.col("deleted").isNull() | (F.col("deleted") != "L"))
+    latest = open_ones.groupBy("requisition", "requisition_item").agg(F.max("release_date").alias("release_date"))
+    out = lookup(schedule, latest, ["requisition", "requisition_item"], ["release_date"])
+    return out.groupBy(*keys).agg(F.max("release_date").alias("release_date"))
+
+
 def service_totals(orders: DataFrame, packages: DataFrame, keys: list[str]) -> DataFrame:
     """Quantity and value of service orders, found two package hops down.
 

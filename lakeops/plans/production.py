@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import first_match, signed
-from ..operators.joins import anti, lookup, semi
+from ..operators.joins import lookup
 from ..operators.reshape import conditional_sums
 from .finance import equal_split
 from .stock import to_unit
@@ -85,14 +85,14 @@ def stock_transfers(lines: DataFrame, excise: DataFrame, rates: DataFrame, recei
                     rate_codes: dict[str, str], keys: list[str]) -> DataFrame:
     """Transfer lines on two document paths with tax rates and netted receipts.
 
-    Lines with an excise document take its number and date, the others keep their own; the two
-    sets are told apart by a semi and an anti join. rates: keys, code, rate;
-    receipts: keys, move_type, quantity.
+    Lines with an excise document take its number and date, the others keep their own; one left
+    join tells them apart. rates: keys, code, rate; receipts: keys, move_type, quantity.
     """
-    documented = lookup(semi(lines, excise, keys), excise, keys, ["document", "document_date"], how="inner")
-    plain = anti(lines, excise, keys).withColumns({
-        "document": F.lit(None).cast("string"), "document_date": F.col("date")})
-    out = documented.withColumn("path", F.lit("excise")).unionByName(plain.withColumn("path", F.lit("direct")))
+    marked = excise.withColumn("__found", F.lit(True))
+    out = lookup(lines, marked, keys, ["document", ("document_date", "__date"), "__found"])
+    out = out.withColumns({
+        "document_date": F.when(F.col("__found"), F.col("__date")).otherwise(F.col("date")),
+        "path": F.when(F.col("__found"), F.lit("excise")).otherwise(F.lit("direct"))}).drop("__date", "__found")
     tax = conditional_sums(rates, keys, {
         name: (F.col("code") == code, F.col("rate") / 10) for name, code in rate_codes.items()})
     got = receipts.groupBy(*keys).agg(

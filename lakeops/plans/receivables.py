@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.columns import as_col, signed
+from ..functions.columns import DEFAULT_MEMBER, as_col, first_match, signed
 from ..operators.joins import anti, lookup, with_reversed
 from ..operators.reshape import sum_when
 
@@ -150,9 +150,22 @@ def security_deposits(items: DataFrame, as_of: str, ledger: tuple[str, ...],
         "snapshot_date", F.lit(as_of).cast("date"))
 
 
-def collections(payments: DataFrame, all_documents: DataFrame, lines: DataFrame, key: list[str],
-                reversal: list[str]) -> DataFrame:
-    """Signed payment lines, those of reversed originals included."""
-    headers = with_reversed(payments, all_documents, key, reversal)
-    out = headers.select(*key, "post_date").join(lines, key, "left")
-    return out.withColumn("amount", signed("amount", "dc", CREDIT))
+def collections(payments: DataFrame, all_documents: DataFrame, lines: DataFrame, key: list[str], reversal: list[str],
+                customers: DataFrame, areas: DataFrame, kinds: list[tuple[str, str]], territory: DataFrame,
+                kind: str = "doc_type", not_chased: tuple[str, ...] = ()) -> DataFrame:
+    """Signed payment lines, those of reversed originals included, with sales type and geography.
+
+    Headers count once per key. customers: customer, postcode, product_line; areas: customer, office
+    name, of which the smallest counts; ``kinds`` maps a LIKE pattern of it to the sales type;
+    territory: product_line, sale_type, pincode and the levels above it.
+    """
+    headers = with_reversed(payments, all_documents, key, reversal, kind, not_chased)
+    headers = headers.groupBy(*key).agg(F.min("post_date").alias("post_date"))
+    out = headers.join(lines, key, "left").withColumn("amount", signed("amount", "dc", CREDIT))
+    out = lookup(out, customers, ["customer"], ["postcode", "product_line"])
+    office = areas.groupBy("customer").agg(F.min("office").alias("office"))
+    out = lookup(out, office, ["customer"], ["office"])
+    out = out.withColumn("sale_type", first_match([(F.col("office").like(p), k) for p, k in kinds], DEFAULT_MEMBER))
+    levels = [c for c in territory.columns if c not in ("product_line", "sale_type", "pincode")]
+    out = lookup(out, territory, ["product_line", "sale_type", ("postcode", "pincode")], levels)
+    return out.fillna(DEFAULT_MEMBER, subset=levels).drop("office")

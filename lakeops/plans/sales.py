@@ -310,6 +310,25 @@ def invoice_fact(items: DataFrame, headers: DataFrame, partners: DataFrame, role
     })
 
 
+def with_documents(lines: DataFrame, accounting: DataFrame, ledger: DataFrame, excise: DataFrame,
+                   order_lines: DataFrame) -> DataFrame:
+    """Invoice lines with their accounting document, excise document and sales order line.
+
+    accounting: doc, company, document, year (of the types that post invoices); ledger: company,
+    document, year, item, place, of which item 1 counts; excise: ref_doc, ref_line, number, date,
+    of which the first number counts; order_lines: order, order_line, route, order_date. Lines
+    keep what they have; each side is brought to one row per key first, so none multiplies them.
+    """
+    posted = accounting.groupBy("doc").agg(F.min(F.struct("document", "company", "year")).alias("__p")).select("doc", "__p.*")
+    places = ledger.where("item = 1").groupBy("company", "document", "year").agg(F.min("place").alias("place"))
+    posted = lookup(posted, places, ["company", "document", "year"], [("place", "business_place")])
+    out = lookup(lines, posted, ["doc"], [("document", "account_document"), "company", "year", "business_place"])
+    first = excise.groupBy("ref_doc", "ref_line").agg(F.min(F.struct("number", "date")).alias("__e")).select(
+        "ref_doc", "ref_line", F.col("__e.number").alias("excise_number"), F.col("__e.date").alias("excise_date"))
+    out = lookup(out, first, ["ref_doc", "ref_line"], ["excise_number", "excise_date"])
+    return lookup(out, order_lines, ["order", "order_line"], ["route", "order_date"])
+
+
 def open_orders(lines: DataFrame, deliveries: DataFrame, from_date: str, to_date: str, keys: list[str]) -> DataFrame:
     """What is still to deliver on recent order lines, split by credit status.
 

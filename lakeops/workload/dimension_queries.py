@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.columns import first_match
+from ..functions.columns import first_match, pad_id
 from ..operators.ingest import ColumnMeta
 from ..operators.joins import lookup
 from ..plans import dims as d, security as sec
@@ -138,3 +138,60 @@ def sales_access_map(t: Tables) -> DataFrame:
         F.when(rest == 1, "zone").when(rest == 2, "Global").otherwise("State").alias("geo_unit_type"),
         F.when(rest == 3, "Others").otherwise(F.col("c_mktsegment")).alias("product_line"), F.lit("retail").alias("sale_type"))
     return sec.expand_sales_grants(grants, territory(t))
+
+
+@query("""SELECT s.s_suppkey AS service, s.s_name AS description, n.n_name AS material_group, CASE WHEN s.s_nationkey % 2 = 0 THEN r.r_name END AS valuation_class
+FROM supplier s LEFT JOIN nation n ON n.n_nationkey = s.s_nationkey LEFT JOIN region r ON r.r_regionkey = n.n_regionkey""")
+def service_dimension(t: Tables) -> DataFrame:
+    """Services with two texts: only even groups have a valuation class."""
+    c = F.col
+    members = lookup(t.supplier, t.nation, [("s_nationkey", "n_nationkey")], ["n_regionkey"]).select(
+        c("s_suppkey").alias("service"), c("s_name").alias("description"), c("s_nationkey").alias("group"),
+        F.when(c("s_nationkey") % 2 == 0, c("n_regionkey")).alias("class"))
+    groups = t.nation.select(c("n_nationkey").alias("group"), c("n_name").alias("text"))
+    classes = t.region.select(c("r_regionkey").alias("class"), c("r_name").alias("text"))
+    known = members.where("service % 2 = 0").select("service", c("service").alias("service_key"))
+    out = d.keyed_with_texts(members, [(groups, "group", "text", "material_group"), (classes, "class", "text", "valuation_class")],
+                             ["service"], known, "service_key")
+    return out.select("service", "description", "material_group", "valuation_class")
+
+
+@query("""SELECT l_partkey AS chapter, changed_on, n, min(changed_on) OVER (PARTITION BY l_partkey) AS created_date
+FROM (SELECT l_partkey, l_shipdate::DATE AS changed_on, count(*) AS n FROM lineitem GROUP BY 1, 2)""")
+def chapter_dimension(t: Tables) -> DataFrame:
+    versions = t.lineitem.groupBy(F.col("l_partkey").alias("chapter"), F.col("l_shipdate").cast("date").alias("changed_on")).agg(
+        F.count(F.lit(1)).alias("n"))
+    return d.with_created_date(versions, "chapter", "changed_on")
+
+
+@query("""SELECT lpad(c_custkey::VARCHAR, 10, '0') AS gl_code, c_name AS name, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment || ' text' END AS group_text
+FROM customer""")
+def ledger_account_dimension(t: Tables) -> DataFrame:
+    """Ledger accounts: padded codes, a text per group in one language; one group has none."""
+    c = F.col
+    members = t.customer.select(pad_id("c_custkey", 10).alias("gl_code"), c("c_name").alias("name"), c("c_mktsegment").alias("group"))
+    texts = t.customer.select(c("c_mktsegment").alias("group"), F.concat("c_mktsegment", F.lit(" text")).alias("text"),
+                              F.when(c("c_mktsegment") == "BUILDING", "D").otherwise("E").alias("lang"))
+    none = members.limit(0).select("gl_code", F.lit(0).alias("gl_key"))
+    out = d.keyed_with_texts(members, [(texts, "group", "text", "group_text")], ["gl_code"], none, "gl_key", "E")
+    return out.select("gl_code", "name", "group_text")
+
+
+_TEXTS = {"storage_location": "A", "defect": "N", "characteristic": "R"}
+
+
+@query("""SELECT DISTINCT CASE l_returnflag WHEN 'A' THEN 'storage_location' WHEN 'N' THEN 'defect' ELSE 'characteristic' END AS kind,
+l_suppkey || '-' || l_linenumber AS code, 'text ' || l_linenumber AS name FROM lineitem WHERE l_linestatus = 'F'""")
+def code_text_dimensions(t: Tables) -> DataFrame:
+    """Storage locations, defects and inspection characteristics: codes with their text in one language, each keyed."""
+    c = F.col
+    out = []
+    for kind, flag in _TEXTS.items():
+        texts = t.lineitem.where(c("l_returnflag") == flag).select(
+            F.concat(c("l_suppkey").cast("string"), F.lit("-"), c("l_linenumber").cast("string")).alias("CODE"),
+            F.concat(F.lit("text "), c("l_linenumber").cast("string")).alias("TXT"), c("l_linestatus").alias("lang")).distinct()
+        meta = [ColumnMeta("CODE", "code", processed="code"), ColumnMeta("TXT", "name", processed="name")]
+        none = texts.limit(0).select(c("CODE").alias("code"), F.lit(0).alias("key"))
+        keyed = d.text_dimension(texts, "F", meta, none, ["code"], "key")
+        out.append(keyed.select(F.lit(kind).alias("kind"), "code", "name"))
+    return out[0].unionByName(out[1]).unionByName(out[2])

@@ -58,6 +58,21 @@ def open_purchase_orders(t: Tables) -> DataFrame:
         "to_deliver_value", "to_invoice_value", "status")
 
 
+@query("""WITH s AS (SELECT l_orderkey AS doc, l_linenumber AS item, l_partkey AS req, l_suppkey % 10 AS req_item FROM lineitem),
+q AS (SELECT p_partkey AS req, n AS req_item, DATE '2000-01-01' + ((p_size * 7 + n) % 300)::INTEGER AS released,
+  CASE WHEN p_partkey % 6 = 0 THEN 'L' END AS deleted FROM part, (SELECT unnest(range(0, 8)) AS n))
+SELECT doc, item, max(released) AS release_date FROM s LEFT JOIN (SELECT * FROM q WHERE deleted IS NULL OR deleted <> 'L') r USING (req, req_item) GROUP BY 1, 2""")
+def order_release_dates(t: Tables) -> DataFrame:
+    """Schedule lines of two requisition items out of ten have no requisition; every sixth requisition is deleted."""
+    schedule = t.lineitem.select(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("item"), F.col("l_partkey").alias("requisition"),
+                                 (F.col("l_suppkey") % 10).cast("int").alias("requisition_item"))
+    requisitions = t.part.select(F.col("p_partkey").alias("requisition"), "p_size", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("requisition_item"))
+    requisitions = requisitions.select(
+        "requisition", "requisition_item", F.when(F.col("requisition") % 6 == 0, "L").alias("deleted"),
+        F.date_add(F.lit("2000-01-01").cast("date"), ((F.col("p_size") * 7 + F.col("requisition_item")) % 300).cast("int")).alias("release_date"))
+    return p.release_dates(schedule, requisitions, ["doc", "item"])
+
+
 @query(f"""WITH {PO}, packs AS (SELECT l_orderkey * 10 + l_linenumber AS package, -(l_orderkey * 10 + l_linenumber) AS sub, 0.0 AS quantity, 0.0 AS value FROM items),
 svc AS (SELECT l_orderkey, l_linenumber, quantity AS sq, price AS sv FROM items WHERE l_linenumber <= 3),
 s AS (SELECT po.*, CASE WHEN l_linenumber = 1 THEN 'CAPITAL' WHEN l_linenumber <= 3 THEN 'PLANNED' ELSE 'GOODS' END AS kind, sq, sv, quantity * under_pct / 100 AS tol FROM po LEFT JOIN svc USING (l_orderkey, l_linenumber))

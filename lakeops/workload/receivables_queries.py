@@ -124,20 +124,36 @@ def security_deposits(t: Tables) -> DataFrame:
     return r.security_deposits(all_items(t), AS_OF, ("A",), excluded)
 
 
-@query(f"""WITH {SALES_ORDERS}, docs AS (SELECT o_orderkey AS doc, order_date AS post_date, o_orderstatus,
+@query(f"""WITH {SALES_ORDERS}, docs AS (SELECT o_orderkey AS doc, order_date AS post_date, o_orderstatus, o_orderpriority,
   CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey + 3 END AS reversed_by FROM sales_orders),
 payments AS (SELECT * FROM docs WHERE o_orderstatus = 'F'),
-headers AS (SELECT doc, post_date FROM payments UNION SELECT d.doc, d.post_date FROM docs d JOIN payments p ON p.reversed_by = d.doc)
-SELECT h.doc, h.post_date, l.l_linenumber AS item, l.l_linestatus AS dc,
-sum(CASE WHEN l.l_linestatus = 'O' THEN -l.l_extendedprice::DECIMAL(18,2) ELSE l.l_extendedprice::DECIMAL(18,2) END)::DOUBLE AS amount
-FROM headers h LEFT JOIN lineitem l ON l.l_orderkey = h.doc GROUP BY 1, 2, 3, 4""")
+headers AS (SELECT doc, post_date FROM payments UNION SELECT d.doc, d.post_date FROM docs d JOIN payments p ON p.reversed_by = d.doc AND p.o_orderpriority <> '3-MEDIUM'),
+line AS (SELECT l_orderkey AS doc, l_linenumber AS item, l_linestatus AS dc, o_custkey AS customer,
+  sum(CASE WHEN l_linestatus = 'O' THEN -l_extendedprice::DECIMAL(18,2) ELSE l_extendedprice::DECIMAL(18,2) END) AS amount
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1, 2, 3, 4),
+offices AS (SELECT o_custkey AS customer, min(o_orderpriority) AS office FROM orders WHERE o_custkey % 10 <> 0 GROUP BY 1),
+typed AS (SELECT h.doc, h.post_date, l.item, l.dc, l.customer, l.amount, 'C' || c_custkey AS postcode, c_mktsegment AS line,
+  CASE WHEN office LIKE '%URGENT%' THEN 'EXPORTS' WHEN office LIKE '%HIGH%' THEN 'PROJECT' ELSE '<DEFAULT>' END AS sale_type
+  FROM headers h LEFT JOIN line l ON l.doc = h.doc LEFT JOIN customer ON c_custkey = l.customer LEFT JOIN offices f ON f.customer = l.customer)
+SELECT doc, post_date, item, dc, customer, line, sale_type, amount::DOUBLE AS amount,
+CASE WHEN sale_type = 'EXPORTS' THEN n_name ELSE '<DEFAULT>' END AS state, CASE WHEN sale_type = 'EXPORTS' THEN r_name ELSE '<DEFAULT>' END AS zone
+FROM typed LEFT JOIN customer ON c_custkey = customer LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey""".replace(
+    "WHEN sale_type = 'EXPORTS' THEN", "WHEN sale_type = 'EXPORTS' AND customer IS NOT NULL THEN"))
 def collections(t: Tables) -> DataFrame:
     docs = t.sales_orders.select(
-        F.col("o_orderkey").alias("doc"), F.col("order_date").alias("post_date"), "o_orderstatus",
+        F.col("o_orderkey").alias("doc"), F.col("order_date").alias("post_date"), "o_orderstatus", "o_orderpriority",
         F.when(F.col("o_orderkey") % 5 == 0, F.col("o_orderkey") + 3).alias("reversed_by"))
-    lines = t.lines.select(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("item"),
-                           F.when(F.col("l_linestatus") == "O", "H").otherwise(F.col("l_linestatus")).alias("dc"),
-                           F.col("price").alias("amount"))
-    out = r.collections(docs.where("o_orderstatus = 'F'"), docs, lines, ["doc"], ["reversed_by"])
-    shown = F.when(F.col("dc") == "H", "O").otherwise(F.col("dc"))
-    return out.groupBy("doc", "post_date", "item", shown.alias("dc")).agg(F.sum("amount").alias("amount"))
+    lines = lookup(t.lines, t.orders, [("l_orderkey", "o_orderkey")], [("o_custkey", "customer")], how="inner").groupBy(
+        F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("item"),
+        F.when(F.col("l_linestatus") == "O", "H").otherwise(F.col("l_linestatus")).alias("dc"), "customer").agg(F.sum("price").alias("amount"))
+    places = lookup(t.nation, t.region, [("n_regionkey", "r_regionkey")], [("r_name", "zone")], how="inner")
+    homes = lookup(t.customer, places, [("c_nationkey", "n_nationkey")], [("n_name", "state"), "zone"], how="inner")
+    code = F.concat(F.lit("C"), F.col("c_custkey").cast("string"))
+    # Every tenth customer has no sales area; only exports have a territory.
+    territory = homes.select(F.col("c_mktsegment").alias("product_line"), F.lit("EXPORTS").alias("sale_type"), code.alias("pincode"), "state", "zone")
+    customers = t.customer.select(F.col("c_custkey").alias("customer"), code.alias("postcode"), F.col("c_mktsegment").alias("product_line"))
+    areas = t.orders.where("o_custkey % 10 <> 0").select(F.col("o_custkey").alias("customer"), F.col("o_orderpriority").alias("office"))
+    out = r.collections(docs.where("o_orderstatus = 'F'"), docs, lines, ["doc"], ["reversed_by"], customers, areas,
+                        [("%URGENT%", "EXPORTS"), ("%HIGH%", "PROJECT")], territory, "o_orderpriority", ("3-MEDIUM",))
+    return out.select("doc", "post_date", "item", F.when(F.col("dc") == "H", "O").otherwise(F.col("dc")).alias("dc"), "customer",
+                      F.col("product_line").alias("line"), "sale_type", "amount", "state", "zone")

@@ -111,9 +111,9 @@ def plants(t: Tables) -> DataFrame:
                              (F.col("s_suppkey") % 10).alias("report_plant"))
 
 
-ROLES = {"1": "payer", "2": "ship_to", "3": "agent"}
+ROLES = {"1": "payer", "2": "ship_to", "3": "agent", "4": "agent_part", "5": "transporter", "6": "employee", "7": "sold_to"}
 FACT_MEASURES = [s.Measure("header_freight", ("ZF00",)), s.Measure("part_freight", ("ZF01", "ZF02")),
-                 s.Measure("rebate", ("ZD01",), negate=True)]
+                 s.Measure("rebate", ("ZD01",), negate=True), *s.INVOICE_MEASURES]
 
 
 def invoice_lines(t: Tables) -> DataFrame:
@@ -128,22 +128,44 @@ def invoice_lines(t: Tables) -> DataFrame:
         F.when(F.col("o_orderstatus") == "P", "X").alias("cancelled"))
     partners = t.lineitem.select(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").cast("string").alias("role"),
                                  F.col("l_suppkey").alias("party"))
-    return s.invoice_fact(items, headers, partners, ROLES, conditions(t), FACT_MEASURES, weight_versions(t), plants(t),
-                          weight_keys=("material",))
+    out = s.invoice_fact(items, headers, partners, ROLES, conditions(t), FACT_MEASURES, weight_versions(t), plants(t),
+                         weight_keys=("material",))
+    # Every ninth invoice is not posted, the rest are posted twice; returns have no excise document.
+    doc = F.col("o_orderkey")
+    accounting = t.sales_orders.where("o_orderkey % 9 <> 0").select(
+        doc.alias("doc"), F.when(doc % 2 == 0, "1000").otherwise("2000").alias("company"),
+        F.explode(F.array(doc * 10, doc * 10 + 1)).alias("document"), F.year("order_date").alias("year"))
+    ledger = t.sales_orders.where("o_orderkey % 5 <> 0").select(
+        F.when(doc % 2 == 0, "1000").otherwise("2000").alias("company"), (doc * 10).alias("document"),
+        F.year("order_date").alias("year"), F.explode(F.array(F.lit(1), F.lit(2))).alias("item"), (F.col("o_custkey") % 7).alias("place"))
+    excise = t.lines.where("l_returnflag <> 'R'").select(
+        F.col("l_orderkey").alias("ref_doc"), F.col("l_linenumber").alias("ref_line"), F.col("l_partkey").alias("number"),
+        F.col("ship_date").alias("date"))
+    order_lines = t.items.join(t.sales_orders, F.col("l_orderkey") == doc).where("l_linenumber < 6").select(
+        F.col("l_orderkey").alias("order"), F.col("l_linenumber").alias("order_line"),
+        F.concat(F.lit("R"), F.col("suppkey").cast("string")).alias("route"), "order_date")
+    keyed = out.withColumns({"ref_doc": F.col("doc"), "ref_line": F.col("line"), "order": F.col("doc"), "order_line": F.col("line")})
+    return s.with_documents(keyed, accounting, ledger, excise, order_lines).drop("ref_doc", "ref_line", "order", "order_line")
 
 
 @query(f"""WITH {ITEMS}, {SALES_ORDERS}, {RATES}, {PLANTS}, {CONDITIONS.replace(LINES + ', ', '')},
 sums AS (SELECT doc, line, sum(value) FILTER (code = 'ZF00') AS h, sum(value) FILTER (code IN ('ZF01', 'ZF02')) AS p,
-  sum(-value) FILTER (code = 'ZD01') AS r FROM conditions GROUP BY 1, 2),
-parties AS (SELECT l_orderkey AS doc, max(l_suppkey) FILTER (l_linenumber = 1) AS payer_party,
-  max(l_suppkey) FILTER (l_linenumber = 2) AS ship_to_party, max(l_suppkey) FILTER (l_linenumber = 3) AS agent_party
-  FROM lines WHERE l_linenumber IN (1, 2, 3) GROUP BY 1),
+  sum(-value) FILTER (code = 'ZD01') AS r, {', '.join(f'{v} AS {k}' for k, v in MEASURE_SQL.items())},
+  sum(CASE WHEN code IN ('ZBPB', 'ZTBM') THEN value::DOUBLE / quantity::DOUBLE ELSE 0 END) AS zbpb_pu FROM conditions GROUP BY 1, 2),
+parties AS (SELECT l_orderkey AS doc, {', '.join(f"max(l_suppkey) FILTER (l_linenumber = {n}) AS {p}_party" for n, p in ROLES.items())}
+  FROM lines GROUP BY 1),
+posted AS (SELECT o_orderkey AS doc, CASE WHEN o_orderkey % 2 = 0 THEN '1000' ELSE '2000' END AS company, o_orderkey * 10 AS document,
+  year(order_date) AS year, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey % 7 END AS place FROM sales_orders WHERE o_orderkey % 9 <> 0),
+excise AS (SELECT l_orderkey, l_linenumber, min((l_partkey, ship_date)) AS e FROM lines WHERE l_returnflag <> 'R' GROUP BY 1, 2),
 heads AS (SELECT *, CASE WHEN o_orderkey % 4 = 0 THEN o_custkey + 1 ELSE o_custkey END AS payer,
   CASE WHEN o_custkey % 2 = 0 THEN '2000' ELSE '1000' END AS org FROM sales_orders)
 SELECT i.l_orderkey AS doc, i.l_linenumber AS line, i.partkey AS material, i.suppkey AS plant, o.order_date AS date,
   o.o_custkey AS sold_to, o.payer, o.org, i.quantity::DOUBLE AS quantity, i.price::DOUBLE AS net,
   (i.price * 0.18)::DECIMAL(18,2)::DOUBLE AS tax, (i.price + (i.price * 0.18)::DECIMAL(18,2))::DOUBLE AS total,
-  y.payer_party, y.ship_to_party, y.agent_party, {near("(i.quantity * w.weight)::DOUBLE / 1000")} AS weight_mt,
+  {', '.join(f'y.{p}_party' for p in ROLES.values())}, {', '.join(f'coalesce(m.{k}, 0)::DOUBLE AS {k}' for k in MEASURE_SQL)},
+  {near('coalesce(m.zbpb_pu, 0)')} AS zbpb_pu, a.document AS account_document, a.company, a.year, a.place AS business_place,
+  e.e[1] AS excise_number, e.e[2] AS excise_date, CASE WHEN i.l_linenumber < 6 THEN 'R' || i.suppkey END AS route,
+  CASE WHEN i.l_linenumber < 6 THEN o.order_date END AS order_date, {near("(i.quantity * w.weight)::DOUBLE / 1000")} AS weight_mt,
   coalesce(m.h, 0)::DOUBLE AS header_freight, coalesce(m.p, 0)::DOUBLE AS part_freight, coalesce(m.r, 0)::DOUBLE AS rebate,
   CASE WHEN o.o_orderstatus = 'P' THEN 'CANCELLED' ELSE 'BILLED' END AS status,
   CASE WHEN o.payer <> o.o_custkey THEN 'Sub Dealer' ELSE 'Direct' END AS customer_type,
@@ -152,7 +174,8 @@ SELECT i.l_orderkey AS doc, i.l_linenumber AS line, i.partkey AS material, i.sup
   CASE o.org WHEN '1000' THEN coalesce(m.h, 0) - 0 ELSE coalesce(m.p, 0) END::DOUBLE AS total_freight
 FROM items i JOIN heads o ON o.o_orderkey = i.l_orderkey LEFT JOIN plants p ON p.plant = i.suppkey
 LEFT JOIN rates w ON w.material = i.partkey AND o.order_date BETWEEN w.valid_from AND w.valid_to
-LEFT JOIN parties y ON y.doc = i.l_orderkey LEFT JOIN sums m ON m.doc = i.l_orderkey AND m.line = i.l_linenumber""")
+LEFT JOIN parties y ON y.doc = i.l_orderkey LEFT JOIN sums m ON m.doc = i.l_orderkey AND m.line = i.l_linenumber
+LEFT JOIN posted a ON a.doc = i.l_orderkey LEFT JOIN excise e ON e.l_orderkey = i.l_orderkey AND e.l_linenumber = i.l_linenumber""")
 def invoice_fact(t: Tables) -> DataFrame:
     out = invoice_lines(t)
     c = F.col
@@ -161,7 +184,7 @@ def invoice_fact(t: Tables) -> DataFrame:
         "total_freight": s.total_freight(c("org"), c("header_freight"), F.lit(0), [c("part_freight")], ("1000",),
                                          ("2000", "3000")),
     })
-    return rounded(out, ["weight_mt"]).drop("is_plant", "report_plant", "weight", "cancelled")
+    return rounded(out, ["weight_mt", "zbpb_pu"]).drop("is_plant", "report_plant", "weight", "cancelled")
 
 
 @query("""SELECT l.l_orderkey, l.l_linenumber, sum(CASE WHEN p.p_type IN ('ECONOMY', 'SMALL') THEN l.l_extendedprice::DECIMAL(18,2)
