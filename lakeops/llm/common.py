@@ -54,6 +54,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def sample_texts(docs: DataFrame, doc_id: str, text: str, most: int, chars: int) -> list[str]:
+    """At most ``most`` texts of at most ``chars`` characters: those whose id and text hash lowest.
+
+    Only rows with hashes so low that a few times ``most`` are expected are sorted, so that the
+    driver gets as much from many partitions as from few.
+    """
+    rows = docs.select(docs[text].alias("text"), F.xxhash64(docs[doc_id], docs[text]).alias("h")).where(
+        F.col("text").isNotNull() & (F.length("text") <= chars))
+    share = min(1.0, 8 * most / max(1, docs.count()))
+    lowest = F.lit(int(-2 ** 63 + share * (2 ** 64 - 2048)))
+    return [r["text"] for r in rows.where(F.col("h") <= lowest).orderBy("h", "text").limit(most).collect()]
+
+
 def spare(df: DataFrame, name: str) -> str:
     """A column name the frame does not have."""
     taken = {c.lower() for c in df.columns}

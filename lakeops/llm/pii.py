@@ -17,9 +17,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from .common import as_batch, keyed_texts, ship, texts_of
+from .common import as_batch, keyed_texts, sample_texts, ship, texts_of
 
 # Fixed patterns and their order.
 KINDS = ("email", "ip", "card", "phone")
@@ -338,10 +338,7 @@ def _planted(rng: random.Random, text: str) -> Iterator[tuple[str, set[tuple[int
 
 
 def training_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = SAMPLE_TEXTS) -> list[str]:
-    """At most ``most`` texts of at most ``SAMPLE_CHARS`` characters: those whose id and text hash lowest."""
-    rows = docs.select(docs[text].alias("text"), F.xxhash64(docs[doc_id], docs[text]).alias("h")).where(
-        F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS)).orderBy("h", "text").limit(most)
-    return [r["text"] for r in rows.collect()]
+    return sample_texts(docs, doc_id, text, most, SAMPLE_CHARS)
 
 
 def shown(spans: list[tuple[str, int, int]]) -> str:
