@@ -16,9 +16,12 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -71,7 +74,7 @@ class Index:
     questions: list[list[bytes]]
     answers: list[list[bytes]]
     terms: dict[bytes, int]
-    postings: list[tuple[np.ndarray, np.ndarray]]
+    postings: list[tuple[list[int], list[float]]]
     maxima: np.ndarray
     block_items: int
     longest: int
@@ -101,7 +104,7 @@ def build_index(items: list[tuple[int, str]]) -> Index:
     for term, t in terms.items():
         at = np.array([n for n, _ in lists[term]], np.int32)
         impacts = np.array([v for _, v in lists[term]], np.float64)
-        postings.append((at, impacts))
+        postings.append((at.tolist(), impacts.tolist()))
         # Rounded up, so that sums in single precision stay bounds.
         np.maximum.at(maxima[t], at // block_items, (impacts * 1.0001 + 1e-7).astype(np.float32))
     pairs = [split_item(t) for _, _, t in read]
@@ -117,11 +120,11 @@ def search_block(index: Index, terms: list[int], block: int, threshold: float) -
         bound = float(index.maxima[t, block])
         if bound > 0:
             at, impacts = index.postings[t]
-            i = int(np.searchsorted(at, low))
-            cursors.append([int(at[i]), bound, i, at, impacts])
+            i = bisect_left(at, low)
+            cursors.append([at[i], bound, i, at, impacts])
     found = []
     while cursors:
-        cursors.sort(key=lambda c: c[0])
+        cursors.sort(key=itemgetter(0))
         bound, pivot = 0.0, None
         for c in cursors:
             bound += c[1]
@@ -130,17 +133,18 @@ def search_block(index: Index, terms: list[int], block: int, threshold: float) -
                 break
         if pivot is None:
             break
-        score = 0.0
+        # All cursors at the pivot: score it and pass it. Else those before it skip to it.
+        whole = cursors[0][0] == pivot
+        goal, score = pivot + whole, 0.0
         for c in cursors:
-            if cursors[0][0] == pivot and c[0] == pivot:
-                score += float(c[4][c[2]])
-            if c[0] <= pivot:
-                goal = pivot + (cursors[0][0] == pivot)
-                c[2] += int(np.searchsorted(c[3][c[2]:], goal)) if c[0] < goal else 0
-        if cursors[0][0] == pivot and score >= threshold:
+            if c[0] >= goal:
+                break
+            if whole:
+                score += c[4][c[2]]
+            c[2] = bisect_left(c[3], goal, c[2])
+            c[0] = c[3][c[2]] if c[2] < len(c[3]) else high
+        if whole and score >= threshold:
             found.append((pivot, score))
-        for c in cursors:
-            c[0] = int(c[3][c[2]]) if c[2] < len(c[3]) else high
         cursors = [c for c in cursors if c[0] < high]
     return found
 
@@ -182,7 +186,7 @@ def leaks_in(index: Index, text: str, threshold: float, overlap: float) -> list[
     """(item, score, question share, answer share) of each leaked item."""
     words = words_of(text)
     get, none = index.terms.get, len(index.postings)
-    ids = np.fromiter((get(w, none) for w in words), np.int32, len(words))
+    ids = np.fromiter(map(get, words, repeat(none)), np.int32, len(words))
     best = search_document(index, ids, threshold)
     if not best:
         return []
