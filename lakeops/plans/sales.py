@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.columns import first_match, is_blank, ratio
 from ..operators.joins import effective_dated, lookup, role_columns, semi
@@ -115,6 +116,9 @@ def base_price(conditions: DataFrame, keys: list[str]) -> DataFrame:
         F.coalesce(price.cast("decimal(25,2)"), F.lit(0).cast("decimal(25,2)")).alias("base_price"))
 
 
+UNITS = "__units_of_"
+
+
 @dataclass(frozen=True)
 class Measure:
     """One conditional sum over the condition lines of an invoice line."""
@@ -132,13 +136,29 @@ class Measure:
     any_code: bool = False
     otherwise: str | None = None
 
-    def expression(self) -> Column:
+    def hit(self) -> Column:
         by = F.col(self.by)
         hit = by.isNotNull() if self.any_code else by.isin(*self.codes)
         if self.other_than:
             hit = ~by.isin(*self.codes)
         if self.not_billing:
             hit = hit & ~F.col("billing_type").isin(*self.not_billing)
+        return hit
+
+    def in_units(self, scale: int) -> Column:
+        """The same sum over the column's smallest units, kept as a long (``UNITS`` + column)."""
+        units = F.col(UNITS + self.column)
+        if self.negate:
+            units = -units
+        scale += self.percent
+        if self.otherwise:
+            total = F.sum(F.when(self.hit(), units).otherwise(F.col(UNITS + self.otherwise) * (10 if self.percent else 1)))
+        else:
+            total = sum_when(self.hit(), units)
+        return (total.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-scale))).alias(self.name)
+
+    def expression(self) -> Column:
+        hit = self.hit()
         amount = F.col(self.column)
         if self.percent:
             amount = amount * F.lit("0.1").cast("decimal(2,1)")
@@ -185,8 +205,19 @@ INVOICE_MEASURES = [
 
 
 def condition_measures(conditions: DataFrame, keys: list[str], measures: list[Measure]) -> DataFrame:
-    """All conditional sums of a (document, line) in one aggregation."""
-    return conditions.groupBy(*keys).agg(*[m.expression() for m in measures])
+    """All conditional sums of a (document, line) in one aggregation.
+
+    A decimal of up to 18 digits is summed in its smallest units, which a long holds whatever the
+    value: dozens of sums then need no decimal objects. A sum beyond a long fails the query.
+    """
+    scales = {f.name: f.dataType.scale for f in conditions.schema.fields
+              if isinstance(f.dataType, T.DecimalType) and f.dataType.precision <= 18}
+    plain = lambda m: not m.times and not m.per and m.column in scales and (
+        not m.otherwise or scales.get(m.otherwise) == scales[m.column])
+    used = {c for m in measures if plain(m) for c in (m.column, m.otherwise) if c}
+    units = {UNITS + c: (F.col(c) * 10 ** scales[c]).cast("bigint") for c in sorted(used)}
+    return conditions.withColumns(units).groupBy(*keys).agg(*[
+        m.in_units(scales[m.column]) if plain(m) else m.expression() for m in measures])
 
 
 # Fixed values: (customer groups, channel, product line) to sales type, first match wins.
