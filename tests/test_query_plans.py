@@ -9,8 +9,9 @@ FOLDER = "/root/testdata/sf0.001"
 QUERIES = {name: run for name, run in entry.queries().items() if name in NAMES}
 # Broadcast by hint: bucket starts (at most 4096 rows) and the newest n snapshot dates.
 BOUNDED = {
-    "assign_surrogate_keys", "export_latest_snapshots", "junk_dimension", "lookup_surrogate_keys",
-    "rates_spread_over_geography", "sheets_with_keys", "text_dimension", "unmapped_quarantine",
+    "assign_surrogate_keys", "code_text_dimensions", "export_latest_snapshots", "junk_dimension", "ledger_account_dimension",
+    "lookup_surrogate_keys", "rates_spread_over_geography", "service_dimension", "sheets_with_keys", "text_dimension",
+    "unmapped_quarantine",
 }
 
 
@@ -34,6 +35,18 @@ def test_shuffles_only_by_key(no_broadcast, name):
         assert "BroadcastHashJoin" not in text
 
 
+@pytest.mark.parametrize("name", ["dedupe_by_key", "latest_row_per_key", "ranked_dedupe", "scd1_dimension"])
+def test_one_row_per_key_is_limited_before_the_shuffle(no_broadcast, name):
+    text = plan(QUERIES[name](no_broadcast, FOLDER))
+    assert "SortAggregate" not in text and text.count("WindowGroupLimit") == 2
+    partial, exchange = text.rindex("WindowGroupLimit"), text.rindex("Exchange hashpartitioning")
+    assert exchange < partial  # the tree reads from the result down to the scan
+
+
+def test_transfers_read_excise_once(no_broadcast):
+    assert plan(QUERIES["stock_transfers"](no_broadcast, FOLDER)).count("FileScan parquet") <= 5
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     text = plan(QUERIES["between_dates"](spark, FOLDER))
     assert "GreaterThanOrEqual(o_orderdate" in text and "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in text
