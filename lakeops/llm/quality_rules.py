@@ -185,9 +185,9 @@ def verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     stats = settled(stats.withColumns({"_group": group, "_wide": wide}).drop("lang", "source"))
 
     sizes = stats.groupBy("_group", "_wide").agg(F.count("*").alias("n"))
-    everything = Window.partitionBy(F.lit(0))
+    everything = stats.agg(F.count("*").alias("n")).scalar()
     chosen = settled(sizes.withColumns({
-        "n_wide": F.sum("n").over(Window.partitionBy("_wide")), "n_all": F.sum("n").over(everything)}).select(
+        "n_wide": F.sum("n").over(Window.partitionBy("_wide")), "n_all": everything}).select(
         "_group", F.when(F.col("n") >= least_rows, F.col("_group")).when(F.col("n_wide") >= least_rows, F.col("_wide"))
         .when(F.col("n_all") >= least_rows, F.lit("")).alias("_by")))
     rows = stats.select(F.explode(F.array("_group", "_wide", F.lit(""))).alias("_by"), *STATS)
