@@ -240,10 +240,12 @@ def one_of_each(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int
     nameless = F.xxhash64(F.coalesce(docs[text], F.lit(""))).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
     own, key = spare(docs, "own_id"), spare(docs, "text_key")
     marked = docs.withColumns({own: F.coalesce(docs[doc_id].cast("bigint"), nameless), key: F.xxhash64(docs[text])})
-    found = near_duplicates(marked, shingle_words, radius, own, text, (key,))
+    found = settled(near_duplicates(marked, shingle_words, radius, own, text, (key,)))
     left = without(marked, marked, found.where("component_id != doc_id"), own, key)
-    repeated = found.where("component_id = doc_id").groupBy("doc_id").agg(
-        F.count("*").alias("rows"), F.min(key).alias("first_key")).where("rows > 1")
+    repeated = settled(found.where("component_id = doc_id").groupBy("doc_id").agg(
+        F.count("*").alias("rows"), F.min(key).alias("first_key")).where("rows > 1"))
+    if repeated.isEmpty():
+        return left.select(*docs.columns)
     shared = left[own] == repeated["doc_id"]
     single = left.join(repeated, shared, "left_anti").select(*[left[c] for c in docs.columns])
     again = left.join(repeated, shared & (left[key] == repeated["first_key"]), "left_semi")
