@@ -3,11 +3,12 @@
 Pages of a host are aligned, by simple tree matching, with one page of the host, the pivot. The
 pivot's text nodes are the wrapper's slots: a slot whose text is the same on nearly all different
 pages is template, a slot that varies is content. Each page is then read through its host's
-wrapper: nodes aligned with template slots go, what varies stays.
+wrapper: nodes that are aligned with template slots and say the same go, what varies stays.
 
 What pages mark themselves is known before: menus, headers, footers, sidebars, notices, adverts,
 forms and comments (by element, role, class or id) are never content, and where a page has an
-``article`` or ``main`` element, the content is all of it: a passage many articles share is text.
+``article`` or ``main`` element, the content is inside it. A passage many articles share is text; of
+the template only what an element of its own sets apart goes there.
 """
 
 from __future__ import annotations
@@ -46,6 +47,8 @@ NAMES = re.compile(
     r"recommendations|share|sharing|social|breadcrumbs?|menus?|nav|navbar|navigation|header|masthead|footer|copyright|"
     r"comments?|commentlist|disqus|repl(?:y|ies)|respond|discussion|pagination|pager|toolbar|skip|search)(?=$|[-_ ])", re.I)
 ARTICLE = ("article", "main")
+# Elements that are part of the running text, so that they set nothing apart.
+FLOW = frozenset("article main p h1 h2 h3 h4 h5 h6 li dt dd tr td th thead tbody tfoot caption blockquote pre figcaption summary legend".split())
 
 TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<(/?)([a-zA-Z][^\s/><]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>"
@@ -237,6 +240,10 @@ class Tree:
             self.size[i] += sum(self.size[k] for k in self.kids[i])
             self.shape[i] = shapes.setdefault((self.labels[i], tuple(self.shape[k] for k in self.kids[i])), len(shapes))
 
+    def shown(self) -> list[str]:
+        """The hash of each text run."""
+        return [h for h, label in zip(self.hashes, self.labels, strict=True) if label == "#"]
+
 
 class Matching:
     """Simple tree matching of two trees: the largest number of node pairs that keep order and nesting."""
@@ -307,17 +314,40 @@ class Matching:
         return out
 
 
-def main_text(root: Node, aligned: dict[int, int], template: set[int]) -> str:
-    """The page's content, given which pivot slot each text run is aligned with."""
-    inside = _in_articles(root)
-    kept = []
-    for n, node in enumerate(texts(root)):
-        if node.left_out or (inside and n not in inside):
+def _boxes(root: Node) -> list[range]:
+    """Numbers of the text runs of each element below an article (or main) that sets its content apart."""
+    out: list[range] = []
+    number = 0
+    todo: list[tuple[Node, bool, int]] = [(root, False, -1)]
+    while todo:
+        node, inside, first = todo.pop()
+        if first >= 0:
+            out.append(range(first, number))
             continue
-        if not inside and aligned.get(n) in template:
+        if node.label == "#":
+            number += 1
             continue
-        kept.append(node.text)
-    return "\n".join(kept)
+        if inside and node.label not in FLOW:
+            todo.append((node, inside, number))
+        todo.extend((c, inside or node.label in ARTICLE, -1) for c in reversed(node.children))
+    return out
+
+
+def main_text(root: Node, aligned: dict[int, int], template: set[int]) -> str:
+    """The page's content, given which pivot slot says the same as a text run aligned with it.
+
+    Inside an article a line that all pages have may be text. There only what is set apart by an
+    element of its own, of nothing but template, goes, and never all of an article.
+    """
+    inside = _in_articles(root)
+    runs = texts(root)
+    shown = {n for n, node in enumerate(runs) if not node.left_out and (not inside or n in inside)}
+    constant = {n for n in shown if aligned.get(n) in template}
+    if inside and constant:
+        boxes = [shown.intersection(box) for box in _boxes(root)]
+        constant = set().union(*[box for box in boxes if box <= constant])
+        constant = constant if constant < shown else set()
+    return "\n".join(node.text for n, node in enumerate(runs) if n in shown and n not in constant)
 
 
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
@@ -352,8 +382,7 @@ def induce_wrappers(pages: DataFrame, template_share: float = TEMPLATE_SHARE, le
             for host, lines, pivot in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 shapes: dict = {}
                 a, b = Tree(pivot, shapes), Tree(lines, shapes)
-                slots = [h for h, label in zip(a.hashes, a.labels, strict=True) if label == "#"]
-                shown = [h for h, label in zip(b.hashes, b.labels, strict=True) if label == "#"]
+                slots, shown = a.shown(), b.shown()
                 counts.setdefault((host, -1), [0, 0])[1] += 1
                 for i, j in Matching(a, b).pairs():
                     if slots[i]:
@@ -395,8 +424,9 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
                 aligned: dict[int, int] = {}
                 if template and pivot.is_valid:
                     shapes: dict = {}
-                    pairs = Matching(Tree(pivot.as_py(), shapes), Tree(skeleton(root), shapes)).pairs()
-                    aligned = {j: i for i, j in pairs}
+                    a, b = Tree(pivot.as_py(), shapes), Tree(skeleton(root), shapes)
+                    slots, shown = a.shown(), b.shown()
+                    aligned = {j: i for i, j in Matching(a, b).pairs() if slots[i] == shown[j]}
                 text = main_text(root, aligned, set(template or ()))
                 rows.append((key, address, text, len(text)))
             yield as_batch(rows, EXTRACTED)

@@ -86,3 +86,12 @@ def test_wrappers(spark):
     assert found[60].startswith("Welcome") and found[61].startswith("Welcome") and found[62] == found[None] == ""
     assert all(found[70 + i] == f"Same line\n{i}" for i in range(8))
     assert H.extract(pages.limit(0)).count() == 0
+
+
+def test_wrapper_decides_inside_articles(spark):
+    page = "<article><h1>Shared title</h1><div><p>Share this</p><ul><li>Print</ul></div><div><p>Same line</p><p>text {0}</p></div></article>"
+    rows = [(i, f"http://d.example/{i}", page.format(i)) for i in range(9)]
+    rows += [(20 + i, f"http://e.example/{i}", f"<article><div>All the same</div></article><p>{i}</p>") for i in range(9)]
+    found = {r["page_id"]: r["text"] for r in H.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(found[i] == f"Shared title\nSame line\ntext {i}" for i in range(9))
+    assert all(found[20 + i] == "All the same" for i in range(9))
