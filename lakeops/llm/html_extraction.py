@@ -3,7 +3,8 @@
 Pages of a host are aligned, by simple tree matching, with one page of the host, the pivot. The
 pivot's text nodes are the wrapper's slots: a slot whose text is the same on nearly all different
 pages is template, a slot that varies is content. Each page is then read through its host's
-wrapper: nodes that are aligned with template slots and say the same go, what varies stays.
+wrapper: nodes that are aligned with template slots and say the same go, and so do texts the pivot
+lacks that nearly all pages with a text at that place have; what varies stays.
 
 What pages mark themselves is known before: menus, headers, footers, sidebars, notices, adverts,
 forms and comments (by element, role, class or id) are never content, and where a page has an
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import html
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from hashlib import blake2b
@@ -219,101 +221,170 @@ def skeleton(root: Node) -> str:
 
 
 class Tree:
-    """A skeleton read back: children, text hashes and the number of each text run."""
+    """A skeleton read back: children, text hashes, and the number and the place of each text run.
+
+    A place is a hash of the labels from the root. Trees that share ``shapes`` have equal numbers
+    for equal labels (``kind``), for subtrees of equal labels (``shape``) and of equal labels and
+    texts (``full``).
+    """
 
     def __init__(self, lines: str, shapes: dict):
         self.labels, self.hashes, self.kids, self.number = [], [], [], {}
+        self.place: list[int] = []
         path: list[int] = []
+        places: dict[tuple[int, str], int] = {}
+        deepest = 0
         for i, line in enumerate(lines.split("\n")):
             depth, label, *shown = line.split(" ")
             del path[int(depth):]
             if path:
                 self.kids[path[-1]].append(i)
+            key = self.place[path[-1]] if path else 0, label
+            if key not in places:
+                places[key] = int.from_bytes(blake2b(f"{key[0]} {label}".encode(), digest_size=8).digest(), signed=True)
+            self.place.append(places[key])
             path.append(i)
+            deepest = max(deepest, len(path))
             self.labels.append(label)
             self.hashes.append(shown[0] if shown else "")
             self.kids.append([])
             if label == "#":
                 self.number[i] = len(self.number)
-        self.shape, self.size = [0] * len(self.labels), [1] * len(self.labels)
-        for i in range(len(self.labels) - 1, -1, -1):
-            self.size[i] += sum(self.size[k] for k in self.kids[i])
-            self.shape[i] = shapes.setdefault((self.labels[i], tuple(self.shape[k] for k in self.kids[i])), len(shapes))
+        self.deepest = deepest
+        self.kind = [shapes.setdefault(label, len(shapes)) for label in self.labels]
+        n = len(self.labels)
+        self.shape, self.full, self.size, self.runs = [0] * n, [0] * n, [1] * n, [0] * n
+        for i in range(n - 1, -1, -1):
+            kids = self.kids[i]
+            self.size[i] += sum(self.size[k] for k in kids)
+            self.runs[i] = (self.labels[i] == "#") + sum(self.runs[k] for k in kids)
+            self.shape[i] = shapes.setdefault((self.labels[i], tuple(self.shape[k] for k in kids)), len(shapes))
+            self.full[i] = shapes.setdefault((self.labels[i], self.hashes[i], tuple(self.full[k] for k in kids)), len(shapes))
+        self.columns = np.array([self.kind, self.shape, self.full], np.int64)
 
     def shown(self) -> list[str]:
         """The hash of each text run."""
         return [h for h, label in zip(self.hashes, self.labels, strict=True) if label == "#"]
 
+    def keys(self) -> list[tuple[int, int] | None]:
+        """Place and text hash of each text run; none of what is left out."""
+        return [(self.place[i], int(self.hashes[i], 16)) if self.hashes[i] else None for i in self.number]
+
+
+#: What a pair of nodes weighs against a pair of equal text runs.
+PAIR = 1 << 31
+
 
 class Matching:
-    """Simple tree matching of two trees: the largest number of node pairs that keep order and nesting."""
+    """Simple tree matching of two trees: the largest number of node pairs that keep order and nesting,
+    and among those with so many pairs one with the most pairs of equal text runs."""
 
     def __init__(self, a: Tree, b: Tree):
         self.a, self.b, self.known = a, b, {}
+        sys.setrecursionlimit(max(sys.getrecursionlimit(), 1000 + 4 * min(a.deepest, b.deepest)))
 
     def _split(self, x: list[int], y: list[int]) -> tuple[int, int]:
-        """Lengths of the common start and end: equal shapes match as a whole."""
-        sa, sb, most = self.a.shape, self.b.shape, min(len(x), len(y))
+        """Lengths of the common start and end: subtrees of equal labels and texts match as a whole."""
+        fa, fb, most = self.a.full, self.b.full, min(len(x), len(y))
         start = 0
-        while start < most and sa[x[start]] == sb[y[start]]:
+        while start < most and fa[x[start]] == fb[y[start]]:
             start += 1
         end = 0
-        while end < most - start and sa[x[-1 - end]] == sb[y[-1 - end]]:
+        while end < most - start and fa[x[-1 - end]] == fb[y[-1 - end]]:
             end += 1
         return start, end
 
-    def score(self, i: int, j: int) -> int:
+    def _whole(self, i: int, j: int) -> int:
+        """Weight of subtrees of equal shape: all nodes match, each with its counterpart."""
+        size = self.a.size[i]
+        equal = sum(map(str.__eq__, self.a.hashes[i:i + size], self.b.hashes[j:j + size]))
+        return size * PAIR + equal - (size - self.a.runs[i])
+
+    def _alike(self, x: list[int], y: list[int]) -> bool:
+        """True if the children match one by one."""
+        return [self.a.shape[i] for i in x] == [self.b.shape[j] for j in y]
+
+    def weight(self, i: int, j: int) -> int:
         a, b = self.a, self.b
-        if a.labels[i] != b.labels[j]:
+        if a.kind[i] != b.kind[j]:
             return 0
         if a.shape[i] == b.shape[j]:
-            return a.size[i]
-        key = a.shape[i], b.shape[j]
+            return self._whole(i, j)
+        key = a.full[i], b.full[j]
         if key not in self.known:
             x, y = a.kids[i], b.kids[j]
             start, end = self._split(x, y)
-            same = sum(a.size[k] for k in x[:start]) + sum(a.size[k] for k in x[len(x) - end:])
-            table = self._table(x[start:len(x) - end], y[start:len(y) - end])
-            self.known[key] = 1 + same + (int(table[-1, -1]) if table.size else 0)
+            same = sum(a.size[k] * PAIR + a.runs[k] for k in x[:start] + x[len(x) - end:])
+            x, y = x[start:len(x) - end], y[start:len(y) - end]
+            if self._alike(x, y):
+                same += sum(map(self._whole, x, y))
+            elif x and y:
+                same += int(self._table(x, y)[-1, -1])
+            self.known[key] = PAIR + same
         return self.known[key]
 
+    def score(self, i: int, j: int) -> int:
+        """The number of node pairs."""
+        return self.weight(i, j) // PAIR
+
+    def _row(self, i: int, y: np.ndarray) -> np.ndarray:
+        """Weights of one child against others."""
+        a = self.a
+        kind, shape, full = self.b.columns[:, y]
+        alike, equal = shape == a.shape[i], full == a.full[i]
+        row = np.where(alike, a.size[i] * PAIR, 0) + np.where(equal, a.runs[i], 0)
+        single = a.runs[i] <= 1
+        for k in np.flatnonzero((kind == a.kind[i]) & ~equal & ~(alike & single)).tolist():
+            row[k] = self.weight(i, int(y[k]))
+        return row
+
     def _table(self, x: list[int], y: list[int]) -> np.ndarray:
         if len(x) * len(y) > ALIGN_CELLS:  # beyond this children are taken as not alike; their text stays
             return np.zeros((1, 1), np.int64)
-        table = np.zeros((len(x) + 1, len(y) + 1), np.int64)
+        table, other = np.zeros((len(x) + 1, len(y) + 1), np.int64), np.array(y, np.int64)
         for r, i in enumerate(x):
-            row = np.array([self.score(i, j) for j in y], np.int64)
-            np.maximum.accumulate(np.maximum(table[r, 1:], table[r, :-1] + row), out=table[r + 1, 1:])
+            np.maximum.accumulate(np.maximum(table[r, 1:], table[r, :-1] + self._row(i, other)), out=table[r + 1, 1:])
         return table
 
+    def _children(self, x: list[int], y: list[int]) -> list[tuple[int, int]]:
+        """Matched pairs of two lists of children."""
+        if self._alike(x, y):
+            return list(zip(x, y, strict=True))
+        out = []
+        table = self._table(x, y)
+        r, c = table.shape[0] - 1, table.shape[1] - 1
+        while r and c:
+            if table[r, c] == table[r - 1, c]:
+                r -= 1
+            elif table[r, c] == table[r, c - 1]:
+                c -= 1
+            else:
+                r, c = r - 1, c - 1
+                out.append((x[r], y[c]))
+        return out
+
     def pairs(self) -> list[tuple[int, int]]:
         """Matched text runs, as numbers in a and b."""
         a, b, out = self.a, self.b, []
         todo = [(0, 0)] if a.labels[0] == b.labels[0] else []
         while todo:
             i, j = todo.pop()
-            if a.labels[i] == "#":
-                out.append((a.number[i], b.number[j]))
+            if a.shape[i] == b.shape[j]:
+                out += [(a.number[i + k], b.number[j + k]) for k in range(a.size[i]) if a.labels[i + k] == "#"]
                 continue
             x, y = a.kids[i], b.kids[j]
             start, end = self._split(x, y)
             todo += zip(x[:start], y[:start], strict=True)
             if end:
                 todo += zip(x[-end:], y[-end:], strict=True)
-            x, y = x[start:len(x) - end], y[start:len(y) - end]
-            table = self._table(x, y)
-            r, c = table.shape[0] - 1, table.shape[1] - 1
-            while r and c:
-                if table[r, c] == table[r - 1, c]:
-                    r -= 1
-                elif table[r, c] == table[r, c - 1]:
-                    c -= 1
-                else:
-                    r, c = r - 1, c - 1
-                    todo.append((x[r], y[c]))
+            todo += self._children(x[start:len(x) - end], y[start:len(y) - end])
         return out
 
 
+#: Stands for the slot of a run that many pages share and the pivot lacks.
+SHARED = -1
+
+
 def _boxes(root: Node) -> list[range]:
     """Numbers of the text runs of each element below an article (or main) that sets its content apart."""
     out: list[range] = []
@@ -352,7 +423,9 @@ def main_text(root: Node, aligned: dict[int, int], template: set[int]) -> str:
 
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 SKELETONS = pa.schema([("host", pa.string()), ("skeleton", pa.string())])
-COUNTS = pa.schema([("host", pa.string()), ("slot", pa.int32()), ("same", pa.int64()), ("pages", pa.int64())])
+COUNTS = pa.schema([
+    ("host", pa.string()), ("slot", pa.int32()), ("place", pa.int64()), ("text_hash", pa.int64()),
+    ("same", pa.int64()), ("pages", pa.int64())])
 
 
 def _by_host(rows: DataFrame, per_host: DataFrame) -> DataFrame:
@@ -363,7 +436,8 @@ def _by_host(rows: DataFrame, per_host: DataFrame) -> DataFrame:
 
 
 def induce_wrappers(pages: DataFrame, template_share: float = TEMPLATE_SHARE, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """host, pivot (a skeleton) and template (numbers of the pivot's constant text runs).
+    """host, pivot (a skeleton), template (numbers of the pivot's constant text runs) and shared (place
+    and text hash of runs that nearly all pages with a text at that place have, in the pivot or not).
 
     Every different page of a host is aligned with the pivot. A host with fewer than ``least_pages``
     different pages has no template.
@@ -378,25 +452,33 @@ def induce_wrappers(pages: DataFrame, template_share: float = TEMPLATE_SHARE, le
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: dict[tuple[str, int], list[int]] = {}
+            counts: dict[tuple, list[int]] = {}  # by host and slot, or by host, place and text (none: any)
             for host, lines, pivot in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 shapes: dict = {}
                 a, b = Tree(pivot, shapes), Tree(lines, shapes)
                 slots, shown = a.shown(), b.shown()
-                counts.setdefault((host, -1), [0, 0])[1] += 1
+                counts.setdefault((host, -1, None, None), [0, 0])[1] += 1
                 for i, j in Matching(a, b).pairs():
                     if slots[i]:
-                        count = counts.setdefault((host, i), [0, 0])
+                        count = counts.setdefault((host, i, None, None), [0, 0])
                         count[0] += slots[i] == shown[j]
                         count[1] += 1
-            yield as_batch([(h, s, *c) for (h, s), c in counts.items()], COUNTS)
+                keys = set(b.keys()) - {None}
+                for place, text in keys | {(place, None) for place, _ in keys}:
+                    counts.setdefault((host, None, place, text), [0, 0])[1] += 1
+            yield as_batch([(*k, *c) for k, c in counts.items()], COUNTS)
 
     seen = _by_host(outlines, pivots).select("host", "skeleton", "pivot").mapInArrow(
-        align, "host string, slot int, same bigint, pages bigint")
-    totals = seen.groupBy("host", "slot").agg(F.sum("same").alias("same"), F.sum("pages").alias("pages"))
+        align, "host string, slot int, place bigint, text_hash bigint, same bigint, pages bigint")
+    totals = settled(seen.groupBy("host", "slot", "place", "text_hash").agg(F.sum("same").alias("same"), F.sum("pages").alias("pages")))
     constant = (F.col("slot") >= 0) & (F.col("pages") >= least_pages) & (F.col("same") >= template_share * F.col("pages"))
-    slots = totals.groupBy("host").agg(F.sort_array(F.collect_list(F.when(constant, F.col("slot")))).alias("template"))
-    return settled(pivots.join(slots, "host"))
+    slots = totals.where("slot is not null").groupBy("host").agg(
+        F.sort_array(F.collect_list(F.when(constant, F.col("slot")))).alias("template"))
+    many = totals.where(F.col("text_hash").isNotNull() & (F.col("pages") >= least_pages)).select("host", "place", "text_hash", "pages")
+    whole = totals.where("place is not null and text_hash is null").select("host", "place", F.col("pages").alias("all"))
+    shared = many.join(whole, ["host", "place"]).where(F.col("pages") >= template_share * F.col("all")).groupBy("host").agg(
+        F.sort_array(F.collect_list(F.struct("place", "text_hash"))).alias("shared"))
+    return settled(pivots.join(slots, "host").join(shared, "host", "left"))
 
 
 EXTRACTED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
@@ -419,17 +501,19 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
         for batch in batches:
             rows = []
             keys = [batch.column(i).to_pylist() for i in (0, 1, 4)]
-            for key, address, template, body, pivot in zip(*keys, batch.column(2), batch.column(3), strict=True):
+            for key, address, template, body, pivot, shared in zip(*keys, *[batch.column(i) for i in (2, 3, 5)], strict=True):
                 root = parse(body.as_py() or "")
                 aligned: dict[int, int] = {}
-                if template and pivot.is_valid:
+                template, common = set(template or ()), {(s["place"], s["text_hash"]) for s in shared.as_py() or ()}
+                if (template or common) and pivot.is_valid:
                     shapes: dict = {}
                     a, b = Tree(pivot.as_py(), shapes), Tree(skeleton(root), shapes)
                     slots, shown = a.shown(), b.shown()
                     aligned = {j: i for i, j in Matching(a, b).pairs() if slots[i] == shown[j]}
-                text = main_text(root, aligned, set(template or ()))
+                    aligned.update((j, SHARED) for j, k in enumerate(b.keys()) if k in common and aligned.get(j) not in template)
+                text = main_text(root, aligned, template | {SHARED})
                 rows.append((key, address, text, len(text)))
             yield as_batch(rows, EXTRACTED)
 
-    return _by_host(read, wrappers).select("page_id", "url", "html", "pivot", "template").mapInArrow(
+    return _by_host(read, wrappers).select("page_id", "url", "html", "pivot", "template", "shared").mapInArrow(
         run, "page_id bigint, url string, text string, n_chars bigint")

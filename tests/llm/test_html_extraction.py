@@ -95,3 +95,16 @@ def test_wrapper_decides_inside_articles(spark):
     found = {r["page_id"]: r["text"] for r in H.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert all(found[i] == f"Shared title\nSame line\ntext {i}" for i in range(9))
     assert all(found[20 + i] == "All the same" for i in range(9))
+
+
+def test_only_what_says_the_same_goes(spark):
+    own = lambda i, n: "".join(f"<p>own {i} {k}</p>" for k in range(n))
+    foot = "<p>Copyright</p>"
+    rows = [(i, f"http://f.example/{i}", own(i, 5 if i == 7 else 2) + (f"<p>other {i}</p>" if i == 3 else foot)) for i in range(20)]
+    rows += [(50 + i, f"http://g.example/{i}", "<section>" + own(i, 2) + "</section><div>First foot</div>") for i in range(12)]
+    rows += [(70 + i, f"http://g.example/b/{i}", "<center>" + own(i, 2) + "</center><dl><dd>Second foot</dl>") for i in range(12)]
+    found = {r["page_id"]: r["text"] for r in H.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    lines = lambda i, n: [f"own {i} {k}" for k in range(n)]
+    assert found[3].split("\n") == [*lines(3, 2), "other 3"] and found[7].split("\n") == lines(7, 5)
+    assert all(found[i].split("\n") == lines(i, 2) for i in range(20) if i not in (3, 7))
+    assert all(found[s + i].split("\n") == lines(i, 2) for s in (50, 70) for i in range(12))
