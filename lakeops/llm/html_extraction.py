@@ -61,6 +61,7 @@ ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
 TEMPLATE_SHARE = 0.9
 LEAST_PAGES = 5
 BROADCAST_HOSTS = 20_000
+#: Cells of an alignment held at once.
 ALIGN_CELLS = 4_000_000
 
 
@@ -319,7 +320,7 @@ class Matching:
             if self._alike(x, y):
                 same += sum(map(self._whole, x, y))
             elif x and y:
-                same += int(self._table(x, y)[-1, -1])
+                same += int(self._best(x, y)[-1])
             self.known[key] = PAIR + same
         return self.known[key]
 
@@ -338,21 +339,31 @@ class Matching:
             row[k] = self.weight(i, int(y[k]))
         return row
 
-    def _table(self, x: list[int], y: list[int]) -> np.ndarray:
-        if len(x) * len(y) > ALIGN_CELLS:  # beyond this children are taken as not alike; their text stays
-            return np.zeros((1, 1), np.int64)
-        table, other = np.zeros((len(x) + 1, len(y) + 1), np.int64), np.array(y, np.int64)
-        for r, i in enumerate(x):
-            np.maximum.accumulate(np.maximum(table[r, 1:], table[r, :-1] + self._row(i, other)), out=table[r + 1, 1:])
-        return table
+    def _best(self, x: list[int], y: list[int]) -> np.ndarray:
+        """Weight of the best matching of two lists of children, for each start of ``y``."""
+        best, other = np.zeros(len(y) + 1, np.int64), np.array(y, np.int64)
+        for i in x:
+            best[1:] = np.maximum.accumulate(np.maximum(best[1:], best[:-1] + self._row(i, other)))
+        return best
 
     def _children(self, x: list[int], y: list[int]) -> list[tuple[int, int]]:
-        """Matched pairs of two lists of children."""
+        """Matched pairs of two lists of children; a table too large is halved, so that memory is bounded."""
+        if not x or not y:
+            return []
         if self._alike(x, y):
             return list(zip(x, y, strict=True))
-        out = []
-        table = self._table(x, y)
-        r, c = table.shape[0] - 1, table.shape[1] - 1
+        other = np.array(y, np.int64)
+        if len(x) == 1:
+            row = self._row(x[0], other)
+            return [(x[0], y[int(row.argmax())])] if row.any() else []
+        if len(x) * len(y) > ALIGN_CELLS:
+            half = len(x) // 2
+            cut = int((self._best(x[:half], y) + self._best(x[half:][::-1], y[::-1])[::-1]).argmax())
+            return self._children(x[:half], y[:cut]) + self._children(x[half:], y[cut:])
+        table = np.zeros((len(x) + 1, len(y) + 1), np.int64)
+        for r, i in enumerate(x):
+            np.maximum.accumulate(np.maximum(table[r, 1:], table[r, :-1] + self._row(i, other)), out=table[r + 1, 1:])
+        out, r, c = [], len(x), len(y)
         while r and c:
             if table[r, c] == table[r - 1, c]:
                 r -= 1

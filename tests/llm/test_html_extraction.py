@@ -108,3 +108,32 @@ def test_only_what_says_the_same_goes(spark):
     assert found[3].split("\n") == [*lines(3, 2), "other 3"] and found[7].split("\n") == lines(7, 5)
     assert all(found[i].split("\n") == lines(i, 2) for i in range(20) if i not in (3, 7))
     assert all(found[s + i].split("\n") == lines(i, 2) for s in (50, 70) for i in range(12))
+
+
+def test_long_lists_are_aligned_within_bounded_memory(monkeypatch):
+    import random
+    rng = random.Random(9)
+
+    def page():
+        items = [rng.choice(["<p>{}</p>", "<ul><li>{}</ul>", "<div><p>a</p>{}</div>"]).format(rng.choice("abcd")) for _ in range(rng.randint(1, 14))]
+        return H.skeleton(H.parse("".join(items)))
+
+    for _ in range(100):
+        shapes = {}
+        a, b = H.Tree(page(), shapes), H.Tree(page(), shapes)
+        match, slots, shown = H.Matching(a, b), a.shown(), b.shown()
+        found = []
+        for cells in (4_000_000, 6):
+            monkeypatch.setattr(H, "ALIGN_CELLS", cells)
+            pairs = sorted(match.pairs())
+            assert [j for _, j in pairs] == sorted({j for _, j in pairs}) and len(pairs) == len({i for i, _ in pairs})
+            found.append(sum(slots[i] == shown[j] for i, j in pairs))
+        assert found[0] == found[1] == match.weight(0, 0) % H.PAIR
+
+    monkeypatch.setattr(H, "ALIGN_CELLS", 4_000_000)
+    page = lambda own, n: "<h2>top</h2>" + "".join(f"<p>{own} {k}</p>" for k in range(n)) + f"<dl><dd>foot<dd>{own}</dl>"
+    shapes = {}
+    a, b = (H.Tree(H.skeleton(H.parse("<h3>x</h3>" * k + page(k, n))), shapes) for k, n in ((1, 2300), (2, 2100)))
+    slots, shown = a.shown(), b.shown()
+    assert [slots[i] for i, j in H.Matching(a, b).pairs() if slots[i] == shown[j]]
+    assert len(H.Matching(a, b).pairs()) >= 2100
