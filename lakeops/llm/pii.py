@@ -240,7 +240,7 @@ class Detector:
                 self.limits[kind] = calibrated_threshold(scores[own], y[held][own])
 
     def found(self, texts: list[str]) -> list[list[tuple[str, int, int]]]:
-        """Spans selected in each text: the best of overlapping ones, none that overlaps a fixed pattern."""
+        """Spans selected in each text: the best of overlapping ones, without what fixed patterns cover."""
         out: list[list[tuple[float, int, int, int]]] = [[] for _ in texts]
         held: list[tuple[int, int, int, int]] = []
 
@@ -262,21 +262,42 @@ class Detector:
 
 
 def _best(chosen: list[tuple[float, int, int, int]], text: str) -> list[tuple[str, int, int]]:
-    """Spans in order of their scores, without those that overlap a fixed pattern or a better one."""
+    """Spans in order of their scores, without those that overlap a better one.
+
+    Of a span that reaches beyond fixed patterns, only what these leave is given: patterns and
+    spans stay apart, and together they cover all of it.
+    """
     if not chosen:
         return []
     taken = sorted((s, e) for _, s, e in base_spans(text))
-    starts = [s for s, _ in taken]
-    most = max((e - s for s, e in taken), default=0)
+    fixed: list[tuple[int, int]] = []
+    for s, e in taken:
+        if fixed and s <= fixed[-1][1]:
+            fixed[-1] = fixed[-1][0], max(e, fixed[-1][1])
+        else:
+            fixed.append((s, e))
+    fixed_starts, fixed_ends = [s for s, _ in fixed], [e for _, e in fixed]
+    held: list[tuple[int, int]] = []
+    starts: list[int] = []
     spans = []
     for _, size, s, k in sorted(chosen):
         e = s - size
-        most = max(most, e - s)
-        low, high = bisect.bisect_left(starts, s - most), bisect.bisect_left(starts, e)
-        if all(b <= s for _, b in taken[low:high]):
-            taken.insert(bisect.bisect_left(starts, s), (s, e))
-            starts.insert(bisect.bisect_left(starts, s), s)
-            spans.append((GENERATORS[k], s, e))
+        place = bisect.bisect_left(starts, s)
+        if place and held[place - 1][1] > s or place < len(held) and held[place][0] < e:
+            continue
+        at, left = s, []
+        for n in range(bisect.bisect_right(fixed_ends, s), bisect.bisect_left(fixed_starts, e)):
+            a, b = fixed[n]
+            if a > at:
+                left.append((at, a))
+            at = max(at, b)
+        if at < e:
+            left.append((at, e))
+        left = [(a, b) for a, b in left if any(c.isalnum() for c in text[a:b])]
+        if left:
+            held.insert(place, (s, e))
+            starts.insert(place, s)
+            spans += [(GENERATORS[k], a, b) for a, b in left]
     return spans
 
 
@@ -354,8 +375,9 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", detector:
     """doc_id, pattern matches per kind, a digest of them, and all spans (code points, end exclusive) by kind, then start.
 
     Spans of the trees are of kinds ``gb_email``, ``gb_number`` and ``gb_ip`` and overlap no other
-    span. A null text counts as empty; null ids and repeated rows stay; other columns are not
-    read; an empty table gives no rows.
+    span; of what reaches beyond a fixed pattern, the parts around it are given. A null text counts
+    as empty; null ids and repeated rows stay; other columns are not read; an empty table gives no
+    rows.
     """
     ship(docs.sparkSession)
     detector = detector or Detector(training_texts(docs, doc_id, text))

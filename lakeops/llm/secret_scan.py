@@ -10,6 +10,7 @@ clean by a bound over their summed scores and need no Viterbi.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import random
 import re
@@ -329,10 +330,26 @@ def training_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return sample_texts(docs, doc_id, text, most, SAMPLE_CHARS)
 
 
+def _joined(spans: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
+    """The stretches that spans cover, in order."""
+    out: list[tuple[int, int]] = []
+    for _, s, e in sorted(spans, key=lambda s: s[1:]):
+        if out and s <= out[-1][1]:
+            out[-1] = out[-1][0], max(e, out[-1][1])
+        else:
+            out.append((s, e))
+    return out
+
+
 def all_spans(field: Field, text: str) -> list[tuple[str, int, int]]:
-    """Pattern matches, and secrets of the field that overlap none, by start, then kind ("crf" last)."""
+    """Pattern matches, and secrets of the field that reach beyond them, by start, then kind ("crf" last)."""
     spans = base_spans(text)
-    spans += [("crf", s, e) for s, e in field.spans(text) if not any(s < b and e > a for _, a, b in spans)]
+    taken = _joined(spans)
+    starts = [a for a, _ in taken]
+    for s, e in field.spans(text):
+        before = bisect.bisect_right(starts, s) - 1
+        if before < 0 or taken[before][1] < e:
+            spans.append(("crf", s, e))
     order = (*KINDS, "crf")
     return sorted(spans, key=lambda s: (s[1], order.index(s[0])))
 

@@ -72,3 +72,11 @@ def test_spans_do_not_overlap_and_edges(spark, edge_docs, no_docs, detector):
     ranges = sorted((int(s), int(e)) for _, s, e in spans)
     assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
     assert P.find(no_docs).count() == 0 and P.find(edge_docs).count() == len(found)
+
+
+def test_what_reaches_beyond_patterns_stays():
+    text = "mail x@y.zz 55512 and +44 20 7946 0958 1.2.3.4"
+    at = text.index("x@y")
+    assert P._best([(-3.0, -13, at, 0), (-2.0, -6, at, 0), (-1.0, -4, text.index("1.2"), 1)], text) == [(P.GENERATORS[0], at + 6, at + 13)]
+    around = "77 " + text[at:at + 6] + " 88"
+    assert P._best([(-1.0, -len(around), 0, 1)], around) == [(P.GENERATORS[1], 0, 3), (P.GENERATORS[1], 9, 12)]

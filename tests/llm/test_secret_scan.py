@@ -81,3 +81,17 @@ def test_redaction(spark, edge_docs, no_docs, field):
 
 def test_cover():
     assert S.cover("0123456789", [("a", 1, 4), ("b", 2, 6), ("c", 8, 9)], "*") == "0*67*9"
+
+
+def test_field_reaches_beyond_patterns():
+    class Whole:
+        def spans(self, text):
+            return [m.span() for m in re.finditer(r"\S+", text) if len(m[0]) > 9]
+
+    for secret in ("ghp_" + "0af9" * 6 + "XYZ12", "AKIA" + "Z9" * 10 + "lower", "0af9" * 6 + "-" + "0af9" * 6):
+        text = f"say {secret} now"
+        base, spans = S.base_spans(text), S.all_spans(Whole(), text)
+        assert base and [s for s in spans if s[0] != "crf"] == base and ("crf", 4, 4 + len(secret)) in spans
+        assert S.cover(text, spans, "*") == "say * now"
+    text = "say " + "0af9" * 6 + " now"
+    assert S.all_spans(Whole(), text) == S.base_spans(text)
