@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import tempfile
 import uuid
 import zipfile
@@ -55,16 +56,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def sample_texts(docs: DataFrame, doc_id: str, text: str, most: int, chars: int) -> list[str]:
-    """At most ``most`` texts of at most ``chars`` characters: those whose id and text hash lowest.
+    """At most ``most`` texts, not blank: those whose id and text hash lowest.
 
+    Of a text longer than ``chars`` it is that many characters from a place that a hash chooses.
     Only rows with hashes so low that a few times ``most`` are expected are sorted, so that the
     driver gets as much from many partitions as from few.
     """
     rows = docs.select(docs[text].alias("text"), F.xxhash64(docs[doc_id], docs[text]).alias("h")).where(
-        F.col("text").isNotNull() & (F.length("text") <= chars))
-    share = min(1.0, 8 * most / max(1, docs.count()))
+        F.col("text").isNotNull() & (F.trim("text") != ""))
+    share = min(1.0, 8 * most / max(1, rows.count()))
     lowest = F.lit(int(-2 ** 63 + share * (2 ** 64 - 2048)))
-    return [r["text"] for r in rows.where(F.col("h") <= lowest).orderBy("h", "text").limit(most).collect()]
+    more = F.greatest(F.length("text") - chars, F.lit(0))
+    start = F.pmod(F.xxhash64("h", F.lit("place")), more + 1).cast("int") + 1
+    part = F.when(more > 0, F.substring("text", start, F.lit(chars))).otherwise(F.col("text")).alias("text")
+    return [r["text"] for r in rows.where(F.col("h") <= lowest).select("h", part).orderBy("h", "text").limit(most).collect()]
+
+
+def made_up_texts(number: int, seed: int) -> list[str]:
+    """Sentences of made-up words: what training puts its items into where a table has too few texts."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("eeeaaiioonnttsrrhldcumfpgwyb") for _ in range(rng.randint(1, 11)))
+    sentence = lambda: " ".join(word() for _ in range(rng.randint(5, 14))).capitalize() + "."
+    return [" ".join(sentence() for _ in range(8)) for _ in range(number)]
 
 
 def spare(df: DataFrame, name: str) -> str:

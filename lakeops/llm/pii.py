@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import as_batch, keyed_texts, sample_texts, ship, texts_of
+from .common import as_batch, keyed_texts, made_up_texts, sample_texts, ship, texts_of
 
 # Fixed patterns and their order.
 KINDS = ("email", "ip", "card", "phone")
@@ -32,6 +32,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: The training sample: texts at most, characters of a text at most.
 SAMPLE_TEXTS = 400
 SAMPLE_CHARS = 20_000
+#: Fewer texts are not enough to train on: made-up ones are added.
+LEAST_TEXTS = 40
 SEED = 7
 TREES = 60
 DEPTH = 3
@@ -359,7 +361,9 @@ def _planted(rng: random.Random, text: str) -> Iterator[tuple[str, set[tuple[int
 
 
 def training_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = SAMPLE_TEXTS) -> list[str]:
-    return sample_texts(docs, doc_id, text, most, SAMPLE_CHARS)
+    """A bounded sample of the texts, made up to ``LEAST_TEXTS`` where there are fewer."""
+    texts = sample_texts(docs, doc_id, text, most, SAMPLE_CHARS)
+    return texts + made_up_texts(LEAST_TEXTS - len(texts), SEED)
 
 
 def shown(spans: list[tuple[str, int, int]]) -> str:

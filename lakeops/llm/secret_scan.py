@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import as_batch, keyed_texts, sample_texts, ship, texts_of
+from .common import as_batch, keyed_texts, made_up_texts, sample_texts, ship, texts_of
 
 # Fixed patterns and their order.
 KINDS = ("assign", "access", "hex")
@@ -39,6 +39,8 @@ KEYWORDS = re.compile(r"pass(?:word|wd|phrase)?|secret|token|api_?key|access_?ke
 #: The training sample: texts at most, characters of a text at most.
 SAMPLE_TEXTS = 400
 SAMPLE_CHARS = 20_000
+#: Fewer texts are not enough to train on: made-up ones are added.
+LEAST_TEXTS = 40
 SEQUENCE = 100
 SEED = 11
 ROUNDS = 100
@@ -327,7 +329,9 @@ def train(texts: list[str]) -> Field:
 
 
 def training_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = SAMPLE_TEXTS) -> list[str]:
-    return sample_texts(docs, doc_id, text, most, SAMPLE_CHARS)
+    """A bounded sample of the texts, made up to ``LEAST_TEXTS`` where there are fewer."""
+    texts = sample_texts(docs, doc_id, text, most, SAMPLE_CHARS)
+    return texts + made_up_texts(LEAST_TEXTS - len(texts), SEED)
 
 
 def _joined(spans: list[tuple[str, int, int]]) -> list[tuple[int, int]]:

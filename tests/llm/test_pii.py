@@ -80,3 +80,10 @@ def test_what_reaches_beyond_patterns_stays():
     assert P._best([(-3.0, -13, at, 0), (-2.0, -6, at, 0), (-1.0, -4, text.index("1.2"), 1)], text) == [(P.GENERATORS[0], at + 6, at + 13)]
     around = "77 " + text[at:at + 6] + " 88"
     assert P._best([(-1.0, -len(around), 0, 1)], around) == [(P.GENERATORS[1], 0, 3), (P.GENERATORS[1], 9, 12)]
+
+
+def test_trees_are_trained_on_few_and_long_texts(spark):
+    schema = "doc_id bigint, text string"
+    for texts in (["call (555) 123-4567 " + prose(1, 60)], [prose(i, 4_000) + " call (555) 123-4567 now" for i in range(3)]):
+        found = P.find(spark.createDataFrame(list(enumerate(texts)), schema)).collect()
+        assert len(found) == len(texts) and all("gb_number" in r["spans"] for r in found)

@@ -95,3 +95,16 @@ def test_field_reaches_beyond_patterns():
         assert S.cover(text, spans, "*") == "say * now"
     text = "say " + "0af9" * 6 + " now"
     assert S.all_spans(Whole(), text) == S.base_spans(text)
+
+
+def test_field_is_trained_on_long_and_few_texts(spark):
+    schema = "doc_id bigint, text string"
+    long = [prose(i, 4_000) for i in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(long)] + [(None, None)] * 5_000, schema)
+    texts = S.training_texts(docs)
+    assert len(texts) == 60 and all(len(t) == S.SAMPLE_CHARS for t in texts)
+    assert all(any(t in whole for whole in long) for t in texts) and texts == S.training_texts(docs.repartition(7))
+    secret = "ghp_" + "aB3dE6gH9jK2mN5pQ8sT1vW4yZ7bC0eF3hJ6"
+    few = spark.createDataFrame([(1, f"Bearer {secret} " + prose(1, 60)), (2, prose(2, 60))], schema)
+    found = {r["doc_id"]: r for r in S.scan(few).collect()}
+    assert f"crf:7:{7 + len(secret)}" in found[1]["spans"] and found[2]["spans"] == ""
