@@ -112,11 +112,18 @@ def buckets(distinct: DataFrame, radius: int = RADIUS, bucket_rows: int = BUCKET
     return out.select("mask", "key", "cell_a", "cell_b", "fp")
 
 
+def _add(a, b, c):
+    """Sum and carry of three bits a lane."""
+    half = a ^ b
+    return half ^ c, (a & b) | (half & c)
+
+
 def near_bits(fps: np.ndarray, group: np.ndarray, radius: int) -> np.ndarray:
     """Row i: which fingerprints of i's group are within the radius, as packed 64-bit lanes.
 
     Planes hold one bit of all fingerprints; counters hold one bit of all distances. Four planes
-    at a time go through carry-save adders, and the block is left once all distances are too large.
+    at a time go through carry-save adders, and the block is left once all distances to others are
+    too large; a fingerprint is always near itself.
     """
     rows = len(fps)
     words = -(-rows // 64)
@@ -127,25 +134,23 @@ def near_bits(fps: np.ndarray, group: np.ndarray, radius: int) -> np.ndarray:
     asked = (0 - bits.T.astype(np.uint64))[:, :, None]
     same = np.zeros((rows, words * 64), bool)
     same[:, :rows] = group[:, None] == group[None, :]
-    valid = np.packbits(same, axis=1, bitorder="little").view("<u8")
+    own = np.zeros_like(same)
+    own[np.arange(rows), np.arange(rows)] = True
+    own = np.packbits(own, axis=1, bitorder="little").view("<u8")
+    valid = np.packbits(same, axis=1, bitorder="little").view("<u8") & ~own
     depth = max(2, radius.bit_length())
     counters = [np.zeros((rows, words), np.uint64) for _ in range(depth)]
     over = ~valid
-
-    def add(a, b, c):
-        half = a ^ b
-        return half ^ c, (a & b) | (half & c)
-
     for p in range(0, 64, 4):
         d = [planes[p + i] ^ asked[p + i] for i in range(4)]
-        counters[0], first = add(counters[0], d[0], d[1])
-        counters[0], second = add(counters[0], d[2], d[3])
-        counters[1], carry = add(counters[1], first, second)
+        counters[0], first = _add(counters[0], d[0], d[1])
+        counters[0], second = _add(counters[0], d[2], d[3])
+        counters[1], carry = _add(counters[1], first, second)
         for level in range(2, depth):
             counters[level], carry = counters[level] ^ carry, counters[level] & carry
         over = over | carry
         if p % 8 == 4 and (over == ALL).all():
-            return np.zeros((rows, words), np.uint64)
+            return own
     beyond = np.zeros((rows, words), np.uint64)
     equal = np.full((rows, words), ALL, np.uint64)
     for level in reversed(range(depth)):
@@ -154,7 +159,7 @@ def near_bits(fps: np.ndarray, group: np.ndarray, radius: int) -> np.ndarray:
         else:
             beyond |= equal & counters[level]
             equal &= ~counters[level]
-    return ~(over | beyond)
+    return ~(over | beyond) | own
 
 
 def star_links(fps: np.ndarray, group: np.ndarray, radius: int) -> list[tuple[int, int]]:

@@ -113,3 +113,14 @@ def test_edges(edge_docs, no_docs):
     assert kept.columns == edge_docs.columns
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "10", "3", "6", "8", "9", "None"]
     assert S.near_duplicates(no_docs).count() == 0 and S.one_of_each(no_docs).count() == 0
+
+
+def test_block_of_far_fingerprints_is_left_early(monkeypatch):
+    rng = random.Random(4)
+    fps = np.array([rng.getrandbits(64) for _ in range(100)], np.uint64).view(np.int64)
+    calls, add = [], S._add
+    monkeypatch.setattr(S, "_add", lambda *bits: calls.append(1) or add(*bits))
+    assert S.star_links(fps, np.zeros(100, int), 3) == [] and len(calls) < 3 * 16
+    calls.clear()
+    near = np.append(fps, fps[0] ^ 3)
+    assert S.star_links(near, np.zeros(101, int), 3) == [(int(fps[0]), int(near[-1]))] and len(calls) == 3 * 16
