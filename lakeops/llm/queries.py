@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
-    chat_format, decontamination, html_extraction, packing, pii, quality_rules, secret_scan, sentencepieces, sharding,
-    simhash, sql)
+    chat_format, decontamination, html_extraction, language_id, lexical_search, packing, pii, quality_rules, secret_scan,
+    sentencepieces, sharding, simhash, sql, whitening)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: The other operators need hashes, trained weights or tokenizers that SQL does not have; tests hold them against brute force.
-ORACLE: dict[str, str] = {"op2_quality_verdicts": sql.quality_sql(), "op10_hilbert_shards": sql.sharding_sql()}
+ORACLE: dict[str, str] = {
+    "op2_quality_verdicts": sql.quality_sql(), "op10_hilbert_shards": sql.sharding_sql(),
+    "op13_lexical_ranks": sql.ranking_sql()}
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -81,3 +83,19 @@ def op9_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
+@query
+def op13_lexical_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

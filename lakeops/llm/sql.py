@@ -159,3 +159,26 @@ ranked AS (SELECT p.*, row_number() OVER (ORDER BY curve, ((place % {s.PARTS}) +
   FROM placed p JOIN cells USING (cell))
 SELECT doc_id, size, text_crc32, 'rows' AS law, (r * {s.SHARDS} // n)::INTEGER AS shard,
   r - ((r * {s.SHARDS} // n) * n + {s.SHARDS - 1}) // {s.SHARDS} AS slot, NULL::INTEGER AS grown_shard FROM ranked"""
+
+
+def ranking_sql(top: int = 20) -> str:
+    """The best documents of each benchmark item, every document scored."""
+    terms = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), " \
+            r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    return f"""
+    WITH doc AS (SELECT doc_id, {terms} AS terms, row_number() OVER () AS d FROM documents WHERE text IS NOT NULL),
+    sized AS (SELECT d, doc_id, CAST(len(terms) AS BIGINT) AS n FROM doc WHERE len(terms) > 0),
+    totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS all_terms FROM sized),
+    item AS (SELECT item_id, i, unnest(terms) AS term
+             FROM (SELECT item_id, row_number() OVER () AS i, {terms} AS terms FROM benchmark WHERE text IS NOT NULL)),
+    asked AS (SELECT item_id, i, term, count(*) AS often FROM item GROUP BY ALL),
+    posting AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(terms) AS term FROM doc)
+                WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+    weight AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+               FROM (SELECT term, count(*) AS df FROM posting GROUP BY ALL), totals),
+    scored AS (SELECT item_id, i, d, doc_id, CAST(sum(often * w *
+                   ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // all_terms)))) AS BIGINT) AS score
+               FROM asked JOIN weight USING (term) JOIN posting USING (term) JOIN sized USING (d), totals GROUP BY ALL),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, d) AS place
+               FROM scored WHERE score > 0)
+    SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= {top}"""
