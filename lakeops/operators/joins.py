@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import as_col, null_safe as equal_or_both_null
+from .intervals import covering
 
 Pairs = Sequence[str | tuple[str, str]]
 
@@ -66,26 +67,13 @@ def effective_dated(
     items: DataFrame, rates: DataFrame, on: Pairs, date: str, valid_from: str, valid_to: str, take: Pairs,
     keep_unmatched: bool = True,
 ) -> DataFrame:
-    """Attach the version whose validity covers the item's date.
+    """Attach the version whose validity covers the item's date, found by ``intervals.covering``.
 
     A version with open ends on both sides is valid for every date. With
     ``keep_unmatched=False`` an item disappears when its key has versions and none covers
     the date, while an item whose key has no version at all still stays.
     """
-    pairs, taken = _pairs(on), _pairs(take)
-    right = rates.select(
-        *[F.col(r).alias(f"__r_{r}") for _, r in pairs],
-        F.col(valid_from).alias("__from"), F.col(valid_to).alias("__to"),
-        *[F.col(c).alias(f"__t_{n}") for c, n in taken],
-    )
-    covers = (items[date].between(right["__from"], right["__to"])) | (
-        right["__from"].isNull() & right["__to"].isNull())
-    keys = [items[l] == right[f"__r_{r}"] for l, r in pairs]
-    if keep_unmatched:
-        joined = items.join(right, [*keys, covers], "left")
-    else:
-        joined = items.join(right, keys, "left").where(covers)
-    return joined.select(*[items[c] for c in items.columns], *[right[f"__t_{n}"].alias(n) for _, n in taken])
+    return covering(items, rates, _pairs(on), date, valid_from, valid_to, _pairs(take), keep_unmatched)
 
 
 def role_columns(partners: DataFrame, keys: list[str], role: str, roles: dict[str, str],

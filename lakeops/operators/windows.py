@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import as_col, null_safe
@@ -55,70 +57,143 @@ def all_latest(df: DataFrame, keys: list[str], version: str) -> DataFrame:
     return df.join(right, condition, "left_semi")
 
 
-def running_sum(df: DataFrame, keys: list[str], order: list[str | Column], measures: dict[str, str],
-                block: str | Column | None = None, block_descending: bool = False) -> DataFrame:
-    """Running totals (rows up to and including the current one) per key.
+#: Blocks that ordered rows are cut into, and rows sampled for each to find where.
+BLOCKS = 256
+SAMPLED = 64
 
-    ``block`` is a column that only moves one way along the order, such as the date that
-    leads it. Block totals are summed first (map-side combined, one row per key and
-    block), carried forward over the few blocks of a key, and only rows of one block are
-    then ordered together: a key with a third of all rows is spread over its blocks.
-    ``measures`` maps the new column to the summed one.
+
+def _order(order: list[str | Column]) -> list[Column]:
+    """Sort columns: a name rises, nulls first; a name after ``-`` falls, nulls last; a column is taken as it is."""
+    return [o if not isinstance(o, str) else F.col(o[1:]).desc_nulls_last() if o.startswith("-") else F.col(o).asc_nulls_first()
+            for o in order]
+
+
+def order_blocks(df: DataFrame, keys: list[str], order: list[str | Column], blocks: int = BLOCKS) -> tuple[Column, bool]:
+    """(block, falling): a number that cuts the ordered rows into about ``blocks`` even parts.
+
+    It never turns back along the order within a key, so what a part adds up to can be carried to
+    the parts behind it, and rows of a hot key lie in as many parts as their share of all rows
+    asks for. The bounds are (key, order) values of a sample of ``SAMPLED`` rows a block, found
+    before the plan runs: the input's keys and order columns are read once for it, next to a count.
+    Every row finds its part by binary search in that constant list. Only the leading columns of
+    ``order`` that run the same way count; rows that are equal in them cannot be parted.
+    """
+    if not isinstance(order[0], str):
+        raise ValueError("name the leading order column, or give a block")
+    falling = order[0].startswith("-")
+    lead = []
+    for o in order:
+        if not isinstance(o, str) or o.startswith("-") != falling:
+            break
+        lead.append(o.lstrip("-"))
+    place = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate([*keys, *lead])])
+    places = df.select(place.alias("place"))
+    share = min(1.0, blocks * SAMPLED / max(1, places.count()))
+    sample = places.sample(share, seed=blocks) if share < 1 else places
+    found = sample.agg(F.to_json(F.sort_array(F.collect_list("place"))).alias("places")).first()["places"]
+    sampled = json.loads(found)
+    bounds = [sampled[i * len(sampled) // blocks] for i in range(1, blocks)] if sampled else []
+    kind = f"array<{places.schema['place'].dataType.simpleString()}>"
+    listed = F.sort_array(F.from_json(F.lit(json.dumps(bounds)), kind))
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(blocks.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        F.get(listed, at + step - 1) <= place, at + step).otherwise(at)), falling
+
+
+# How a value over earlier blocks and one inside the block make one; nulls are left out of all.
+_TOGETHER = {
+    "sum": (F.sum, lambda a, b: F.coalesce(a + b, a, b)), "count": (F.count, lambda a, b: F.coalesce(a, F.lit(0)) + b),
+    "max": (F.max, F.greatest), "min": (F.min, F.least)}
+
+
+def running(df: DataFrame, keys: list[str], order: list[str | Column], measures: dict[str, tuple[str, str]],
+            block: str | Column | None = None, block_descending: bool = False, before: bool = False,
+            bounded: bool = False) -> DataFrame:
+    """Running ``sum``, ``count``, ``max`` or ``min`` per key over the rows up to and including the current one.
+
+    ``measures`` maps the new column to (function, column); with ``before`` the current row does
+    not count. What each block of a key comes to is aggregated first (map-side combined, one row
+    per key and block) and carried forward over the few blocks of the key; only rows of one block
+    are ordered together. A block is what ``order_blocks`` cuts, so a key that holds all rows is
+    spread like any other input; a ``block`` given instead must only move one way along the order,
+    such as the date that leads it, and spares the sample. ``bounded`` says that no key has more
+    rows than a calendar or a horizon gives it: then it is one window, without blocks.
     """
-    order = [as_col(o) for o in order]
-    upto = lambda by, cols: Window.partitionBy(*by).orderBy(*cols).rowsBetween(Window.unboundedPreceding, 0)
+    frame = (Window.unboundedPreceding, -1 if before else Window.currentRow)
+    if bounded:
+        w = Window.partitionBy(*keys).orderBy(*_order(order)).rowsBetween(*frame)
+        return df.withColumns({out: _TOGETHER[fn][0](c).over(w) for out, (fn, c) in measures.items()})
     if block is None:
-        w = upto(keys, order)
-        return df.withColumns({out: F.sum(c).over(w) for out, c in measures.items()})
-
+        block, block_descending = order_blocks(df, keys, order)
     blocked = df.withColumn("__block", as_col(block))
-    totals = blocked.groupBy(*keys, "__block").agg(*[F.sum(c).alias(f"__s_{out}") for out, c in measures.items()])
+    totals = blocked.groupBy(*keys, "__block").agg(*[_TOGETHER[fn][0](c).alias(f"__s_{out}") for out, (fn, c) in measures.items()])
     step = F.col("__block").desc() if block_descending else F.col("__block").asc()
-    before = Window.partitionBy(*keys).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.partitionBy(*keys).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
+    again = lambda fn: F.sum if fn == "count" else _TOGETHER[fn][0]
     carried = totals.select(
         *[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__block").alias("__k_block"),
-        *[F.coalesce(F.sum(f"__s_{out}").over(before), F.lit(0)).alias(f"__c_{out}") for out in measures])
+        *[again(fn)(f"__s_{out}").over(ahead).alias(f"__c_{out}") for out, (fn, _) in measures.items()])
     condition = null_safe([blocked[k] for k in keys] + [blocked["__block"]],
                           [carried[f"__k_{k}"] for k in keys] + [carried["__k_block"]])
     joined = blocked.join(carried, condition, "inner")
-    w = upto([*keys, "__block"], order)
-    return joined.select(
-        *[blocked[c] for c in df.columns],
-        *[(F.sum(c).over(w) + F.col(f"__c_{out}")).alias(out) for out, c in measures.items()])
+    w = Window.partitionBy(*keys, "__block").orderBy(*_order(order)).rowsBetween(*frame)
+    kinds = df.select(*[_TOGETHER[fn][0](c).alias(out) for out, (fn, c) in measures.items()]).schema
+    return joined.select(*[blocked[c] for c in df.columns], *[
+        _TOGETHER[fn][1](F.col(f"__c_{out}"), _TOGETHER[fn][0](c).over(w)).cast(kinds[out].dataType).alias(out)
+        for out, (fn, c) in measures.items()])
+
+
+def running_sum(df: DataFrame, keys: list[str], order: list[str | Column], measures: dict[str, str],
+                block: str | Column | None = None, block_descending: bool = False, bounded: bool = False) -> DataFrame:
+    """Running totals (rows up to and including the current one) per key, as ``running`` spreads them.
+
+    ``measures`` maps the new column to the summed one.
+    """
+    return running(df, keys, order, {out: ("sum", c) for out, c in measures.items()}, block, block_descending, bounded=bounded)
 
 
 def year_to_date(df: DataFrame, keys: list[str], date: str, measures: dict[str, str],
-                 reset: Column | None = None) -> DataFrame:
+                 reset: Column | None = None, block: str | Column | None = None, bounded: bool = False) -> DataFrame:
     """Running total over periods; ``reset`` (such as the fiscal year) starts it anew."""
     if reset is None:
-        return running_sum(df, keys, [date], measures)
-    return running_sum(df.withColumn("__reset", reset), [*keys, "__reset"], [date], measures).drop("__reset")
+        return running_sum(df, keys, [date], measures, block, bounded=bounded)
+    reset_by = df.withColumn("__reset", reset)
+    return running_sum(reset_by, [*keys, "__reset"], [date], measures, block, bounded=bounded).drop("__reset")
 
 
-def previous(df: DataFrame, keys: list[str], order: list[str], column: str, name: str,
-             block: str | None = None) -> DataFrame:
+def previous(df: DataFrame, keys: list[str], order: list[str | Column], column: str, name: str,
+             block: str | Column | None = None, block_descending: bool = False) -> DataFrame:
     """The value of the row before, null on the first.
 
-    With ``block``, a column that never falls along the order (such as its leading date),
-    only rows of one block are ordered together; a block's first row takes the last value of
-    the block before, which a map-side combined maximum finds.
+    Only rows of one block are ordered together, as in ``running``; a block's first row takes the
+    value of the last row of the block before, of which each map task sends one.
     """
     if block is None:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(name, F.lag(column).over(w))
-    blocked = df.withColumn("__block", F.col(block))
-    lasts = blocked.groupBy(*keys, "__block").agg(F.max(F.struct(*order, F.col(column).alias("__last"))).alias("__row"))
-    across = Window.partitionBy(*keys).orderBy("__block")
+        block, block_descending = order_blocks(df, keys, order)
+    blocked = df.withColumn("__block", as_col(block))
+    w = Window.partitionBy(*keys, "__block").orderBy(*_order(order))
+    backwards = Window.partitionBy(*keys, "__block").orderBy(*[_reversed(i, o) for i, o in enumerate(order)])
+    lasts = blocked.select(*keys, "__block", *_names(order), F.col(column).alias("__last")).withColumn(
+        "__number", F.row_number().over(backwards)).where("__number = 1")
+    step = F.col("__block").desc() if block_descending else F.col("__block").asc()
     carried = lasts.select(
         *[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__block").alias("__k_block"),
-        F.lag("__row.__last").over(across).alias("__carried"))
+        F.lag("__last").over(Window.partitionBy(*keys).orderBy(step)).alias("__carried"))
     condition = null_safe([blocked[k] for k in keys] + [blocked["__block"]],
                           [carried[f"__k_{k}"] for k in keys] + [carried["__k_block"]])
-    w = Window.partitionBy(*keys, "__block").orderBy(*order)
     value = F.when(F.row_number().over(w) == 1, F.col("__carried")).otherwise(F.lag(column).over(w))
     return blocked.join(carried, condition, "inner").select(*[blocked[c] for c in df.columns], value.alias(name))
 
 
+def _names(order: list[str | Column]) -> list[Column]:
+    """The order's columns, under names that clash with no key."""
+    return [F.col(o.lstrip("-")).alias(f"__o_{i}") for i, o in enumerate(order)]
+
+
+def _reversed(i: int, o: str) -> Column:
+    return F.col(f"__o_{i}").asc_nulls_first() if o.startswith("-") else F.col(f"__o_{i}").desc_nulls_last()
+
+
 def with_group_size(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     """Rows per key on every row, by a map-side combined count and a join."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))

@@ -140,7 +140,7 @@ def material_deficit(plan_sheet: DataFrame, need_sheet: DataFrame, groups: DataF
     future = future.withColumn("month", period_key("stock_date"))
     out = lookup(future, need, ["plant", "line", "rm_group", "month"], ["per_unit", "planned_day"])
     out = out.withColumn("required", F.col("planned_day") * F.col("per_unit"))
-    out = running_sum(out, ["rm_group", "line", "plant"], ["stock_date"], {"required_so_far": "required"})
+    out = running_sum(out, ["rm_group", "line", "plant"], ["stock_date"], {"required_so_far": "required"}, bounded=True)
     return out.withColumn("end_of_day_stock", F.col("stock_quantity") - F.col("required_so_far")).drop("month")
 
 
@@ -180,7 +180,8 @@ def daily_plan(grid: DataFrame, opening: DataFrame, month_plan: DataFrame, split
         "depot_net": F.col("transfer_day") - F.col("depot_sales_day"),
         "dispatch_net": F.col("cured") - F.col("plant_sales_day") - F.col("transfer_day"),
     })
-    out = running_sum(out, k, ["date"], {"net_sum": "net", "depot_sum": "depot_net", "dispatch_sum": "dispatch_net"})
+    out = running_sum(out, k, ["date"], {"net_sum": "net", "depot_sum": "depot_net", "dispatch_sum": "dispatch_net"},
+                      bounded=True)
     return out.select(
         *k, "date", "production", "plant_sales_day", "transfer_day",
         (F.col("opening") + F.col("net_sum")).alias("closing_stock"),

@@ -432,24 +432,22 @@ def first_event_flag(t: Tables) -> DataFrame:
 @query(f"""WITH {SALES_ORDERS} SELECT o_orderkey, sum(total) OVER (PARTITION BY o_custkey ORDER BY order_date DESC, o_orderkey
 ROWS UNBOUNDED PRECEDING)::DOUBLE AS running FROM sales_orders""")
 def running_total(t: Tables) -> DataFrame:
-    out = windows.running_sum(t.sales_orders, ["o_custkey"], [F.col("order_date").desc(), "o_orderkey"], {"running": "total"})
+    out = windows.running_sum(t.sales_orders, ["o_custkey"], ["-order_date", "o_orderkey"], {"running": "total"})
     return out.select("o_orderkey", "running")
 
 
 @query(f"""WITH {SALES_ORDERS} SELECT o_orderkey, sum(total) OVER (PARTITION BY o_orderstatus ORDER BY order_date DESC, o_orderkey
 ROWS UNBOUNDED PRECEDING)::DOUBLE AS running FROM sales_orders""")
 def running_total_of_hot_keys(t: Tables) -> DataFrame:
-    """Three keys hold all rows: totals are carried from day to day, only a day's rows are ordered together."""
-    out = windows.running_sum(t.sales_orders, ["o_orderstatus"], [F.col("order_date").desc(), "o_orderkey"],
-                              {"running": "total"}, block="order_date", block_descending=True)
+    """Three keys hold all rows: totals are carried from block to block, only a block's rows are ordered together."""
+    out = windows.running_sum(t.sales_orders, ["o_orderstatus"], ["-order_date", "o_orderkey"], {"running": "total"})
     return out.select("o_orderkey", "running")
 
 
 @query(f"""WITH {SALES_ORDERS} SELECT o_orderkey, lag(total) OVER (PARTITION BY o_custkey ORDER BY order_date, o_orderkey)::DOUBLE
 AS previous_total FROM sales_orders""")
 def previous_value(t: Tables) -> DataFrame:
-    return windows.previous(t.sales_orders, ["o_custkey"], ["order_date", "o_orderkey"], "total", "previous_total",
-                            block="order_date").select(
+    return windows.previous(t.sales_orders, ["o_custkey"], ["order_date", "o_orderkey"], "total", "previous_total").select(
         "o_orderkey", "previous_total")
 
 

@@ -173,6 +173,34 @@ def test_blocked_running_sum_equals_the_plain_one(skewed, descending):
     assert rows(got.select("id", "s")) == rows(want.select("id", "s"))
 
 
+@pytest.mark.parametrize("order", [["day", "id"], ["-day", "id"], ["-day", "-id"], ["id"]])
+@pytest.mark.parametrize("before", [False, True])
+def test_blocks_found_by_sampling_change_nothing(skewed, order, before):
+    gaps = skewed.withColumns({"v": F.when(F.col("id") % 5 != 0, F.col("v")), "k": F.when(F.col("k") != 3, F.col("k"))})
+    measures = {"s": ("sum", "v"), "n": ("count", "v"), "high": ("max", "v"), "low": ("min", "v")}
+    columns = ["id", *measures]
+    got = windows.running(gaps, ["k"], order, measures, before=before)
+    want = windows.running(gaps, ["k"], order, measures, before=before, bounded=True)
+    assert got.schema == want.schema and rows(got.select(columns)) == rows(want.select(columns))
+    w = Window.partitionBy("k").orderBy(*[F.col(o.lstrip("-")).desc() if o.startswith("-") else F.col(o) for o in order])
+    lag = gaps.withColumn("p", F.lag("v").over(w)).select("id", "p")
+    assert rows(windows.previous(gaps, ["k"], order, "v", "p").select("id", "p")) == rows(lag)
+
+
+def test_running_over_nulls_empty_tables_and_all_types(spark):
+    df = spark.createDataFrame(
+        [(i, None if i % 7 == 0 else f"k{i % 2}", None if i % 5 == 0 else day("2020-01-01") + dt.timedelta(i % 9),
+          dt.datetime(2020, 1, 1, 0, 0, 0, i), None if i % 4 == 0 else float(i), Decimal(i)) for i in range(120)],
+        "id int, k string, d date, ts timestamp, x double, m decimal(20,3)")
+    for order in (["d", "id"], ["-d", "id"], ["ts"], ["x", "id"], ["m"]):
+        got = windows.running(df, ["k"], order, {"n": ("count", "id"), "t": ("sum", "id")})
+        want = windows.running(df, ["k"], order, {"n": ("count", "id"), "t": ("sum", "id")}, bounded=True)
+        assert rows(got.select("id", "n", "t")) == rows(want.select("id", "n", "t"))
+    assert windows.running(df.limit(0), ["k"], ["d"], {"n": ("count", "id")}).count() == 0
+    with pytest.raises(ValueError):
+        windows.running(df, ["k"], [F.col("d").desc()], {"n": ("count", "id")})
+
+
 def test_running_sum_without_keys(skewed):
     got = windows.running_sum(skewed, [], ["day", "id"], {"s": "v"}, block="day")
     assert got.agg(F.max("s")).first()[0] == skewed.agg(F.sum("v")).first()[0]

@@ -1,5 +1,6 @@
 """Behaviour that matters when one key holds a third of the rows."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeops.operators import joins, keys, windows
@@ -35,14 +36,35 @@ def test_hot_join_key_is_split(spark):
         tune(spark)
 
 
-def test_no_window_sorts_a_whole_hot_key(spark):
+@pytest.mark.parametrize("block", ["day", None])
+def test_no_window_sorts_a_whole_hot_key(spark, block):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), (F.col("id") % 7).cast("int").alias("day"), "id")
-    for out in (windows.running_sum(df, ["k"], ["day", "id"], {"s": "id"}, block="day"),
-                windows.previous(df, ["k"], ["day", "id"], "id", "p", block="day")):
+    for out in (windows.running_sum(df, ["k"], ["day", "id"], {"s": "id"}, block),
+                windows.previous(df, ["k"], ["day", "id"], "id", "p", block)):
         text = out._jdf.queryExecution().optimizedPlan().toString()
-        parts = [line.split("], [")[1] for line in text.splitlines() if line.strip(" +-:").startswith("Window")]
-        # Item rows are ordered per (key, block); only block totals are ordered per key alone.
-        assert len(parts) == 2 and sum("__block" in p for p in parts) == 1
+        parts = [line.split("], [")[1] for line in text.splitlines() if line.strip(" +-:").startswith("Window ")]
+        # Item rows are ordered per (key, block); only what blocks come to is ordered per key alone.
+        assert len(parts) >= 2 and sum("__block" not in p for p in parts) == 1
+
+
+def test_one_key_with_all_rows_is_cut_into_even_blocks(spark):
+    df = spark.range(100_000).select(F.lit("k").alias("k"), F.date_add(F.lit("2020-01-01").cast("date"), F.expr("cast(sqrt(id) as int)")).alias("d"), "id")
+    for order in (["d", "id"], ["-d", "-id"]):
+        block, falling = windows.order_blocks(df, ["k"], order)
+        sizes = df.groupBy(block.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).orderBy("b").collect()
+        assert falling == order[0].startswith("-") and len(sizes) > 250 and max(r["n"] for r in sizes) < 5 * 100_000 / 256
+        assert all(a["high"] < b["low"] for a, b in zip(sizes, sizes[1:]))
+    # The leading columns that run the same way; what is equal in them stays together.
+    block, falling = windows.order_blocks(df, ["k"], ["-d", "id"])
+    sizes = df.groupBy(block.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+    assert falling and len(sizes) > 150 and max(r["n"] for r in sizes) < 8 * 100_000 / 256
+
+
+def test_many_keys_add_few_blocks(spark):
+    """Blocks follow key and order together: a key that is small has one or two, not one for each bound."""
+    df = spark.range(20_000).select((F.col("id") % 2000).alias("k"), F.col("id").alias("o"))
+    block, _ = windows.order_blocks(df, ["k"], ["o"])
+    assert df.select("k", block.alias("b")).distinct().count() <= 2000 + 256
 
 
 def test_numbering_orders_only_buckets(spark):
