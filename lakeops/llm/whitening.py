@@ -148,9 +148,8 @@ def bidiagonalise(products: Callable[[np.ndarray, np.ndarray], tuple[float, np.n
     v = rng.standard_normal(dimensions)
     v /= np.linalg.norm(v)
     vs, ws, zs = (np.zeros((dimensions, 0)) for _ in range(3))
-    alphas: list[float] = []
-    betas: list[float] = []
-    beta, largest, starts = 0.0, 0.0, 0
+    entries: list[tuple[int, int, float]] = []  # of U'XV: a on the diagonal, b beside it
+    beta, largest, settled_once = 0.0, 0.0, False
     while True:
         q = v - beta * ws[:, -1] if beta else v
         square, along, z = products(q, ws)
@@ -158,35 +157,42 @@ def bidiagonalise(products: Callable[[np.ndarray, np.ndarray], tuple[float, np.n
         q, z = q - ws @ along, z - zs @ along
         alpha = float(np.sqrt(max(0.0, square - along @ along)))
         largest = max(largest, alpha)
-        if alpha <= NO_DIRECTION * largest:
-            break  # X maps this direction into what is known already: nothing is left in the rows
-        vs, ws, zs = (np.column_stack(p) for p in ((vs, v), (ws, q / alpha), (zs, z / alpha)))
-        alphas.append(alpha)
-        if len(alphas) == dimensions:
-            break
-        r = _against(z / alpha - alpha * v, vs)
-        beta = float(np.linalg.norm(r))
-        largest = max(largest, beta)
+        none = alpha <= NO_DIRECTION * largest
+        if none and not beta:
+            break  # a new direction, and X maps it into what is known: nothing is left in the rows
         done = False
-        if len(alphas) >= wanted and len(alphas) % CHECK_EVERY == 0:
-            left, sigma, _ = np.linalg.svd(_bidiagonal(alphas, betas))
-            done = bool((beta * np.abs(left[-1, :wanted]) <= SETTLED * sigma[0]).all())
+        if beta:
+            entries.append((ws.shape[1] - 1, vs.shape[1], beta))
+        if none:
+            vs, beta = np.column_stack((vs, v)), 0.0
+        else:
+            entries.append((ws.shape[1], vs.shape[1], alpha))
+            vs, ws, zs = (np.column_stack(p) for p in ((vs, v), (ws, q / alpha), (zs, z / alpha)))
+            r = _against(z / alpha - alpha * v, vs)
+            beta = float(np.linalg.norm(r))
+            largest = max(largest, beta)
+            if ws.shape[1] >= wanted and ws.shape[1] % CHECK_EVERY == 0:
+                left, sigma, _ = np.linalg.svd(_small(entries))
+                done = bool((beta * np.abs(left[-1, :wanted]) <= SETTLED * sigma[0]).all())
+        if vs.shape[1] == dimensions or done and settled_once:
+            break
         if done or beta <= NO_DIRECTION * largest:
-            if done and starts:
-                break
-            starts += done
+            settled_once = settled_once or done
             r, beta = _against(rng.standard_normal(dimensions), vs), 0.0
         v = r / np.linalg.norm(r)
-        betas.append(beta)
-    if not alphas:
+    if not entries:
         return np.zeros(0), np.zeros((dimensions, 0))
-    _, sigma, right = np.linalg.svd(_bidiagonal(alphas, betas))
-    keep = sigma > NO_DIRECTION * sigma[0]
-    return sigma[keep][:wanted], (vs @ right.T)[:, keep][:, :wanted]
+    _, sigma, right = np.linalg.svd(_small(entries))
+    keep = int((sigma > NO_DIRECTION * sigma[0]).sum())
+    return sigma[:min(keep, wanted)], (vs[:, :right.shape[1]] @ right.T)[:, :min(keep, wanted)]
 
 
-def _bidiagonal(alphas: list[float], betas: list[float]) -> np.ndarray:
-    return np.diag(alphas) + np.diag(betas[:len(alphas) - 1], 1)
+def _small(entries: list[tuple[int, int, float]]) -> np.ndarray:
+    """The bidiagonal matrix; a column that ends a Krylov space has no row of its own."""
+    small = np.zeros((max(r for r, _, _ in entries) + 1, max(c for _, c, _ in entries) + 1))
+    for row, column, value in entries:
+        small[row, column] = value
+    return small
 
 
 def fit(points: DataFrame, components: int = COMPONENTS) -> Whitening | None:
