@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from ..functions.columns import DEFAULT_MEMBER, blank_to_null as blank_column, default_member
 from ..functions.dates import clock_time, parse_date, serial_date
@@ -135,5 +136,25 @@ def load_counts(df: DataFrame, table: str, day: str | Column) -> DataFrame:
         F.lit(table).alias("table_name"), "load_date", "incoming_rows")
 
 
+def audited_load(df: DataFrame, table: str, write: Callable[[DataFrame], object], accept: Column | None = None,
+                 watermark: str | None = None) -> DataFrame:
+    """Write a load and return its audit row: table_name, incoming, rejected and written rows, next watermark.
+
+    The counts are taken while ``write`` runs its one action over the rows, by observations in its
+    plan; nothing is read again for them. Rows for which ``accept`` is not true are rejected; of
+    the others ``watermark`` has the highest value, as text, null without any.
+    """
+    came, went = Observation(), Observation()
+    rows = df.observe(came, F.count(F.lit(1)).alias("n"))
+    if accept is not None:
+        rows = rows.where(accept)
+    highest = F.max(F.col(watermark) if watermark else F.lit(None)).cast("string")
+    write(rows.observe(went, F.count(F.lit(1)).alias("n"), highest.alias("mark")))
+    incoming, written = came.get["n"], went.get
+    return df.sparkSession.createDataFrame(
+        [(table, incoming, incoming - written["n"], written["n"], written["mark"])],
+        "table_name string, incoming_rows bigint, rejected_rows bigint, written_rows bigint, next_watermark string")
+
+
 def only_language(df: DataFrame, column: str, language: str) -> DataFrame:
     return df.where(F.col(column) == language)

@@ -1,23 +1,21 @@
 """Rows that fall into validity intervals, found by search instead of comparing with every interval.
 
-Versions of a key that overlap in time form a span; spans of a key are disjoint, so a date lies in
-at most one of them, the last that began. The spans are laid out like the pages of a sorted index:
-a page holds those of one key that begin in one stretch of days, after the one before them; a root
-per key lists its stretches. A row finds its page by binary search in the root of its key and its
-span by binary search in that page: two equi joins that take each row to one row, however many
-versions its key has. Catalyst broadcasts the index where it is small and AQE splits a hot key.
+The versions of a key are laid out like the pages of a sorted index. A page holds those that begin
+in one stretch of days and those that have begun before and still hold when it starts; a root per
+key lists the stretches that have a page. A row finds its page by binary search in the root of its
+key: the last page that starts no later than its date has all versions that may cover it. That makes
+two equi joins, each of which takes a row to one row however many versions its key has. Catalyst
+broadcasts the index where it is small, AQE splits a hot key, and pages of a key are spread anyway.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .windows import running
-
-#: Days of a page; spans of a key begin on different days, so a page has no more of them.
+#: Days of a page. Versions that do not overlap begin on different days, so a page has few.
 STRETCH_DAYS = 64
-#: Overlapping versions that a page holds itself; those of longer spans are joined.
-INLINE = 64
+#: Stretches from the first day to the last one, rounded up to a power of two.
+MOST_STRETCHES = 1 << 16
 
 # The first and last date there is, for versions that are open at both ends.
 FIRST_DAY = "0001-01-01"
@@ -28,37 +26,31 @@ def _stretch(day: Column) -> Column:
     return F.floor(F.unix_date(day) / STRETCH_DAYS)
 
 
-def spans(versions: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
-    """``versions`` with ``span``, the start of the run of overlapping versions each belongs to.
+def _how_many(root: Column, stretch: Column) -> Column:
+    """How many of a root's stretches are not after the given one, by binary search in as many steps as its size has bits."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(MOST_STRETCHES.bit_length()))])
+    bits = F.length(F.bin(F.size(root)))
+    return F.aggregate(F.slice(steps, -bits, bits), F.lit(0), lambda at, step: F.when(
+        F.get(root, at + step - 1) <= stretch, at + step).otherwise(at))
 
-    Versions of a key that share a day are one run, and so on through others. Starts and ends are
-    dates, not null and not reversed. A key of any number of versions is spread over its stretches.
-    """
-    order, block = [start, end], _stretch(F.col(start))
-    reached = running(versions, keys, order, {"__reached": ("max", end)}, block, before=True)
-    opens = F.when(F.col("__reached").isNull() | (F.col(start) > F.col("__reached")), F.col(start))
-    opened = reached.withColumn("__opens", opens)
-    return running(opened, keys, order, {"span": ("max", "__opens")}, block).drop("__reached", "__opens")
 
+def roots(versions: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
+    """(keys, __root): for each key with versions the sorted stretches in which usable ones begin."""
+    begins = F.when(F.col(start) <= F.col(end), _stretch(F.col(start)))
+    return versions.groupBy(*keys).agg(F.sort_array(F.collect_set(begins)).alias("__root"))
 
-def _last_at_most(sorted_values: Column, value: Column, most: int) -> Column:
-    """How many of a sorted array's values are not above ``value``, by binary search; ``most`` bounds its size."""
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(most.bit_length()))])
-    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
-        F.get(sorted_values, at + step - 1) <= value, at + step).otherwise(at))
 
+def pages(versions: DataFrame, root: DataFrame, keys: list[str], start: str, end: str, members: list[str]) -> DataFrame:
+    """(keys, __stretch, __page): the versions that begin in a stretch or reach into it.
 
-def _pages(spanned: DataFrame, keys: list[str], members: list[str]) -> DataFrame:
-    """(keys, stretch, __spans, __lists): the starts of a page's spans and, beside each, its versions or null where they are many."""
-    whole = spanned.groupBy(*keys, "span").agg(F.count(F.lit(1)).alias("n"), F.slice(
-        F.sort_array(F.collect_list(F.when(F.col("__place") <= INLINE, F.struct(*members)))), 1, INLINE).alias("members"))
-    each = F.struct("span", F.when(F.col("n") <= INLINE, F.col("members")).alias("members"))
-    pages = whole.groupBy(*keys, _stretch(F.col("span")).alias("stretch")).agg(F.sort_array(F.collect_list(each)).alias("own"))
-    # A key has a page for each stretch of its calendar at most.
-    before = F.lag("own").over(Window.partitionBy(*keys).orderBy("stretch"))
-    page = F.concat(F.when(before.isNull(), F.array().cast(pages.schema["own"].dataType)).otherwise(F.slice(before, -1, 1)), F.col("own"))
-    return pages.withColumn("page", page).select(
-        *keys, "stretch", F.col("page.span").alias("__spans"), F.col("page.members").alias("__lists"))
+    Versions that do not overlap reach into one page besides their own at most; one that others
+    begin under stands in the page of each such stretch, as rows there have it in their result.
+    """
+    usable = versions.where(F.col(start) <= F.col(end)).join(root, keys)
+    first = _how_many(F.col("__root"), _stretch(F.col(start)))
+    count = _how_many(F.col("__root"), _stretch(F.col(end))) - first + 1
+    each = usable.select(*keys, F.struct(*members).alias("__m"), F.explode(F.slice("__root", first, count)).alias("__stretch"))
+    return each.groupBy(*keys, "__stretch").agg(F.collect_list("__m").alias("__page"))
 
 
 def covering(items: DataFrame, versions: DataFrame, keys: list[tuple[str, str]], date: str, valid_from: str,
@@ -68,57 +60,27 @@ def covering(items: DataFrame, versions: DataFrame, keys: list[tuple[str, str]],
     ``keys`` pairs item and version columns, ``take`` maps version columns to new names. A version
     with both ends null covers every date, even a null one; one with a single null end, or with
     its ends reversed, covers none. An item that no version covers stays, with nulls; with
-    ``keep_unmatched=False`` it stays only if its key has no version at all. Dates are compared as
-    dates. Spans of over ``INLINE`` overlapping versions, if the versions have any, are joined to them,
-    as then the result has an item many times over.
+    ``keep_unmatched=False`` it stays only if its key has no version at all. Null keys have none.
+    Dates are compared as dates.
     """
     k = [f"__k{i}" for i in range(len(keys))]
     names = [f"__t{i}" for i in range(len(take))]
-    member = ["__from", "__to", "__open", *names]
     open_ends = F.col(valid_from).isNull() & F.col(valid_to).isNull()
     own = versions.select(
         *[F.col(r).alias(n) for n, (_, r) in zip(k, keys)],
         F.when(open_ends, F.lit(FIRST_DAY)).otherwise(F.col(valid_from)).cast("date").alias("__from"),
         F.when(open_ends, F.lit(LAST_DAY)).otherwise(F.col(valid_to)).cast("date").alias("__to"),
         open_ends.alias("__open"), *[F.col(c).alias(n) for n, (c, _) in zip(names, take)]).dropna(subset=k)
-    usable = own.where("__from <= __to")
-    spanned = spans(usable, k, "__from", "__to")
-    # The first versions of a span, as many as a page may hold and one more.
-    place = F.row_number().over(Window.partitionBy(*k, "span").orderBy("__from", "__to"))
-    pages = _pages(spanned.withColumn("__place", place).where(F.col("__place") <= INLINE + 1), k, member)
-    # Every key that has versions, with the stretches in which its spans begin.
-    begins = own.select(*k, F.lit(None).cast("bigint").alias("__b")).unionByName(spanned.select(*k, _stretch(F.col("span")).alias("__b")))
-    root = begins.groupBy(*k).agg(F.sort_array(F.collect_set("__b")).alias("__root"))
+    root = roots(own, k, "__from", "__to")
+    page = pages(own, root, k, "__from", "__to", ["__from", "__to", "__open", *names])
 
     rows = items.withColumn("__day", F.col(date).cast("date"))
-    at = F.coalesce("__day", F.lit(FIRST_DAY).cast("date"))
-    root = root.select(*[F.col(n).alias(f"{n}_r") for n in k], "__root")
-    rooted = rows.join(root, [rows[l] == root[f"{n}_r"] for n, (l, _) in zip(k, keys)], "left")
-    # Stretches that can have a page: some 57,000, from the first to the last day.
-    found = F.get("__root", _last_at_most(F.col("__root"), _stretch(at), 1 << 16) - 1)
-    paged = rooted.withColumn("__stretch", found)
-    pages = pages.select(*[F.col(n).alias(f"{n}_p") for n in k], F.col("stretch").alias("__s"), "__spans", "__lists")
-    met = paged.join(pages, [*[paged[l] == pages[f"{n}_p"] for n, (l, _) in zip(k, keys)], paged["__stretch"] == pages["__s"]], "left")
-    met = met.withColumn("__place", _last_at_most(F.col("__spans"), at, 2 * STRETCH_DAYS) - 1).withColumns(
-        {"__span": F.get("__spans", F.col("__place")), "__members": F.get("__lists", F.col("__place"))})
-
-    kept = [F.col(c) for c in items.columns]
-    taken = [new for _, new in take]
-
-    def inline(part: DataFrame) -> DataFrame:
-        hits = F.filter("__members", lambda m: F.col("__day").between(m["__from"], m["__to"]) | m["__open"])
-        each = part.select(*kept, F.col("__root").isNotNull().alias("__has"), F.explode_outer(hits).alias("__m"))
-        if not keep_unmatched:
-            each = each.where("__m is not null or not __has")
-        return each.select(*kept, *[F.col(f"__m.{n}").alias(new) for n, new in zip(names, taken)])
-
-    if spanned.groupBy(*k, "span").count().where(F.col("count") > INLINE).isEmpty():
-        return inline(met)
-    long = F.col("__span").isNotNull() & F.col("__members").isNull()
-    within = met.where(long).select(*kept, "__day", "__span")
-    parts = spanned.select(*[F.col(n).alias(f"{n}_v") for n in k], F.col("span").alias("__v"), *member)
-    same = [*[within[l] == parts[f"{n}_v"] for n, (l, _) in zip(k, keys)], within["__span"] == parts["__v"],
-            within["__day"].between(parts["__from"], parts["__to"]) | parts["__open"]]
-    many = within.join(parts, same, "left" if keep_unmatched else "inner").select(
-        *kept, *[F.col(n).alias(new) for n, new in zip(names, taken)])
-    return inline(met.where(~long)).unionByName(many)
+    rooted = rows.join(root, [rows[l] == root[n] for n, (l, _) in zip(k, keys)], "left").drop(*k)
+    at = _stretch(F.coalesce("__day", F.lit(FIRST_DAY).cast("date")))
+    rooted = rooted.withColumn("__at", F.get("__root", _how_many(F.col("__root"), at) - 1))
+    met = rooted.join(page, [*[rooted[l] == page[n] for n, (l, _) in zip(k, keys)], rooted["__at"] == page["__stretch"]], "left")
+    hits = F.filter("__page", lambda m: F.col("__day").between(m["__from"], m["__to"]) | m["__open"])
+    out = met.select(*[F.col(c) for c in items.columns], F.col("__root").isNotNull().alias("__has"), F.explode_outer(hits).alias("__m"))
+    if not keep_unmatched:
+        out = out.where("__m is not null or not __has")
+    return out.select(*[F.col(c) for c in items.columns], *[F.col(f"__m.{n}").alias(new) for n, (_, new) in zip(names, take)])

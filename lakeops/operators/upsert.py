@@ -1,19 +1,17 @@
-"""Merging batches into tables kept as immutable parquet files, bucket by bucket."""
+"""Merging batches into tables."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..sources.sinks import materialize, overwrite_partitions
 from .joins import anti
 from .windows import pick_row, with_group_size
 
+#: Partitions of a merged table and the column that names them.
 BUCKETS = 256
-TRIES = 5
-#: Holds the schema of a table, no rows.
-SCHEMA_BUCKET = -1
+BUCKET = "key_bucket"
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], nullable: bool = False,
@@ -58,71 +56,33 @@ def replace_snapshots(history: DataFrame, today: DataFrame, snapshot: str) -> Da
         today, allowMissingColumns=True)
 
 
-def _commits(spark: SparkSession, path: str) -> DataFrame | None:
-    """(load, bucket, buckets, version) of every committed load; one row per bucket it wrote."""
+def create_or_upsert(spark: SparkSession, path: str, source: DataFrame, keys: list[str], nullable: bool = False,
+                     order: list[Column] | None = None, buckets: int = BUCKETS, checkpoints: str | None = None) -> None:
+    """First load writes, later loads merge into the Parquet table at ``path``.
+
+    The table is partitioned by a hash of its key. A load reads the partitions its keys fall in,
+    merges, and replaces those alone by dynamic partition overwrite, which Spark commits at the end
+    of the job; the merged rows are kept in the checkpoint folder before, as a partition cannot be
+    read while it is replaced. ``buckets`` must be the same in every load. Loads of one table run
+    one after the other; a format with transactions is for those that do not. A key that the batch
+    holds twice fails the load unless ``order`` says which row is the last.
+    """
+    place = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    batch = mergeable(source, keys, nullable, order).withColumn(BUCKET, place)
+    old = read_merged(spark, path, with_bucket=True)
+    if old is not None:
+        touched = [r[0] for r in batch.select(BUCKET).distinct().collect()]  # at most ``buckets`` numbers
+        kept = anti(old.where(F.col(BUCKET).isin(*touched)), batch, keys, null_safe=nullable)
+        batch = materialize(kept.unionByName(batch, allowMissingColumns=True), checkpoints=checkpoints)
+    overwrite_partitions(batch, path, [BUCKET])
+
+
+def read_merged(spark: SparkSession, path: str, with_bucket: bool = False) -> DataFrame | None:
+    """The table that ``create_or_upsert`` keeps, with the columns of all loads; None before the first."""
     try:
-        return spark.read.parquet(f"{path}/commits")
+        df = spark.read.option("mergeSchema", True).parquet(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None
-
-
-def newest_version(spark: SparkSession, path: str) -> int | None:
-    """Highest committed version of a table, None when there is none yet."""
-    commits = _commits(spark, path)
-    return None if commits is None else commits.agg(F.max("version")).first()[0]
-
-
-def _read(spark: SparkSession, path: str, commits: DataFrame, version: int, buckets: list[int] | None = None) -> DataFrame:
-    """Each bucket as its last load up to a version left it; at most one path per bucket is listed."""
-    newest = commits.where(F.col("version") <= version).groupBy("bucket").agg(F.max_by("load", "version").alias("load"))
-    if buckets is not None:
-        newest = newest.where(F.col("bucket").isin(SCHEMA_BUCKET, *buckets))
-    paths = [f"{path}/data/load={r['load']}/bucket={r['bucket']}" for r in newest.collect()]
-    return spark.read.option("basePath", f"{path}/data").option("mergeSchema", True).parquet(*sorted(paths)).drop("load")
-
-
-def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    version = newest_version(spark, path) if version is None else version
-    return _read(spark, path, _commits(spark, path), version).drop("bucket")
-
-
-def create_or_upsert(spark: SparkSession, path: str, source: DataFrame, keys: list[str], nullable: bool = False,
-                     order: list[Column] | None = None, buckets: int = BUCKETS, tries: int = TRIES) -> int:
-    """First load writes, later loads merge; returns the version written.
-
-    Rows lie in buckets by a hash of their key (the first load sets how many). A load reads and
-    writes the buckets its keys fall in, into a folder of its own, and counts once its commit is
-    written: a failed run leaves the last good version in place, other buckets' files stay as they
-    are. Two loads cannot write one version: the later one merges anew into what the first one left.
-    A key that the batch holds twice fails the load unless ``order`` says which row is the last.
-    """
-    batch = mergeable(source, keys, nullable, order)
-    for _ in range(tries):
-        commits = _commits(spark, path)
-        current = None if commits is None else newest_version(spark, path)
-        if current is not None:
-            buckets = commits.agg(F.max("buckets")).first()[0]
-        placed = batch.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-        touched = [r["bucket"] for r in placed.select("bucket").distinct().collect()]  # at most ``buckets`` rows
-        load = uuid.uuid4().hex
-        folder = f"{path}/data/load={load}"
-        if current is None:
-            merged = placed
-        else:
-            old = _read(spark, path, commits, current, touched)
-            kept = anti(old, batch, keys, null_safe=nullable)
-            merged = kept.unionByName(placed, allowMissingColumns=True)
-        merged.drop("bucket").limit(0).write.parquet(f"{folder}/bucket={SCHEMA_BUCKET}")
-        merged.hint("rebalance", "bucket").write.partitionBy("bucket").mode("append").parquet(folder)
-        version = 0 if current is None else current + 1
-        rows = [(load, b, buckets) for b in (SCHEMA_BUCKET, *touched)]
-        try:
-            spark.createDataFrame(rows, "load string, bucket int, buckets int").write.mode("errorifexists").parquet(
-                f"{path}/commits/version={version}")
-            return version
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_ALREADY_EXISTS":
-                raise
-    raise RuntimeError(f"other loads were first {tries} times")
+    return df if with_bucket else df.drop(BUCKET)

@@ -194,12 +194,36 @@ def _reversed(i: int, o: str) -> Column:
     return F.col(f"__o_{i}").asc_nulls_first() if o.startswith("-") else F.col(f"__o_{i}").desc_nulls_last()
 
 
+#: A group that holds more than this share of the rows is hot; there are at most so many of them.
+HOT_GROUPS = 4096
+
+
 def with_group_size(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Rows per key on every row, by a map-side combined count and a join."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    right = sizes.select(*[F.col(k).alias(f"__k_{k}") for k in keys], name)
-    condition = null_safe([df[k] for k in keys], [right[f"__k_{k}"] for k in keys])
-    return df.join(right, condition, "inner").select(*[df[c] for c in df.columns], right[name])
+    """Rows per key on every row, by a map-side combined count and a join that hot groups do not load.
+
+    Sizes of groups with more than 1/``HOT_GROUPS`` of all rows, which are no more than that many,
+    are broadcast; for the join with the other sizes rows of hot groups are dealt by their own hash,
+    so that no task holds a hot group whether or not AQE splits it.
+    """
+    return with_group_values(df, keys, {name: F.count(F.lit(1))})
+
+
+def with_group_values(df: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
+    """What ``values`` aggregate to per key on every row of the key, spread as ``with_group_size`` says."""
+    totals = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__all_rows"), *[v.alias(n) for n, v in values.items()])
+    totals = totals.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__all_rows", *[F.col(n).alias(f"__v_{n}") for n in values])
+    total = totals.agg(F.sum("__all_rows").alias("all")).scalar()
+    is_hot = F.col("__all_rows") * HOT_GROUPS > total
+    hot = totals.where(is_hot).select(*[F.col(f"__k_{k}").alias(f"__h_{k}") for k in keys],
+                                      *[F.col(f"__v_{n}").alias(f"__hot_{n}") for n in values], F.lit(True).alias("__hot"))
+    marked = df.join(F.broadcast(hot), null_safe([df[k] for k in keys], [hot[f"__h_{k}"] for k in keys]), "left")
+    dealt = F.when(F.col("__hot"), F.xxhash64(*[df[c] for c in df.columns], F.spark_partition_id())).otherwise(F.lit(0))
+    marked = marked.withColumn("__deal", dealt)
+    # A zero that the optimizer does not see through: the join must keep it as a key.
+    rest = totals.where(~is_hot).withColumn("__none", F.pmod("__all_rows", F.lit(1)))
+    same = null_safe([F.col(k) for k in keys], [F.col(f"__k_{k}") for k in keys]) & (F.col("__deal") == F.col("__none"))
+    return marked.join(rest, same, "left").select(
+        *[F.col(c) for c in df.columns if c not in values], *[F.coalesce(f"__hot_{n}", f"__v_{n}").alias(n) for n in values])
 
 
 def repeat_rows(df: DataFrame, n: int, name: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.columns import as_col, is_blank, ratio, signed
 from ..operators.joins import lookup, period_key, semi
 from ..operators.reshape import flag_pairs, pivot_sums, unpivot_groups
-from ..operators.windows import with_group_size, year_to_date
+from ..operators.windows import with_group_size, with_group_values, year_to_date
 
 
 def revenue_to_date(monthly: DataFrame, keys: list[str], month: str, value: str, reset: Column | None = None) -> DataFrame:
@@ -55,8 +55,7 @@ def material_variance(produced: DataFrame, consumed: DataFrame, standard: DataFr
 def allocate_by_share(amounts: DataFrame, members: DataFrame, group: list[str], weight: str,
                       measures: list[str]) -> DataFrame:
     """Amounts booked on a group shared out by each member's part of the group's weight."""
-    totals = members.groupBy(*group).agg(F.sum(weight).alias("__total"))
-    shares = lookup(members, totals, group, ["__total"], how="inner")
+    shares = with_group_values(members, group, {"__total": F.sum(weight)})
     shares = shares.withColumn("share", ratio(weight, "__total")).drop("__total")
     out = amounts.join(shares, group, "inner")
     return out.withColumns({m: F.col(m).cast("double") * F.col("share") for m in measures})

@@ -317,18 +317,29 @@ def first_day_flags(lines: DataFrame, flags: dict[str, list[str]], date: str) ->
 
 def invoice_fact(items: DataFrame, headers: DataFrame, partners: DataFrame, roles: dict[str, str],
                  conditions: DataFrame, measures: list[Measure], weights: DataFrame,
-                 plants: DataFrame, weight_keys: tuple[str, ...] = ("material", "plant")) -> DataFrame:
+                 plants: DataFrame, weight_keys: tuple[str, ...] = ("material", "plant"),
+                 documents: tuple[DataFrame, DataFrame, DataFrame, DataFrame] | None = None) -> DataFrame:
     """One row per invoice line.
 
     items: doc, line, material, plant, quantity, net, tax; headers: doc, date, sold_to, payer,
     org, cancelled; partners: doc, role, party; conditions: doc, line, code ...;
-    weights: weight_keys, valid_from, valid_to, weight; plants: plant, is_plant, report_plant.
+    weights: weight_keys, valid_from, valid_to, weight; plants: plant, is_plant, report_plant;
+    documents: accounting, ledger, excise and order_lines of ``with_postings`` and ``with_line_documents``.
+
+    No wide row is moved: what goes by the document comes first, then plants and weights, then,
+    after one exchange of the still narrow lines, everything that goes by document and line, the
+    dozens of measures last. Inputs that lie by document in tables of ``sinks.write_bucketed`` are
+    aggregated and joined where they lie.
     """
     out = items.join(headers, "doc", "inner")
-    out = lookup(out, plants, ["plant"], ["is_plant", "report_plant"])
-    out = effective_dated(out, weights, list(weight_keys), "date", "valid_from", "valid_to", ["weight"])
     parties = role_columns(partners, ["doc"], "role", roles, ["party"])
     out = lookup(out, parties, ["doc"], [f"{p}_party" for p in roles.values()])
+    if documents is not None:
+        out = with_postings(out, *documents[:2])
+    out = lookup(out, plants, ["plant"], ["is_plant", "report_plant"])
+    out = effective_dated(out, weights, list(weight_keys), "date", "valid_from", "valid_to", ["weight"])
+    if documents is not None:
+        out = with_line_documents(out, *documents[2:])
     sums = condition_measures(conditions, ["doc", "line"], measures)
     out = lookup(out, sums, ["doc", "line"], [m.name for m in measures])
     return out.withColumns({
@@ -341,23 +352,32 @@ def invoice_fact(items: DataFrame, headers: DataFrame, partners: DataFrame, role
     })
 
 
-def with_documents(lines: DataFrame, accounting: DataFrame, ledger: DataFrame, excise: DataFrame,
-                   order_lines: DataFrame) -> DataFrame:
-    """Invoice lines with their accounting document, excise document and sales order line.
+def with_postings(lines: DataFrame, accounting: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Invoice lines with the accounting document of their invoice and its business place.
 
-    accounting: doc, company, document, year (of the types that post invoices); ledger: company,
-    document, year, item, place, of which item 1 counts; excise: ref_doc, ref_line, number, date,
-    of which the first number counts; order_lines: order, order_line, route, order_date. Lines
-    keep what they have; each side is brought to one row per key first, so none multiplies them.
+    accounting: doc, company, document, year (of the types that post invoices), of which the least
+    document counts; ledger: company, document, year, item, place, of which item 1 counts.
     """
     posted = accounting.groupBy("doc").agg(F.min(F.struct("document", "company", "year")).alias("__p")).select("doc", "__p.*")
+    # The ledger does not know the invoice, so the postings meet it by its own key first.
     places = ledger.where("item = 1").groupBy("company", "document", "year").agg(F.min("place").alias("place"))
     posted = lookup(posted, places, ["company", "document", "year"], [("place", "business_place")])
-    out = lookup(lines, posted, ["doc"], [("document", "account_document"), "company", "year", "business_place"])
+    return lookup(lines, posted, ["doc"], [("document", "account_document"), "company", "year", "business_place"])
+
+
+def with_line_documents(lines: DataFrame, excise: DataFrame, order_lines: DataFrame) -> DataFrame:
+    """Invoice lines with their excise document and sales order line.
+
+    lines: doc, line, and order, order_line, without which the line is its own order line; excise:
+    ref_doc, ref_line, number, date, of which the first number counts; order_lines: order,
+    order_line, route, order_date. Excise documents are brought to one row per line first, so
+    they do not multiply lines.
+    """
+    by_order = ["order", "order_line"] if "order" in lines.columns else ["doc", "line"]
     first = excise.groupBy("ref_doc", "ref_line").agg(F.min(F.struct("number", "date")).alias("__e")).select(
         "ref_doc", "ref_line", F.col("__e.number").alias("excise_number"), F.col("__e.date").alias("excise_date"))
-    out = lookup(out, first, ["ref_doc", "ref_line"], ["excise_number", "excise_date"])
-    return lookup(out, order_lines, ["order", "order_line"], ["route", "order_date"])
+    out = lookup(lines, first, [("doc", "ref_doc"), ("line", "ref_line")], ["excise_number", "excise_date"])
+    return lookup(out, order_lines, list(zip(by_order, ["order", "order_line"])), ["route", "order_date"])
 
 
 def open_orders(lines: DataFrame, deliveries: DataFrame, from_date: str, to_date: str, keys: list[str]) -> DataFrame:

@@ -34,6 +34,22 @@ def materialize(df: DataFrame, path: str | None = None, checkpoints: str | None
     return df.sparkSession.read.parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, path: str | None = None,
+                   sort: list[str] | None = None) -> DataFrame:
+    """Save as a catalog table whose rows lie in ``buckets`` files by a hash of ``keys``; the table.
+
+    Tables bucketed alike are joined and aggregated on the keys without an exchange, and aggregated
+    so on more columns that include them; joined on more columns only in a session that sets
+    ``spark.sql.requireAllClusterKeysForCoPartition`` to false. ``tune`` does not, as then a hot key that
+    is to be spread by a further column would stay where it is. Rows are dealt by the same hash first, so each task writes one file.
+    Choose keys of which none has a large share of the rows, such as a document number.
+    """
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys)
+    writer = writer.sortBy(*sort) if sort else writer
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Replace only the partitions present in ``df``.
 
@@ -77,7 +93,10 @@ def export_incremental(df: DataFrame, since, stamp: str = "LAST_EXECUTED_TIME")
 
 
 def export_touched_snapshots(df: DataFrame, since, snapshot: str, stamp: str = "LAST_EXECUTED_TIME") -> DataFrame:
-    """Every row of any snapshot that has a row changed after ``since``."""
+    """Every row of any snapshot that has a row changed after ``since``.
+
+    In a table partitioned by the snapshot the dates found prune the partitions that are read.
+    """
     touched = export_incremental(df, since, stamp).select(snapshot).distinct()
     return df.join(touched, snapshot, "left_semi")
 
@@ -91,9 +110,12 @@ def export_aggregated(df: DataFrame, keys: list[str], measures: list[str], since
 
 
 def export_latest_snapshots(df: DataFrame, snapshot: str, n: int = 3) -> DataFrame:
-    """All rows of the newest ``n`` snapshot dates."""
-    newest = df.select(snapshot).distinct().orderBy(F.col(snapshot).desc()).limit(n)
-    return df.join(F.broadcast(newest), snapshot, "left_semi")
+    """All rows of the newest ``n`` snapshot dates.
+
+    The ``n`` dates are looked up first, so that a table partitioned by them is read there alone.
+    """
+    newest = df.select(snapshot).where(F.col(snapshot).isNotNull()).distinct().orderBy(F.col(snapshot).desc()).limit(n).collect()
+    return df.where(F.col(snapshot).isin(*[r[0] for r in newest]) if newest else F.lit(False))
 
 
 def unmapped_rows(fact: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.columns import money
+from ..session import CHECKPOINT_SETTING
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -22,6 +24,11 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
+    @cached_property
+    def checkpoints(self) -> str:
+        """A folder for a session that names none, as in tests; ``use_checkpoints`` prefers the session's own."""
+        return self.spark.conf.get(CHECKPOINT_SETTING, None) or tempfile.mkdtemp(prefix="lakeops-checkpoints-")
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import by_code, first_match, is_blank, ratio
 from ..functions.dates import fiscal_year
-from ..operators import joins, reshape, windows
+from ..operators import hierarchies, joins, reshape, windows
 from ..operators.calendar import days_of
 from ..plans.finance import weighted_price
 from .core import ITEMS, LINES, SALES_ORDERS, Tables, query
@@ -281,6 +281,31 @@ def hierarchy_climb(t: Tables) -> DataFrame:
     return joins.climb(members, links, ["pincode", "state", "zone"])
 
 
+# Every customer hangs under the one a third its number up to 0, some 7 levels deep at the smallest size and
+# deeper at each larger one; the parent of a rotation has loops of its own.
+PARENTS = "parents AS (SELECT c_custkey AS unit, c_custkey // 3 AS parent FROM customer WHERE c_custkey > 0)"
+LOOPS = """loops AS (SELECT c_custkey AS unit, (c_custkey * c_custkey + 7) % (SELECT max(c_custkey) + 1 FROM customer) AS parent FROM customer)"""
+
+
+@query(f"""WITH RECURSIVE {PARENTS}, up AS (SELECT unit, parent, 1 AS step FROM parents
+  UNION ALL SELECT up.unit, p.parent, step + 1 FROM up JOIN parents p ON p.unit = up.parent)
+SELECT unit, string_agg(parent::VARCHAR, '<' ORDER BY step) AS path, max(step) AS depth, arg_max(parent, step) AS top, false AS cyclic
+FROM up GROUP BY 1""")
+def hierarchy_paths(t: Tables) -> DataFrame:
+    links = t.customer.where("c_custkey > 0").select(F.col("c_custkey").alias("unit"), F.expr("c_custkey div 3").alias("parent"))
+    found = hierarchies.paths(links, checkpoints=t.checkpoints)
+    return found.withColumn("path", F.array_join(F.transform("path", lambda p: p.cast("string")), "<"))
+
+
+@query(f"""WITH RECURSIVE {LOOPS}, reach AS (SELECT unit, parent AS here FROM loops
+  UNION SELECT r.unit, p.parent FROM reach r JOIN loops p ON p.unit = r.here)
+SELECT unit FROM reach WHERE unit = here""")
+def hierarchy_cycles(t: Tables) -> DataFrame:
+    most = t.customer.agg((F.max("c_custkey") + 1).alias("n")).scalar()
+    links = t.customer.select(F.col("c_custkey").alias("unit"), ((F.col("c_custkey") * F.col("c_custkey") + 7) % most).alias("parent"))
+    return hierarchies.on_cycles(links, checkpoints=t.checkpoints)
+
+
 # --- aggregations -------------------------------------------------------------------------
 
 

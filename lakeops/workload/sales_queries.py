@@ -127,9 +127,7 @@ def invoice_lines(t: Tables) -> DataFrame:
         F.when(F.col("o_custkey") % 2 == 0, "2000").otherwise("1000").alias("org"),
         F.when(F.col("o_orderstatus") == "P", "X").alias("cancelled"))
     partners = t.lineitem.select(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").cast("string").alias("role"),
-                                 F.col("l_suppkey").alias("party"))
-    out = s.invoice_fact(items, headers, partners, ROLES, conditions(t), FACT_MEASURES, weight_versions(t), plants(t),
-                         weight_keys=("material",))
+                                   F.col("l_suppkey").alias("party"))
     # Every ninth invoice is not posted, the rest are posted twice; returns have no excise document.
     doc = F.col("o_orderkey")
     accounting = t.sales_orders.where("o_orderkey % 9 <> 0").select(
@@ -144,8 +142,8 @@ def invoice_lines(t: Tables) -> DataFrame:
     order_lines = t.items.join(t.sales_orders, F.col("l_orderkey") == doc).where("l_linenumber < 6").select(
         F.col("l_orderkey").alias("order"), F.col("l_linenumber").alias("order_line"),
         F.concat(F.lit("R"), F.col("suppkey").cast("string")).alias("route"), "order_date")
-    keyed = out.withColumns({"ref_doc": F.col("doc"), "ref_line": F.col("line"), "order": F.col("doc"), "order_line": F.col("line")})
-    return s.with_documents(keyed, accounting, ledger, excise, order_lines).drop("ref_doc", "ref_line", "order", "order_line")
+    return s.invoice_fact(items, headers, partners, ROLES, conditions(t), FACT_MEASURES, weight_versions(t), plants(t),
+                          weight_keys=("material",), documents=(accounting, ledger, excise, order_lines))
 
 
 @query(f"""WITH {ITEMS}, {SALES_ORDERS}, {RATES}, {PLANTS}, {CONDITIONS.replace(LINES + ', ', '')},

@@ -265,6 +265,14 @@ def load_counts(t: Tables) -> DataFrame:
     return ingest.load_counts(t.events, "events", F.col("ts").cast("date"))
 
 
+@query("""SELECT 'events' AS table_name, count(*) AS incoming_rows, count(*) FILTER (NOT coalesce(value > 20, false)) AS rejected_rows,
+count(*) FILTER (value > 20) AS written_rows, max(event_id) FILTER (value > 20)::VARCHAR AS next_watermark FROM events""")
+def audited_load(t: Tables) -> DataFrame:
+    """The counts come from the write itself, here to nowhere."""
+    write = lambda df: df.write.format("noop").mode("overwrite").save()
+    return ingest.audited_load(t.events, "events", write, F.col("value") > 20, "event_id")
+
+
 @query("""SELECT event_id, value::INTEGER AS value, CAST(ts AS DATE) AS ts FROM
 (SELECT event_id, trunc(value) AS value, ts FROM events)""")
 def cast_columns(t: Tables) -> DataFrame:
@@ -334,3 +342,18 @@ def missing_keys(t: Tables) -> DataFrame:
     o = t.sales_orders
     return reconcile.missing_keys(o.where("order_date < DATE '2001-01-01'"), o.where("order_date >= DATE '1996-01-01'"),
                                   ["o_orderkey"])
+
+
+@query("""WITH r AS (SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 7 THEN 'Z' ELSE o_orderstatus END AS status FROM orders WHERE o_orderdate >= DATE '1996-01-01'
+UNION ALL SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 90 = 5 AND o_orderdate >= DATE '1996-01-01'),
+a AS (SELECT o_orderkey, o_orderstatus AS status, 1 AS l, 0 AS r FROM orders UNION ALL SELECT o_orderkey, status, 0, 1 FROM r),
+g AS (SELECT o_orderkey, status, sum(l) AS l, sum(r) AS r FROM a GROUP BY 1, 2)
+SELECT o_orderkey, CASE WHEN sum(l) = 0 THEN 'missing_in_left' WHEN sum(r) = 0 THEN 'missing_in_right' ELSE 'different' END AS difference,
+sum(l)::BIGINT AS left_rows, sum(r)::BIGINT AS right_rows FROM g GROUP BY 1 HAVING bool_or(l <> r)""")
+def table_differences(t: Tables) -> DataFrame:
+    """A copy that lacks the oldest orders, has other states in some and some orders twice."""
+    o = t.sales_orders.select("o_orderkey", F.col("o_orderstatus").alias("status"), "order_date")
+    copy = o.where("order_date >= DATE '1996-01-01'")
+    changed = copy.withColumn("status", F.when(F.col("o_orderkey") % 50 == 7, "Z").otherwise(F.col("status")))
+    right = changed.unionByName(copy.where("o_orderkey % 90 = 5"))
+    return reconcile.differences(o.drop("order_date"), right.drop("order_date"), ["o_orderkey"])

@@ -64,12 +64,15 @@ def test_more_overlapping_versions_than_a_page_holds(spark, keep):
     assert rows(got.select("id", "value")) == brute(items, versions, keep)
 
 
-def test_spans_are_runs_of_overlapping_versions(spark):
-    v = [("k", day(0), day(5), 1), ("k", day(5), day(6), 2), ("k", day(2), day(3), 3), ("k", day(7), day(7), 4), ("m", day(1), day(300), 5),
-         ("m", day(200), day(201), 6), ("m", day(300), day(301), 7), ("m", day(302), day(302), 8)]
-    got = intervals.spans(spark.createDataFrame(v, VERSIONS), ["k"], "a", "b")
-    assert {(r["w"], r["span"]) for r in got.collect()} == {
-        (1, day(0)), (2, day(0)), (3, day(0)), (4, day(7)), (5, day(1)), (6, day(1)), (7, day(1)), (8, day(302))}
+def test_pages_hold_what_begins_in_them_or_reaches_into_them(spark):
+    """Stretches are 64 days, counted from 1970; one version alone is not repeated through the years it holds."""
+    start = dt.date(1970, 1, 1)
+    at = lambda n: start + dt.timedelta(n)
+    v = spark.createDataFrame([("k", at(0), at(5), 1), ("k", at(6), at(70), 2), ("k", at(71), at(10_000), 3), ("k", at(20_000), at(20_001), 4)], VERSIONS)
+    root = intervals.roots(v, ["k"], "a", "b")
+    assert root.first()["__root"] == [0, 1, 312]
+    got = intervals.pages(v, root, ["k"], "a", "b", ["w"]).collect()
+    assert {r["__stretch"]: sorted(m["w"] for m in r["__page"]) for r in got} == {0: [1, 2], 1: [2, 3], 312: [4]}
 
 
 def test_empty_sides(spark):
@@ -120,7 +123,9 @@ def test_no_row_is_multiplied_by_a_key_with_100_000_versions(shuffled):
     assert counts and all(c <= 100_000 for c in counts) and counts.count(3000) == 2
     wrong = got.where("k = 'hot' and not (w <=> if(id * 37 % 110000 < 100000, id * 37 % 110000, null))").count()
     assert wrong == 0 and got.count() == 3000
-    # Versions are ordered within a stretch of their key; over a whole key only what stretches come to.
-    text = intervals.spans(versions, ["k"], "a", "b")._jdf.queryExecution().optimizedPlan().toString()
-    windows = [line for line in text.splitlines() if line.strip(" +-:").startswith("Window")]
-    assert windows and all("__block" in line.split("], [")[1] or "__s_" in line.split("], [")[0] for line in windows)
+    # The index takes a version to two rows at most, and its pages are grouped by key and stretch.
+    own = versions.withColumnsRenamed({"a": "start", "b": "end"})
+    root = intervals.roots(own, ["k"], "start", "end")
+    page = intervals.pages(own, root, ["k"], "start", "end", ["w"])
+    assert page.agg(F.sum(F.size("__page"))).first()[0] <= 200_000
+    assert page.count() > 1500 and page.agg(F.max(F.size("__page"))).first()[0] <= 65

@@ -6,7 +6,7 @@ from conftest import rows
 from pyspark.sql import Window, functions as F
 
 from lakeops.functions import columns as c, dates as d
-from lakeops.operators import calendar, ingest, joins, keys, reshape, upsert, windows
+from lakeops.operators import calendar, ingest, joins, keys, reconcile, reshape, upsert, windows
 from lakeops.operators.ingest import ColumnMeta
 from lakeops.operators.keys import KeyMapping
 
@@ -344,3 +344,31 @@ def test_monthly_values_repeat_per_day(spark):
 @pytest.mark.parametrize("today,closing", [("2024-03-15", "2024-02-29"), ("2024-01-01", "2023-12-31")])
 def test_closing_day(today, closing):
     assert d.previous_month_end(today) == closing
+
+
+# --- reconcile and audit ------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("buckets", [1, 4096])
+def test_differences_by_key(spark, buckets):
+    columns = "k int, g string, v string"
+    left = spark.createDataFrame([(1, "a", "x"), (2, "a", "x"), (3, None, None), (4, "a", "x"), (5, "d", "x"), (5, "d", "x"), (None, "n", "1")], columns)
+    right = spark.createDataFrame([(1, "a", "x"), (2, "a", "y"), (3, None, None), (5, "d", "x"), (6, "a", "x"), (None, "n", "2"), (3, "", None)], columns)
+    got = reconcile.differences(left, right, ["k", "g"], buckets=buckets)
+    assert rows(got) == sorted([(2, "a", "different", 1, 1), (4, "a", "missing_in_right", 1, 0), (5, "d", "different", 2, 1), (None, "n", "different", 1, 1),
+                                (6, "a", "missing_in_left", 0, 1), (3, "", "missing_in_left", 0, 1)], key=lambda r: [(v is not None, str(v)) for v in r])
+    assert reconcile.differences(left, left.repartition(5), ["k", "g"], buckets=buckets).collect() == []
+    assert rows(reconcile.missing_keys(left, right, ["k"])) == [(4, "right"), (6, "left")]
+    assert reconcile.differences(left.limit(0), left.limit(0), ["k"]).collect() == []
+
+
+def test_audit_counts_are_taken_during_the_write(spark, tmp_path):
+    df = spark.createDataFrame([(i, None if i % 4 == 0 else f"v{i}", i * 10) for i in range(20)], "k int, v string, at int")
+    written = []
+    got = ingest.audited_load(df, "t", lambda d: written.append(d) or d.write.parquet(str(tmp_path / "t")), F.col("v").isNotNull(), "at")
+    assert [tuple(r) for r in got.collect()] == [("t", 20, 5, 15, "190")] and len(written) == 1
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 15
+    none = ingest.audited_load(df.limit(0), "t", lambda d: d.write.parquet(str(tmp_path / "u")), None, "at")
+    assert [tuple(r) for r in none.collect()] == [("t", 0, 0, 0, None)]
+    plain = ingest.audited_load(df, "t", lambda d: d.write.parquet(str(tmp_path / "w")))
+    assert [tuple(r) for r in plain.collect()] == [("t", 20, 0, 20, None)]

@@ -303,3 +303,47 @@ def test_ledger_due_dates(spark):
     codes = spark.createDataFrame([("a",)], "account string")
     got = finance.ledger_lines(lines, docs, accounts, company, codes).select("amount", "due_date")
     assert rows(got) == [(-5, day("2020-01-11")), (7, day("2020-03-02"))]
+
+
+def test_invoice_fact_leaves_bucketed_documents_where_they_lie(spark, tmp_path):
+    """Seven tables by document are joined and aggregated; only the lines move, after plants and weights, and the postings."""
+    import uuid
+
+    from lakeops.plans import sales
+    from lakeops.sources import sinks
+
+    docs = spark.range(300).select(F.col("id").alias("doc"))
+    lines = docs.select("doc", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("line"))
+    day = F.lit("2020-01-05").cast("date")
+    d = lambda c: F.lit(c).cast("decimal(18,2)")
+    sources = {
+        "items": lines.select("*", (F.col("doc") % 5).alias("material"), (F.col("doc") % 3).alias("plant"), d("2").alias("quantity"), d("10").alias("net"), d("1").alias("tax")),
+        "headers": docs.select("*", day.alias("date"), F.lit(1).alias("sold_to"), F.lit(1).alias("payer"), F.lit("1000").alias("org"), F.lit("").alias("cancelled")),
+        "partners": lines.select("doc", F.col("line").cast("string").alias("role"), F.lit(9).alias("party")),
+        "conditions": lines.select("*", F.lit("ZF00").alias("code"), d("3").alias("value")),
+        "accounting": docs.select("*", F.lit("c").alias("company"), F.col("doc").alias("document"), F.lit(2020).alias("year")),
+        "excise": lines.select(F.col("doc").alias("ref_doc"), F.col("line").alias("ref_line"), F.lit(4).alias("number"), day.alias("date")),
+        "orders": lines.select(F.col("doc").alias("order"), F.col("line").alias("order_line"), F.lit("r").alias("route"), day.alias("order_date"))}
+    keys = {"excise": "ref_doc", "orders": "order"}
+    names = {n: f"b_{uuid.uuid4().hex}" for n in sources}
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.adaptive.enabled": "false"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        b = {n: sinks.write_bucketed(df, names[n], [keys.get(n, "doc")], 4, str(tmp_path / n)) for n, df in sources.items()}
+        ledger = docs.select(F.lit("c").alias("company"), F.col("doc").alias("document"), F.lit(2020).alias("year"), F.lit(1).alias("item"), F.lit(7).alias("place"))
+        weights = spark.createDataFrame([(0, None, None, 1.5)], "material long, valid_from date, valid_to date, weight double")
+        plants = spark.createDataFrame([(0, 1, 2)], "plant long, is_plant int, report_plant int")
+        out = sales.invoice_fact(b["items"], b["headers"], b["partners"], {"1": "payer"}, b["conditions"], [sales.Measure("freight", ("ZF00",))],
+                                 weights, plants, ("material",), (b["accounting"], ledger, b["excise"], b["orders"]))
+        assert out.count() == 900 and out.where("freight = 3 and payer_party = 9 and business_place = 7 and excise_number = 4 and route = 'r'").count() == 900
+        text = out._jdf.queryExecution().executedPlan().toString()
+        moved = [line.split("hashpartitioning(")[1] for line in text.splitlines() if "Exchange hashpartitioning(" in line]
+        by_document = [m for m in moved if m.startswith(("doc#", "__r_doc#", "ref_doc", "order#", "__r_ref_doc", "__r_order#"))]
+        assert sorted(m.split("#")[0] for m in by_document) == ["__r_doc", "doc"]
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        for n in names.values():
+            spark.sql(f"DROP TABLE IF EXISTS {n}")

@@ -7,11 +7,12 @@ from lakeops.workload import QUERIES as NAMES
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES = {name: run for name, run in entry.queries().items() if name in NAMES}
-# Broadcast by hint: bucket starts (at most 4096 rows) and the newest n snapshot dates.
+# Broadcast by hint: bucket starts, hot groups, parts that differ (at most 4096 rows each).
 BOUNDED = {
-    "assign_surrogate_keys", "code_text_dimensions", "export_latest_snapshots", "junk_dimension", "ledger_account_dimension",
+    "assign_surrogate_keys", "code_text_dimensions", "count_over_partition", "equal_split", "junk_dimension", "ledger_account_dimension",
     "lookup_surrogate_keys", "rates_spread_over_geography", "service_dimension", "sheets_with_keys", "text_dimension",
-    "unmapped_quarantine",
+    "missing_keys", "production_confirmations", "proportional_allocation", "repeated_groups", "stock_valuation", "table_differences", "unmapped_quarantine",
+    "upsert_by_key", "upsert_nullable_key",
 }
 
 

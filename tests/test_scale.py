@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lakeops.operators import joins, keys, windows
+from lakeops.operators import joins, keys, reconcile, windows
 from lakeops.session import tune
 
 
@@ -73,3 +73,40 @@ def test_numbering_orders_only_buckets(spark):
     assert out.agg(F.min("k"), F.max("k"), F.countDistinct("k")).first() == (1, 20_000, 20_000)
     assert out.groupBy(F.substring(F.md5("code"), 1, 3)).count().agg(F.max("count")).first()[0] < 30
 
+
+
+@pytest.fixture
+def no_help(spark):
+    """Neither broadcasts by estimate nor AQE's skew join."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "32"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield spark
+    for key in settings:
+        spark.conf.unset(key)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    tune(spark)
+
+
+def test_sizes_of_a_group_with_half_of_all_rows_load_no_task(no_help):
+    df = no_help.range(0, 100_000, 1, 8).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"), "id").union(
+        no_help.range(5000).select(F.lit(None).cast("bigint"), "id"))
+    out = windows.with_group_size(df, ["k"], "n")
+    got = out.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+    assert got < 2 * 105_000 / 32
+    sizes = {r["k"]: (r["n"], r["rows"]) for r in out.groupBy("k", "n").agg(F.count(F.lit(1)).alias("rows")).where("n > 1").collect()}
+    assert sizes == {7: (50_001, 50_001), None: (5000, 5000)} and out.count() == 105_000
+
+
+def test_equal_tables_shuffle_checksums_only(no_help):
+    df = no_help.range(0, 200_000, 1, 4).select((F.col("id") % 150_000).alias("k"), F.col("id").cast("string").alias("v"))
+    spark_plan = reconcile.differences(df, df.repartition(3), ["k"])
+    rows_of, todo = [], [spark_plan._jdf.queryExecution().executedPlan()]
+    assert spark_plan.collect() == []
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Exchange" and "hashpartitioning" in node.toString():
+            rows_of.append(int(node.metrics().get("shuffleRecordsWritten").get().value()))
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    # One row for each part and map task; no row of the tables themselves.
+    assert rows_of and max(rows_of) <= reconcile.BUCKETS * 8

@@ -102,80 +102,124 @@ def make(spark, data, columns="k int, v string"):
     return spark.createDataFrame(data, columns)
 
 
-def test_versions_are_created_merged_and_committed(spark, tmp_path):
-    path = str(tmp_path / "versioned")
-    assert upsert.newest_version(spark, path) is None
-    assert upsert.create_or_upsert(spark, path, make(spark, [(1, "a"), (2, "b")]), ["k"]) == 0
-    assert upsert.create_or_upsert(spark, path, make(spark, [(2, "B"), (3, "c")]), ["k"]) == 1
-    assert rows(upsert.read_version(spark, path)) == [(1, "a"), (2, "B"), (3, "c")]
-    assert rows(upsert.read_version(spark, path, 0)) == [(1, "a"), (2, "b")]
-    # The same batch again changes nothing.
-    assert upsert.create_or_upsert(spark, path, make(spark, [(2, "B"), (3, "c")]), ["k"]) == 2
-    assert rows(upsert.read_version(spark, path)) == [(1, "a"), (2, "B"), (3, "c")]
-    # Files of a load that was not committed do not count.
-    make(spark, [(9, "z")]).write.parquet(str(tmp_path / "versioned" / "data" / "load=lost" / "bucket=0"))
-    assert upsert.newest_version(spark, path) == 2 and upsert.read_version(spark, path).count() == 3
-
-
-def test_a_load_writes_only_the_buckets_of_its_keys(spark, tmp_path):
-    path = tmp_path / "bucketed"
-    upsert.create_or_upsert(spark, str(path), make(spark, [(i, "a") for i in range(100)]), ["k"], buckets=16)
-    files = lambda: {f: (f.stat().st_mtime_ns, f.stat().st_size) for f in path.rglob("bucket=*/*.parquet")}
-    first = files()
-    upsert.create_or_upsert(spark, str(path), make(spark, [(5, "b"), (500, "c")]), ["k"])
-    second = files()
-    assert {f: second[f] for f in first} == first
-    new = {f.parent.name for f in second.keys() - first.keys()} - {"bucket=-1"}
-    assert 1 <= len(new) <= 2
-    assert rows(upsert.read_version(spark, str(path)).where("v != 'a'")) == [(5, "b"), (500, "c")]
-    assert upsert.read_version(spark, str(path)).count() == 101
+def files_of(path):
+    return {f: (f.stat().st_mtime_ns, f.stat().st_size) for f in path.rglob("*=*/*.parquet")}
+
+
+def test_a_table_is_created_and_merged(spark, tmp_path):
+    path = str(tmp_path / "merged")
+    load = lambda data, **kw: upsert.create_or_upsert(spark, path, make(spark, data), ["k"], checkpoints=str(tmp_path / "c"), **kw)
+    assert upsert.read_merged(spark, path) is None
+    load([(1, "a"), (2, "b")])
+    load([(2, "B"), (3, "c")])
+    assert rows(upsert.read_merged(spark, path)) == [(1, "a"), (2, "B"), (3, "c")]
+    load([(2, "B"), (3, "c")])  # the same batch again changes nothing
+    assert rows(upsert.read_merged(spark, path)) == [(1, "a"), (2, "B"), (3, "c")]
+    load([])
+    assert upsert.read_merged(spark, path).columns == ["k", "v"] and upsert.read_merged(spark, path).count() == 3
+
+
+def test_a_load_writes_only_the_partitions_of_its_keys(spark, tmp_path):
+    path, folder = tmp_path / "bucketed", str(tmp_path / "c")
+    upsert.create_or_upsert(spark, str(path), make(spark, [(i, "a") for i in range(100)]), ["k"], buckets=16, checkpoints=folder)
+    first = files_of(path)
+    upsert.create_or_upsert(spark, str(path), make(spark, [(5, "b"), (500, "c")]), ["k"], buckets=16, checkpoints=folder)
+    second = files_of(path)
+    changed = {f.parent.name for f in first.keys() ^ second.keys()}
+    assert 1 <= len(changed) <= 2 and all(second[f] == first[f] for f in first.keys() & second.keys())
+    assert rows(upsert.read_merged(spark, str(path)).where("v != 'a'")) == [(5, "b"), (500, "c")]
+    assert upsert.read_merged(spark, str(path)).count() == 101
 
 
 def test_repeated_keys_are_refused_or_resolved(spark, tmp_path):
-    path = str(tmp_path / "repeated")
-    upsert.create_or_upsert(spark, path, make(spark, [(1, "a")]), ["k"])
+    path, folder = str(tmp_path / "repeated"), str(tmp_path / "c")
+    upsert.create_or_upsert(spark, path, make(spark, [(1, "a")]), ["k"], checkpoints=folder)
     batch = make(spark, [(1, "b"), (1, "c")])
     with pytest.raises(Exception, match="more than once"):
-        upsert.create_or_upsert(spark, path, batch, ["k"])
-    assert rows(upsert.read_version(spark, path)) == [(1, "a")]
+        upsert.create_or_upsert(spark, path, batch, ["k"], checkpoints=folder)
+    assert rows(upsert.read_merged(spark, path)) == [(1, "a")]
     with pytest.raises(Exception, match="more than once"):
         upsert.upsert(make(spark, [(1, "a")]), batch, ["k"]).collect()
-    upsert.create_or_upsert(spark, path, batch, ["k"], order=[F.col("v")])
-    assert rows(upsert.read_version(spark, path)) == [(1, "c")]
+    upsert.create_or_upsert(spark, path, batch, ["k"], order=[F.col("v")], checkpoints=folder)
+    assert rows(upsert.read_merged(spark, path)) == [(1, "c")]
 
 
 def test_null_keys_match_only_when_asked(spark, tmp_path):
     for nullable, expected in ((True, [(None, "b"), (1, "a")]), (False, [(None, "a"), (None, "b"), (1, "a")])):
-        path = str(tmp_path / f"nulls_{nullable}")
-        upsert.create_or_upsert(spark, path, make(spark, [(None, "a"), (1, "a")]), ["k"], nullable)
-        upsert.create_or_upsert(spark, path, make(spark, [(None, "b")]), ["k"], nullable)
-        assert rows(upsert.read_version(spark, path)) == expected
-
-
-def test_a_later_load_merges_into_what_the_first_one_left(spark, tmp_path, monkeypatch):
-    path = str(tmp_path / "race")
-    upsert.create_or_upsert(spark, path, make(spark, [(1, "a")]), ["k"])
-    read, done = upsert._read, []
-
-    def other_load_first(*args):
-        if not done:
-            done.append(True)
-            upsert.create_or_upsert(spark, path, make(spark, [(2, "other"), (1, "other")]), ["k"])
-        return read(*args)
-
-    monkeypatch.setattr(upsert, "_read", other_load_first)
-    assert upsert.create_or_upsert(spark, path, make(spark, [(1, "mine")]), ["k"]) == 2
-    monkeypatch.undo()
-    assert rows(upsert.read_version(spark, path)) == [(1, "mine"), (2, "other")]
-
-
-def test_new_columns_and_an_empty_first_load(spark, tmp_path):
-    path = str(tmp_path / "columns")
-    upsert.create_or_upsert(spark, path, make(spark, []), ["k"])
-    assert upsert.read_version(spark, path).columns == ["k", "v"] and upsert.read_version(spark, path).count() == 0
-    upsert.create_or_upsert(spark, path, make(spark, [(1, "a")]), ["k"])
-    upsert.create_or_upsert(spark, path, make(spark, [(2, "b", 7)], "k int, v string, w int"), ["k"])
-    assert rows(upsert.read_version(spark, path).select("k", "v", "w")) == [(1, "a", None), (2, "b", 7)]
+        path, folder = str(tmp_path / f"nulls_{nullable}"), str(tmp_path / "c")
+        upsert.create_or_upsert(spark, path, make(spark, [(None, "a"), (1, "a")]), ["k"], nullable, checkpoints=folder)
+        upsert.create_or_upsert(spark, path, make(spark, [(None, "b")]), ["k"], nullable, checkpoints=folder)
+        assert rows(upsert.read_merged(spark, path)) == expected
+
+
+def test_new_columns_come_with_later_loads(spark, tmp_path):
+    path, folder = str(tmp_path / "columns"), str(tmp_path / "c")
+    upsert.create_or_upsert(spark, path, make(spark, [(1, "a")]), ["k"], checkpoints=folder)
+    upsert.create_or_upsert(spark, path, make(spark, [(2, "b", 7)], "k int, v string, w int"), ["k"], checkpoints=folder)
+    assert rows(upsert.read_merged(spark, path).select("k", "v", "w")) == [(1, "a", None), (2, "b", 7)]
+
+
+# --- partitioned and bucketed tables ------------------------------------------------------
+
+
+def scans(df):
+    """(number of files read, plan text) of the executed scans."""
+    df.collect()
+    files, todo, text = [], [df._jdf.queryExecution().executedPlan()], df._jdf.queryExecution().executedPlan().toString()
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif node.nodeName().endswith("QueryStage"):
+            todo.append(node.plan())
+        if "Scan parquet" in node.nodeName():
+            files.append(int(node.metrics().get("numFiles").get().value()))
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return files, text
+
+
+@pytest.fixture
+def by_snapshot(spark, tmp_path):
+    df = spark.range(400).select((F.col("id") % 20).cast("int").alias("snapshot"), F.col("id").alias("v"),
+                                 F.when(F.col("id").isin(7, 27), 100).otherwise(F.col("id") % 50).cast("int").alias("changed"))
+    path = str(tmp_path / "snapshots")
+    df.repartition(1).write.partitionBy("snapshot").parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_touched_snapshots_alone_are_read_whole(by_snapshot):
+    got = sinks.export_touched_snapshots(by_snapshot, 99, "snapshot", "changed")
+    files, text = scans(got)
+    assert "dynamicpruning" in text and sorted(files) == [1, 20]  # all dates for the stamp, one for its rows
+    assert rows(got.select("v")) == sorted([(v,) for v in range(7, 400, 20)], key=str)
+
+
+def test_latest_snapshots_alone_are_read(by_snapshot):
+    got = sinks.export_latest_snapshots(by_snapshot, "snapshot", 3)
+    files, text = scans(got)
+    assert files == [3] and "PartitionFilters: [snapshot" in text and got.count() == 60
+    assert sinks.export_latest_snapshots(by_snapshot.limit(0), "snapshot", 3).count() == 0
+
+
+def test_bucketed_tables_are_joined_and_aggregated_where_they_lie(spark, tmp_path):
+    import uuid
+    names = [f"t_{uuid.uuid4().hex}" for _ in range(2)]
+    df = spark.range(2000).select((F.col("id") % 300).alias("doc"), (F.col("id") % 7).alias("line"), "id")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.requireAllClusterKeysForCoPartition": "false"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        a, b = (sinks.write_bucketed(df, n, ["doc"], 6, str(tmp_path / n)) for n in names)
+        out = a.groupBy("doc", "line").agg(F.sum("id").alias("s")).join(
+            b.groupBy("doc").agg(F.count(F.lit(1)).alias("n")), "doc").join(b.select("doc", "line").distinct(), ["doc", "line"])
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+        assert out.agg(F.sum("s")).first()[0] == 2000 * 1999 // 2
+        assert len(list((tmp_path / names[0]).glob("*.parquet"))) == 6
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        for n in names:
+            spark.sql(f"DROP TABLE IF EXISTS {n}")
 
 
 class Session:
