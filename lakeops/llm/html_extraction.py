@@ -23,7 +23,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import as_batch, settled, ship
 
@@ -61,6 +61,9 @@ ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
 TEMPLATE_SHARE = 0.9
 LEAST_PAGES = 5
 BROADCAST_HOSTS = 20_000
+BROADCAST_BYTES = 64 << 20
+#: Pivots a task keeps as trees.
+KNOWN_PIVOTS = 256
 #: Cells of an alignment held at once.
 ALIGN_CELLS = 4_000_000
 
@@ -392,10 +395,6 @@ class Matching:
         return out
 
 
-#: Stands for the slot of a run that many pages share and the pivot lacks.
-SHARED = -1
-
-
 def _boxes(root: Node) -> list[range]:
     """Numbers of the text runs of each element below an article (or main) that sets its content apart."""
     out: list[range] = []
@@ -415,81 +414,129 @@ def _boxes(root: Node) -> list[range]:
     return out
 
 
-def main_text(root: Node, aligned: dict[int, int], template: set[int]) -> str:
-    """The page's content, given which pivot slot says the same as a text run aligned with it.
+@dataclass
+class Reading:
+    """What the text of a page can be made of: the runs it may show, and which of them stand apart."""
+
+    numbers: list[int]
+    texts: list[str]
+    inside: bool
+    boxes: list[list[int]]
+
+
+def read_page(root: Node) -> Reading:
+    """Runs that are not left out, of the article where there is one; in it, the runs that each element of its own holds."""
+    inside = _in_articles(root)
+    runs = [(n, node.text) for n, node in enumerate(texts(root)) if not node.left_out and (not inside or n in inside)]
+    numbers = {n for n, _ in runs}
+    boxes = [sorted(numbers.intersection(box)) for box in _boxes(root)] if inside else []
+    return Reading([n for n, _ in runs], [t for _, t in runs], bool(inside), [box for box in boxes if box])
+
+
+def shown_text(page: Reading, constant: set[int]) -> str:
+    """The page's content without the given constant runs.
 
     Inside an article a line that all pages have may be text. There only what is set apart by an
     element of its own, of nothing but template, goes, and never all of an article.
     """
-    inside = _in_articles(root)
-    runs = texts(root)
-    shown = {n for n, node in enumerate(runs) if not node.left_out and (not inside or n in inside)}
-    constant = {n for n in shown if aligned.get(n) in template}
-    if inside and constant:
-        boxes = [shown.intersection(box) for box in _boxes(root)]
-        constant = set().union(*[box for box in boxes if box <= constant])
+    shown = set(page.numbers)
+    constant = constant & shown
+    if page.inside and constant:
+        constant = {n for box in page.boxes if constant.issuperset(box) for n in box}
         constant = constant if constant < shown else set()
-    return "\n".join(node.text for n, node in enumerate(runs) if n in shown and n not in constant)
+    return "\n".join(t for n, t in zip(page.numbers, page.texts, strict=True) if n not in constant)
 
 
-HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
-SKELETONS = pa.schema([("host", pa.string()), ("skeleton", pa.string())])
-COUNTS = pa.schema([
-    ("host", pa.string()), ("slot", pa.int32()), ("place", pa.int64()), ("text_hash", pa.int64()),
-    ("same", pa.int64()), ("pages", pa.int64())])
+def main_text(root: Node, aligned: dict[int, int], template: set[int]) -> str:
+    """The page's content, given which pivot slot says the same as a text run aligned with it."""
+    return shown_text(read_page(root), {n for n, slot in aligned.items() if slot in template})
 
 
-def _by_host(rows: DataFrame, per_host: DataFrame) -> DataFrame:
-    """Rows with what is known of their host; sent to all tasks only if the hosts are counted to be few."""
-    if per_host.count() <= BROADCAST_HOSTS:
+HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
+READ = pa.schema([
+    ("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("page_key", pa.string()),
+    ("numbers", pa.list_(pa.int32())), ("texts", pa.list_(pa.string())), ("inside", pa.bool_()),
+    ("boxes", pa.list_(pa.list_(pa.int32()))), ("slots", pa.list_(pa.int32())), ("runs", pa.list_(pa.int32())),
+    ("same", pa.list_(pa.bool_())), ("keyed", pa.list_(pa.int32())), ("places", pa.list_(pa.int64())),
+    ("hashes", pa.list_(pa.int64()))])
+READ_SQL = ("page_id bigint, url string, host string, page_key string, numbers array<int>, texts array<string>, inside boolean, "
+            "boxes array<array<int>>, slots array<int>, runs array<int>, same array<boolean>, keyed array<int>, "
+            "places array<bigint>, hashes array<bigint>")
+
+
+def _by_host(rows: DataFrame, per_host: DataFrame, size: Column) -> DataFrame:
+    """Rows with what is known of their host; sent to all tasks only if that is counted to be few hosts and bytes."""
+    hosts, total = per_host.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    if hosts <= BROADCAST_HOSTS and total <= BROADCAST_BYTES:
         per_host = F.broadcast(per_host)
     return rows.join(per_host, "host", "left")
 
 
-def induce_wrappers(pages: DataFrame, template_share: float = TEMPLATE_SHARE, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """host, pivot (a skeleton), template (numbers of the pivot's constant text runs) and shared (place
-    and text hash of runs that nearly all pages with a text at that place have, in the pivot or not).
+def choose_pivots(pages: DataFrame) -> DataFrame:
+    """(host, pivot): the skeleton of each host's page that hashes lowest."""
+    hashed = pages.select("host", "html", F.xxhash64("html").alias("h"))
+    lowest = settled(hashed.groupBy("host").agg(F.min("h").alias("lowest")))
+    one = _by_host(hashed, lowest, F.lit(8)).where("h = lowest").groupBy("host").agg(F.min("html").alias("html"))
+    schema = pa.schema([("host", pa.string()), ("pivot", pa.string())])
 
-    Every different page of a host is aligned with the pivot. A host with fewer than ``least_pages``
-    different pages has no template.
-    """
     def outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hosts = batch.column(0).to_pylist()
-            yield as_batch([(h, skeleton(parse(p.as_py() or ""))) for h, p in zip(hosts, batch.column(1), strict=True)], SKELETONS)
+            yield as_batch([(h, skeleton(parse(p.as_py()))) for h, p in zip(hosts, batch.column(1), strict=True)], schema)
+
+    return settled(one.mapInArrow(outline, "host string, pivot string"))
 
-    outlines = settled(pages.select("host", "html").mapInArrow(outline, "host string, skeleton string").distinct())
-    pivots = settled(outlines.groupBy("host").agg(F.min_by("skeleton", F.struct(F.xxhash64("skeleton"), "skeleton")).alias("pivot")))
 
-    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def align_pages(pages: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Every page parsed and aligned with its host's pivot, once: what it may show, and which run stands in which slot.
+
+    ``page_key`` is a hash of the skeleton, equal for pages that differ in nothing but markup.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, tuple[Tree, dict]] = {}
         for batch in batches:
-            counts: dict[tuple, list[int]] = {}  # by host and slot, or by host, place and text (none: any)
-            for host, lines, pivot in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                shapes: dict = {}
-                a, b = Tree(pivot, shapes), Tree(lines, shapes)
+            rows = []
+            keys = [batch.column(i).to_pylist() for i in (0, 1, 2)]
+            for key, address, host, body, pivot in zip(*keys, batch.column(3), batch.column(4), strict=True):
+                root = parse(body.as_py())
+                page, lines = read_page(root), skeleton(root)
+                if host not in known:
+                    if len(known) >= KNOWN_PIVOTS:
+                        known.clear()
+                    shapes: dict = {}
+                    known[host] = Tree(pivot.as_py(), shapes), shapes
+                a, shapes = known[host]
+                b = Tree(lines, dict(shapes))
                 slots, shown = a.shown(), b.shown()
-                counts.setdefault((host, -1, None, None), [0, 0])[1] += 1
-                for i, j in Matching(a, b).pairs():
-                    if slots[i]:
-                        count = counts.setdefault((host, i, None, None), [0, 0])
-                        count[0] += slots[i] == shown[j]
-                        count[1] += 1
-                keys = set(b.keys()) - {None}
-                for place, text in keys | {(place, None) for place, _ in keys}:
-                    counts.setdefault((host, None, place, text), [0, 0])[1] += 1
-            yield as_batch([(*k, *c) for k, c in counts.items()], COUNTS)
-
-    seen = _by_host(outlines, pivots).select("host", "skeleton", "pivot").mapInArrow(
-        align, "host string, slot int, place bigint, text_hash bigint, same bigint, pages bigint")
-    totals = settled(seen.groupBy("host", "slot", "place", "text_hash").agg(F.sum("same").alias("same"), F.sum("pages").alias("pages")))
-    constant = (F.col("slot") >= 0) & (F.col("pages") >= least_pages) & (F.col("same") >= template_share * F.col("pages"))
-    slots = totals.where("slot is not null").groupBy("host").agg(
-        F.sort_array(F.collect_list(F.when(constant, F.col("slot")))).alias("template"))
-    many = totals.where(F.col("text_hash").isNotNull() & (F.col("pages") >= least_pages)).select("host", "place", "text_hash", "pages")
-    whole = totals.where("place is not null and text_hash is null").select("host", "place", F.col("pages").alias("all"))
+                pairs = [(i, j, slots[i] == shown[j]) for i, j in Matching(a, b).pairs() if slots[i]]
+                places = [(j, *k) for j, k in enumerate(b.keys()) if k]
+                rows.append((
+                    key, address, host, blake2b(lines.encode(), digest_size=16).hexdigest(), page.numbers, page.texts, page.inside,
+                    page.boxes, *[[p[n] for p in pairs] for n in range(3)], *[[p[n] for p in places] for n in range(3)]))
+            yield as_batch(rows, READ)
+
+    return _by_host(pages, pivots, F.length("pivot")).select("page_id", "url", "host", "html", "pivot").mapInArrow(run, READ_SQL)
+
+
+def induce_wrappers(read: DataFrame, template_share: float = TEMPLATE_SHARE, least_pages: int = LEAST_PAGES) -> DataFrame:
+    """host, template (numbers of the pivot's constant text runs) and shared (place and text hash of runs
+    that nearly all pages with a text at that place have, in the pivot or not), of aligned pages.
+
+    Every different page of a host counts once. A host with fewer than ``least_pages`` of them has
+    no template.
+    """
+    pages = settled(read.select("host", "page_key", "slots", "same", "places", "hashes").dropDuplicates(["host", "page_key"]))
+    slot = pages.select("host", F.explode(F.arrays_zip("slots", "same")).alias("s")).groupBy("host", F.col("s.slots").alias("slot")).agg(
+        F.count(F.lit(1)).alias("pages"), F.sum(F.col("s.same").cast("int")).alias("same"))
+    template = slot.where((F.col("pages") >= least_pages) & (F.col("same") >= template_share * F.col("pages"))).groupBy("host").agg(
+        F.sort_array(F.collect_list("slot")).alias("template"))
+    texts_at = F.explode(F.array_distinct(F.arrays_zip("places", "hashes"))).alias("t")
+    many = pages.select("host", texts_at).groupBy("host", F.col("t.places").alias("place"), F.col("t.hashes").alias("text_hash")).agg(
+        F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= least_pages)
+    whole = pages.select("host", F.explode(F.array_distinct("places")).alias("place")).groupBy("host", "place").agg(F.count(F.lit(1)).alias("all"))
     shared = many.join(whole, ["host", "place"]).where(F.col("pages") >= template_share * F.col("all")).groupBy("host").agg(
         F.sort_array(F.collect_list(F.struct("place", "text_hash"))).alias("shared"))
-    return settled(pivots.join(slots, "host").join(shared, "host", "left"))
+    return settled(template.join(shared, "host", "full"))
 
 
 EXTRACTED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
@@ -503,28 +550,22 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
     its own (empty); null ids and repeated pages stay; an empty table gives no rows.
     """
     ship(pages.sparkSession)
-    read = pages.select(
-        pages[page_id].cast("bigint").alias("page_id"), pages[url].alias("url"), pages[page].alias("html"),
+    source = pages.select(
+        pages[page_id].cast("bigint").alias("page_id"), pages[url].alias("url"), F.coalesce(pages[page], F.lit("")).alias("html"),
         F.lower(F.regexp_extract(F.coalesce(pages[url], F.lit("")), HOST, 1)).alias("host"))
+    read = settled(align_pages(source, choose_pivots(source)))
     wrappers = induce_wrappers(read, **options)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            keys = [batch.column(i).to_pylist() for i in (0, 1, 4)]
-            for key, address, template, body, pivot, shared in zip(*keys, *[batch.column(i) for i in (2, 3, 5)], strict=True):
-                root = parse(body.as_py() or "")
-                aligned: dict[int, int] = {}
-                template, common = set(template or ()), {(s["place"], s["text_hash"]) for s in shared.as_py() or ()}
-                if (template or common) and pivot.is_valid:
-                    shapes: dict = {}
-                    a, b = Tree(pivot.as_py(), shapes), Tree(skeleton(root), shapes)
-                    slots, shown = a.shown(), b.shown()
-                    aligned = {j: i for i, j in Matching(a, b).pairs() if slots[i] == shown[j]}
-                    aligned.update((j, SHARED) for j, k in enumerate(b.keys()) if k in common and aligned.get(j) not in template)
-                text = main_text(root, aligned, template | {SHARED})
-                rows.append((key, address, text, len(text)))
+            for r in batch.to_pylist():
+                template, common = set(r["template"] or ()), {(s["place"], s["text_hash"]) for s in r["shared"] or ()}
+                constant = {j for i, j, same in zip(r["slots"], r["runs"], r["same"], strict=True) if same and i in template}
+                constant.update(j for j, *k in zip(r["keyed"], r["places"], r["hashes"], strict=True) if tuple(k) in common)
+                text = shown_text(Reading(r["numbers"], r["texts"], r["inside"], r["boxes"]), constant)
+                rows.append((r["page_id"], r["url"], text, len(text)))
             yield as_batch(rows, EXTRACTED)
 
-    return _by_host(read, wrappers).select("page_id", "url", "html", "pivot", "template", "shared").mapInArrow(
-        run, "page_id bigint, url string, text string, n_chars bigint")
+    size = 4 * F.coalesce(F.size("template"), F.lit(0)) + 16 * F.coalesce(F.size("shared"), F.lit(0))
+    return _by_host(read, wrappers, size).mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint")
