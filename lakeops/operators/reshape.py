@@ -54,7 +54,10 @@ def conditional_sums(df: DataFrame, keys: list[str], measures: dict[str, tuple[C
 
 def attributes_to_columns(df: DataFrame, keys: list[str], attribute: str, value: str,
                           mapping: dict[str, str], order: list[str | Column]) -> DataFrame:
-    """Attribute rows to columns; of a repeated attribute the first by ``order`` counts."""
+    """Attribute rows to columns; of a repeated attribute the first by ``order`` counts.
+
+    Values of variable width, such as texts, are aggregated by sorting whatever they are ordered by.
+    """
     rank = F.struct(*[as_col(o) for o in order])
     return df.where(F.col(attribute).isin(*mapping)).groupBy(*keys).agg(*[
         F.min_by(F.when(F.col(attribute) == code, F.col(value)),
@@ -63,7 +66,10 @@ def attributes_to_columns(df: DataFrame, keys: list[str], attribute: str, value:
 
 
 def until_last_filled(long: DataFrame, number: str, value: str) -> DataFrame:
-    """Cut the periods after the last one in which any row has a value."""
+    """Cut the periods after the last one in which any row has a value.
+
+    A sheet in which no row has a value has no such period and is left empty.
+    """
     last = long.where(F.col(value).isNotNull()).agg(F.max(number).alias("last")).scalar()
     return long.where(F.col(number) <= last)
 

@@ -7,6 +7,7 @@ import json
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import as_col, null_safe
+from ..functions.ordering import rank
 
 
 def first_event_flag(df: DataFrame, keys: list[str], order: list[str], flag: str) -> DataFrame:
@@ -15,17 +16,13 @@ def first_event_flag(df: DataFrame, keys: list[str], order: list[str], flag: str
     The earliest row is found by a partially aggregated minimum and matched back on key and
     order columns together, so a hot key is neither sorted nor collected in one task.
     """
-    if len(order) == 1:  # a plain minimum of a fixed-width column is aggregated by hash
-        firsts = df.groupBy(*keys).agg(F.min(order[0]).alias(f"__o_{order[0]}"))
-    else:
-        firsts = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("__first")).select(
-            *keys, *[F.col(f"__first.{o}").alias(f"__o_{o}") for o in order])
-    right = firsts.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *[f"__o_{o}" for o in order], F.lit(1).alias("__hit"))
-    condition = null_safe(
-        [df[k] for k in keys] + [df[o] for o in order],
-        [right[f"__k_{k}"] for k in keys] + [right[f"__o_{o}"] for o in order])
-    return df.join(right, condition, "left").select(
-        *[df[c] for c in df.columns if c != flag], F.coalesce(right["__hit"], F.lit(0)).alias(flag))
+    place = F.col(order[0]) if len(order) == 1 else rank(df, order)
+    placed = df.withColumn("__place", place)
+    firsts = placed.groupBy(*keys).agg(F.min("__place").alias("__first"))
+    right = firsts.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__first", F.lit(1).alias("__hit"))
+    condition = null_safe([placed[k] for k in keys] + [placed["__place"]], [right[f"__k_{k}"] for k in keys] + [right["__first"]])
+    return placed.join(right, condition, "left").select(
+        *[placed[c] for c in df.columns if c != flag], F.coalesce(right["__hit"], F.lit(0)).alias(flag))
 
 
 def first_date_flag(df: DataFrame, keys: list[str], date: str, flag: str) -> DataFrame:

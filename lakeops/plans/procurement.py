@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import as_col, first_match, is_blank, strip_zeros
+from ..functions.ordering import rank
 from ..operators.joins import anti, lookup, period_key, semi
 from ..operators.reshape import conditional_sums, quarter_budgets
 
@@ -182,7 +183,7 @@ def import_tracker(lines: DataFrame, documents: DataFrame, firsts: dict[str, tup
     """
     earliest = lambda kind, c: F.min_by(
         F.when(F.col("kind") == kind, F.col(c)),
-        F.when(F.col("kind") == kind, F.struct("date", "reference")))
+        F.when(F.col("kind") == kind, rank(documents, ["date", "reference"])))
     facts = documents.groupBy(*keys).agg(*[earliest(kind, c).alias(name) for name, (kind, c) in firsts.items()])
     sums = conditions.withColumn("line", strip_zeros("line")).groupBy("doc", "line").agg(*[
         F.sum(F.when(F.col("code") == c, F.col("value"))).alias(c.lower()) for c in codes])

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.columns import first_match, is_blank, ratio, signed
 from ..operators.joins import lookup
 from ..operators.reshape import concat_rows, paired_unpivot, pivot_sums, unpivot
-from ..operators.windows import pick_row
+from ..operators.windows import pick_row, with_group_size
 from .stock import by_plant_unit, to_unit
 
 # Texts shown for tests without a result or a value; the first letters of
@@ -83,6 +83,84 @@ def complaint_life_cycle(complaints: DataFrame, investigations: DataFrame, compe
         F.abs(F.datediff("cmp_date", "inv_date")).alias("days_to_compensate"))
 
 
+# Final statuses of a complaint, by the document that was decided on last.
+AT_COMPLAINT = ("Complaint Rejected", "Complaint Assigned", "Complaint Registered", "Complaint Approved")
+AT_INVESTIGATION = ("Investigation Rejected", "Investigated and under review", "Investigation Approved. Compensation under review")
+AT_COMPENSATION = ("Compensation Rejected", "Compensation Under Review", "Compensation Approved and sent")
+REJECTED = ("Complaint Rejected", "Investigation Rejected", "Compensation Rejected")
+DRAFT = "DRAFT"
+#: The unit whose plants are those of its supplies; the others name them when they complain.
+SUPPLY_UNIT = "SBU1"
+
+SUPPLIED = ("supplied", "broken", "loss")
+
+
+def main_investigations(investigations: DataFrame, lines: DataFrame) -> DataFrame:
+    """The only investigation of a complaint; of several those that have lines in a unit's plant list."""
+    sized = with_group_size(investigations, ["complaint"], "__n")
+    listed = lines.select("id").distinct().withColumn("__listed", F.lit(True))
+    marked = lookup(sized, listed, ["id"], ["__listed"])
+    return marked.where((F.col("__n") == 1) | F.col("__listed")).drop("__n", "__listed")
+
+
+def complaint_tracker(complaints: DataFrame, statuses: DataFrame, investigations: DataFrame, compensations: DataFrame,
+                      complaint_plants: DataFrame, investigation_lines: DataFrame, compensation_lines: DataFrame,
+                      defects: DataFrame, defect_names: DataFrame) -> DataFrame:
+    """Complaints of all units with what their final status, their stages and their unit say.
+
+    complaints: id, unit, category, date, cancel_remark, customer; statuses: complaint, final_status;
+    investigations, compensations: id, complaint, status, date, cancel_remark, customer;
+    complaint_plants: complaint, plant; investigation_lines, compensation_lines: id, plant, supplied,
+    broken, loss, of the plant lists of all units; defects: unit, id (of the compensation), code,
+    invoice; defect_names: unit, category, code, name.
+
+    Drafts do not count. The cancel remark is that of the document the final status rejects, the
+    customer that of the document it was decided on. Plants and quantities of ``SUPPLY_UNIT`` come from
+    the compensation's lines, or else the investigation's, a row for each plant; other units have
+    the complaint's plants and the quantities of the whole document. Of several defects the one
+    with the least invoice counts.
+    """
+    taken = [("id", "id"), ("date", "date"), ("cancel_remark", "remark"), ("customer", "customer")]
+    done = lambda df: df.where(F.col("status") != DRAFT)
+    out = lookup(complaints.withColumnRenamed("customer", "own_customer"), done(main_investigations(investigations, investigation_lines)),
+                 [("id", "complaint")], [(c, f"inv_{n}") for c, n in taken])
+    out = lookup(out, done(compensations), [("id", "complaint")], [(c, f"cmp_{n}") for c, n in taken])
+    out = lookup(out, statuses, [("id", "complaint")], ["final_status"])
+    status = F.col("final_status")
+    out = out.withColumns({
+        "remark": first_match(list(zip([status == r for r in REJECTED], [F.col("cancel_remark"), F.col("inv_remark"), F.col("cmp_remark")]))),
+        "customer": first_match([(status.isin(*AT_INVESTIGATION), F.col("inv_customer")), (status.isin(*AT_COMPENSATION), F.col("cmp_customer"))],
+                                F.col("own_customer")),
+        "rejected_on": F.when(status.isin(*REJECTED), F.col("date")),
+        "days_to_attend": F.abs(F.datediff("inv_date", "date")),
+        "days_to_compensate": F.abs(F.datediff("cmp_date", "inv_date"))})
+
+    totals = lambda df, by, name: df.groupBy(*by).agg(*[F.sum(c).alias(f"{name}_{c}") for c in SUPPLIED])
+    quantities = lambda: {c: F.coalesce(f"c_{c}", f"i_{c}") for c in SUPPLIED}
+    names = lambda p: [f"{p}_{c}" for c in SUPPLIED]
+    first = F.col("unit") == SUPPLY_UNIT
+    # Plants of the supplies: the compensation's, or the investigation's where it lists none.
+    by_plant, by_plant_inv = totals(compensation_lines, ["id", "plant"], "c"), totals(investigation_lines, ["id", "plant"], "i")
+    mine = lookup(out.where(first), by_plant.select("id").distinct().withColumn("__paid", F.lit(True)), [("cmp_id", "id")], ["__paid"])
+    lists = by_plant.select(F.lit("c").alias("__kind"), "id", "plant").unionByName(by_plant_inv.select(F.lit("i").alias("__kind"), "id", "plant"))
+    mine = mine.withColumns({"__kind": F.when(F.col("__paid"), "c").otherwise("i"),
+                             "__list": F.when(F.col("__paid"), F.col("cmp_id")).otherwise(F.col("inv_id"))})
+    mine = lookup(mine, lists, ["__kind", ("__list", "id")], ["plant"]).drop("__paid", "__kind", "__list")
+    mine = lookup(mine, by_plant, [("cmp_id", "id"), "plant"], names("c"))
+    mine = lookup(mine, by_plant_inv, [("inv_id", "id"), "plant"], names("i"))
+    others = lookup(out.where(~first), complaint_plants.distinct(), [("id", "complaint")], ["plant"])
+    others = lookup(others, totals(compensation_lines, ["id"], "c"), [("cmp_id", "id")], names("c"))
+    others = lookup(others, totals(investigation_lines, ["id"], "i"), [("inv_id", "id")], names("i"))
+    out = mine.unionByName(others).withColumns(quantities())
+
+    one = pick_row(defects.select("unit", "id", "code", "invoice"), ["unit", "id"], [F.col("invoice"), F.col("code")])
+    out = lookup(out, one, ["unit", ("cmp_id", "id")], [("code", "defect"), "invoice"])
+    out = lookup(out, defect_names, ["unit", "category", ("defect", "code")], [("name", "defect_name")])
+    return out.select(
+        "id", "unit", "category", "inv_id", "cmp_id", "final_status", "remark", "customer", "plant", *SUPPLIED, "defect", "invoice",
+        "defect_name", "rejected_on", "days_to_attend", "days_to_compensate")
+
+
 def visit_frequency(visits: DataFrame, customer: Column, year: Column, date: Column) -> DataFrame:
     """Distinct visit dates per customer and fiscal year."""
     return visits.groupBy(customer.alias("customer"), year.alias("fiscal_year")).agg(

@@ -330,6 +330,70 @@ def complaint_life_cycle(t: Tables) -> DataFrame:
     return q.complaint_life_cycle(kind("signup").drop("quantity"), kind("view").where("id % 3 <> 0"), kind("purchase").where("id % 2 = 0"))
 
 
+STATUSES = [*q.AT_COMPLAINT, *q.AT_INVESTIGATION, *q.AT_COMPENSATION]
+_STATUS_SQL = "CASE o_orderkey % 11 " + " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(STATUSES)) + " END"
+_SUMS = lambda p: ", ".join(f"sum({c}) AS {p}_{c}" for c in q.SUPPLIED)
+
+
+@query(f"""WITH {ITEMS}, {SALES_ORDERS},
+co AS (SELECT o_orderkey AS id, 'SBU' || (o_orderkey % 3 + 1) AS unit, o_custkey % 4 AS category, order_date AS date, o_orderpriority AS cancel_remark,
+  'c' || o_custkey AS customer, {_STATUS_SQL} AS final_status FROM sales_orders),
+inv0 AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS complaint, CASE WHEN flag = 'R' THEN 'DRAFT' ELSE 'DONE' END AS status, ship_date AS date,
+  'i' || suppkey AS remark, 'j' || partkey AS customer FROM items WHERE l_linenumber <= 2),
+il AS (SELECT l_orderkey * 10 + CASE WHEN l_suppkey % 2 = 0 THEN 2 ELSE 1 END AS id, l_suppkey AS plant, quantity AS supplied, price AS broken, discount AS loss
+  FROM lines WHERE l_linenumber IN (2, 3)),
+cl AS (SELECT l_orderkey * 10 + 5 AS id, l_suppkey AS plant, quantity AS supplied, price AS broken, discount AS loss, l_returnflag AS code, l_partkey AS invoice,
+  'SBU' || (l_orderkey % 3 + 1) AS unit FROM lines WHERE l_linenumber = 5 AND l_orderkey % 7 <> 0),
+inv AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY complaint) AS n FROM inv0) WHERE (n = 1 OR id IN (SELECT id FROM il)) AND status <> 'DRAFT'),
+cmp AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS complaint, ship_date AS date, 'k' || suppkey AS remark, 'm' || partkey AS customer
+  FROM items WHERE l_linenumber = 5 AND status <> 'F'),
+reg AS (SELECT DISTINCT l_orderkey AS complaint, l_suppkey % 5 AS plant FROM lines WHERE l_linenumber > 3),
+base AS (SELECT co.*, inv.id AS inv_id, inv.date AS inv_date, inv.remark AS inv_remark, inv.customer AS inv_customer, cmp.id AS cmp_id, cmp.date AS cmp_date,
+  cmp.remark AS cmp_remark, cmp.customer AS cmp_customer FROM co LEFT JOIN inv ON inv.complaint = co.id LEFT JOIN cmp ON cmp.complaint = co.id),
+cp AS (SELECT id, plant, {_SUMS('c')} FROM cl GROUP BY 1, 2), ip AS (SELECT id, plant, {_SUMS('i')} FROM il GROUP BY 1, 2),
+ct AS (SELECT id, {_SUMS('c')} FROM cl GROUP BY 1), it AS (SELECT id, {_SUMS('i')} FROM il GROUP BY 1),
+listed AS (SELECT b.id, b.inv_id, b.cmp_id, p.plant FROM base b JOIN cp p ON p.id = b.cmp_id WHERE unit = 'SBU1'
+  UNION ALL SELECT b.id, b.inv_id, b.cmp_id, p.plant FROM base b JOIN ip p ON p.id = b.inv_id WHERE unit = 'SBU1' AND coalesce(b.cmp_id NOT IN (SELECT id FROM cp), true)),
+rows AS (SELECT b.*, l.plant, {', '.join(f'coalesce(c_{c}, i_{c}) AS {c}' for c in q.SUPPLIED)} FROM base b
+    LEFT JOIN listed l ON l.id = b.id AND l.inv_id IS NOT DISTINCT FROM b.inv_id AND l.cmp_id IS NOT DISTINCT FROM b.cmp_id
+    LEFT JOIN cp ON cp.id = b.cmp_id AND cp.plant = l.plant LEFT JOIN ip ON ip.id = b.inv_id AND ip.plant = l.plant WHERE unit = 'SBU1'
+  UNION ALL SELECT b.*, reg.plant, {', '.join(f'coalesce(c_{c}, i_{c}) AS {c}' for c in q.SUPPLIED)} FROM base b
+    LEFT JOIN reg ON reg.complaint = b.id LEFT JOIN ct ON ct.id = b.cmp_id LEFT JOIN it ON it.id = b.inv_id WHERE unit <> 'SBU1'),
+d AS (SELECT unit, id, arg_min(code, (invoice, code)) AS defect, min(invoice) AS invoice FROM cl GROUP BY 1, 2),
+n AS (SELECT DISTINCT 'SBU' || (l_orderkey % 3 + 1) AS unit, l_suppkey % 4 AS category, l_returnflag AS code FROM lineitem WHERE l_suppkey % 4 > 0)
+SELECT r.id, r.unit, r.category, inv_id, cmp_id, final_status, CASE final_status WHEN 'Complaint Rejected' THEN cancel_remark WHEN 'Investigation Rejected' THEN inv_remark
+  WHEN 'Compensation Rejected' THEN cmp_remark END AS remark, CASE WHEN final_status IN ('{"', '".join(q.AT_INVESTIGATION)}') THEN inv_customer
+  WHEN final_status IN ('{"', '".join(q.AT_COMPENSATION)}') THEN cmp_customer ELSE customer END AS customer, plant, supplied::DOUBLE AS supplied, broken::DOUBLE AS broken,
+  loss::DOUBLE AS loss, defect, invoice, n.code || n.category AS defect_name, CASE WHEN contains(final_status, 'Rejected') THEN date END AS rejected_on,
+  abs(date_diff('day', date, inv_date)) AS days_to_attend, abs(date_diff('day', inv_date, cmp_date)) AS days_to_compensate
+FROM rows r LEFT JOIN d ON d.unit = r.unit AND d.id = r.cmp_id LEFT JOIN n ON n.unit = r.unit AND n.category = r.category AND n.code = d.defect""")
+def complaint_tracker(t: Tables) -> DataFrame:
+    c = F.col
+    text = lambda mark, column: F.concat(F.lit(mark), c(column).cast("string"))
+    unit = lambda column: F.concat(F.lit("SBU"), (c(column) % 3 + 1).cast("string")).alias("unit")
+    place = first_match([(c("o_orderkey") % 11 == i, s) for i, s in enumerate(STATUSES)])
+    complaints = t.sales_orders.select(
+        c("o_orderkey").alias("id"), unit("o_orderkey"), (c("o_custkey") % 4).alias("category"), c("order_date").alias("date"),
+        c("o_orderpriority").alias("cancel_remark"), text("c", "o_custkey").alias("customer"))
+    statuses = t.sales_orders.select(c("o_orderkey").alias("complaint"), place.alias("final_status"))
+    document = lambda df, remark, customer, draft: df.select(
+        (c("l_orderkey") * 10 + c("l_linenumber")).alias("id"), c("l_orderkey").alias("complaint"), F.when(draft, q.DRAFT).otherwise("DONE").alias("status"),
+        c("ship_date").alias("date"), text(remark, "suppkey").alias("cancel_remark"), text(customer, "partkey").alias("customer"))
+    investigations = document(t.items.where("l_linenumber <= 2"), "i", "j", c("flag") == "R")
+    compensations = document(t.items.where("l_linenumber = 5"), "k", "m", c("status") == "F")
+    supply = lambda df, id_, *more: df.select(
+        id_.alias("id"), c("l_suppkey").alias("plant"), c("quantity").alias("supplied"), c("price").alias("broken"), c("discount").alias("loss"), *more)
+    lines = t.lines
+    inv_lines = supply(lines.where("l_linenumber IN (2, 3)"), c("l_orderkey") * 10 + F.when(c("l_suppkey") % 2 == 0, 2).otherwise(1))
+    paid = supply(lines.where("l_linenumber = 5 AND l_orderkey % 7 <> 0"), c("l_orderkey") * 10 + 5, c("l_returnflag").alias("code"),
+                  c("l_partkey").alias("invoice"), unit("l_orderkey"))
+    plants = lines.where("l_linenumber > 3").select(c("l_orderkey").alias("complaint"), (c("l_suppkey") % 5).alias("plant"))
+    names = lines.where("l_suppkey % 4 > 0").select(unit("l_orderkey"), (c("l_suppkey") % 4).alias("category"), c("l_returnflag").alias("code")).distinct()
+    names = names.withColumn("name", F.concat("code", c("category").cast("string")))
+    return q.complaint_tracker(complaints, statuses, investigations, compensations, plants, inv_lines, paid.drop("code", "invoice", "unit"),
+                               paid.select("unit", "id", "code", "invoice"), names)
+
+
 @query("""SELECT coalesce(nullif(c_name, 'Customer#000000003'), 'user ' || user_id) AS customer, year(ts) - 1 AS fiscal_year, count(DISTINCT ts::DATE) AS visits
 FROM events LEFT JOIN customer ON c_custkey = user_id GROUP BY 1, 2""")
 def visit_frequency(t: Tables) -> DataFrame:

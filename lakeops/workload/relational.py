@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import by_code, first_match, is_blank, ratio
 from ..functions.dates import fiscal_year
+from ..functions.ordering import rank
 from ..operators import hierarchies, joins, reshape, windows
 from ..operators.calendar import days_of
 from ..plans.finance import weighted_price
@@ -321,7 +322,7 @@ def grouped_aggregates(t: Tables) -> DataFrame:
 @query("""SELECT o_custkey, arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS first_order,
 arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS last_order FROM orders GROUP BY 1""")
 def first_and_last_value(t: Tables) -> DataFrame:
-    order = F.struct("o_orderdate", "o_orderkey")
+    order = rank(t.orders, ["o_orderdate", "o_orderkey"])
     return t.orders.groupBy("o_custkey").agg(F.min_by("o_orderkey", order).alias("first_order"),
                                              F.max_by("o_orderkey", order).alias("last_order"))
 

@@ -5,7 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import Window, functions as F
 
-from lakeops.functions import columns as c, dates as d
+from lakeops.functions import columns as c, dates as d, ordering
 from lakeops.operators import calendar, ingest, joins, keys, reconcile, reshape, upsert, windows
 from lakeops.operators.ingest import ColumnMeta
 from lakeops.operators.keys import KeyMapping
@@ -346,6 +346,32 @@ def test_closing_day(today, closing):
     assert d.previous_month_end(today) == closing
 
 
+def test_a_sheet_without_values_keeps_no_period(spark):
+    df = spark.createDataFrame([("p", 1, None), ("p", 2, None)], "k string, n int, v int")
+    assert reshape.until_last_filled(df, "n", "v").collect() == []
+
+
+# --- order columns as one number ----------------------------------------------------------
+
+
+def test_packed_numbers_order_like_their_columns(spark):
+    stamp = dt.datetime
+    rows_ = [(i, a, b, c_, e, f, g) for i, (a, b, c_, e, f, g) in enumerate([
+        (None, None, None, None, None, None), (True, -2**63, day("0001-01-01"), stamp(1, 1, 2), Decimal("-99.99"), -1),
+        (False, 2**63 - 1, day("9999-12-31"), stamp(9999, 12, 30, 23, 59, 59, 999999), Decimal("99.99"), 127),
+        (True, 0, day("1970-01-01"), stamp(1970, 1, 1, 0, 0, 0, 1), Decimal("0.00"), 0), (True, 0, day("1969-12-31"), stamp(1969, 12, 31, 23, 59, 59, 999999), Decimal("-0.01"), -128),
+        (False, 0, None, stamp(2020, 2, 29, 12, 30, 15, 5), Decimal("0.01"), 5), (None, 5, day("2020-01-01"), stamp(2020, 2, 29, 12, 30, 15, 4), None, None)])]
+    df = spark.createDataFrame(rows_, "i int, a boolean, b bigint, c date, e timestamp_ntz, f decimal(4,2), g tinyint")
+    df = df.withColumn("h", F.col("e").cast("timestamp"))
+    for columns in (["a", "b"], ["b"], ["c", "b"], ["e", "b"], ["h", "b"], ["f", "g", "c"], ["g", "f"], ["e"], ["a", "c", "f", "g"], ["c", "e"]):
+        number = ordering.packed(df, columns)
+        order = [r["i"] for r in df.orderBy(number, "i").collect()]
+        assert order == [r["i"] for r in df.orderBy(*columns, "i").collect()], columns
+        assert df.select(number.alias("n")).distinct().count() == df.select(*columns).distinct().count()
+    assert ordering.packed(df, ["b", "e", "g"]) is None and ordering.packed(df.withColumn("t", F.lit("x")), ["t"]) is None
+    assert "Struct" not in str(ordering.rank(df, ["c", "b"])) and df.agg(F.min(ordering.rank(df, ["b", "e", "g"]))).count() == 1
+
+
 # --- reconcile and audit ------------------------------------------------------------------
 
 

@@ -9,7 +9,7 @@ FOLDER = "/root/testdata/sf0.001"
 QUERIES = {name: run for name, run in entry.queries().items() if name in NAMES}
 # Broadcast by hint: bucket starts, hot groups, parts that differ (at most 4096 rows each).
 BOUNDED = {
-    "assign_surrogate_keys", "code_text_dimensions", "count_over_partition", "equal_split", "junk_dimension", "ledger_account_dimension",
+    "assign_surrogate_keys", "code_text_dimensions", "complaint_tracker", "count_over_partition", "equal_split", "junk_dimension", "ledger_account_dimension",
     "lookup_surrogate_keys", "rates_spread_over_geography", "service_dimension", "sheets_with_keys", "text_dimension",
     "missing_keys", "production_confirmations", "proportional_allocation", "repeated_groups", "stock_valuation", "table_differences", "unmapped_quarantine",
     "upsert_by_key", "upsert_nullable_key",
@@ -53,3 +53,11 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "GreaterThanOrEqual(o_orderdate" in text and "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in text
     text = plan(QUERIES["in_value_list"](spark, FOLDER))
     assert "EqualTo(p_type,ECONOMY)" in text and "l_extendedprice" not in text
+
+
+@pytest.mark.parametrize("name", ["first_and_last_value", "first_event_flag", "import_tracker"])
+def test_first_values_by_several_columns_are_aggregated_by_hash(no_broadcast, name):
+    lines = plan(QUERIES[name](no_broadcast, FOLDER)).splitlines()
+    assert not [line for line in lines if "SortAggregate" in line and ("min_by" in line or "max_by" in line or "min(struct" in line or "__place" in line)]
+    if name != "import_tracker":  # the test's item lines take the maximum of a text
+        assert not [line for line in lines if "SortAggregate" in line]
