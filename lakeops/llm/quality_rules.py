@@ -3,7 +3,8 @@
 Each document becomes a vector of transformed statistics. For every language and source a minimum
 covariance determinant estimate describes the bulk of its documents: concentration steps keep the
 three quarters of rows nearest to the current centre and estimate centre and covariance from
-them anew. Documents beyond a Mahalanobis distance are rejected.
+them anew. A group's estimate leans on its language's, and that one on the estimate of all, the more
+the fewer documents it has, without a threshold. Documents beyond a Mahalanobis distance are rejected.
 
 Everything that is summed is an integer: statistics are rounded to 1/256, distances are counted in
 classes. Estimates then do not depend on the order of rows or on how they are split, and a step is
@@ -24,12 +25,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 STATS = ["s_word", "s_symbol", "s_repeat", "s_line"]
 #: Least standard deviation of each statistic: below it, differences are no sign of quality.
-LEAST_SPREAD = [0.08, 0.4, 0.6, 0.8]
+#: With them the greatest value of each statistic alone is far beyond the limit, that of a text of repeated lines at 61 of 33.
+LEAST_SPREAD = [0.08, 0.4, 0.42, 0.5]
 UNIT = 256
 CLASSES = 8
 CORE = 0.75
 STEPS = 4
-LEAST_ROWS = 200
+#: Rows that the wider estimate counts for beside those of a group: ten for each statistic.
+WIDER_ROWS = 40
 TAIL = 1e-6
 BROADCAST_GROUPS = 20_000
 
@@ -151,31 +154,47 @@ def concentrate(rows: DataFrame, estimates: DataFrame, key: str, core: float = C
     kept = sums.withColumns({
         "before": F.sum("n").over(nearer) - F.col("n"), "all": F.sum("n").over(Window.partitionBy(key))}).where(
         F.col("before") < F.ceil(F.col("all") * core))
-    total = kept.groupBy(key).agg(*[F.sum(c).alias(c) for c in ["n", *[f"a{i}" for i in dims], *[f"a{i}{j}" for i, j in pairs]]])
+    total = kept.groupBy(key).agg(F.max("all").alias("rows"), *[
+        F.sum(c).alias(c) for c in ["n", *[f"a{i}" for i in dims], *[f"a{i}{j}" for i, j in pairs]]])
     n = F.col("n").cast("double")
     total = total.withColumns({f"m{i}": F.col(f"a{i}") / n / UNIT for i in dims})
     factor = core_factor(core, len(STATS))
-    for i, j in pairs:
-        shared = (F.col(f"a{i}{j}") / n / UNIT / UNIT - F.col(f"m{i}") * F.col(f"m{j}")) * factor
-        total = total.withColumn(f"c{i}{j}", shared + LEAST_SPREAD[i] ** 2 if i == j else shared)
+    total = total.withColumns({
+        f"c{i}{j}": (F.col(f"a{i}{j}") / n / UNIT / UNIT - F.col(f"m{i}") * F.col(f"m{j}")) * factor for i, j in pairs})
+    return settled(with_root(total).select(
+        key, "rows", *[f"m{i}" for i in dims], *[f"{k}{i}{j}" for k in "cl" for i, j in pairs]))
+
+
+def with_root(estimates: DataFrame) -> DataFrame:
+    """The triangular root ``l`` of the covariance ``c``, to whose variances the least ones are added."""
+    dims = range(len(STATS))
     for i in dims:
         for j in range(i + 1):
-            left = reduce(lambda e, k, i=i, j=j: e - F.col(f"l{i}{k}") * F.col(f"l{j}{k}"), range(j), F.col(f"c{i}{j}"))
-            total = total.withColumn(f"l{i}{j}", F.sqrt(left) if i == j else left / F.col(f"l{j}{j}"))
-    return settled(total.select(key, *[f"m{i}" for i in dims], *[f"l{i}{j}" for i, j in pairs]))
+            whole = F.col(f"c{i}{j}") + LEAST_SPREAD[i] ** 2 if i == j else F.col(f"c{i}{j}")
+            left = reduce(lambda e, k, i=i, j=j: e - F.col(f"l{i}{k}") * F.col(f"l{j}{k}"), range(j), whole)
+            estimates = estimates.withColumn(f"l{i}{j}", F.sqrt(left) if i == j else left / F.col(f"l{j}{j}"))
+    return estimates
+
+
+def leaning(own: DataFrame, wider: DataFrame, key: str, on: str, also: tuple[str, ...] = ()) -> DataFrame:
+    """Estimates of groups with their wider group's mixed in, as if that were ``WIDER_ROWS`` of their rows."""
+    names = [*[f"m{i}" for i in range(len(STATS))], *[f"c{i}{j}" for i in range(len(STATS)) for j in range(i + 1)]]
+    wide = wider.select(F.col(key).alias("_wider"), *[F.col(c).alias(f"w_{c}") for c in names])
+    share = F.col("rows") / (F.col("rows") + WIDER_ROWS)
+    mixed = own.join(wide, F.col(on) == F.col("_wider"))
+    return mixed.select(key, "rows", *also, *[(share * F.col(c) + (1 - share) * F.col(f"w_{c}")).alias(c) for c in names])
 
 
 def verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-             source: str = "source", carry: tuple[str, ...] = (), least_rows: int = LEAST_ROWS,
-             tail: float = TAIL, steps: int = STEPS) -> DataFrame:
+             source: str = "source", carry: tuple[str, ...] = (), tail: float = TAIL, steps: int = STEPS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept, distance and the carried columns.
 
     ``kept`` is false where the base rule fails or the squared distance is beyond the chi-squared
-    quantile at ``tail``. A language and source with fewer than ``least_rows`` documents is judged
-    by the estimate of its language, and that one failing by the estimate of all; where even these
-    are fewer, nothing but the base rule rejects. Null languages and sources are groups of their
-    own. Null ids and repeated rows stay; an empty table gives no rows.
+    quantile at ``tail``. Every language and source has an estimate of its own, whatever its size:
+    of n documents it counts n to ``WIDER_ROWS`` against its language's estimate, which leans in the same
+    way on the estimate of all. Null languages and sources are groups of their own. Null ids and
+    repeated rows stay; an empty table gives no rows.
     """
     stats = with_vector(with_statistics(docs.select(
         docs[doc_id].cast("bigint").alias("doc_id"), docs[text].alias("text"), docs[lang].alias("lang"),
@@ -184,25 +203,19 @@ def verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     wide = F.to_json(F.struct("lang"), {"ignoreNullFields": "false"})
     stats = settled(stats.withColumns({"_group": group, "_wide": wide}).drop("lang", "source"))
 
-    sizes = stats.groupBy("_group", "_wide").agg(F.count("*").alias("n"))
-    everything = stats.agg(F.count("*").alias("n")).scalar()
-    chosen = settled(sizes.withColumns({
-        "n_wide": F.sum("n").over(Window.partitionBy("_wide")), "n_all": everything}).select(
-        "_group", F.when(F.col("n") >= least_rows, F.col("_group")).when(F.col("n_wide") >= least_rows, F.col("_wide"))
-        .when(F.col("n_all") >= least_rows, F.lit("")).alias("_by")))
+    levels = settled(stats.select("_group", "_wide").distinct())
     rows = stats.select(F.explode(F.array("_group", "_wide", F.lit(""))).alias("_by"), *STATS)
-    wanted = chosen.select("_by").where("_by is not null").distinct()
-    if chosen.count() <= BROADCAST_GROUPS:
-        chosen, wanted = F.broadcast(chosen), F.broadcast(wanted)
-    rows = rows.join(wanted, "_by", "left_semi")
-
     estimates = settled(start_estimates(rows, "_by"))
     for _ in range(steps):
         estimates = concentrate(rows, estimates, "_by")
-    by_group = settled(chosen.join(estimates, "_by", "left").drop("_by"))
+    of_all = estimates.where("_by = ''")
+    of_langs = estimates.join(levels.select("_wide").distinct(), F.col("_by") == F.col("_wide")).withColumn("_all", F.lit(""))
+    of_groups = estimates.join(levels, F.col("_by") == F.col("_group"))
+    langs = leaning(of_langs, of_all, "_by", "_all")
+    by_group = settled(with_root(leaning(of_groups, langs, "_by", "_wide", ("_group",))).drop("_by", "rows"))
     judged = with_distance(_matched(stats, by_group, "_group"), "distance")
     limit = chi2_quantile(1 - tail, len(STATS))
-    kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= limit, F.lit(True))
+    kept = ~F.col("base_failed") & (F.col("distance") <= limit)
     return judged.withColumn("kept", kept).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "distance", *carry)

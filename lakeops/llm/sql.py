@@ -36,19 +36,30 @@ def _concentrated(before: str) -> str:
     out = (f"(SELECT g, far, count(*) AS n, {sums} FROM (SELECT *, floor({q.CLASSES} * log2(1 + d2))::INTEGER AS far "
            f"FROM {_distance(f'(SELECT r.*, e.* EXCLUDE (g) FROM leveled r JOIN {before} e ON e.g = r.g)')}) GROUP BY 1, 2)")
     out = (f"(SELECT *, sum(n) OVER (PARTITION BY g ORDER BY far) - n AS nearer, sum(n) OVER (PARTITION BY g) AS everyone FROM {out})")
-    out = (f"(SELECT g, sum(n)::DOUBLE AS n, {', '.join(f'sum({a})::DOUBLE AS {a}' for a in names)} FROM {out} "
+    out = (f"(SELECT g, max(everyone) AS rows, sum(n)::DOUBLE AS n, {', '.join(f'sum({a})::DOUBLE AS {a}' for a in names)} FROM {out} "
            f"WHERE nearer < ceil(everyone * {q.CORE}::DOUBLE) GROUP BY g)")
     out = f"(SELECT *, {', '.join(f'a{i} / n / {q.UNIT} AS m{i}' for i in _DIMS)} FROM {out})"
-    shared = [f"(a{i}{j} / n / {q.UNIT} / {q.UNIT} - m{i} * m{j}) * {factor!r}::DOUBLE"
-              + (f" + {q.LEAST_SPREAD[i] ** 2!r}::DOUBLE" if i == j else "") + f" AS c{i}{j}" for i, j in _PAIRS]
-    out = f"(SELECT *, {', '.join(shared)} FROM {out})"
+    shared = [f"(a{i}{j} / n / {q.UNIT} / {q.UNIT} - m{i} * m{j}) * {factor!r}::DOUBLE AS c{i}{j}" for i, j in _PAIRS]
+    out = _rooted(f"(SELECT *, {', '.join(shared)} FROM {out})")
+    kept = [f"m{i}" for i in _DIMS] + [f"{k}{i}{j}" for k in "cl" for i, j in _PAIRS]
+    return f"SELECT g, rows, {', '.join(kept)} FROM {out}"
+
+
+def _rooted(out: str) -> str:
     for i, j in _PAIRS:
-        left = f"c{i}{j}"
+        left = f"(c{i}{j} + {q.LEAST_SPREAD[i] ** 2!r}::DOUBLE)" if i == j else f"c{i}{j}"
         for k in range(j):
             left = f"({left} - l{i}{k} * l{j}{k})"
         out = f"(SELECT *, {f'sqrt({left})' if i == j else f'{left} / l{j}{j}'} AS l{i}{j} FROM {out})"
-    kept = [f"m{i}" for i in _DIMS] + [f"l{i}{j}" for i, j in _PAIRS]
-    return f"SELECT g, {', '.join(kept)} FROM {out}"
+    return out
+
+
+def _leaning(own: str, wider: str, on: str) -> str:
+    """Estimates mixed with those of the wider group, by the number of rows."""
+    names = [f"m{i}" for i in _DIMS] + [f"c{i}{j}" for i, j in _PAIRS]
+    share = f"(o.rows::DOUBLE / (o.rows + {q.WIDER_ROWS}))"
+    return (f"SELECT o.g, {', '.join(f'{share} * o.{c} + (1 - {share}) * w.{c} AS {c}' for c in names)} "
+            f"FROM {own} o JOIN {wider} w ON {on}")
 
 
 def quality_sql() -> str:
@@ -81,19 +92,18 @@ stats AS MATERIALIZED (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_w
   {_fixed('ln(0.02::DOUBLE + n_repeat_words / greatest(1, n_words)::DOUBLE)')} AS s_repeat,
   {_fixed('ln(0.02::DOUBLE + n_dup_lines / greatest(1, n_lines)::DOUBLE)')} AS s_line,
   to_json([no_lang::VARCHAR, lang, no_source::VARCHAR, source])::VARCHAR AS fine, to_json([no_lang::VARCHAR, lang])::VARCHAR AS wide FROM base),
-sizes AS (SELECT fine, wide, count(*) AS n FROM stats GROUP BY 1, 2),
-chosen AS MATERIALIZED (SELECT fine, CASE WHEN n >= {q.LEAST_ROWS} THEN fine WHEN sum(n) OVER (PARTITION BY wide) >= {q.LEAST_ROWS} THEN wide
-  WHEN sum(n) OVER () >= {q.LEAST_ROWS} THEN '' END AS g FROM sizes),
-leveled AS MATERIALIZED (SELECT g, {', '.join(q.STATS)} FROM (SELECT unnest([fine, wide, '']) AS g, {', '.join(q.STATS)} FROM stats)
-  WHERE g IN (SELECT g FROM chosen WHERE g IS NOT NULL)),
+levels AS MATERIALIZED (SELECT DISTINCT fine, wide FROM stats),
+leveled AS MATERIALIZED (SELECT unnest([fine, wide, '']) AS g, {', '.join(q.STATS)} FROM stats),
 ranked AS (SELECT g, dim, v, sum(n) OVER (PARTITION BY g, dim ORDER BY v) AS upto, sum(n) OVER (PARTITION BY g, dim) AS everyone FROM (
   SELECT g, dim, v, count(*) AS n FROM ({' UNION ALL '.join(f'SELECT g, {i} AS dim, {c} AS v FROM leveled' for i, c in enumerate(q.STATS))}) GROUP BY 1, 2, 3)),
 spread AS (SELECT g, dim, {cut(1, 'low')}, {cut(2, 'middle')}, {cut(3, 'high')} FROM ranked GROUP BY 1, 2),
 e0 AS MATERIALIZED (SELECT g, {start} FROM spread GROUP BY g),
-{', '.join(steps)}
+{', '.join(steps)},
+langs AS ({_leaning(f"(SELECT * FROM e{q.STEPS} WHERE g IN (SELECT wide FROM levels))", f"e{q.STEPS}", "w.g = ''")}),
+judge AS MATERIALIZED (SELECT * FROM {_rooted('(' + _leaning(f"(SELECT * FROM e{q.STEPS} JOIN levels ON fine = g)", "langs", "w.g = o.wide") + ')')})
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND coalesce(d2 <= {limit!r}::DOUBLE, true) AS kept, floor(d2 * 1e6 + 0.5) / 1e6 AS distance
-FROM {_distance(f'(SELECT s.*, e.* EXCLUDE (g) FROM stats s JOIN chosen c ON c.fine = s.fine LEFT JOIN e{q.STEPS} e ON e.g = c.g)')}"""
+  NOT base_failed AND d2 <= {limit!r}::DOUBLE AS kept, floor(d2 * 1e6 + 0.5) / 1e6 AS distance
+FROM {_distance('(SELECT s.*, e.* EXCLUDE (g) FROM stats s JOIN judge e ON e.g = s.fine)')}"""
 
 
 # --- Hilbert shards -----------------------------------------------------------------------
