@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..functions.columns import first_match, is_blank, ratio
 from ..operators.joins import effective_dated, lookup, role_columns, semi
 from ..operators.reshape import sum_when
-from ..operators.windows import first_date_flag
 
 # Fixed values of the pricing rules -----------------------------------------------------
 FREIGHT_PAID_TERMS = ("ZFR", "FOR", "CIP")
@@ -309,9 +308,19 @@ def first_sale_flags(lines: DataFrame, flags: dict[str, list[str]], order: list[
 
 
 def first_day_flags(lines: DataFrame, flags: dict[str, list[str]], date: str) -> DataFrame:
-    """Every line on the key's first date is flagged."""
-    for flag, keys in flags.items():
-        lines = first_date_flag(lines, keys, date, flag)
+    """Every line on the key's first date is flagged; lines without a date are so where their key has no date.
+
+    One pass over the lines with a grouping set per flag finds the first dates of all keys.
+    """
+    keys = list(dict.fromkeys(k for cols in flags.values() for k in cols))
+    ids = {flag: sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in cols) for flag, cols in flags.items()}
+    sets = {ids[flag]: cols for flag, cols in flags.items()}
+    firsts = lines.groupingSets([[F.col(k) for k in cols] for cols in sets.values()], *keys).agg(
+        F.min(date).alias("__first"), F.grouping_id(*keys).alias("__set"))
+    for flag, cols in flags.items():
+        own = firsts.where(F.col("__set") == ids[flag]).select(*cols, "__first", F.lit(1).alias("__hit"))
+        lines = lookup(lines.drop(flag), own, [*cols, (date, "__first")], [("__hit", flag)], null_safe=True)
+        lines = lines.withColumn(flag, F.coalesce(flag, F.lit(0)))
     return lines
 
 

@@ -305,6 +305,16 @@ def test_ledger_due_dates(spark):
     assert rows(got) == [(-5, day("2020-01-11")), (7, day("2020-03-02"))]
 
 
+def test_first_days_of_several_keys_in_one_pass(spark):
+    lines = spark.createDataFrame(
+        [(1, "a", "x", dt.date(2020, 1, 2)), (2, "a", "x", dt.date(2020, 1, 2)), (3, "a", "y", dt.date(2020, 1, 3)), (4, None, "x", dt.date(2020, 1, 1)),
+         (5, None, "x", None), (6, "b", "z", None), (7, "c", "x", dt.date(2020, 1, 1))], "id int, customer string, line string, date date")
+    got = sales.first_day_flags(lines, {"new": ["customer"], "pair": ["customer", "line"], "again": ["customer"], "product": ["line"]}, "date")
+    assert got.columns == ["id", "customer", "line", "date", "new", "pair", "again", "product"]
+    assert rows(got.select("id", "new", "pair", "again", "product")) == [
+        (1, 1, 1, 1, 0), (2, 1, 1, 1, 0), (3, 0, 1, 0, 1), (4, 1, 1, 1, 1), (5, 0, 0, 0, 0), (6, 1, 1, 1, 1), (7, 1, 1, 1, 1)]
+
+
 def test_invoice_fact_leaves_bucketed_documents_where_they_lie(spark, tmp_path):
     """Seven tables by document are joined and aggregated; only the lines move, after plants and weights, and the postings."""
     import uuid
