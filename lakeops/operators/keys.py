@@ -76,10 +76,18 @@ def append_members(dim: DataFrame, facts: DataFrame, columns: list[str], keys: l
 
 
 def one_per_key(dim: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Key to surrogate, each key once, so a lookup can never multiply fact rows."""
+    """Key to surrogate, each key once, so a lookup can never multiply fact rows.
+
+    Of a key under several surrogates the least counts; ``repeated_members`` names such keys.
+    """
     return dim.groupBy(*keys).agg(F.min(value).alias(value))
 
 
+def repeated_members(dim: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Keys that a dimension holds under several surrogates: how many, and the least, which lookups take."""
+    return dim.groupBy(*keys).agg(F.countDistinct(value).alias("n_members"), F.min(value).alias(value)).where("n_members > 1")
+
+
 def lookup_key(fact: DataFrame, dim: DataFrame, mapping: KeyMapping, sentinels: bool = True) -> DataFrame:
     """Add one surrogate; -2 when a key part is null or blank, -1 when the dimension lacks it."""
     pairs = list(zip(mapping.fact_columns, mapping.dim_columns))

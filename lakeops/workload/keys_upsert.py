@@ -228,3 +228,9 @@ def sheets_with_keys(t: Tables) -> DataFrame:
         KeyMapping.parse("id", "c_custkey", "customer_key", "customer_key", "dim_customer"),
         KeyMapping.parse("segment", "segment", "segment_key", "segment_key", "dim_segment"),
     ], keep_natural=True)
+
+
+@query("""SELECT c_nationkey, c_mktsegment, count(DISTINCT c_custkey) AS n_members, min(c_custkey) AS c_custkey FROM customer
+GROUP BY 1, 2 HAVING count(DISTINCT c_custkey) > 1""")
+def repeated_members(t: Tables) -> DataFrame:
+    return keys.repeated_members(t.customer, ["c_nationkey", "c_mktsegment"], "c_custkey")

@@ -85,6 +85,11 @@ def test_lookup_sentinels_and_row_count(spark):
     assert rows(got) == [(1, 10, 1), (2, -2, 1), (3, -2, -2), (4, -2, -1), (5, -1, 1)]
 
 
+def test_keys_under_several_surrogates_are_named(spark):
+    dim = spark.createDataFrame([("a", "x", 10), ("a", "x", 11), ("a", "x", 11), ("b", None, 12), ("b", None, 7), ("c", "x", 1), ("c", "x", 1)], "p string, q string, k long")
+    assert rows(keys.repeated_members(dim, ["p", "q"], "k")) == [("a", "x", 2, 10), ("b", None, 2, 7)]
+
+
 def test_composite_and_nullsafe_lookup(spark):
     fact = spark.createDataFrame([(1, "a", None), (2, "a", "b"), (3, "q", "b")], "id int, x string, y string")
     dim = spark.createDataFrame([("a", None, 7), ("a", "b", 8)], "x string, y string, k long")
