@@ -209,7 +209,9 @@ def verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     for _ in range(steps):
         estimates = concentrate(rows, estimates, "_by")
     of_all = estimates.where("_by = ''")
-    of_langs = estimates.join(levels.select("_wide").distinct(), F.col("_by") == F.col("_wide")).withColumn("_all", F.lit(""))
+    # Empty for every language, yet no constant: the one row of all is met by a key, not by a cross join.
+    nothing = F.substring("_wide", 1, 0)
+    of_langs = estimates.join(levels.select("_wide").distinct(), F.col("_by") == F.col("_wide")).withColumn("_all", nothing)
     of_groups = estimates.join(levels, F.col("_by") == F.col("_group"))
     langs = leaning(of_langs, of_all, "_by", "_all")
     by_group = settled(with_root(leaning(of_groups, langs, "_by", "_wide", ("_group",))).drop("_by", "rows"))

@@ -142,6 +142,20 @@ def test_edges(edge_docs, no_docs):
     assert Q.verdicts(no_docs).count() == 0 and Q.keep_good(no_docs).count() == 0
 
 
+def test_no_cross_join(spark, monkeypatch):
+    """Not even of a language's estimate with that of all, whatever may be broadcast."""
+    plans, real = [], Q.settled
+    monkeypatch.setattr(Q, "settled", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df))
+    docs = spark.createDataFrame(group(30, []), DOCS)
+    for threshold in ("-1", "10MB"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            plans.append(Q.verdicts(docs)._jdf.queryExecution().executedPlan().toString())
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(plans) > 10 and not [p for p in plans if "CartesianProduct" in p or "NestedLoopJoin" in p]
+
+
 def test_no_python_in_the_plan(edge_docs):
     plan = Q.verdicts(edge_docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
