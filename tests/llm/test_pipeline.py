@@ -15,7 +15,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert names == ["quality_rules", "simhash_near_dedup", "benchmark_decontamination", "secret_scan", "sentencepiece_encoding"]
