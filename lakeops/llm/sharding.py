@@ -6,8 +6,8 @@ so a shard covers a compact region in every dimension and a filter on any of the
 
 Ranks come from counts, without a global sort: rows per cell are summed along the curve (at most
 ``2 ** (dimensions * bits)`` cells), rows per part of a cell are summed within the cell, and only
-rows of one part are ordered together. A cell that holds a third of all rows is spread over its
-``PARTS`` parts.
+rows of one part are ordered together. The part is a hash of the leading order column, so a cell
+that holds a third of all rows is spread over its ``PARTS`` parts whatever the steps between ids.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from .common import settled
 
 BITS = 4
 PARTS = 4096
+#: An odd factor near 2**32 over the golden ratio: the high bits of its products are spread evenly.
+MIX = 2_654_435_761
 SHARDS = 16
 MOST_CELLS = 65_536
 
@@ -38,6 +40,15 @@ def hashed(value: Column, bits: int = BITS) -> Column:
     return F.crc32(F.coalesce(value, F.lit("")).cast("binary")).bitwiseAND((1 << bits) - 1).cast("int")
 
 
+def spread(value: Column, parts: int = PARTS) -> Column:
+    """A part for a number: multiplicative hashing of its folded 31 bits, in whole numbers; null counts as zero."""
+    low = 0x7FFFFFFF
+    value = F.coalesce(value.cast("bigint"), F.lit(0))
+    folded = value.bitwiseXOR(F.shiftright(value, 31)).bitwiseXOR(F.shiftright(value, 62)).bitwiseAND(low).cast("bigint")
+    mixed = F.shiftright((folded * F.lit(MIX)).bitwiseAND(0xFFFFFFFF), 8)
+    return F.shiftright(mixed * F.lit(parts), 24).cast("int")
+
+
 def _bit(value: Column, at: int) -> Column:
     return F.shiftright(value, at).bitwiseAND(1)
 
@@ -76,14 +87,14 @@ def hilbert_shards(rows: DataFrame, dims: list[str], order: list[str], shards: i
     """``rows`` with ``shard`` and ``slot``: shards differ by one row at most, slots have no gaps.
 
     ``dims`` are integer columns of ``bits`` bits; ``order`` (an integer first) settles the order
-    inside a cell. Repeated rows take neighbouring slots; an empty table stays empty.
+    inside a cell, after a hash of its first column. Repeated rows take neighbouring slots; an empty table stays empty.
     """
     if bits * len(dims) > 16:
         raise ValueError(f"more than {MOST_CELLS} cells")
     cell = F.lit(0)
     for d in dims:
         cell = F.shiftleft(cell, bits).bitwiseOR(F.col(d))
-    slim = settled(rows.withColumns({"_cell": cell, "_part": F.pmod(F.col(order[0]), F.lit(parts)).cast("int")}))
+    slim = settled(rows.withColumns({"_cell": cell, "_part": spread(F.col(order[0]), parts)}))
     sizes = slim.groupBy("_cell", "_part").agg(F.count("*").alias("_n"))
     inside = Window.partitionBy("_cell").orderBy("_part")
     part_starts = sizes.select("_cell", "_part", (F.sum("_n").over(inside) - F.col("_n")).alias("_part_start"))
@@ -125,6 +136,11 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id
 
 
 def write_shards(rows: DataFrame, placed: DataFrame, key: str, path: str) -> None:
-    """The rows as files by shard, each file a run of slots; ``key`` is unique in both frames."""
+    """The rows as files by shard, each file a run of slots; a ``key`` repeated or null in either frame fails."""
+    counts = [F.count("*").alias("n"), F.countDistinct(key).alias("keys")]
+    for frame in (rows, placed):
+        seen = frame.agg(*counts).first()
+        if seen["n"] != seen["keys"]:
+            raise ValueError(f"{seen['n'] - seen['keys']} rows repeat or lack their {key}")
     joined = rows.join(placed.select(key, "shard", "slot"), key)
     joined.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -164,9 +164,10 @@ slim AS (SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT + 1 AS
   JOIN named o ON o.name = coalesce(d.source, ''), ends),
 placed AS (SELECT *, ((x_lang * {most + 1} + x_source) * {most + 1} + greatest(0, least({most}, floor(log2(size::DOUBLE)) - 4))::BIGINT) * {most + 1} + x_range AS cell,
   coalesce(doc_id, text_crc32) AS place FROM slim),
+parted AS (SELECT *, (((((xor(xor(place, place >> 31), place >> 62) & {(1 << 31) - 1}) * {s.MIX}) & {(1 << 32) - 1}) >> 8) * {s.PARTS}) >> 24 AS part FROM placed),
 cells AS ({_curve('(SELECT DISTINCT cell FROM placed)', 4, s.BITS)}),
-ranked AS (SELECT p.*, row_number() OVER (ORDER BY curve, ((place % {s.PARTS}) + {s.PARTS}) % {s.PARTS}, place, text_crc32, size) - 1 AS r, count(*) OVER () AS n
-  FROM placed p JOIN cells USING (cell))
+ranked AS (SELECT p.*, row_number() OVER (ORDER BY curve, part, place, text_crc32, size) - 1 AS r, count(*) OVER () AS n
+  FROM parted p JOIN cells USING (cell))
 SELECT doc_id, size, text_crc32, 'rows' AS law, (r * {s.SHARDS} // n)::INTEGER AS shard,
   r - ((r * {s.SHARDS} // n) * n + {s.SHARDS - 1}) // {s.SHARDS} AS slot, NULL::INTEGER AS grown_shard FROM ranked"""
 

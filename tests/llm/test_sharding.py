@@ -1,5 +1,6 @@
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeops.llm import sharding as S
@@ -47,6 +48,22 @@ def test_documents(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 900
 
 
+def test_ids_in_steps_spread_over_the_parts(spark):
+    for step in (1, S.PARTS, 1 << 20, 1 << 31, -S.PARTS, 12_000_000_007):
+        ids = spark.range(20_000).select((F.col("id") * step).alias("id"))
+        sizes = [r["count"] for r in ids.groupBy(S.spread(F.col("id")).alias("part")).count().collect()]
+        assert len(sizes) > 1_000 and max(sizes) <= 200, step
+    parts = {r["p"] for r in spark.range(-5_000, 5_000).select(S.spread(F.col("id")).alias("p")).collect()}
+    assert min(parts) >= 0 and max(parts) < S.PARTS
+
+
+def test_write_shards_refuses_repeated_ids(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a", "en", "s", 1), (1, "b", "en", "s", 1)], DOCS)
+    with pytest.raises(ValueError, match="1 rows repeat"):
+        S.write_shards(docs, S.shard_documents(docs), "doc_id", str(tmp_path / "out"))
+    assert not (tmp_path / "out").exists()
+
+
 def test_edges(edge_docs, no_docs):
     found = S.shard_documents(edge_docs).collect()
     laws(found, edge_docs.count())
