@@ -15,24 +15,29 @@ Every passage of every document is a query, with a fixed threshold: retrieve all
 from __future__ import annotations
 
 import math
+import pickle
 import re
+from array import array
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import repeat
 from operator import itemgetter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import as_batch, keyed_texts, ship, spare, texts_of, without
+from .common import as_batch, keyed_texts, settled, ship, spare, texts_of, without
 
 K1 = 1.2
 B = 0.75
 BLOCKS = 32
-SHARD_ITEMS = 2048
+#: Characters of items in one piece of the index, the most that a task holds or a broadcast carries.
+PIECE_CHARS = 8_000_000
 THRESHOLD = 0.5
 OVERLAP = 0.6
 RUN_WORDS = 3
@@ -66,50 +71,59 @@ def word_runs(words: list[bytes], length: int = RUN_WORDS) -> list[bytes]:
     return [b" ".join(words[i:i + length]) for i in range(max(1, len(words) - length + 1))]
 
 
+@dataclass(frozen=True)
+class Totals:
+    """What scores need to know of all items, whichever piece of the index they are in."""
+
+    items: int
+    mean: float
+    longest: int
+
+
 @dataclass
 class Index:
-    """Postings of one shard of items, with impact maxima per word and block."""
+    """Postings of one piece of the items, with impact maxima per word and block."""
 
     items: list[int]
-    questions: list[list[bytes]]
-    answers: list[list[bytes]]
+    texts: list[str]
     terms: dict[bytes, int]
-    postings: list[tuple[list[int], list[float]]]
+    postings: list[tuple[array, array]]
     maxima: np.ndarray
     block_items: int
     longest: int
 
 
-def build_index(items: list[tuple[int, str]]) -> Index:
-    """BM25 impacts with the usual idf; a query word counts once. Items without a word are left out."""
-    read = [(i, words_of(t), t) for i, t in sorted(items) if words_of(t)]
-    if not read:
-        return Index([], [], [], {}, [], np.zeros((1, 1), np.float32), 1, 0)
-    counts = [Counter(words) for _, words, _ in read]
-    frequency = Counter(term for c in counts for term in c)
-    mean = sum(len(words) for _, words, _ in read) / len(read)
+Counted = tuple[int, str, list[tuple[bytes, int, int]]]
+
+
+def build_index(items: list[Counted], totals: Totals) -> Index:
+    """BM25 impacts with the usual idf; a query word counts once.
+
+    An item is its id, its text and (word, times in it, items that hold the word); frequencies and
+    ``totals`` are those of all items, so an item's impacts do not depend on the piece it is in.
+    """
     lists: dict[bytes, list[tuple[int, float]]] = {}
-    for n, (c, (_, words, _)) in enumerate(zip(counts, read, strict=True)):
+    items = sorted(items)
+    for n, (_, _, words) in enumerate(items):
+        length = sum(tf for _, tf, _ in words)
         impact = {}
-        for term, tf in c.items():
-            idf = math.log(1 + (len(read) - frequency[term] + 0.5) / (frequency[term] + 0.5))
-            impact[term] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(words) / mean))
-        total = sum(impact.values())
+        for term, tf, frequency in words:
+            idf = math.log(1 + (totals.items - frequency + 0.5) / (frequency + 0.5))
+            impact[term] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / totals.mean))
+        total = math.fsum(impact.values())
         for term, value in impact.items():
             lists.setdefault(term, []).append((n, value / total))
     terms = {term: t for t, term in enumerate(sorted(lists))}
-    block_items = max(1, -(-len(read) // BLOCKS))
-    maxima = np.zeros((len(terms) + 1, -(-len(read) // block_items)), np.float32)
+    block_items = max(1, -(-len(items) // BLOCKS))
+    maxima = np.zeros((len(terms) + 1, max(1, -(-len(items) // block_items))), np.float32)
     postings = []
     for term, t in terms.items():
-        at = np.array([n for n, _ in lists[term]], np.int32)
-        impacts = np.array([v for _, v in lists[term]], np.float64)
-        postings.append((at.tolist(), impacts.tolist()))
+        at = array("i", [n for n, _ in lists[term]])
+        impacts = array("d", [v for _, v in lists.pop(term)])
+        postings.append((at, impacts))
         # Rounded up, so that sums in single precision stay bounds.
-        np.maximum.at(maxima[t], at // block_items, (impacts * 1.0001 + 1e-7).astype(np.float32))
-    pairs = [split_item(t) for _, _, t in read]
-    return Index([i for i, _, _ in read], [q for q, _ in pairs], [a for _, a in pairs], terms, postings, maxima,
-                 block_items, max(len(words) for _, words, _ in read))
+        np.maximum.at(maxima[t], np.array(at) // block_items, (np.array(impacts) * 1.0001 + 1e-7).astype(np.float32))
+    return Index([i for i, _, _ in items], [t for _, t, _ in items], terms, postings, maxima, block_items, totals.longest)
 
 
 def search_block(index: Index, terms: list[int], block: int, threshold: float) -> list[tuple[int, float]]:
@@ -135,14 +149,16 @@ def search_block(index: Index, terms: list[int], block: int, threshold: float) -
             break
         # All cursors at the pivot: score it and pass it. Else those before it skip to it.
         whole = cursors[0][0] == pivot
-        goal, score = pivot + whole, 0.0
+        goal, parts = pivot + whole, []
         for c in cursors:
             if c[0] >= goal:
                 break
             if whole:
-                score += c[4][c[2]]
+                parts.append(c[4][c[2]])
             c[2] = bisect_left(c[3], goal, c[2])
             c[0] = c[3][c[2]] if c[2] < len(c[3]) else high
+        # Rounded once, so that the order of the cursors does not show.
+        score = math.fsum(parts)
         if whole and score >= threshold:
             found.append((pivot, score))
         cursors = [c for c in cursors if c[0] < high]
@@ -200,8 +216,9 @@ def leaks_in(index: Index, text: str, threshold: float, overlap: float) -> list[
 
     leaked = []
     for item, score in sorted(best.items()):
-        question = share(index.questions[item])
-        answer = share(index.answers[item]) if index.answers[item] else None
+        asked, answered = split_item(index.texts[item])
+        question = share(asked)
+        answer = share(answered) if answered else None
         if question >= overlap and (answer is None or answer >= overlap):
             leaked.append((index.items[item], score, question, answer))
     return leaked
@@ -212,30 +229,71 @@ LEAKS = pa.schema([
     ("question_share", pa.float64()), ("answer_share", pa.float64())])
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The items that have a word, with their words and how often each stands there."""
+    kept = pa.schema([("item_id", pa.int64()), ("text", pa.string()), ("n_words", pa.int64()),
+                      ("counts", pa.list_(pa.struct([("term", pa.binary()), ("tf", pa.int64())])))])
+    for batch in batches:
+        rows = []
+        for key, value in texts_of(batch):
+            counts = Counter(words_of(value))
+            if counts:
+                rows.append((key, value, sum(counts.values()), [{"term": t, "tf": n} for t, n in sorted(counts.items())]))
+        yield as_batch(rows, kept)
+
+
+def index_pieces(benchmark: DataFrame, piece_chars: int = PIECE_CHARS) -> Iterator[Index]:
+    """The index of all items in pieces of about ``piece_chars`` characters, one after the other.
+
+    Words are counted, frequencies summed and pieces built by tasks; the driver holds one piece at
+    a time. Rows of equal id and text are one item; null ids and texts and texts without a word
+    are none.
+    """
+    items = benchmark.select(benchmark["item_id"].cast("bigint").alias("item_id"), benchmark["text"].alias("text")).where(
+        "text is not null and item_id is not null").distinct()
+    counted = settled(items.mapInArrow(
+        _counted, "item_id bigint, text string, n_words bigint, counts array<struct<term binary, tf bigint>>").withColumn(
+        "row", F.monotonically_increasing_id()))
+    seen = counted.agg(F.count("*").alias("items"), F.avg("n_words").alias("mean"), F.max("n_words").alias("longest"),
+                       F.sum(F.length("text")).alias("chars")).first()
+    if not seen["items"]:
+        return
+    totals = Totals(seen["items"], seen["mean"], seen["longest"])
+    words = counted.select("row", F.inline("counts"))
+    frequencies = words.groupBy("term").agg(F.count("*").alias("frequency"))
+    known = words.join(frequencies, "term").groupBy("row").agg(
+        F.collect_list(F.struct("term", "tf", "frequency")).alias("words"))
+    pieces = -(-seen["chars"] // piece_chars)
+    rows = counted.select("row", "item_id", "text").join(known, "row").select(
+        F.pmod(F.xxhash64("item_id", "text"), F.lit(pieces)).cast("int").alias("piece"), "item_id", "text",
+        "words.term", "words.tf", "words.frequency")
+
+    def build(frame: pd.DataFrame) -> pd.DataFrame:
+        found = [(i, t, list(zip(map(bytes, terms), tf.tolist(), frequency.tolist(), strict=True)))
+                 for i, t, terms, tf, frequency in frame[["item_id", "text", "term", "tf", "frequency"]].itertuples(index=False)]
+        return pd.DataFrame({"piece": [pickle.dumps(build_index(found, totals))]})
+
+    for row in rows.groupBy("piece").applyInPandas(build, "piece binary").toLocalIterator():
+        yield pickle.loads(row["piece"])
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP,
-          shard_items: int = SHARD_ITEMS, doc_id: str = "doc_id", text: str = "text",
+          piece_chars: int = PIECE_CHARS, doc_id: str = "doc_id", text: str = "text",
           carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, item_id, score, question_share, answer_share): test items found in documents.
 
     ``score`` is the share of the item's own BM25 score that the best passage reaches,
-    ``answer_share`` is null for an item without an answer. Items are taken in shards of
-    ``shard_items`` in order of their ids: each shard's index goes to all tasks, and documents meet
-    one shard after the other, so that no task holds more than one. Null and empty texts on either
-    side match nothing; documents with a null id are reported with it; repeated documents once
-    per row; empty tables give no rows.
+    ``answer_share`` is null for an item without an answer. Word frequencies, the mean length and
+    the length of passages are those of the whole benchmark, so the rows are the same for any
+    ``piece_chars``. Documents are read once for each piece of so many characters of items. Null
+    and empty texts on either side match nothing; documents with a null id are reported with it;
+    repeated documents once per row, repeated items once; empty tables give no rows.
     """
     ship(docs.sparkSession)
-    items = benchmark.select(benchmark["item_id"].cast("bigint"), benchmark["text"]).where(
-        "text is not null and item_id is not null").orderBy("item_id", "text")
     read = keyed_texts(docs, doc_id, text) if not carry else docs.select(
         docs[doc_id].cast("bigint").alias("doc_id"), docs[text].alias("text"), *carry)
-    out = read.sparkSession.createDataFrame([], _schema(read, carry))
-    held: list[tuple[int, str]] = []
-    for row in items.toLocalIterator():
-        held.append((row[0], row[1]))
-        if len(held) == shard_items:
-            out, held = out.unionByName(_searched(read, held, threshold, overlap, carry)), []
-    return out.unionByName(_searched(read, held, threshold, overlap, carry)) if held else out
+    found = [_searched(read, index, threshold, overlap, carry) for index in index_pieces(benchmark, piece_chars)]
+    return reduce(DataFrame.unionByName, found) if found else read.sparkSession.createDataFrame([], _schema(read, carry))
 
 
 def _schema(read: DataFrame, carry: tuple[str, ...]) -> str:
@@ -244,9 +302,8 @@ def _schema(read: DataFrame, carry: tuple[str, ...]) -> str:
                       *[f"`{c}` {kinds[c]}" for c in carry]])
 
 
-def _searched(read: DataFrame, items: list[tuple[int, str]], threshold: float, overlap: float,
-              carry: tuple[str, ...]) -> DataFrame:
-    shared = read.sparkSession.sparkContext.broadcast(build_index(items))
+def _searched(read: DataFrame, index: Index, threshold: float, overlap: float, carry: tuple[str, ...]) -> DataFrame:
+    shared = read.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value

@@ -24,8 +24,16 @@ def scores(items, passage):
     return out
 
 
+def one_index(items):
+    words = {i: Counter(D.words_of(t)) for i, t in items}
+    df = Counter(t for w in words.values() for t in w)
+    lengths = [sum(w.values()) for w in words.values()]
+    totals = D.Totals(len(items), sum(lengths) / len(items), max(lengths))
+    return D.build_index([(i, t, [(w, n, df[w]) for w, n in words[i].items()]) for i, t in items], totals)
+
+
 def test_search_finds_all_above_the_threshold():
-    index = D.build_index(ITEMS)
+    index = one_index(ITEMS)
     step = index.longest
     for seed in range(30):
         text = " ".join([prose(seed, 40), ITEMS[seed][1][: 60 + seed * 3], prose(seed + 500, 200), "is it what", ITEMS[-seed - 1][1][30:]])
@@ -54,11 +62,34 @@ def test_leaks_need_question_and_answer(spark):
     items = spark.createDataFrame([*ITEMS, (900, None), (901, ""), (None, "x y")], "item_id bigint, text string")
     docs = planted(spark)
     expected = [(1, 7), (2, 8), (4, 3), (7, 10), (7, 10), (7, 11), (7, 11)]
-    for size in (2048, 13):
-        assert sorted((r["doc_id"], r["item_id"]) for r in D.leaks(docs, items, shard_items=size).collect()) == expected
+    rows = sorted(D.leaks(docs, items).collect())
+    assert [(r["doc_id"], r["item_id"]) for r in rows] == expected
+    for chars in (3_000, 500, 1):
+        assert sorted(D.leaks(docs, items, piece_chars=chars).collect()) == rows
+    again = items.unionByName(items).repartition(7)
+    assert sorted(D.leaks(docs, again).collect()) == rows
     assert sorted(r["doc_id"] for r in D.without_leaks(docs, items).collect()) == [3, 5, 6]
 
 
+def test_one_index_of_all_items(spark):
+    items = spark.createDataFrame([*ITEMS, (901, "?"), (None, "x y")], "item_id bigint, text string").repartition(5)
+    whole = one_index(ITEMS)
+    pieces = list(D.index_pieces(items, 1_500))
+    assert len(pieces) > 2 and sorted(i for p in pieces for i in p.items) == [i for i, _ in ITEMS]
+    assert {p.longest for p in pieces} == {whole.longest}
+
+    def impacts(index):
+        return {(index.items[n], t): v for t, k in index.terms.items() for n, v in zip(*index.postings[k], strict=True)}
+
+    found = {}
+    for piece in pieces:
+        found |= impacts(piece)
+    assert found == impacts(whole)
+    docs = planted(spark)
+    plan = D.leaks(docs, items)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_edges(spark, edge_docs, no_docs):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     assert D.leaks(edge_docs, items).count() == 0 and D.leaks(no_docs, items).count() == 0
