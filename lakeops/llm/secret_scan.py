@@ -1,8 +1,8 @@
 """Secret scan: fixed patterns, and a linear-chain conditional random field for what they miss.
 
 Tokens are tagged as the begin of a secret, its inside or outside. A token's score comes from its
-own shape and length, the kinds of its neighbours and a feature of the whole text; transitions tie
-neighbouring tags, and Viterbi finds the best tags. The field is trained at the start of each run
+own shape and length, how often its characters change class, the kinds of its neighbours and a
+feature of the whole text; transitions tie neighbouring tags, and Viterbi finds the best tags. The field is trained at the start of each run
 on a bounded sample of texts: their pattern matches are labels, and made-up secrets of many formats
 are put between their words. Texts in which no run of tokens can outweigh "all outside" are proven
 clean by a bound over their summed scores and need no Viterbi.
@@ -67,6 +67,27 @@ SHAPES = ("lower", "title", "upper", "letters", "digits", "hex", "lower_digits",
 LENGTHS = (1, 3, 7, 11, 15, 19, 23, 31, 39, 63)
 KIND_NAMES = (*SHAPES, "keyword", "long", "edge")
 FILE_CLASSES = 4
+RUN = re.compile(r"[A-Za-z0-9]+")
+#: Changes of character class in a run, and characters of that run, from which the next class of grain begins.
+GRAIN_CHANGES = (1, 3, 5, 8)
+GRAIN_LENGTHS = (8, 14, 20)
+GRAINS = (len(GRAIN_CHANGES) + 1) * (len(GRAIN_LENGTHS) + 1)
+
+
+def grain_of(word: str) -> int:
+    """How mixed a token's most mixed run of letters and digits is, with the run's length.
+
+    Dashes and low lines are left out, as keys hold them among their characters. Random strings change between capitals, small letters and digits every other character;
+    names and numbers joined by signs do so at most once a part.
+    """
+    best = 0
+    for run in RUN.findall(word.replace("-", "").replace("_", "")):
+        classes = ["d" if c.isdigit() else "u" if c.isupper() else "l" for c in run]
+        # One capital and small letters after it are a word.
+        changes = sum(a != b and (a, b) != ("u", "l") for a, b in zip(classes, classes[1:]))
+        changes = bisect.bisect_right(GRAIN_CHANGES, changes)
+        best = max(best, changes * (len(GRAIN_LENGTHS) + 1) + bisect.bisect_right(GRAIN_LENGTHS, len(run)))
+    return best
 
 
 def shape_of(word: str) -> int:
@@ -92,7 +113,7 @@ def shape_of(word: str) -> int:
 
 
 def traits(word: str) -> int:
-    """Shape and length as one number, and the kind that neighbours see, packed together."""
+    """Shape and length as one number, the grain, and the kind that neighbours see, packed together."""
     shape = shape_of(word)
     size = len(word.rstrip("."))
     length = next((i for i, most in enumerate(LENGTHS) if size <= most), len(LENGTHS))
@@ -102,7 +123,7 @@ def traits(word: str) -> int:
         kind = KIND_NAMES.index("long")
     else:
         kind = shape
-    return (shape * (len(LENGTHS) + 1) + length) * 32 + kind
+    return ((shape * (len(LENGTHS) + 1) + length) * 32 + grain_of(word)) * 32 + kind
 
 
 OWN = len(SHAPES) * (len(LENGTHS) + 1)
@@ -136,12 +157,13 @@ class Field:
 
     def __init__(self):
         self.own = np.zeros((OWN, 3))
+        self.grain = np.zeros((GRAINS, 3))
         self.around = [np.zeros((len(KIND_NAMES), 3)) for _ in self.AROUND]
         self.file = np.zeros((FILE_CLASSES, 3))
         self.moves = np.zeros((3, 3))
 
     def parameters(self) -> list[np.ndarray]:
-        return [self.own, *self.around, self.file, self.moves]
+        return [self.own, self.grain, *self.around, self.file, self.moves]
 
     @staticmethod
     def neighbours(kinds: np.ndarray, distance: int) -> np.ndarray:
@@ -154,7 +176,7 @@ class Field:
 
     def scores(self, traits: np.ndarray, file: int) -> np.ndarray:
         kinds = traits & 31
-        out = self.own[traits >> 5] + self.file[file]
+        out = self.own[traits >> 10] + self.grain[traits >> 5 & 31] + self.file[file]
         for distance, weights in zip(self.AROUND, self.around, strict=True):
             out += weights[self.neighbours(kinds, distance)]
         return out
@@ -215,28 +237,54 @@ class Field:
         return found
 
 
+def _some(rng: random.Random, chars: str, n: int) -> str:
+    return "".join(rng.choice(chars) for _ in range(n))
+
+
 def _secret(rng: random.Random) -> str:
+    """A made-up key of one of several families; issuers' own prefixes are few, most are random letters."""
     letters = string.ascii_letters + string.digits
-    some = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    prefix = _some(rng, string.ascii_letters, rng.randint(2, 6))
+    return rng.choice([
+        lambda: _some(rng, "0123456789abcdef", rng.choice([24, 32, 40, 64])),
+        lambda: "AKIA" + _some(rng, string.ascii_uppercase + string.digits, 16),
+        lambda: _some(rng, letters + "+/", rng.randint(32, 110)) + rng.choice(["", "=", "=="]),
+        lambda: "sk_live_" + _some(rng, letters, 24), lambda: "ghp_" + _some(rng, letters, 36),
+        lambda: "xoxb-" + _some(rng, string.digits, 12) + "-" + _some(rng, letters, 24),
+        lambda: ".".join(["eyJ" + _some(rng, letters, 17), "eyJ" + _some(rng, letters, 40), _some(rng, letters + "_-", 43)]),
+        lambda: _some(rng, letters, rng.randint(20, 44)),
+        lambda: prefix + rng.choice("-_.") + _some(rng, letters + rng.choice(["", "-_"]), rng.randint(16, 64)),
+        lambda: prefix + rng.choice("-_.") + _some(rng, string.ascii_lowercase + string.digits, rng.randint(20, 40)),
+        lambda: f"//{prefix.lower()}.example.com/{_some(rng, string.ascii_lowercase, 5)}/{_some(rng, letters, rng.randint(18, 40))}",
+        ])()
+
+
+def _password(rng: random.Random) -> str:
+    """A chosen password: a word with digits, or ten mixed characters."""
+    word = _some(rng, "abcdeghilmnorstu", rng.randint(5, 9))
     return rng.choice([
-        lambda: some("0123456789abcdef", rng.choice([24, 32, 40, 64])),
-        lambda: "AKIA" + some(string.ascii_uppercase + string.digits, 16),
-        lambda: some(letters + "+/", rng.randint(32, 60)) + rng.choice(["", "=", "=="]),
-        lambda: "sk_live_" + some(letters, 24), lambda: "ghp_" + some(letters, 36),
-        lambda: "xoxb-" + some(string.digits, 12) + "-" + some(letters, 24),
-        lambda: ".".join(["eyJ" + some(letters, 17), "eyJ" + some(letters, 40), some(letters + "_-", 43)]),
-        lambda: some(letters, rng.randint(20, 44))])()
+        lambda: word + _some(rng, string.digits, rng.randint(2, 4)), lambda: word.capitalize() + _some(rng, string.digits, 2),
+        lambda: _some(rng, string.ascii_letters + string.digits, rng.randint(8, 14))])()
+
+
+#: What stands around a chosen password, which nothing but its place tells from a name.
+PASSWORD_LEADS = ("password is {}", "passphrase is {}", "the password: {}", "passwd {}", "pass: {}", "my password is {}",
+                  "amqp://{user}:{}@{host}", "redis://{user}:{}@{host}", "ftp://{user}:{}@{host}", "https://{user}:{}@{host}")
 
 
 def _harmless(rng: random.Random) -> str:
-    digits = lambda n: "".join(rng.choice(string.digits) for _ in range(n))
-    word = lambda n: "".join(rng.choice("aeinorst") for _ in range(n))
+    digits = lambda n: _some(rng, string.digits, n)
+    word = lambda n: _some(rng, "aeinorst", n)
     return rng.choice([
         lambda: digits(rng.randint(1, 19)), lambda: word(rng.randint(14, 40)), lambda: f"{digits(4)}-{digits(2)}-{digits(2)}",
         lambda: ".".join(digits(rng.randint(1, 3)) for _ in range(4)), lambda: f"+{digits(1)} ({digits(3)}) {digits(3)}-{digits(4)}",
         lambda: f"{word(8)}.{digits(2)}@{word(5)}.example.com", lambda: f"https://www.{word(9)}.com/{word(7)}/{digits(5)}.html",
         lambda: "-".join(word(rng.randint(2, 9)) for _ in range(4)), lambda: word(9).upper(), lambda: f"v{digits(1)}.{digits(2)}.{digits(1)}",
-        lambda: f"{word(5)}_{word(8)}_{word(4)}", lambda: f"{word(6)} = {digits(3)}", lambda: f"{word(6)}: {word(11)}"])()
+        lambda: f"{word(5)}_{word(8)}_{word(4)}", lambda: f"{word(6)} = {digits(3)}", lambda: f"{word(6)}: {word(11)}",
+        lambda: f"{word(3).upper()}_{digits(8)}_{digits(6)}.jpg", lambda: word(4) + "".join(word(rng.randint(3, 7)).title() for _ in range(3)),
+        lambda: f"{word(2).upper()}-{digits(4)}{word(1).upper()}", lambda: f"{word(6)}{digits(2)}",
+        lambda: f"https://{word(5)}.org/{word(6)}-{word(5)}-{digits(4)}/{word(8)}?{word(4)}={digits(6)}",
+        lambda: f"password {word(6)}", lambda: f"the secret {word(3)} {word(7)}", lambda: f"{word(4)}://{word(6)}.{word(4)}:{digits(4)}/{word(5)}"])()
 
 
 def _sequences(texts: list[str]) -> list[tuple[list[str], list[int], int]]:
@@ -252,8 +300,10 @@ def _sequences(texts: list[str]) -> list[tuple[list[str], list[int], int]]:
             piece = words[at:at + 60]
             marks: list[str] = []
             for _ in range(rng.randint(0, 2)):
-                marks.append(_secret(rng))
-                piece.insert(rng.randint(0, len(piece)), rng.choice(lead).format(marks[-1]))
+                chosen = rng.random() < 0.2
+                marks.append(_password(rng) if chosen else _secret(rng))
+                names = {n: _some(rng, "abcdeghilmnorstu", rng.randint(3, 8)) for n in ("user", "host")}
+                piece.insert(rng.randint(0, len(piece)), rng.choice(PASSWORD_LEADS if chosen else lead).format(marks[-1], **names))
             for _ in range(rng.randint(0, 3)):
                 piece.insert(rng.randint(0, len(piece)), _harmless(rng))
             shown = " ".join(piece)
@@ -277,12 +327,12 @@ def train(texts: list[str]) -> Field:
         return field
     longest = max(len(tokens) for tokens, _, _ in data)
     shape = len(data), longest
-    used, own, tags = np.zeros(shape, bool), np.zeros(shape, int), np.zeros(shape, int)
+    used, own, grain, tags = np.zeros(shape, bool), np.zeros(shape, int), np.zeros(shape, int), np.zeros(shape, int)
     files = np.array([f for _, _, f in data])
     near = [np.full(shape, EDGE) for _ in Field.AROUND]
     for s, (tokens, gold, _) in enumerate(data):
         t, n = trait_array(tokens), len(tokens)
-        used[s, :n], own[s, :n], tags[s, :n] = True, t >> 5, gold
+        used[s, :n], own[s, :n], grain[s, :n], tags[s, :n] = True, t >> 10, t >> 5 & 31, gold
         for d, distance in enumerate(Field.AROUND):
             near[d][s, :n] = Field.neighbours(t & 31, distance)
     lengths = used.sum(axis=1)
@@ -291,7 +341,7 @@ def train(texts: list[str]) -> Field:
     mean, square = [np.zeros_like(p) for p in parameters], [np.zeros_like(p) for p in parameters]
     gold = np.eye(3)[tags] * used[:, :, None]
     for step in range(1, ROUNDS + 1):
-        scores = field.own[own] + field.file[files][:, None, :]
+        scores = field.own[own] + field.grain[grain] + field.file[files][:, None, :]
         for weights, at in zip(field.around, near, strict=True):
             scores = scores + weights[at]
         scores = scores * used[:, :, None]
@@ -310,7 +360,7 @@ def train(texts: list[str]) -> Field:
         belief = np.exp(np.minimum(0, forward + backward - total[:, None, None])) * used[:, :, None]
         miss = belief - gold
         gradient = [np.zeros_like(p) for p in parameters]
-        for g, at in zip(gradient, [own, *near, np.broadcast_to(files[:, None], shape)], strict=False):
+        for g, at in zip(gradient, [own, grain, *near, np.broadcast_to(files[:, None], shape)], strict=False):
             for tag in range(3):
                 g[:, tag] = np.bincount(at.ravel(), miss[:, :, tag].ravel(), len(g))
         both = used[:, 1:]

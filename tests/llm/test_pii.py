@@ -30,6 +30,8 @@ def test_patterns():
 def test_long_runs_take_linear_time():
     for text in ("1" * 200_000, "a" * 200_000, "a@" * 50_000, "1." * 100_000, "+1" * 100_000, "1 " * 20_000):
         P.base_spans(text)
+    for text in ("a" * 200_000 + " dot x", "a dot " * 30_000, "AB12" + "X" * 200_000):
+        list(P.candidates(text))
 
 
 TEXTS = [prose(i, 60 + i % 50) for i in range(160)]
@@ -53,6 +55,44 @@ def test_held_out_accuracy(detector):
     assert sum(map(len, detector.found([prose(5000 + i, 200) for i in range(200)]))) == 0
 
 
+#: Lead and data of families that training does not make as such.
+UNSEEN = {
+    "dotted": lambda d, w: ("call ", f"555.{d(3)}.{d(4)}"), "abroad": lambda d, w: ("phone ", f"0044 (0) 20 {d(4)} {d(4)}"),
+    "toll free": lambda d, w: ("dial ", f"1 800 {d(3)} {d(4)}"), "two signs": lambda d, w: ("phone ", f"{d(3)}.{d(3)}-{d(4)}"),
+    "area": lambda d, w: ("whatsapp ", f"03-{d(4)}-{d(4)}"), "pairs": lambda d, w: ("tel ", f"0{d(1)} {d(2)} {d(2)} {d(2)} {d(2)}"),
+    "tax": lambda d, w: ("tax number ", f"{d(3)}.{d(3)}.{d(3)}-{d(2)}"), "ssn": lambda d, w: ("SSN ", f"{d(3)} {d(2)} {d(4)}"),
+    "spelled": lambda d, w: ("", f"jane dot {w(1)} at gmail dot com"), "brackets": lambda d, w: ("", f"{w(5)} (dot) {w(4)} (at) {w(6)} (dot) com"),
+    "braces": lambda d, w: ("e-mail ", f"{w(5)}{{at}}{w(6)}{{dot}}com")}
+HARMLESS = {
+    "order": lambda d, w: f"order {d(3)}.{d(3)}-{d(4)}", "isbn": lambda d, w: f"ISBN {d(1)}-{d(4)}-{d(4)}-{d(1)}",
+    "parcel": lambda d, w: f"parcel {d(12)}", "preprint": lambda d, w: f"arXiv:{d(4)}.{d(5)}", "seats": lambda d, w: f"seats {d(4)}-{d(4)}",
+    "sums": lambda d, w: f"total 1 {d(3)} {d(3)}.{d(2)}", "meeting": lambda d, w: f"{w(5)} at {w(4)} dot the line"}
+
+
+def test_families_that_training_does_not_make(detector):
+    rng = random.Random(19)
+    d, w = (lambda n: "".join(rng.choice("0123456789") for _ in range(n))), (lambda n: "".join(rng.choice("abcdeghilmnorstu") for _ in range(n)))
+    cards = {n: (lambda d, w, n=n: ("card ", P._checked(rng, n))) for n in (15, 14)}
+    split = {"split card": lambda d, w: ("amex ", (lambda c: f"{c[:4]} {c[4:10]} {c[10:]}")(P._checked(rng, 15)))}
+    for name, family in (UNSEEN | cards | split).items():
+        right = 0
+        for i in range(40):
+            lead, data = family(d, w)
+            text = f"{prose(6000 + i, 30)} {lead}{data} {prose(6100 + i, 30)}"
+            at = text.index(lead + data) + len(lead)
+            right += any(s <= at and e >= at + len(data) for _, s, e in detector.found([text])[0])
+        assert right >= 36, (name, right)
+    for name, family in HARMLESS.items():
+        texts = [f"{prose(6000 + i, 30)} {family(d, w)} {prose(6100 + i, 30)}" for i in range(40)]
+        assert sum(map(bool, detector.found(texts))) <= 2, name
+
+
+def test_account_numbers():
+    assert P.checked_account("GB82 WEST 1234 5698 7654 32") and not P.checked_account("GB83 WEST 1234 5698 7654 32")
+    assert [t[1:] for t in P.candidates("to GB82 WEST 1234 5698 7654 32 now") if t[0] == 3] == [(3, 30)]
+    list(P.candidates(("AB12" + "X" * 60 + " ") * 2_000))
+
+
 def test_threshold_is_calibrated():
     import numpy as np
     scores = np.arange(100) / 10

@@ -67,6 +67,42 @@ def test_held_out_accuracy(field):
     assert not any(S.all_spans(field, prose(7000 + i, 400)) for i in range(100))
 
 
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+#: Lead, secret, what follows and the least recall, of families that training does not make.
+UNSEEN = {
+    "glpat": lambda some: ("", "glpat-" + some(LETTERS + "-_", 20), "", 0.6),
+    "npm": lambda some: ("", "npm_" + some(LETTERS, 36), "", 0.9),
+    "mail service": lambda some: ("", f"SG.{some(LETTERS + '-_', 22)}.{some(LETTERS + '-_', 43)}", "", 0.9),
+    "maps": lambda some: ("", "AIza" + some(LETTERS + "-_", 35), "", 0.9),
+    "index": lambda some: ("", "pypi-AgEI" + some(LETTERS + "-_", 80), "", 0.9),
+    "storage": lambda some: ("AccountKey=", some(LETTERS + "+/", 86) + "==", "", 0.9),
+    "uuid": lambda some: ("", "-".join(some("0123456789abcdef", n) for n in (8, 4, 4, 4, 12)), "", 0.9),
+    "database": lambda some: ("postgres://admin:", some(LETTERS, 12), "@db.internal:5432/app", 0.9),
+    "web hook": lambda some: ("https://hooks.example.com/services/", f"T{some(LETTERS[:26], 8)}/B{some(LETTERS[:26], 8)}/{some(LETTERS, 24)}", "", 0.9)}
+HARMLESS = (
+    "C6H12O6 glucose", "10.1000/xyz123", "flight LH2204 to", "RTX-4090-Ti", "#ff8800", "00:1B:44:11:3A:B7", "Nf3 Bxc6 O-O",
+    "src/main/java/org/example/HttpClientFactoryBean.java", "https://news.example.org/2021/05/14/how-to-plant-trees-24",
+    "IMG_20230102_120000.png", "x86_64-unknown-linux-gnu", "pages 112-118", "ISO-8859-15", "mp3/mp4", "utf8mb4_general_ci", "passport office",
+    "secretary general", "tokens per second", "authorization was refused", "keyboard: qwerty")
+
+
+def test_recall_on_families_that_training_does_not_make(field):
+    rng = random.Random(17)
+    some = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    for name, family in UNSEEN.items():
+        right = 0
+        for i in range(60):
+            lead, secret, rest, least = family(some)
+            words = prose(4000 + i, 60).split()
+            words.insert(rng.randint(0, 60), lead + secret + rest)
+            text = " ".join(words)
+            at = text.index(secret)
+            right += any(s <= at and e >= at + len(secret) for _, s, e in S.all_spans(field, text))
+        assert right >= 60 * least, (name, right)
+    for i, words in enumerate(HARMLESS):
+        assert not S.all_spans(field, f"{prose(i, 30)} {words} {prose(60 + i, 30)}"), words
+
+
 def test_redaction(spark, edge_docs, no_docs, field):
     text = 'say token = "abcdef123456" and AKIA' + "Z9" * 10 + " " + "0af9" * 10 + "."
     docs = spark.createDataFrame([(1, text, "p"), (2, None, "p"), (3, "clean text", None)], "doc_id bigint, text string, spans string")
