@@ -8,6 +8,8 @@ skew join splits a hot key of the larger side.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -16,6 +18,8 @@ from .intervals import covering
 
 Pairs = Sequence[str | tuple[str, str]]
 
+SPREAD = "__spread"
+
 
 def _pairs(on: Pairs) -> list[tuple[str, str]]:
     return [(p, p) if isinstance(p, str) else p for p in on]
@@ -32,16 +36,26 @@ def _on(left: DataFrame, right: DataFrame, pairs, null_safe: bool) -> tuple[Data
 
 
 def lookup(left: DataFrame, right: DataFrame, on: Pairs, take: Pairs, null_safe: bool = False,
-           how: str = "left") -> DataFrame:
-    """All left columns plus the named right columns (``(column, new_name)`` renames)."""
+           how: str = "left", spread: str | None = None) -> DataFrame:
+    """All left columns plus the named right columns (``(column, new_name)`` renames).
+
+    Left rows with a null key meet no one, yet a shuffle brings them to one task; ``spread`` names a
+    column of many values by which they are dealt out, where a key is often null.
+    """
     pairs, taken = _pairs(on), _pairs(take)
+    kept_columns = left.columns
+    if spread is not None:
+        whole = lambda columns: reduce(and_, [F.col(c).isNotNull() for c in columns])
+        left = left.withColumn(SPREAD, F.when(whole([l for l, _ in pairs]), F.lit(0).cast("bigint")).otherwise(F.xxhash64(spread)))
+        right = right.withColumn(SPREAD, F.when(whole([r for _, r in pairs]), F.lit(0).cast("bigint")))
+        pairs = [*pairs, (SPREAD, SPREAD)]
     keys = list(dict.fromkeys(r for _, r in pairs))
     columns = [F.col(k).alias(f"__r_{k}") for k in keys] + [F.col(c).alias(f"__t_{n}") for c, n in taken]
     right = right.select(*columns)
     ours, theirs = [left[l] for l, _ in pairs], [right[f"__r_{r}"] for _, r in pairs]
     condition = equal_or_both_null(ours, theirs) if null_safe else [a == b for a, b in zip(ours, theirs)]
     replaced = {n for _, n in taken}
-    kept = [left[c] for c in left.columns if c not in replaced]
+    kept = [left[c] for c in kept_columns if c not in replaced]
     return left.join(right, condition, how).select(*kept, *[right[f"__t_{n}"].alias(n) for _, n in taken])
 
 

@@ -141,21 +141,21 @@ def complaint_tracker(complaints: DataFrame, statuses: DataFrame, investigations
     first = F.col("unit") == SUPPLY_UNIT
     # Plants of the supplies: the compensation's, or the investigation's where it lists none.
     by_plant, by_plant_inv = totals(compensation_lines, ["id", "plant"], "c"), totals(investigation_lines, ["id", "plant"], "i")
-    mine = lookup(out.where(first), by_plant.select("id").distinct().withColumn("__paid", F.lit(True)), [("cmp_id", "id")], ["__paid"])
+    mine = lookup(out.where(first), by_plant.select("id").distinct().withColumn("__paid", F.lit(True)), [("cmp_id", "id")], ["__paid"], spread="id")
     lists = by_plant.select(F.lit("c").alias("__kind"), "id", "plant").unionByName(by_plant_inv.select(F.lit("i").alias("__kind"), "id", "plant"))
     mine = mine.withColumns({"__kind": F.when(F.col("__paid"), "c").otherwise("i"),
                              "__list": F.when(F.col("__paid"), F.col("cmp_id")).otherwise(F.col("inv_id"))})
-    mine = lookup(mine, lists, ["__kind", ("__list", "id")], ["plant"]).drop("__paid", "__kind", "__list")
-    mine = lookup(mine, by_plant, [("cmp_id", "id"), "plant"], names("c"))
-    mine = lookup(mine, by_plant_inv, [("inv_id", "id"), "plant"], names("i"))
+    mine = lookup(mine, lists, ["__kind", ("__list", "id")], ["plant"], spread="id").drop("__paid", "__kind", "__list")
+    mine = lookup(mine, by_plant, [("cmp_id", "id"), "plant"], names("c"), spread="id")
+    mine = lookup(mine, by_plant_inv, [("inv_id", "id"), "plant"], names("i"), spread="id")
     others = lookup(out.where(~first), complaint_plants.distinct(), [("id", "complaint")], ["plant"])
-    others = lookup(others, totals(compensation_lines, ["id"], "c"), [("cmp_id", "id")], names("c"))
-    others = lookup(others, totals(investigation_lines, ["id"], "i"), [("inv_id", "id")], names("i"))
+    others = lookup(others, totals(compensation_lines, ["id"], "c"), [("cmp_id", "id")], names("c"), spread="id")
+    others = lookup(others, totals(investigation_lines, ["id"], "i"), [("inv_id", "id")], names("i"), spread="id")
     out = mine.unionByName(others).withColumns(quantities())
 
     one = pick_row(defects.select("unit", "id", "code", "invoice"), ["unit", "id"], [F.col("invoice"), F.col("code")])
-    out = lookup(out, one, ["unit", ("cmp_id", "id")], [("code", "defect"), "invoice"])
-    out = lookup(out, defect_names, ["unit", "category", ("defect", "code")], [("name", "defect_name")])
+    out = lookup(out, one, ["unit", ("cmp_id", "id")], [("code", "defect"), "invoice"], spread="id")
+    out = lookup(out, defect_names, ["unit", "category", ("defect", "code")], [("name", "defect_name")], spread="id")
     return out.select(
         "id", "unit", "category", "inv_id", "cmp_id", "final_status", "remark", "customer", "plant", *SUPPLIED, "defect", "invoice",
         "defect_name", "rejected_on", "days_to_attend", "days_to_compensate")

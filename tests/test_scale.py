@@ -110,3 +110,15 @@ def test_equal_tables_shuffle_checksums_only(no_help):
         todo += [node.children().apply(i) for i in range(node.children().size())]
     # One row for each part and map task; no row of the tables themselves.
     assert rows_of and max(rows_of) <= reconcile.BUCKETS * 8
+
+
+def test_rows_with_a_null_key_are_dealt_out(no_help):
+    """Without a spread all of them would meet in one task of the join."""
+    left = no_help.range(0, 40_000, 1, 4).select("id", F.when(F.col("id") % 4 == 0, F.col("id")).alias("k"), F.lit("u").alias("unit"))
+    right = no_help.range(0, 40_000, 8).select(F.col("id").alias("rk"), F.lit("u").alias("unit"), (F.col("id") * 2).alias("v"))
+    right = right.union(no_help.range(1).select(F.lit(None).cast("bigint"), F.lit("u"), F.lit(1).cast("bigint")))
+    plain = joins.lookup(left, right, ["unit", ("k", "rk")], ["v"])
+    out = joins.lookup(left, right, ["unit", ("k", "rk")], ["v"], spread="id")
+    assert out.columns == plain.columns and out.exceptAll(plain).count() == plain.exceptAll(out).count() == 0
+    load = lambda df: df.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+    assert load(plain) >= 30_000 and load(out) < 2 * 40_000 / 32
