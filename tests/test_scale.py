@@ -1,9 +1,11 @@
 """Behaviour that matters when one key holds a third of the rows."""
 
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
-from lakeops.operators import joins, keys, reconcile, windows
+from lakeops.operators import joins, keys, reconcile, reshape, windows
 from lakeops.session import tune
 
 
@@ -122,3 +124,18 @@ def test_rows_with_a_null_key_are_dealt_out(no_help):
     assert out.columns == plain.columns and out.exceptAll(plain).count() == plain.exceptAll(out).count() == 0
     load = lambda df: df.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
     assert load(plain) >= 30_000 and load(out) < 2 * 40_000 / 32
+
+
+def test_conditional_sums_move_longs(spark):
+    """Sums are exact beyond a long, for negative values and where nothing hits."""
+    d = spark.sql("""SELECT * FROM VALUES (1, 'a', cast(9999999999999999.99 AS decimal(18,2))), (1, 'a', cast(-0.01 AS decimal(18,2))),
+        (1, 'b', cast(-5.55 AS decimal(18,2))), (1, 'b', null), (2, null, cast(7 AS decimal(18,2))), (null, 'a', cast(1.5 AS decimal(18,2))) t(k, c, v)""")
+    many = d.unionAll(spark.range(2000).select(F.lit(3), F.lit("a"), F.lit("9999999999999999.99").cast("decimal(18,2)")))
+    out = reshape.conditional_sums(many, ["k"], {"a": (F.col("c") == "a", F.col("v")), "b": (F.col("c") == "b", F.col("v")), "p": (F.col("c") == "a", F.col("v") * F.col("v"))})
+    old = many.groupBy("k").agg(*[reshape.sum_when(F.col("c") == x, v).alias(n) for n, x, v in (("a", "a", F.col("v")), ("b", "b", F.col("v")), ("p", "a", F.col("v") * F.col("v")))])
+    assert out.schema.simpleString() == old.schema.simpleString()
+    assert {tuple(r) for r in out.where("k < 3 OR k IS NULL").collect()} == {tuple(r) for r in old.where("k < 3 OR k IS NULL").collect()}
+    big = reshape.conditional_sums(many, ["k"], {"a": (F.col("c") == "a", F.col("v"))}).where("k = 3").first()["a"]
+    assert big == 2000 * Decimal("9999999999999999.99")
+    text = reshape.conditional_sums(d, ["k"], {"a": (F.col("c") == "a", F.col("v"))})._jdf.queryExecution().optimizedPlan().toString()
+    assert "& 4294967295" in text
