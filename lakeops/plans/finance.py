@@ -99,10 +99,13 @@ def ledger_lines(lines: DataFrame, documents: DataFrame, accounts: DataFrame, co
 
 
 def adjusted_posting_date(lines: DataFrame, orders: DataFrame, order: str, posted: str, order_date: str) -> DataFrame:
-    """Order-related postings take the order's date, the others keep their own."""
-    out = lookup(lines, orders, [order], [(order_date, "__order_date")])
-    date = F.when(is_blank(order), F.col(posted)).otherwise(F.coalesce(F.col("__order_date"), F.col(posted)))
-    return out.withColumn("adjusted_date", date).drop("__order_date")
+    """Order-related postings take the order's date, the others keep their own.
+
+    Postings without an order stay out of the join, which would bring them all to one task.
+    """
+    related = lookup(lines.where(~is_blank(order)), orders, [order], [(order_date, "__order_date")])
+    related = related.withColumn("adjusted_date", F.coalesce(F.col("__order_date"), F.col(posted))).drop("__order_date")
+    return related.unionByName(lines.where(is_blank(order)).withColumn("adjusted_date", F.col(posted)))
 
 
 def stack_sheets(sheets: dict[str, DataFrame], tag: str) -> DataFrame:

@@ -17,11 +17,39 @@ SCALE_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# A task's memory goes by the rows it gets. With Spark's own values a stage has about as many tasks
+# as the cluster has cores until each reads 64 MB, which narrow rows with long keys unpack to
+# gigabytes in several sorts and hash maps; these values add tasks instead, so what one task holds
+# stays as it is when tables grow. A partition that a null or hot key fills is split at a like size.
+# A broadcast counts in every task that reads it, and the size Catalyst estimates knows neither what
+# a file unpacks to nor the rows an explode adds: only what is tiny by estimate is broadcast for it,
+# the rest where AQE has measured it.
+TASK_CONF = {
+    "spark.sql.files.maxPartitionBytes": "8m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
+}
+BROADCAST_THRESHOLD = "spark.sql.autoBroadcastJoinThreshold"
+MOST_ESTIMATED = 256 * 1024
+
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    for key, value in SCALE_CONF.items():
+    return _set(spark, SCALE_CONF)
+
+
+def bound_tasks(spark: SparkSession) -> SparkSession:
+    """Tasks of a bounded size, whatever the size of the tables; a session without broadcasts stays so."""
+    if spark.conf.get(BROADCAST_THRESHOLD) == "-1":
+        return _set(spark, TASK_CONF | {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
+    return _set(spark, TASK_CONF | {BROADCAST_THRESHOLD: str(MOST_ESTIMATED)})
+
+
+def _set(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    for key, value in settings.items():
         spark.conf.set(key, value)
     return spark
 

@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.columns import money
-from ..session import CHECKPOINT_SETTING
+from ..session import CHECKPOINT_SETTING, bound_tasks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -100,7 +100,7 @@ def query(sql: str | None = None):
     """Register ``fn(tables) -> DataFrame`` under its own name."""
 
     def register(fn: Callable[[Tables], DataFrame]):
-        QUERIES[fn.__name__] = lambda spark, folder: plain(fn(Tables(spark, folder)))
+        QUERIES[fn.__name__] = lambda spark, folder: plain(fn(Tables(bound_tasks(spark), folder)))
         if sql is not None:
             ORACLE[fn.__name__] = sql
         return fn

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeops.operators import joins, keys, reconcile, reshape, windows
-from lakeops.session import tune
+from lakeops.plans import finance
+from lakeops.session import TASK_CONF, bound_tasks, tune
 
 
 def executed(df) -> str:
@@ -126,6 +127,33 @@ def test_rows_with_a_null_key_are_dealt_out(no_help):
     assert load(plain) >= 30_000 and load(out) < 2 * 40_000 / 32
 
 
+def test_postings_without_order_stay_out_of_the_join(no_help):
+    lines = no_help.range(0, 20_000, 1, 4).select("id", F.when(F.col("id") % 4 == 0, F.col("id")).alias("order"),
+                                                  F.lit("2020-01-02").cast("date").alias("posted"))
+    lines = lines.union(no_help.sql("SELECT -1, null, date'2020-01-03'"))
+    orders = no_help.range(0, 20_000, 8).select(F.col("id").alias("order"), F.lit("2019-05-05").cast("date").alias("day"))
+    out = finance.adjusted_posting_date(lines, orders, "order", "posted", "day")
+    assert out.columns == [*lines.columns, "adjusted_date"]
+    assert out.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0] < 5000
+    got = {str(r[0]): r[1] for r in out.groupBy("adjusted_date").count().collect()}
+    assert got == {"2019-05-05": 2500, "2020-01-02": 17_500, "2020-01-03": 1}
+
+
+def test_estimates_do_not_broadcast_what_grows(spark):
+    """A file's size says little about its rows, still less behind an explode."""
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+        bound_tasks(spark)
+        assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == str(256 * 1024)
+        assert all(spark.conf.get(k) == v for k, v in TASK_CONF.items())
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        bound_tasks(spark)
+        assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold") == "-1"
+    finally:
+        for key in [*TASK_CONF, "spark.sql.autoBroadcastJoinThreshold"]:
+            spark.conf.unset(key)
+
+
 def test_conditional_sums_move_longs(spark):
     """Sums are exact beyond a long, for negative values and where nothing hits."""
     d = spark.sql("""SELECT * FROM VALUES (1, 'a', cast(9999999999999999.99 AS decimal(18,2))), (1, 'a', cast(-0.01 AS decimal(18,2))),
