@@ -26,6 +26,7 @@ SCALE_CONF = {
 # the rest where AQE has measured it.
 TASK_CONF = {
     "spark.sql.files.maxPartitionBytes": "8m",
+    "spark.sql.files.openCostInBytes": "1m",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32m",

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeops.operators import joins, keys, reconcile, reshape, windows
-from lakeops.plans import finance
+from lakeops.plans import finance, procurement
 from lakeops.session import TASK_CONF, bound_tasks, tune
 
 
@@ -167,3 +167,15 @@ def test_conditional_sums_move_longs(spark):
     assert big == 2000 * Decimal("9999999999999999.99")
     text = reshape.conditional_sums(d, ["k"], {"a": (F.col("c") == "a", F.col("v"))})._jdf.queryExecution().optimizedPlan().toString()
     assert "& 4294967295" in text
+
+
+def test_requisitions_are_moved_before_they_are_grouped(no_help):
+    """Their keys hardly repeat: grouped where they are read, a task would hold all keys of its part."""
+    schedule = no_help.sql("SELECT * FROM VALUES (1, 1, 7, 0), (1, 1, 7, 1), (2, 1, 8, 0), (3, 1, null, 0) t(doc, item, requisition, requisition_item)")
+    requisitions = no_help.sql("""SELECT requisition, requisition_item, cast(day AS date) AS release_date, deleted FROM VALUES (7, 0, '2020-01-01', null),
+        (7, 0, '2020-03-01', null), (7, 1, '2020-02-01', ' '), (8, 0, '2020-01-05', 'L'), (null, 0, '2020-01-09', null) t(requisition, requisition_item, day, deleted)""")
+    out = procurement.release_dates(schedule, requisitions, ["doc", "item"])
+    assert sorted((r["doc"], str(r["release_date"])) for r in out.collect()) == [(1, "2020-03-01"), (2, "None"), (3, "None")]
+    lines = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    moved = next(i for i, line in enumerate(lines) if "REPARTITION_BY_COL" in line)
+    assert not [line for line in lines[moved:] if "Aggregate" in line]
