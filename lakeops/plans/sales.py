@@ -144,17 +144,23 @@ class Measure:
             hit = hit & ~F.col("billing_type").isin(*self.not_billing)
         return hit
 
-    def in_units(self, scale: int) -> Column:
+    def in_units(self) -> Column:
         """The same sum over the column's smallest units, kept as a long (``UNITS`` + column)."""
         units = F.col(UNITS + self.column)
         if self.negate:
             units = -units
-        scale += self.percent
         if self.otherwise:
             total = F.sum(F.when(self.hit(), units).otherwise(F.col(UNITS + self.otherwise) * (10 if self.percent else 1)))
         else:
             total = sum_when(self.hit(), units)
-        return (total.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-scale))).alias(self.name)
+        return total.alias(self.name)
+
+    def from_units(self, scale: int) -> Column:
+        """The decimal that a sum of ``in_units`` stands for; a sum of nothing, as most are, is no work."""
+        scale += self.percent
+        total = F.col(self.name)
+        nothing = F.lit(0).cast(f"decimal({21 + max(scale, 1)},{scale})")
+        return F.when(total == 0, nothing).otherwise(total.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-scale)))
 
     def expression(self) -> Column:
         hit = self.hit()
@@ -204,7 +210,13 @@ INVOICE_MEASURES = [
 
 
 def condition_measures(conditions: DataFrame, keys: list[str], measures: list[Measure]) -> DataFrame:
-    """All conditional sums of a (document, line) in one aggregation.
+    """All conditional sums of a (document, line) in one aggregation."""
+    sums, values = condition_sums(conditions, keys, measures)
+    return sums.select(*keys, *[values[m.name].alias(m.name) for m in measures])
+
+
+def condition_sums(conditions: DataFrame, keys: list[str], measures: list[Measure]) -> tuple[DataFrame, dict[str, Column]]:
+    """The sums of ``condition_measures`` as they are best moved, and what makes each the value it stands for.
 
     A decimal of up to 18 digits is summed in its smallest units, which a long holds whatever the
     value: dozens of sums then need no decimal objects. A sum beyond a long fails the query.
@@ -215,8 +227,9 @@ def condition_measures(conditions: DataFrame, keys: list[str], measures: list[Me
         not m.otherwise or scales.get(m.otherwise) == scales[m.column])
     used = {c for m in measures if plain(m) for c in (m.column, m.otherwise) if c}
     units = {UNITS + c: (F.col(c) * 10 ** scales[c]).cast("bigint") for c in sorted(used)}
-    return conditions.withColumns(units).groupBy(*keys).agg(*[
-        m.in_units(scales[m.column]) if plain(m) else m.expression() for m in measures])
+    sums = conditions.withColumns(units).groupBy(*keys).agg(*[
+        m.in_units() if plain(m) else m.expression() for m in measures])
+    return sums, {m.name: m.from_units(scales[m.column]) if plain(m) else F.col(m.name) for m in measures}
 
 
 # Fixed values: (customer groups, channel, product line) to sales type, first match wins.
@@ -349,10 +362,10 @@ def invoice_fact(items: DataFrame, headers: DataFrame, partners: DataFrame, role
     out = effective_dated(out, weights, list(weight_keys), "date", "valid_from", "valid_to", ["weight"])
     if documents is not None:
         out = with_line_documents(out, *documents[2:])
-    sums = condition_measures(conditions, ["doc", "line"], measures)
+    sums, values = condition_sums(conditions, ["doc", "line"], measures)
     out = lookup(out, sums, ["doc", "line"], [m.name for m in measures])
     return out.withColumns({
-        **{m.name: F.coalesce(F.col(m.name), F.lit(0)) for m in measures},
+        **{m.name: F.coalesce(values[m.name], F.lit(0)) for m in measures},
         "total": F.col("net") + F.col("tax"),
         "weight_mt": F.col("quantity") * F.col("weight") / 1000,
         "status": invoice_status("cancelled"),

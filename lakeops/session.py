@@ -23,8 +23,10 @@ SCALE_CONF = {
 # stays as it is when tables grow. A partition that a null or hot key fills is split at a like size.
 # A broadcast counts in every task that reads it, and the size Catalyst estimates knows neither what
 # a file unpacks to nor the rows an explode adds: only what is tiny by estimate is broadcast for it,
-# the rest where AQE has measured it.
+# the rest where AQE has measured it. HotSpot interprets methods of over 8000 bytes, which dozens of
+# measures in one generated loop exceed; past that, operators run one by one in compiled pieces.
 TASK_CONF = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.files.maxPartitionBytes": "8m",
     "spark.sql.files.openCostInBytes": "1m",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
