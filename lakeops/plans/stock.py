@@ -157,15 +157,17 @@ def daily_plan(grid: DataFrame, opening: DataFrame, month_plan: DataFrame, split
     """
     k = ["plant", "material"]
     out = grid.withColumns({"month": period_key("date"), "day_no": F.dayofmonth("date")})
+    # The split knows no material: it comes first, the rest goes by plant and material as the running sums do.
+    out = lookup(out, split, ["plant", "day_no"], ["plant_percent", "depot_percent"])
     out = lookup(out, opening, k, ["good", "opening", "depot_opening"])
     out = lookup(out, month_plan, [*k, "month"], [
         "sales_plan", "sales", "transfer_plan", "transferred", "depot_plan", "depot_sales"])
-    out = lookup(out, split, ["plant", "day_no"], ["plant_percent", "depot_percent"])
-    made = production.groupBy(*k, "date").agg(F.sum("quantity").alias("production"))
-    out = lookup(out, made, [*k, "date"], ["production"])
-    cured = production.unionByName(done_production).withColumn("date", F.date_add("date", curing_days))
-    cured = cured.groupBy(*k, "date").agg(F.sum("quantity").alias("cured"))
-    out = lookup(out, cured, [*k, "date"], ["cured"])
+    # What is made and what is cured on a day come in one sum per plant, material and day: the days are matched once.
+    none = F.lit(None).cast(production.schema["quantity"].dataType)
+    cured = production.unionByName(done_production).select(*k, F.date_add("date", curing_days).alias("date"), none.alias("made"), "quantity")
+    moved = production.select(*k, "date", F.col("quantity").alias("made"), none.alias("quantity")).unionByName(cured)
+    moved = moved.groupBy(*k, "date").agg(F.sum("made").alias("production"), F.sum("quantity").alias("cured"))
+    out = lookup(out, moved, [*k, "date"], ["production", "cured"])
     out = out.fillna(0, subset=["good", "opening", "depot_opening", "sales_plan", "sales", "transfer_plan",
                                 "transferred", "depot_plan", "depot_sales", "production", "cured"])
     working = days_in_month("date") - idle_days

@@ -33,7 +33,11 @@ TASK_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
 }
+# For plans whose joins all share some keys of which no value has many rows: rows that lie by the
+# shared keys stay where they are in a join by these and more.
+SHARED_KEYS_CONF = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
 BROADCAST_THRESHOLD = "spark.sql.autoBroadcastJoinThreshold"
 MOST_ESTIMATED = 256 * 1024
 
@@ -44,11 +48,15 @@ def tune(spark: SparkSession) -> SparkSession:
     return _set(spark, SCALE_CONF)
 
 
-def bound_tasks(spark: SparkSession) -> SparkSession:
-    """Tasks of a bounded size, whatever the size of the tables; a session without broadcasts stays so."""
+def bound_tasks(spark: SparkSession, conf: dict[str, str] | None = None) -> SparkSession:
+    """Tasks of a bounded size, whatever the size of the tables; a session without broadcasts stays so.
+
+    ``conf`` is what one query sets otherwise; the next one starts from ``TASK_CONF`` again.
+    """
+    settings = TASK_CONF | (conf or {})
     if spark.conf.get(BROADCAST_THRESHOLD) == "-1":
-        return _set(spark, TASK_CONF | {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
-    return _set(spark, TASK_CONF | {BROADCAST_THRESHOLD: str(MOST_ESTIMATED)})
+        return _set(spark, settings | {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
+    return _set(spark, settings | {BROADCAST_THRESHOLD: str(MOST_ESTIMATED)})
 
 
 def _set(spark: SparkSession, settings: dict[str, str]) -> SparkSession:

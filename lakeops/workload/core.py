@@ -96,11 +96,11 @@ def plain(df: DataFrame) -> DataFrame:
         for f in df.schema.fields])
 
 
-def query(sql: str | None = None):
-    """Register ``fn(tables) -> DataFrame`` under its own name."""
+def query(sql: str | None = None, conf: dict[str, str] | None = None):
+    """Register ``fn(tables) -> DataFrame`` under its own name; ``conf`` is for ``bound_tasks``."""
 
     def register(fn: Callable[[Tables], DataFrame]):
-        QUERIES[fn.__name__] = lambda spark, folder: plain(fn(Tables(bound_tasks(spark), folder)))
+        QUERIES[fn.__name__] = lambda spark, folder: plain(fn(Tables(bound_tasks(spark, conf), folder)))
         if sql is not None:
             ORACLE[fn.__name__] = sql
         return fn

@@ -8,6 +8,7 @@ from ..functions.columns import first_match
 from ..operators.joins import lookup, period_key
 from ..operators.reshape import pivot_sums
 from ..plans import quality, stock as s
+from ..session import SHARED_KEYS_CONF
 from .core import ITEMS, LINES, Tables, near, query, rounded
 from .relational import RATES, weight_versions
 
@@ -208,7 +209,7 @@ _RUN = lambda x: f"sum({x}) OVER (PARTITION BY plant, material ORDER BY date)"
 
 @query(f"""WITH {SEASON} SELECT plant, material, date, made AS production, {near('psd')} AS plant_sales_day, {near('tr')} AS transfer_day,
 {near('opening + ' + _RUN('made - psd - tr'), 3)} AS closing_stock, {near('dopen + ' + _RUN('tr - dsd'), 3)} AS depot_closing_stock,
-{near('good + ' + _RUN('cured - psd - tr'), 3)} AS dispatchable_stock FROM g""")
+{near('good + ' + _RUN('cured - psd - tr'), 3)} AS dispatchable_stock FROM g""", conf=SHARED_KEYS_CONF)
 def daily_seasonal_plan(t: Tables) -> DataFrame:
     k = ["plant", "material"]
     seen = lookup(t.lines, t.part, [("l_partkey", "p_partkey")], [("p_brand", "material")], how="inner").withColumn(

@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeops.operators import joins, keys, reconcile, reshape, windows
-from lakeops.plans import finance, procurement, sales
-from lakeops.session import TASK_CONF, bound_tasks, tune
+from lakeops.plans import finance, procurement, sales, stock
+from lakeops.session import SHARED_KEYS_CONF, TASK_CONF, bound_tasks, tune
 
 
 def executed(df) -> str:
@@ -220,3 +220,30 @@ def test_no_interpreted_methods(spark):
         for key in TASK_CONF:
             spark.conf.unset(key)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_days_of_the_plan_stay_with_their_plant_and_material(no_help):
+    """Joined by month and by date, then summed up day by day, without moving; made and cured are matched at once."""
+    q = no_help.sql
+    grid = q("SELECT plant, material, explode(sequence(date'2020-01-30', date'2020-02-02')) AS date FROM (SELECT DISTINCT * FROM VALUES (1L, 'a'), (1L, 'b') t(plant, material))")
+    opening = q("SELECT 1L AS plant, material, 10.0D AS good, 20.0D AS opening, 3L AS depot_opening FROM VALUES ('a'), ('z') t(material)")
+    month_plan = q("""SELECT 1L AS plant, material, date'2020-02-01' AS month, 5.0D AS sales_plan, 1.0D AS sales, 52.0D AS transfer_plan,
+        0.0D AS transferred, 2.0D AS depot_plan, 0.0D AS depot_sales FROM VALUES ('a'), ('z') t(material)""")
+    split = q("SELECT 1L AS plant, day_no, 50 AS plant_percent, 100 AS depot_percent FROM VALUES (1), (2), (30), (31) t(day_no)")
+    made = q("SELECT 1L AS plant, 'a' AS material, date'2020-01-31' AS date, quantity FROM VALUES (4.0D), (2.0D), (null) t(quantity)")
+    done = q("SELECT 1L AS plant, material, date'2020-01-16' AS date, 7.0D AS quantity FROM VALUES ('a'), (null) t(material)")
+    try:
+        bound_tasks(no_help, SHARED_KEYS_CONF)
+        out = stock.daily_plan(grid, opening, month_plan, split, made, done)
+        rows = [tuple(r)[3:] for r in out.where("material = 'a'").orderBy("date").collect()]
+        assert rows == [(0, 0, 0, 20, 3, 10), (6, 0, 0, 26, 3, 17), (0, 2, 2, 22, 3, 13), (0, 2, 2, 18, 3, 9)]
+        assert {tuple(r)[3:] for r in out.where("material = 'b'").collect()} == {(0, 0, 0, 0, 0, 0)} and out.count() == 8
+        lines = out._jdf.queryExecution().executedPlan().toString().splitlines()
+        at = lambda text: next(i for i, line in enumerate(lines) if text in line)
+        assert at("Window") < at("SortMergeJoin") < at("Exchange")
+        assert len([line for line in lines if "SortMergeJoin" in line]) == 4
+        bound_tasks(no_help)
+        assert no_help.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+    finally:
+        for key in TASK_CONF:
+            no_help.conf.unset(key)
