@@ -74,12 +74,12 @@ def covering(items: DataFrame, versions: DataFrame, keys: list[tuple[str, str]],
     root = roots(own, k, "__from", "__to")
     page = pages(own, root, k, "__from", "__to", ["__from", "__to", "__open", *names])
 
-    rows = items.withColumn("__day", F.col(date).cast("date"))
-    rooted = rows.join(root, [rows[l] == root[n] for n, (l, _) in zip(k, keys)], "left").drop(*k)
-    at = _stretch(F.coalesce("__day", F.lit(FIRST_DAY).cast("date")))
+    day = F.col(date).cast("date")
+    rooted = items.join(root, [items[l] == root[n] for n, (l, _) in zip(k, keys)], "left").drop(*k)
+    at = _stretch(F.coalesce(day, F.lit(FIRST_DAY).cast("date")))
     rooted = rooted.withColumn("__at", F.get("__root", _how_many(F.col("__root"), at) - 1))
     met = rooted.join(page, [*[rooted[l] == page[n] for n, (l, _) in zip(k, keys)], rooted["__at"] == page["__stretch"]], "left")
-    hits = F.filter("__page", lambda m: F.col("__day").between(m["__from"], m["__to"]) | m["__open"])
+    hits = F.filter("__page", lambda m: day.between(m["__from"], m["__to"]) | m["__open"])
     out = met.select(*[F.col(c) for c in items.columns], F.col("__root").isNotNull().alias("__has"), F.explode_outer(hits).alias("__m"))
     if not keep_unmatched:
         out = out.where("__m is not null or not __has")

@@ -7,7 +7,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.columns import first_match, is_blank, ratio
+from ..functions.columns import first_match, is_blank, null_safe, ratio
 from ..operators.joins import effective_dated, lookup, role_columns, semi
 from ..operators.reshape import sum_when
 
@@ -348,18 +348,25 @@ def invoice_fact(items: DataFrame, headers: DataFrame, partners: DataFrame, role
     weights: weight_keys, valid_from, valid_to, weight; plants: plant, is_plant, report_plant;
     documents: accounting, ledger, excise and order_lines of ``with_postings`` and ``with_line_documents``.
 
-    No wide row is moved: what goes by the document comes first, then plants and weights, then,
-    after one exchange of the still narrow lines, everything that goes by document and line, the
-    dozens of measures last. Inputs that lie by document in tables of ``sinks.write_bucketed`` are
-    aggregated and joined where they lie.
+    What is moved is written to disk, so lines lie by their document and stay there. Only what plants
+    and weights are looked up by leaves it, once for all lines of a document that have it in common,
+    and comes back with what was found. Inputs that lie by document, in tables of
+    ``sinks.write_bucketed`` or after one exchange, are aggregated and joined where they lie; the
+    postings have another key. What has one row per document meets the headers before the lines.
     """
-    out = items.join(headers, "doc", "inner")
+    wanted = list(dict.fromkeys([*weight_keys, "plant", "date"]))
+    dates = headers.select("doc", "date").distinct()
+    found = items.join(dates, "doc", "inner").select("doc", *wanted).distinct()
+    found = effective_dated(found, weights, list(weight_keys), "date", "valid_from", "valid_to", ["weight"])
+    found = lookup(found, plants, ["plant"], ["is_plant", "report_plant"])
     parties = role_columns(partners, ["doc"], "role", roles, ["party"])
-    out = lookup(out, parties, ["doc"], [f"{p}_party" for p in roles.values()])
+    heads = lookup(headers, parties, ["doc"], [f"{p}_party" for p in roles.values()])
     if documents is not None:
-        out = with_postings(out, *documents[:2])
-    out = lookup(out, plants, ["plant"], ["is_plant", "report_plant"])
-    out = effective_dated(out, weights, list(weight_keys), "date", "valid_from", "valid_to", ["weight"])
+        heads = with_postings(heads, *documents[:2])
+    out = items.join(heads, "doc", "inner")
+    found = found.withColumnsRenamed({c: f"__w_{c}" for c in wanted})
+    met = out.join(found, [out["doc"] == found["doc"], null_safe([out[c] for c in wanted], [found[f"__w_{c}"] for c in wanted])], "left")
+    out = met.select(*[out[c] for c in out.columns], "is_plant", "report_plant", "weight")
     if documents is not None:
         out = with_line_documents(out, *documents[2:])
     sums, values = condition_sums(conditions, ["doc", "line"], measures)

@@ -54,11 +54,25 @@ class Tables:
     @cached_property
     def items(self) -> DataFrame:
         """One row per (order, line): the pair repeats in the raw table."""
-        return self.lines.groupBy("l_orderkey", "l_linenumber").agg(
-            F.min("l_partkey").alias("partkey"), F.min("l_suppkey").alias("suppkey"),
-            F.sum("quantity").alias("quantity"), F.sum("price").alias("price"),
-            F.min("ship_date").alias("ship_date"), F.max("l_returnflag").alias("flag"),
-            F.max("l_linestatus").alias("status"))
+        return items_of(self.lines)
+
+
+def items_of(lines: DataFrame) -> DataFrame:
+    """``Tables.items`` of the columns that the lines have."""
+    columns = {"partkey": (F.min, "l_partkey"), "suppkey": (F.min, "l_suppkey"), "quantity": (F.sum, "quantity"), "price": (F.sum, "price"),
+               "ship_date": (F.min, "ship_date"), "flag": (F.max, "l_returnflag"), "status": (F.max, "l_linestatus")}
+    return lines.groupBy("l_orderkey", "l_linenumber").agg(*[f(c).alias(n) for n, (f, c) in columns.items() if c in lines.columns])
+
+
+def laid_by(df: DataFrame, key: str) -> DataFrame:
+    """Rows that have the key, by the key, in one exchange for all that is made of them.
+
+    Below an exchange Catalyst leaves each reader its own columns and filters, so the exchanges of
+    several readers differ and each is written to disk. The filter above it drops no row: it reads
+    all columns and is not deterministic, which keeps both above and has one exchange read again.
+    """
+    all_columns = (F.spark_partition_id() >= 0) | (F.xxhash64(*df.columns) == 0)
+    return df.where(F.col(key).isNotNull()).repartition(key).where(all_columns)
 
 
 LINES = """lines AS (

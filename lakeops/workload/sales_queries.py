@@ -9,7 +9,8 @@ from ..operators.calendar import date_dimension
 from ..operators.joins import lookup
 from ..operators.windows import pick_row
 from ..plans import sales as s
-from .core import ITEMS, LINES, SALES_ORDERS, Tables, near, query, rounded
+from ..session import SHARED_KEYS_CONF
+from .core import ITEMS, LINES, SALES_ORDERS, Tables, items_of, laid_by, near, query, rounded
 from .relational import RATES, weight_versions
 
 # One pricing condition per raw line: the code comes from its two flags and line number.
@@ -27,12 +28,12 @@ CONDITIONS = f"""{LINES}, conditions AS (
   FROM lines)"""
 
 
-def conditions(t: Tables) -> DataFrame:
+def conditions(lines: DataFrame) -> DataFrame:
     c = F.col
     pick = F.element_at(F.array(*[F.lit(x) for x in CODES]), (c("l_partkey") % 21).cast("int") + 1)
     even = c("l_suppkey") % 2 == 0
     kind = c("l_partkey") % 21
-    return t.lines.select(
+    return lines.select(
         c("l_orderkey").alias("doc"), c("l_linenumber").alias("line"), pick.alias("code"),
         (c("price") * c("discount")).cast("decimal(18,2)").alias("value"),
         (c("tax") * 100).cast("decimal(18,2)").alias("rate"), c("price").alias("base"),
@@ -56,14 +57,14 @@ WHEN {_HAS('JEXP')} THEN {_V('JEXP', 'base')} WHEN {_HAS('ZVAT')} THEN {_V('ZVAT
 WHEN {_HAS('JCST')} THEN {_V('JCST', 'base')} * 0.875 WHEN {_HAS('ZEXP')} THEN {_V('ZEXP')} * {_V('ZEXP', 'fx')}
 WHEN {_HAS('ZASS')} THEN {_V('ZASS')} END, 0)::DECIMAL(25,2)::DOUBLE AS assessable_value FROM conditions GROUP BY 1, 2""")
 def assessable_value(t: Tables) -> DataFrame:
-    return s.assessable_value(conditions(t), ["doc", "line"])
+    return s.assessable_value(conditions(t.lines), ["doc", "line"])
 
 
 @query(f"""WITH {CONDITIONS} SELECT {_KEY}, coalesce(CASE WHEN NOT bool_or(terms = 'FOR') AND {_HAS('ZCNF')} THEN
 coalesce({_V('ZFRF', 'rate')}, {_V('ZDFR', 'rate')}, 0) * {_V('ZCNF')} END, 0)::DECIMAL(25,2)::DOUBLE AS secondary_freight
 FROM conditions GROUP BY 1, 2""")
 def secondary_freight(t: Tables) -> DataFrame:
-    return s.secondary_freight(conditions(t), ["doc", "line"])
+    return s.secondary_freight(conditions(t.lines), ["doc", "line"])
 
 
 _AT = lambda code, org, div: (
@@ -74,7 +75,7 @@ _AT = lambda code, org, div: (
 ELSE CASE {_AT('ZBP1', '1000', "'11'")} {_AT('ZBPB', '2000', "'21', '22', '23', '24', '25'")} {_AT('ZAD1', '2000', "'23'")} ELSE 0 END
 END, 0)::DOUBLE AS base_price FROM conditions GROUP BY 1, 2""")
 def base_price(t: Tables) -> DataFrame:
-    return s.base_price(conditions(t), ["doc", "line"])
+    return s.base_price(conditions(t.lines), ["doc", "line"])
 
 
 _S = lambda cond, amount="value", rest="0": f"sum(CASE WHEN {cond} THEN {amount} ELSE {rest} END)::DOUBLE"
@@ -99,7 +100,7 @@ MEASURE_SQL = {
 {near("sum(CASE WHEN code IN ('ZBPB', 'ZTBM') THEN value::DOUBLE / quantity::DOUBLE ELSE 0 END)")} AS zbpb_pu
 FROM conditions GROUP BY 1, 2""")
 def pricing_condition_measures(t: Tables) -> DataFrame:
-    typed = conditions(t)
+    typed = conditions(t.lines)
     return rounded(s.condition_measures(typed, ["doc", "line"], s.INVOICE_MEASURES), ["zbpb_pu"])
 
 
@@ -116,33 +117,41 @@ FACT_MEASURES = [s.Measure("header_freight", ("ZF00",)), s.Measure("part_freight
                  s.Measure("rebate", ("ZD01",), negate=True), *s.INVOICE_MEASURES]
 
 
+# Lines moved by plant write some 27 bytes each; a plant takes 32 in a broadcast, so more than 300,000 plants fit.
+FACT_BROADCAST = {"spark.sql.adaptive.autoBroadcastJoinThreshold": "16m"}
+
+
 def invoice_lines(t: Tables) -> DataFrame:
-    items = t.items.select(
+    # Both tables lie by document, moved once each.
+    lines = laid_by(t.lines.drop("l_linestatus"), "l_orderkey")
+    orders = laid_by(t.sales_orders.drop("o_orderpriority", "total"), "o_orderkey")
+    by_line = items_of(lines)
+    items = by_line.select(
         F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("line"), F.col("partkey").alias("material"),
         F.col("suppkey").alias("plant"), F.col("quantity").cast("decimal(18,2)").alias("quantity"),
         F.col("price").cast("decimal(18,2)").alias("net"), (F.col("price") * F.lit("0.18").cast("decimal(3,2)")).cast("decimal(18,2)").alias("tax"))
-    headers = t.sales_orders.select(
+    headers = orders.select(
         F.col("o_orderkey").alias("doc"), F.col("order_date").alias("date"), F.col("o_custkey").alias("sold_to"),
         F.when(F.col("o_orderkey") % 4 == 0, F.col("o_custkey") + 1).otherwise(F.col("o_custkey")).alias("payer"),
         F.when(F.col("o_custkey") % 2 == 0, "2000").otherwise("1000").alias("org"),
         F.when(F.col("o_orderstatus") == "P", "X").alias("cancelled"))
-    partners = t.lineitem.select(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").cast("string").alias("role"),
-                                   F.col("l_suppkey").alias("party"))
+    partners = lines.select(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").cast("string").alias("role"),
+                            F.col("l_suppkey").alias("party"))
     # Every ninth invoice is not posted, the rest are posted twice; returns have no excise document.
     doc = F.col("o_orderkey")
-    accounting = t.sales_orders.where("o_orderkey % 9 <> 0").select(
+    accounting = orders.where("o_orderkey % 9 <> 0").select(
         doc.alias("doc"), F.when(doc % 2 == 0, "1000").otherwise("2000").alias("company"),
         F.explode(F.array(doc * 10, doc * 10 + 1)).alias("document"), F.year("order_date").alias("year"))
     ledger = t.sales_orders.where("o_orderkey % 5 <> 0").select(
         F.when(doc % 2 == 0, "1000").otherwise("2000").alias("company"), (doc * 10).alias("document"),
         F.year("order_date").alias("year"), F.explode(F.array(F.lit(1), F.lit(2))).alias("item"), (F.col("o_custkey") % 7).alias("place"))
-    excise = t.lines.where("l_returnflag <> 'R'").select(
+    excise = lines.where("l_returnflag <> 'R'").select(
         F.col("l_orderkey").alias("ref_doc"), F.col("l_linenumber").alias("ref_line"), F.col("l_partkey").alias("number"),
         F.col("ship_date").alias("date"))
-    order_lines = t.items.join(t.sales_orders, F.col("l_orderkey") == doc).where("l_linenumber < 6").select(
+    order_lines = by_line.join(orders, F.col("l_orderkey") == doc).where("l_linenumber < 6").select(
         F.col("l_orderkey").alias("order"), F.col("l_linenumber").alias("order_line"),
         F.concat(F.lit("R"), F.col("suppkey").cast("string")).alias("route"), "order_date")
-    return s.invoice_fact(items, headers, partners, ROLES, conditions(t), FACT_MEASURES, weight_versions(t), plants(t),
+    return s.invoice_fact(items, headers, partners, ROLES, conditions(lines), FACT_MEASURES, weight_versions(t), plants(t),
                           weight_keys=("material",), documents=(accounting, ledger, excise, order_lines))
 
 
@@ -173,7 +182,7 @@ SELECT i.l_orderkey AS doc, i.l_linenumber AS line, i.partkey AS material, i.sup
 FROM items i JOIN heads o ON o.o_orderkey = i.l_orderkey LEFT JOIN plants p ON p.plant = i.suppkey
 LEFT JOIN rates w ON w.material = i.partkey AND o.order_date BETWEEN w.valid_from AND w.valid_to
 LEFT JOIN parties y ON y.doc = i.l_orderkey LEFT JOIN sums m ON m.doc = i.l_orderkey AND m.line = i.l_linenumber
-LEFT JOIN posted a ON a.doc = i.l_orderkey LEFT JOIN excise e ON e.l_orderkey = i.l_orderkey AND e.l_linenumber = i.l_linenumber""")
+LEFT JOIN posted a ON a.doc = i.l_orderkey LEFT JOIN excise e ON e.l_orderkey = i.l_orderkey AND e.l_linenumber = i.l_linenumber""", SHARED_KEYS_CONF | FACT_BROADCAST)
 def invoice_fact(t: Tables) -> DataFrame:
     out = invoice_lines(t)
     c = F.col

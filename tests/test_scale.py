@@ -1,5 +1,6 @@
 """Behaviour that matters when one key holds a third of the rows."""
 
+import datetime
 from decimal import Decimal
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from lakeops.operators import joins, keys, reconcile, reshape, windows
 from lakeops.plans import finance, procurement, sales, stock
 from lakeops.session import SHARED_KEYS_CONF, TASK_CONF, bound_tasks, tune
+from lakeops.workload.core import items_of, laid_by
 
 
 def executed(df) -> str:
@@ -247,3 +249,64 @@ def test_days_of_the_plan_stay_with_their_plant_and_material(no_help):
     finally:
         for key in TASK_CONF:
             no_help.conf.unset(key)
+
+
+def exchanges(node) -> list[tuple[str, set[str]]]:
+    """(partitioning, names of the columns moved) of each exchange that is written; one that is read again counts once."""
+    found = [exchanges(node.children().apply(i)) for i in range(node.children().size())]
+    own = [(node.outputPartitioning().toString(), {node.output().apply(i).name() for i in range(node.output().size())})]
+    return own * (node.nodeName() == "Exchange") + [e for part in found for e in part]
+
+
+def test_rows_laid_by_a_key_are_moved_once_for_all_readers(no_help):
+    rows = "(1L, 1, 5L, 7L, 1.5, 'N'), (1L, 1, 4L, 9L, 2.5, 'R'), (2L, 1, 6L, 8L, null, null), (null, 1, 6L, 8L, 4.0, 'N')"
+    lines = no_help.sql(f"SELECT * FROM VALUES {rows} t(l_orderkey, l_linenumber, l_partkey, l_suppkey, price, l_returnflag)")
+    no_help.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        laid = laid_by(lines, "l_orderkey")
+        items = items_of(laid).select("l_orderkey", "partkey", "price")
+        flags = laid.where("l_returnflag <> 'R'").groupBy("l_orderkey").agg(F.max("l_suppkey").alias("top"))
+        out = joins.lookup(items, flags, ["l_orderkey"], ["top"])
+        assert sorted(tuple(r) for r in out.collect()) == [(1, 4, Decimal("4.0"), 7), (2, 6, None, None)]
+        assert len(exchanges(out._jdf.queryExecution().executedPlan())) == 1
+    finally:
+        no_help.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_invoice_lines_stay_with_their_document(no_help):
+    """Only what plants and weights are looked up by is moved, once per document; repeated headers, plants and versions multiply lines as joins do."""
+    q = no_help.sql
+    money = lambda x: f"cast({x} AS decimal(18,2))"
+    items = q(f"""SELECT doc, line, material, plant, {money(2)} AS quantity, {money('net')} AS net, {money(1)} AS tax FROM VALUES (1L, 1, 1L, 1L, 10),
+        (1L, 2, 1L, 1L, 11), (1L, 2, 1L, 1L, 11), (1L, 3, null, 2L, 12), (2L, 1, 2L, null, 13), (2L, null, 1L, 3L, 14), (3L, 1, 1L, 1L, 15) t(doc, line, material, plant, net)""")
+    headers = q("""SELECT doc, cast(day AS date) AS date, 1L AS sold_to, 1L AS payer, org, '' AS cancelled FROM VALUES (1L, '2020-01-05', 'a'), (1L, '2020-01-05', 'b'),
+        (1L, '2021-01-05', 'a'), (2L, null, 'a') t(doc, day, org)""")
+    partners = q("SELECT 1L AS doc, '1' AS role, 9L AS party")
+    conditions = q(f"SELECT 1L AS doc, 2 AS line, 'ZF00' AS code, {money(3)} AS value")
+    weights = q("""SELECT material, cast(a AS date) AS valid_from, cast(b AS date) AS valid_to, weight FROM VALUES (1L, '2020-01-01', '2020-12-31', 1.5),
+        (1L, '2020-01-05', '2020-01-05', 2.5), (2L, null, null, 3.5) t(material, a, b, weight)""")
+    plants = q("SELECT * FROM VALUES (1L, 1, 2L), (2L, 0, 2L), (2L, 0, 2L) t(plant, is_plant, report_plant)")
+    measures = [sales.Measure("zf00", ("ZF00",))]
+    no_help.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        bound_tasks(no_help, SHARED_KEYS_CONF)
+        by_doc = [df.repartition("doc") for df in (items, headers, partners, conditions)]
+        out = sales.invoice_fact(*by_doc[:3], {"1": "payer"}, by_doc[3], measures, weights, plants, ("material",))
+        assert out.columns == ["doc", "line", "material", "plant", "quantity", "net", "tax", "date", "sold_to", "payer", "org", "cancelled", "payer_party",
+                               "is_plant", "report_plant", "weight", "zf00", "total", "weight_mt", "status", "customer_type"]
+        plain = lambda v: str(v) if isinstance(v, datetime.date) else float(v) if isinstance(v, Decimal) else v
+        got = sorted(repr(tuple(plain(r[c]) for c in ("doc", "line", "net", "date", "org", "is_plant", "weight", "zf00", "payer_party"))) for r in out.collect())
+        old, new = [("2020-01-05", "a"), ("2020-01-05", "b")], [("2021-01-05", "a")]
+        want = [(1, line, net, *h, 1, w, zf00, 9) for line, net, zf00 in ((1, 10.0, 0.0), (2, 11.0, 3.0), (2, 11.0, 3.0))
+                for hs, ws in ((old, (1.5, 2.5)), (new, (None,))) for h in hs for w in ws]
+        want += [(1, 3, 12.0, *h, 0, None, 0.0, 9) for h in old + new for _ in range(2)]
+        want += [(2, 1, 13.0, None, "a", None, 3.5, 0.0, None), (2, None, 14.0, None, "a", None, None, 0.0, None)]
+        assert got == sorted(map(repr, want))
+        moved = exchanges(out._jdf.queryExecution().executedPlan())
+        assert len([1 for _, columns in moved if "net" in columns]) == 1
+        asked = [columns for by, columns in moved if columns & {"material", "__w_material"} and "date" in columns or "__w_date" in columns]
+        assert sorted(map(len, asked)) == [4, 5, 7]  # document, material, plant and date: by material, by plant and back
+    finally:
+        no_help.conf.set("spark.sql.adaptive.enabled", "true")
+        for key in TASK_CONF:
+            no_help.conf.unset(key)
